@@ -21,18 +21,87 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+import uuid  # noqa: E402
+
 from checks import sql as Q  # noqa: E402
 from flowlens import schema as S  # noqa: E402
+from flowlens.config import scratch_path  # noqa: E402
+from flowlens.operators import alerts as al  # noqa: E402
 from flowlens.operators import features as feat  # noqa: E402
+from flowlens.operators import matrix as mx  # noqa: E402
+from flowlens.operators import text_features as tf  # noqa: E402
+from flowlens.operators.correlate import temporal_correlation  # noqa: E402
+from flowlens.operators.scoring import score_filter  # noqa: E402
+from flowlens.plans import detect as det  # noqa: E402
+from flowlens.plans.metrics import stage_counts  # noqa: E402
 from flowlens.sources import fixture  # noqa: E402
+from flowlens.sources import sessions as src  # noqa: E402
 
 SF_SMOKE = "/root/testdata/sf0.001"
 
+# Fixed instants used by the history-based checks (literals, so Spark and
+# DuckDB see the same "now").  The alert history is what the detector itself
+# emits for sessions before a cut-off; the batch under test comes after it.
+HISTORY_CUT = "2024-01-02 12:00:00"
+COOLDOWN_NOW = "2024-01-20 12:00:00"
+EXPORT_MARKER = "2024-01-25 00:00:00"
+
 
 def _sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The stand-in records derive epoch milliseconds from a zone-less
+    # timestamp; pin the session zone so both engines agree.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return fixture.session_records(spark, sf_dir)
 
 
+def _staged(spark: SparkSession, sf_dir: str, split_by_port: bool = False) -> list[str]:
+    """Write the stand-in records as session Parquet files (a fresh folder
+    under the shared checkpoint folder) and return the source folder(s)."""
+    base = scratch_path(spark, "flowlens-fixtures", uuid.uuid4().hex)
+    recs = _sessions(spark, sf_dir)
+    if not split_by_port:
+        recs.write.parquet(f"{base}/sessions")
+        return [f"{base}/sessions"]
+    dirs = []
+    for port in (80, 8080):
+        d = f"{base}/sensor-{port}"
+        recs.filter(F.col("transport.dst_port") == port).write.parquet(d)
+        dirs.append(d)
+    return dirs
+
+
+def _flat_scan(df: DataFrame) -> DataFrame:
+    """All leaves of scanned session records under the stand-in view's
+    column names."""
+    cols = [F.col(S.SESSION_ID)]
+    cols += [F.col(f"network.{f.name}").alias(f.name) for f in S.NETWORK.fields]
+    for f in S.TRANSPORT.fields:
+        cols.append(F.col(f"transport.{f.name}").alias("transport_protocol" if f.name == "protocol" else f.name))
+    for f in S.SESSION_STRUCT.fields:
+        cols.append(F.col(f"session.{f.name}").alias("session_protocol" if f.name == "protocol" else f.name))
+    cols += [F.col(f"payload.{f.name}").alias(f.name) for f in S.PAYLOAD.fields]
+    cols.append(F.col(S.SCORE))
+    return df.select(*cols)
+
+
+def _confirmed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return det.confirmed_sessions(_sessions(spark, sf_dir))
+
+
+def _ms(ts: str):
+    return F.unix_millis(F.to_timestamp(F.lit(ts)))
+
+
+def _history_alerts(confirmed: DataFrame) -> DataFrame:
+    """Alert rows as the detector emits them, stamped at the session's start."""
+    return al.build_alerts(confirmed, alert_ts=F.timestamp_millis(F.col("start_time")))
+
+
+def _alert_view(alerts: DataFrame) -> DataFrame:
+    flat = al.flatten_alerts(alerts)
+    return flat.withColumn("alert_ms", F.unix_millis("alert_ts")).drop("alert_ts")
+
+
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feat.session_features(_sessions(spark, sf_dir))
 
@@ -94,7 +163,134 @@ def q_empty_batch(spark, sf_dir):
     return feat.session_features(non_http)
 
 
+def q_scan_sessions(spark, sf_dir):
+    return _flat_scan(src.scan_sessions(spark, *_staged(spark, sf_dir)))
+
+
+def q_union_sources(spark, sf_dir):
+    dirs = _staged(spark, sf_dir, split_by_port=True)
+    return _flat_scan(src.union_sources(*[src.scan_sessions(spark, d) for d in dirs]))
+
+
+def q_model_features(spark, sf_dir):
+    return mx.model_features(_features(spark, sf_dir))
+
+
+def q_impute_features(spark, sf_dir):
+    imputed = mx.impute_features(_features(spark, sf_dir))
+    return imputed.select(S.SESSION_ID, *S.NUMERIC_MODEL_FEATURES)
+
+
+def q_score_filter(spark, sf_dir):
+    hot = score_filter(_features(spark, sf_dir))
+    return hot.select(S.SESSION_ID, "src_ip", "dst_ip", "start_time", S.SCORE)
+
+
+def q_session_time(spark, sf_dir):
+    f = feat.http_fields(feat.http_filter(_sessions(spark, sf_dir)))
+    return f.select(
+        S.SESSION_ID,
+        "start_time",
+        F.timestamp_millis("start_time").alias("event_time"),
+        (F.col("start_time") / F.lit(1000.0)).alias("start_sec"),
+    )
+
+
+def q_text_flatten(spark, sf_dir):
+    return tf.flatten_text_fields(_features(spark, sf_dir)).select(S.SESSION_ID, *S.TEXT_FIELDS)
+
+
+def q_text_length(spark, sf_dir):
+    out = tf.text_lengths(_features(spark, sf_dir))
+    return out.select(S.SESSION_ID, *[f"{f}_len" for f in S.TEXT_FIELDS])
+
+
+def q_text_entropy(spark, sf_dir):
+    # log2 and the summation order differ between engines in the last bits,
+    # so the comparison view rounds entropies to 9 decimals on both sides.
+    out = tf.text_entropies(_features(spark, sf_dir))
+    return out.select(S.SESSION_ID, *[F.round(f"{f}_entropy", 9).alias(f"{f}_entropy") for f in S.TEXT_FIELDS])
+
+
+def q_unigram_long(spark, sf_dir):
+    return tf.unigram_long(_features(spark, sf_dir))
+
+
+def q_temporal_correlation(spark, sf_dir):
+    return _confirmed(spark, sf_dir)
+
+
+def q_first_alert_per_pair(spark, sf_dir):
+    return al.first_alert_per_pair(_confirmed(spark, sf_dir).drop("hit_count"))
+
+
+def q_malicious_summary(spark, sf_dir):
+    return al.malicious_summary(_confirmed(spark, sf_dir))
+
+
+def q_suppress_known(spark, sf_dir):
+    confirmed = _confirmed(spark, sf_dir).drop("hit_count")
+    cut = _ms(HISTORY_CUT)
+    history = _history_alerts(confirmed.filter(F.col("start_time") < cut))
+    batch = confirmed.filter(F.col("start_time") >= cut)
+    return al.suppress_known(batch, history)
+
+
+def q_alert_cooldown(spark, sf_dir):
+    confirmed = _confirmed(spark, sf_dir).drop("hit_count")
+    now = _ms(COOLDOWN_NOW)
+    history = _history_alerts(confirmed.filter(F.col("start_time") < now))
+    batch = confirmed.filter(F.col("start_time") >= now)
+    return al.alert_cooldown(batch, history, COOLDOWN_NOW)
+
+
+def q_build_alerts(spark, sf_dir):
+    first = al.first_alert_per_pair(_confirmed(spark, sf_dir).drop("hit_count"))
+    return _alert_view(_history_alerts(first))
+
+
+def q_alert_retention(spark, sf_dir):
+    confirmed = _confirmed(spark, sf_dir).drop("hit_count")
+    table = _history_alerts(confirmed.filter(F.col("start_time") < _ms(COOLDOWN_NOW)))
+    return _alert_view(al.alert_retention(table, COOLDOWN_NOW))
+
+
+def q_alert_export(spark, sf_dir):
+    table = _history_alerts(_confirmed(spark, sf_dir).drop("hit_count"))
+    return _alert_view(al.alert_export(table, EXPORT_MARKER))
+
+
+def q_detect_alerts(spark, sf_dir):
+    s = _sessions(spark, sf_dir)
+    alerts = det.detect_alerts(s, alert_ts=F.timestamp_millis(F.col("start_time")))
+    return _alert_view(alerts)
+
+
+def q_stage_counts(spark, sf_dir):
+    return stage_counts(_sessions(spark, sf_dir))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "scan_sessions": q_scan_sessions,
+    "union_sources": q_union_sources,
+    "model_features": q_model_features,
+    "impute_features": q_impute_features,
+    "score_filter": q_score_filter,
+    "session_time": q_session_time,
+    "text_flatten": q_text_flatten,
+    "text_length": q_text_length,
+    "text_entropy": q_text_entropy,
+    "unigram_long": q_unigram_long,
+    "temporal_correlation": q_temporal_correlation,
+    "first_alert_per_pair": q_first_alert_per_pair,
+    "malicious_summary": q_malicious_summary,
+    "suppress_known": q_suppress_known,
+    "alert_cooldown": q_alert_cooldown,
+    "build_alerts": q_build_alerts,
+    "alert_retention": q_alert_retention,
+    "alert_export": q_alert_export,
+    "detect_alerts": q_detect_alerts,
+    "stage_counts": q_stage_counts,
     "flow_features": q_flow_features,
     "flag_features": q_flag_features,
     "http_fields": q_http_fields,
@@ -142,6 +338,87 @@ def _oracles() -> dict[str, str]:
             + Q.feature_cte("batch"),
         ),
     }
+    feat_cte = Q.feature_cte()
+    conf = Q.confirmed_cte()
+    scan_sql = Q.with_sessions("SELECT * REPLACE (CAST(dst_port AS BIGINT) AS dst_port) FROM sessions")
+    flat_fields = ", ".join(f"COALESCE({f}, '') AS {f}" for f in S.TEXT_FIELDS)
+    out.update(
+        {
+            "scan_sessions": scan_sql,
+            "union_sources": scan_sql,
+            "model_features": Q.with_sessions(
+                "SELECT session_id, malicious_score, " + ", ".join(S.MODEL_FEATURES) + " FROM feat", feat_cte
+            ),
+            "impute_features": Q.with_sessions(
+                "SELECT session_id, "
+                + ", ".join(f"{Q.impute_sql(c)} AS {c}" for c in S.NUMERIC_MODEL_FEATURES)
+                + " FROM feat",
+                feat_cte,
+            ),
+            "score_filter": Q.with_sessions(
+                "SELECT session_id, src_ip, dst_ip, start_time, malicious_score FROM feat "
+                f"WHERE malicious_score > CAST({S.DEFAULT_THRESHOLD} AS DOUBLE)",
+                feat_cte,
+            ),
+            "session_time": Q.with_sessions(
+                "SELECT session_id, start_time, epoch_ms(start_time) AS event_time, "
+                f"start_time / CAST(1000 AS DOUBLE) AS start_sec {http}"
+            ),
+            "text_flatten": Q.with_sessions(f"SELECT session_id, {flat_fields} FROM feat", feat_cte),
+            "text_length": Q.with_sessions(
+                "SELECT session_id, "
+                + ", ".join(f"CAST(length(COALESCE({f}, '')) AS INTEGER) AS {f}_len" for f in S.TEXT_FIELDS)
+                + " FROM feat",
+                feat_cte,
+            ),
+            "text_entropy": Q.with_sessions(
+                "SELECT session_id, "
+                + ", ".join(f"round({Q.entropy_sql(Q.coalesce_empty(f))}, 9) AS {f}_entropy" for f in S.TEXT_FIELDS)
+                + " FROM feat",
+                feat_cte,
+            ),
+            "unigram_long": Q.with_sessions(Q.unigram_long_sql(S.TEXT_FIELDS), feat_cte),
+            "temporal_correlation": Q.with_sessions("SELECT * FROM confirmed", conf),
+            "first_alert_per_pair": Q.with_sessions("SELECT * FROM first_pair", conf + ",\n" + Q.first_cte()),
+            "malicious_summary": Q.with_sessions("SELECT src_ip, dst_ip, malicious_score FROM confirmed", conf),
+            "suppress_known": Q.with_sessions(
+                "SELECT * EXCLUDE (hit_count) FROM confirmed b "
+                f"WHERE b.start_time >= {Q.ms(HISTORY_CUT)} AND NOT EXISTS (SELECT 1 FROM confirmed h "
+                f"WHERE h.start_time < {Q.ms(HISTORY_CUT)} "
+                "AND h.src_ip IS NOT DISTINCT FROM b.src_ip AND h.dst_ip IS NOT DISTINCT FROM b.dst_ip)",
+                conf,
+            ),
+            "alert_cooldown": Q.with_sessions(
+                "SELECT * EXCLUDE (hit_count) FROM confirmed b "
+                f"WHERE b.start_time >= {Q.ms(COOLDOWN_NOW)} AND NOT EXISTS (SELECT 1 FROM confirmed h "
+                f"WHERE h.start_time < {Q.ms(COOLDOWN_NOW)} "
+                f"AND h.start_time >= {Q.ms(COOLDOWN_NOW)} - {S.ALERT_RETENTION_MINUTES} * 60000 "
+                "AND h.src_ip IS NOT DISTINCT FROM b.src_ip AND h.dst_ip IS NOT DISTINCT FROM b.dst_ip)",
+                conf,
+            ),
+            "build_alerts": Q.with_sessions(Q.alert_view("first_pair"), conf + ",\n" + Q.first_cte()),
+            "alert_retention": Q.with_sessions(
+                Q.alert_view(
+                    f"(SELECT * FROM confirmed WHERE start_time < {Q.ms(COOLDOWN_NOW)} "
+                    f"AND start_time >= {Q.ms(COOLDOWN_NOW)} - {S.ALERT_RETENTION_MINUTES} * 60000)"
+                ),
+                conf,
+            ),
+            "alert_export": Q.with_sessions(
+                Q.alert_view(f"(SELECT * FROM confirmed WHERE start_time > {Q.ms(EXPORT_MARKER)})"), conf
+            ),
+            "detect_alerts": Q.with_sessions(Q.alert_view("first_pair"), conf + ",\n" + Q.first_cte()),
+            "stage_counts": Q.with_sessions(
+                f"SELECT 'sessions' AS stage, count(*) AS n_rows FROM sessions UNION ALL "
+                f"SELECT 'http', count(*) FILTER (WHERE {Q.HTTP_WHERE}) FROM sessions UNION ALL "
+                f"SELECT 'above_threshold', count(*) FILTER (WHERE {Q.HTTP_WHERE} AND malicious_score > "
+                f"CAST({S.DEFAULT_THRESHOLD} AS DOUBLE)) FROM sessions UNION ALL "
+                "SELECT 'confirmed', count(*) FROM confirmed UNION ALL "
+                "SELECT 'alert_pairs', count(*) FROM first_pair",
+                conf + ",\n" + Q.first_cte(),
+            ),
+        }
+    )
     return out
 
 

@@ -143,6 +143,10 @@ def feature_cte(source: str = "sessions") -> str:
     return base + ",\n" + feat
 
 
+def coalesce_empty(col: str) -> str:
+    return f"COALESCE({col}, '')"
+
+
 def entropy_sql(col: str) -> str:
     """Shannon entropy (bits) over the code points of ``col``; '' -> 0."""
     return (
@@ -150,3 +154,64 @@ def entropy_sql(col: str) -> str:
         f"(SELECT CAST(count(*) AS DOUBLE) AS cnt, CAST(length({col}) AS DOUBLE) AS n "
         f"FROM unnest(regexp_extract_all({col}, '(?s).')) AS t(ch) GROUP BY ch)), CAST(0 AS DOUBLE)) + CAST(0 AS DOUBLE)"
     )
+
+
+def hot_cte(threshold: float = S.DEFAULT_THRESHOLD) -> str:
+    """``hot``: HTTP sessions above the score threshold (alert columns)."""
+    return (
+        "hot AS (SELECT session_id, src_ip, dst_ip, CAST(src_port AS INTEGER) AS src_port, "
+        "CAST(dst_port AS INTEGER) AS dst_port, duration AS Flow_Duration, start_time, malicious_score "
+        f"FROM sessions WHERE {HTTP_WHERE} AND malicious_score > CAST({threshold} AS DOUBLE))"
+    )
+
+
+def confirmed_cte(window_ms: int = S.CORRELATION_WINDOW_MS, repeat: int = S.REPEAT_THRESHOLD) -> str:
+    """``confirmed``: the ordered trailing-window count restated with window
+    functions (range frame minus the later peers at the same instant)."""
+    return (
+        hot_cte()
+        + ",\ncnt AS (SELECT *, count(*) OVER (PARTITION BY dst_ip ORDER BY start_time "
+        f"RANGE BETWEEN {window_ms} PRECEDING AND CURRENT ROW) - (count(*) OVER (PARTITION BY dst_ip, start_time) "
+        "- row_number() OVER (PARTITION BY dst_ip, start_time ORDER BY session_id)) AS hit_count "
+        "FROM hot WHERE start_time IS NOT NULL),\n"
+        f"confirmed AS (SELECT * FROM cnt WHERE hit_count >= {repeat})"
+    )
+
+
+def first_cte(source: str = "confirmed") -> str:
+    return (
+        f"first_pair AS (SELECT * EXCLUDE (rn, hit_count) FROM (SELECT *, row_number() OVER "
+        f"(PARTITION BY src_ip, dst_ip ORDER BY start_time, session_id) AS rn FROM {source}) WHERE rn = 1)"
+    )
+
+
+def alert_view(source: str) -> str:
+    """Flat alert rows built from ``source`` (stamped at the session start)."""
+    return (
+        f"SELECT 'http' AS protocol, Flow_Duration AS session_duration, src_ip, dst_ip, src_port, dst_port, "
+        f"malicious_score AS score, '{S.ALERT_RULE_NAME}' AS rule_name, '{S.ALERT_TYPE}' AS alert_type, "
+        f"'{S.ALERT_CATEGORY}' AS alert_category, {S.ALERT_PRIORITY} AS priority, "
+        f"'{S.ALERT_DESCRIPTION}' AS alert_description, session_id, start_time, start_time AS alert_ms "
+        f"FROM {source}"
+    )
+
+
+def ms(ts: str) -> str:
+    return f"epoch_ms(TIMESTAMP '{ts}')"
+
+
+def impute_sql(col: str) -> str:
+    d = _d(col)
+    return f"CASE WHEN {d} IS NULL OR isnan({d}) OR isinf({d}) THEN CAST(0 AS DOUBLE) ELSE {d} END"
+
+
+def unigram_long_sql(fields: list[str]) -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT session_id, '{f}' AS field, COALESCE({f}, '') AS txt FROM feat" for f in fields
+    )
+    return (
+        "SELECT session_id, field, CAST(('0x' || h) AS INTEGER) AS byte_value, count(*) AS byte_count, "
+        "count(*) / max(CAST(strlen(txt) AS DOUBLE)) AS frequency "
+        f"FROM (SELECT session_id, field, txt, unnest(regexp_extract_all(hex(encode(txt)), '[0-9A-F]{{2}}')) AS h "
+        f"FROM ({parts})) GROUP BY session_id, field, h"
+    )
