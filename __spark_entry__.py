@@ -270,7 +270,205 @@ def q_stage_counts(spark, sf_dir):
     return stage_counts(_sessions(spark, sf_dir))
 
 
+# ---- rows-only keys (no SQL oracle): ML, wide/array outputs, file sinks,
+# ---- validation and streams.
+
+
+def _labelled(features: DataFrame) -> DataFrame:
+    """Training labels from a stated rule: the stand-in score above the
+    threshold.  They describe the fixture only, not detection quality."""
+    return features.withColumn("label", (F.col(S.SCORE) > F.lit(S.DEFAULT_THRESHOLD)).cast("int"))
+
+
+_MODELS: dict = {}
+
+
+def _forest(spark: SparkSession, sf_dir: str):
+    """A forest fitted on the stand-in sessions (fitted once per process)."""
+    from flowlens.operators.scoring import train_forest
+
+    key = (id(spark.sparkContext), sf_dir)
+    if key not in _MODELS:
+        _MODELS[key] = train_forest(_labelled(_features(spark, sf_dir)), num_trees=10, max_depth=5)
+    return _MODELS[key]
+
+
+def q_train_forest(spark, sf_dir):
+    from flowlens.operators.scoring import score_sessions
+
+    feats = _labelled(_features(spark, sf_dir))
+    model = _forest(spark, sf_dir)
+    path = scratch_path(spark, "flowlens-models", uuid.uuid4().hex)
+    model.write().overwrite().save(path)
+    from flowlens.operators.scoring import load_model
+
+    scored = score_sessions(feats, load_model(path))
+    return scored.select(S.SESSION_ID, "label", "prediction", S.SCORE)
+
+
+def q_score_sessions(spark, sf_dir):
+    from flowlens.operators.scoring import score_sessions
+
+    scored = score_sessions(_features(spark, sf_dir), _forest(spark, sf_dir))
+    return scored.select(S.SESSION_ID, "src_ip", "dst_ip", "start_time", "prediction", S.SCORE)
+
+
+def q_assemble_features(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+
+    vec = mx.assemble_features(_features(spark, sf_dir))
+    arr = vector_to_array("features")
+    return vec.select(S.SESSION_ID, F.size(arr).alias("width"), F.aggregate(arr, F.lit(0.0), lambda a, x: a + x).alias("total"))
+
+
+def q_unigram_vector(spark, sf_dir):
+    out = tf.unigram_vectors(_features(spark, sf_dir))
+    return out.select(S.SESSION_ID, *[f"{f}_unigram" for f in S.TEXT_FIELDS])
+
+
+def q_unigram_wide(spark, sf_dir):
+    return tf.unigram_wide(_features(spark, sf_dir))
+
+
+def q_quarantine(spark, sf_dir):
+    base = scratch_path(spark, "flowlens-fixtures", uuid.uuid4().hex)
+    recs = _sessions(spark, sf_dir)
+    recs.repartition(4).write.parquet(f"{base}/in")
+    # One more file whose start_time arrives as text (a producer bug).
+    bad = recs.withColumn("session", F.col("session").withField("start_time", F.col("session.start_time").cast("string")))
+    bad.coalesce(1).write.mode("append").parquet(f"{base}/in/bad")
+    good, report = src.read_valid_sessions(spark, f"{base}/in")
+    n_good = good.agg(F.count(F.lit(1)).alias("n")).collect()[0]["n"]
+    return report.unionByName(
+        spark.createDataFrame([("valid-rows", True, str(n_good))], "path string, ok boolean, reason string")
+    )
+
+
+def _alert_table(spark, sf_dir) -> str:
+    from flowlens.sources.alerts import write_alerts
+
+    path = scratch_path(spark, "flowlens-alerts", uuid.uuid4().hex)
+    first = al.first_alert_per_pair(_confirmed(spark, sf_dir).drop("hit_count"))
+    alerts = al.build_alerts(first, alert_ts=F.timestamp_millis(F.col("start_time")), batch_id=0)
+    write_alerts(alerts, path)
+    write_alerts(alerts, path)  # a retried batch replaces its own rows
+    return path
+
+
+def q_write_alerts(spark, sf_dir):
+    from flowlens.sources.alerts import read_alerts
+
+    return _alert_view(read_alerts(spark, _alert_table(spark, sf_dir)))
+
+
+def q_alert_history(spark, sf_dir):
+    from flowlens.sources.alerts import alert_history, read_alerts
+
+    return alert_history(read_alerts(spark, _alert_table(spark, sf_dir)))
+
+
+def q_training_set(spark, sf_dir):
+    from flowlens.sources.alerts import append_training_set
+
+    path = scratch_path(spark, "flowlens-training", uuid.uuid4().hex)
+    append_training_set(_features(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+def _time_chunks(spark, df: DataFrame, time_col, base: str, chunks: int = 6) -> str:
+    """Stage ``df`` as ``chunks`` files in event-time order (written one
+    after another, so file modification order follows time)."""
+    bounds = df.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).collect()[0]
+    lo, hi = int(bounds["lo"]), int(bounds["hi"])
+    step = (hi - lo) // chunks + 1
+    for i in range(chunks):
+        part = df.filter((time_col >= F.lit(lo + i * step)) & (time_col < F.lit(lo + (i + 1) * step)))
+        part.coalesce(1).write.parquet(f"{base}/in/chunk={i:03d}")
+    return f"{base}/in"
+
+
+def q_stream_features(spark, sf_dir):
+    from flowlens.streaming.detect import stream_features
+
+    base = scratch_path(spark, "flowlens-stream", uuid.uuid4().hex)
+    src_dir = _time_chunks(spark, _sessions(spark, sf_dir), F.col("session.start_time"), base)
+    q = stream_features(
+        spark, src_dir, f"{base}/out", f"{base}/ckpt", clean_source="archive", archive_dir=f"{base}/archive"
+    )
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+def q_stream_correlation(spark, sf_dir):
+    from flowlens.streaming.correlate import CorrelationState, correlate_batch
+
+    base = scratch_path(spark, "flowlens-stream", uuid.uuid4().hex)
+    hot = score_filter(_features(spark, sf_dir)).select(*det.ALERT_INPUT)
+    src_dir = _time_chunks(spark, hot, F.col("start_time"), base)
+    state = CorrelationState(f"{base}/state")
+    seen = []
+
+    def process(batch_df, batch_id):
+        batch_df.persist()
+        correlate_batch(spark, batch_df, batch_id, state).write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}")
+        batch_df.unpersist()
+        seen.append(batch_id)
+
+    stream = spark.readStream.schema(hot.schema).option("maxFilesPerTrigger", 1).parquet(src_dir)
+    q = stream.writeStream.foreachBatch(process).option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start()
+    q.awaitTermination()
+    last = max(seen) + 1
+    empty = spark.createDataFrame([], hot.schema)
+    correlate_batch(spark, empty, last, state, flush=True).write.mode("overwrite").parquet(f"{base}/out/batch={last}")
+    return spark.read.parquet(f"{base}/out")
+
+
+def q_stream_alerts(spark, sf_dir):
+    from flowlens.sources.alerts import read_alerts
+    from flowlens.streaming.detect import flush_detection, start_detection
+
+    base = scratch_path(spark, "flowlens-stream", uuid.uuid4().hex)
+    src_dir = _time_chunks(spark, _sessions(spark, sf_dir), F.col("session.start_time"), base)
+    q = start_detection(spark, src_dir, f"{base}/work", trigger=None, max_files_per_trigger=1)
+    q.awaitTermination()
+    last = q.lastProgress["batchId"] + 1 if q.lastProgress else 0
+    flush_detection(spark, f"{base}/work", last)
+    return _alert_view(read_alerts(spark, f"{base}/work/alerts"))
+
+
+def q_stream_cooldown(spark, sf_dir):
+    from flowlens.streaming.detect import cooldown_stream
+
+    base = scratch_path(spark, "flowlens-stream", uuid.uuid4().hex)
+    confirmed = _confirmed(spark, sf_dir).drop("hit_count")
+    src_dir = _time_chunks(spark, confirmed, F.col("start_time"), base)
+    stream = spark.readStream.schema(confirmed.schema).option("maxFilesPerTrigger", 1).parquet(src_dir)
+    q = (
+        cooldown_stream(stream)
+        .writeStream.format("parquet")
+        .option("path", f"{base}/out")
+        .option("checkpointLocation", f"{base}/ckpt")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "train_forest": q_train_forest,
+    "score_sessions": q_score_sessions,
+    "assemble_features": q_assemble_features,
+    "unigram_vector": q_unigram_vector,
+    "unigram_wide": q_unigram_wide,
+    "quarantine": q_quarantine,
+    "write_alerts": q_write_alerts,
+    "alert_history": q_alert_history,
+    "training_set": q_training_set,
+    "stream_features": q_stream_features,
+    "stream_correlation": q_stream_correlation,
+    "stream_alerts": q_stream_alerts,
+    "stream_cooldown": q_stream_cooldown,
     "scan_sessions": q_scan_sessions,
     "union_sources": q_union_sources,
     "model_features": q_model_features,

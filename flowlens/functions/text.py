@@ -63,28 +63,36 @@ def text_entropy(c: Column) -> Column:
     return h + F.lit(0.0)
 
 
-def _byte_counts(values: pd.Series) -> pd.Series:
-    """Per value, counts of each UTF-8 byte value (256 bins), vectorised over
-    the Arrow batch with one ``bincount``."""
+def _count_matrix(values: pd.Series) -> np.ndarray:
+    """(rows, 256) UTF-8 byte counts for a batch of strings, via one
+    ``bincount`` over the concatenated bytes."""
     encoded = [b"" if v is None else v.encode("utf-8", errors="ignore") for v in values]
-    lengths = np.fromiter((len(b) for b in encoded), dtype=np.int64, count=len(encoded))
-    if len(encoded) == 0:
-        return pd.Series([], dtype=object)
+    n = len(encoded)
+    lengths = np.fromiter((len(b) for b in encoded), dtype=np.int64, count=n)
     flat = np.frombuffer(b"".join(encoded), dtype=np.uint8).astype(np.int64)
-    rows = np.repeat(np.arange(len(encoded), dtype=np.int64), lengths)
-    counts = np.bincount(rows * UNIGRAM_BINS + flat, minlength=len(encoded) * UNIGRAM_BINS)
-    counts = counts.reshape(len(encoded), UNIGRAM_BINS).astype(np.int32)
-    return pd.Series(list(counts))
+    rows = np.repeat(np.arange(n, dtype=np.int64), lengths)
+    counts = np.bincount(rows * UNIGRAM_BINS + flat, minlength=n * UNIGRAM_BINS)
+    return counts.reshape(n, UNIGRAM_BINS)
+
+
+def _byte_counts(values: pd.Series) -> pd.Series:
+    """Per value, counts of each UTF-8 byte value (256 bins)."""
+    return pd.Series(list(_count_matrix(values).astype(np.int32)))
+
+
+def _byte_frequencies(values: pd.Series) -> pd.Series:
+    """Per value, count / total bytes per bin as float32 (zeros when empty)."""
+    counts = _count_matrix(values).astype(np.float64)
+    totals = counts.sum(axis=1, keepdims=True)
+    freqs = np.divide(counts, totals, out=np.zeros_like(counts), where=totals > 0)
+    return pd.Series(list(freqs.astype(np.float32)))
 
 
 byte_counts = F.pandas_udf(_byte_counts, T.ArrayType(T.IntegerType()))
 byte_counts.__doc__ = "Arrow UDF: ``ARRAY<INT>`` of 256 UTF-8 byte counts (NULL -> zeros)."
 
-
-def unigram_vector(counts: Column) -> Column:
-    """256 byte frequencies (count / total bytes) as ``ARRAY<FLOAT>``; all
-    zeros for NULL or empty text."""
-    total = F.aggregate(counts, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
-    return F.transform(
-        counts, lambda x: F.when(total > 0, x.cast("double") / total).otherwise(F.lit(0.0)).cast("float")
-    )
+unigram_vector = F.pandas_udf(_byte_frequencies, T.ArrayType(T.FloatType()))
+unigram_vector.__doc__ = (
+    "Arrow UDF: 256 byte frequencies (count / total bytes) as ``ARRAY<FLOAT>``; "
+    "all zeros for NULL or empty text."
+)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.columns import impute
-from ..functions.text import byte_counts, text_entropy, text_flatten, text_length, unigram_vector
+from ..functions.text import text_entropy, text_flatten, text_length, unigram_vector
 from .text_features import text_features
 
 #: Scalar model inputs in model order: 41 flow/flag/entropy, 6 content-length,
@@ -60,10 +60,9 @@ def assemble_features(features: DataFrame, output: str = "features") -> DataFram
     """
     fields = S.TEXT_FIELDS
     flat = {f: text_flatten(F.col(f), features.schema[f].dataType) for f in fields}
-    staged = features.withColumns({f"_bytes_{f}": byte_counts(flat[f]) for f in fields})
     scalars = [impute(F.col(c)) for c in S.NUMERIC_MODEL_FEATURES]
     for f in fields:
         scalars += [text_length(flat[f]).cast("double"), text_entropy(flat[f])]
-    unigrams = [unigram_vector(F.col(f"_bytes_{f}")).cast("array<double>") for f in fields]
+    unigrams = [unigram_vector(flat[f]).cast("array<double>") for f in fields]
     vec = array_to_vector(F.concat(F.array(*scalars), *unigrams))
-    return staged.withColumn(output, vec).drop(*[f"_bytes_{f}" for f in fields])
+    return features.withColumn(output, vec)

@@ -41,10 +41,8 @@ def with_byte_counts(df: DataFrame, fields: list[str] = S.TEXT_FIELDS) -> DataFr
 
 def unigram_vectors(df: DataFrame, fields: list[str] = S.TEXT_FIELDS) -> DataFrame:
     """``<field>_unigram``, 256 byte frequencies as ``ARRAY<FLOAT>``."""
-    counted = with_byte_counts(df, fields)
-    return counted.withColumns({f"{f}_unigram": unigram_vector(F.col(f"{f}_bytes")) for f in fields}).drop(
-        *[f"{f}_bytes" for f in fields]
-    )
+    flat = flatten_text_fields(df, fields)
+    return flat.withColumns({f"{f}_unigram": unigram_vector(F.col(f)) for f in fields})
 
 
 def unigram_long(df: DataFrame, key: str = S.SESSION_ID, fields: list[str] = S.TEXT_FIELDS) -> DataFrame:
@@ -57,12 +55,12 @@ def unigram_long(df: DataFrame, key: str = S.SESSION_ID, fields: list[str] = S.T
             F.struct(
                 F.lit(f).alias("field"),
                 F.col(f"{f}_bytes").alias("counts"),
+                F.octet_length(F.col(f)).cast("bigint").alias("total"),
             )
             for f in fields
         ]
     )
     long = counted.select(key, F.inline(per_field))
-    long = long.withColumn("total", F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, x: a + x))
     cells = long.select(key, "field", "total", F.posexplode("counts").alias("byte_value", "byte_count"))
     return cells.filter(F.col("byte_count") > 0).select(
         key,
@@ -82,9 +80,7 @@ def text_features(df: DataFrame, fields: list[str] = S.TEXT_FIELDS, unigrams: bo
         cols[f"{f}_entropy"] = text_entropy(F.col(f))
     out = flat.withColumns(cols)
     if unigrams:
-        out = out.withColumns({f"{f}_bytes": byte_counts(F.col(f)) for f in fields})
-        out = out.withColumns({f"{f}_unigram": unigram_vector(F.col(f"{f}_bytes")) for f in fields})
-        out = out.drop(*[f"{f}_bytes" for f in fields])
+        out = out.withColumns({f"{f}_unigram": unigram_vector(F.col(f)) for f in fields})
     return out
 
 
