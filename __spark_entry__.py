@@ -400,27 +400,15 @@ def q_stream_features(spark, sf_dir):
 
 
 def q_stream_correlation(spark, sf_dir):
-    from flowlens.streaming.correlate import CorrelationState, correlate_batch
+    from flowlens.streaming.correlate import confirmed_output, flush_correlation, start_correlation
 
     base = scratch_path(spark, "flowlens-stream", uuid.uuid4().hex)
     hot = score_filter(_features(spark, sf_dir)).select(*det.ALERT_INPUT)
     src_dir = _time_chunks(spark, hot, F.col("start_time"), base)
-    state = CorrelationState(f"{base}/state")
-    seen = []
-
-    def process(batch_df, batch_id):
-        batch_df.persist()
-        correlate_batch(spark, batch_df, batch_id, state).write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}")
-        batch_df.unpersist()
-        seen.append(batch_id)
-
     stream = spark.readStream.schema(hot.schema).option("maxFilesPerTrigger", 1).parquet(src_dir)
-    q = stream.writeStream.foreachBatch(process).option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start()
-    q.awaitTermination()
-    last = max(seen) + 1
-    empty = spark.createDataFrame([], hot.schema)
-    correlate_batch(spark, empty, last, state, flush=True).write.mode("overwrite").parquet(f"{base}/out/batch={last}")
-    return spark.read.parquet(f"{base}/out")
+    start_correlation(spark, stream, f"{base}/work").awaitTermination()
+    flush_correlation(spark, f"{base}/work")
+    return confirmed_output(spark, f"{base}/work")
 
 
 def q_stream_alerts(spark, sf_dir):
@@ -431,8 +419,7 @@ def q_stream_alerts(spark, sf_dir):
     src_dir = _time_chunks(spark, _sessions(spark, sf_dir), F.col("session.start_time"), base)
     q = start_detection(spark, src_dir, f"{base}/work", trigger=None, max_files_per_trigger=1)
     q.awaitTermination()
-    last = q.lastProgress["batchId"] + 1 if q.lastProgress else 0
-    flush_detection(spark, f"{base}/work", last)
+    flush_detection(spark, f"{base}/work")
     return _alert_view(read_alerts(spark, f"{base}/work/alerts"))
 
 

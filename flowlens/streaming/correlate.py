@@ -106,3 +106,48 @@ def correlate_batch(
 def late_rows(spark: SparkSession, st: CorrelationState) -> DataFrame:
     """Late rows dropped per batch."""
     return spark.read.parquet(f"{st.state_dir}/late")
+
+
+def last_batch_id(spark: SparkSession, st: CorrelationState) -> int:
+    """The last batch id that committed correlation state (-1 if none)."""
+    try:
+        top = spark.read.parquet(f"{st.state_dir}/watermark").agg(F.max("batch").alias("b")).collect()[0]["b"]
+    except Exception as e:  # noqa: BLE001 - no state written yet
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return -1
+        raise
+    return -1 if top is None else int(top)
+
+
+def start_correlation(spark: SparkSession, hot: DataFrame, work_dir: str, trigger: str | None = None, **state_opts):
+    """Run ``correlate_batch`` on a stream of narrow rows; confirmed rows land
+    in ``<work_dir>/confirmed/batch=<id>`` (rewritten, never appended, when a
+    batch is retried)."""
+    st = CorrelationState(f"{work_dir}/state", **state_opts)
+
+    def process(batch_df: DataFrame, batch_id: int) -> None:
+        batch_df.persist()
+        try:
+            out = correlate_batch(spark, batch_df, batch_id, st)
+            out.write.mode("overwrite").parquet(f"{work_dir}/confirmed/batch={batch_id}")
+        finally:
+            batch_df.unpersist()
+
+    writer = hot.writeStream.foreachBatch(process).option("checkpointLocation", f"{work_dir}/checkpoint")
+    writer = writer.trigger(availableNow=True) if trigger is None else writer.trigger(processingTime=trigger)
+    return writer.start()
+
+
+def flush_correlation(spark: SparkSession, work_dir: str, **state_opts) -> None:
+    """End of input: emit every pending row (as the batch after the last)."""
+    st = CorrelationState(f"{work_dir}/state", **state_opts)
+    last = last_batch_id(spark, st)
+    if last < 0:
+        return
+    schema = spark.read.parquet(st.tail_path(last)).schema
+    out = correlate_batch(spark, spark.createDataFrame([], schema), last + 1, st, flush=True)
+    out.write.mode("overwrite").parquet(f"{work_dir}/confirmed/batch={last + 1}")
+
+
+def confirmed_output(spark: SparkSession, work_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{work_dir}/confirmed").drop("batch")

@@ -25,7 +25,7 @@ from ..operators.features import session_features
 from ..operators.scoring import score_filter, score_sessions
 from ..plans.detect import ALERT_INPUT
 from ..sources.alerts import read_alerts, write_alerts
-from .correlate import CorrelationState, correlate_batch
+from .correlate import CorrelationState, correlate_batch, last_batch_id
 
 
 def read_session_stream(
@@ -149,18 +149,25 @@ def start_detection(
     return _trigger(writer, trigger).start()
 
 
-def flush_detection(spark: SparkSession, work_dir: str, batch_id: int, **state_opts) -> None:
-    """End of input: finalise every pending row as batch ``batch_id`` (the
-    id after the last streamed batch)."""
+def flush_detection(spark: SparkSession, work_dir: str, **state_opts) -> None:
+    """End of input: finalise every pending row (as the batch after the last
+    committed one)."""
     state = CorrelationState(f"{work_dir}/state", **state_opts)
-    schema = spark.read.parquet(state.tail_path(batch_id - 1)).schema
+    last = last_batch_id(spark, state)
+    if last < 0:
+        return
+    schema = spark.read.parquet(state.tail_path(last)).schema
     empty = spark.createDataFrame([], schema)
-    detect_micro_batch(spark, empty, batch_id, state, f"{work_dir}/alerts", flush=True)
+    detect_micro_batch(spark, empty, last + 1, state, f"{work_dir}/alerts", flush=True)
 
 
 def cooldown_stream(confirmed: DataFrame, minutes: int = S.ALERT_RETENTION_MINUTES, event_time: Column | None = None) -> DataFrame:
     """One alert per pair per cool-down period on a stream of confirmed
-    sessions, expiring by event time (not file age)."""
+    sessions, expiring by event time (not file age).
+
+    Spark evicts a pair's state at the end of the first micro-batch whose
+    watermark is past ``first alert + minutes``, so a re-alert can lag the
+    exact expiry by up to one trigger interval."""
     ts = event_time if event_time is not None else F.timestamp_millis(F.col("start_time"))
     with_time = confirmed.withColumn("event_time", ts)
     return with_time.withWatermark("event_time", f"{int(minutes)} minutes").dropDuplicatesWithinWatermark(

@@ -1,0 +1,75 @@
+import math
+from collections import Counter
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from flowlens.functions.text import text_entropy, text_flatten
+from flowlens.operators import text_features as tf
+
+
+def shannon(s):
+    if not s:
+        return 0.0
+    n = len(s)
+    return -sum((c / n) * math.log2(c / n) for c in Counter(s).values()) + 0.0
+
+
+def byte_freqs(s):
+    b = (s or "").encode("utf-8", errors="ignore")
+    v = [0.0] * 256
+    for k, c in Counter(b).items():
+        v[k] = c / len(b)
+    return v
+
+
+SAMPLES = [None, "", "a", "aaaa", "agent/é😀", "http://x.example/p?q=1", "a\nb\tc", "日本語テキスト", "ab" * 500]
+
+
+def test_entropy_matches_plain_python(spark):
+    df = spark.createDataFrame([(s,) for s in SAMPLES], "s string")
+    got = [r[0] for r in df.select(text_entropy(text_flatten(F.col("s")))).collect()]
+    for s, h in zip(SAMPLES, got):
+        assert math.isclose(h, shannon(s), abs_tol=1e-12), s
+        assert math.copysign(1.0, h) == 1.0  # never -0.0
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text(max_size=40), min_size=1, max_size=20))
+def test_entropy_bounds_property(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    for t, h in zip(texts, [r[0] for r in df.select(text_entropy(F.col("s"))).collect()]):
+        assert -1e-12 <= h <= (math.log2(len(t)) if t else 0.0) + 1e-9
+        assert math.isclose(h, shannon(t), abs_tol=1e-9)
+
+
+def test_unigram_vectors_sum_to_one_and_match(spark):
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(SAMPLES)], "session_id long, http_host string")
+    out = tf.unigram_vectors(df, ["http_host"]).orderBy("session_id").collect()
+    for s, r in zip(SAMPLES, out):
+        vec = r["http_host_unigram"]
+        assert len(vec) == 256
+        expected = byte_freqs(s)
+        assert all(math.isclose(a, b, rel_tol=1e-6, abs_tol=1e-7) for a, b in zip(vec, expected))
+        assert math.isclose(sum(vec), 1.0 if s else 0.0, abs_tol=1e-5)
+
+
+def test_unigram_long_counts(spark):
+    df = spark.createDataFrame([(1, "aab"), (2, None)], "session_id long, http_host string")
+    rows = tf.unigram_long(df, fields=["http_host"]).collect()
+    got = {(r["byte_value"], r["byte_count"], r["frequency"]) for r in rows}
+    assert got == {(97, 2, 2 / 3), (98, 1, 1 / 3)}
+
+
+def test_text_lengths_flatten_null(spark):
+    df = spark.createDataFrame([(1, None), (2, "é😀")], "session_id long, http_host string")
+    got = dict(tf.text_lengths(df, ["http_host"]).select("session_id", "http_host_len").collect())
+    assert got == {1: 0, 2: 2}
+
+
+def test_no_row_at_a_time_python_in_feature_plan(spark):
+    df = spark.createDataFrame([(1, "x")], "session_id long, http_host string")
+    plan = tf.text_features(df, ["http_host"])._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" not in plan
+    assert "ArrowEvalPython" in plan
