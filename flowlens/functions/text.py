@@ -1,21 +1,32 @@
 """Text features: flatten, length, Shannon entropy and UTF-8 byte histograms.
 
-Flatten, length and entropy are native expressions (they stay inside
-whole-stage codegen).  The byte histogram is the one Arrow-batched pandas UDF:
-Spark has no native "count bytes into 256 bins" expression, and a vectorised
-``numpy.bincount`` over a whole Arrow batch does it in one pass.
+Flatten and length are native expressions (inside whole-stage codegen).
+Entropy and the byte histograms are Arrow-batched pandas UDFs, vectorised
+over the whole batch with numpy (one sort / one ``bincount`` per batch, no
+per-row Python loop beyond encoding).  Spark has no native "histogram into
+256 bins"; for entropy a native higher-order fold exists
+(``text_entropy_native``) but lambdas are interpreted, not code-generated:
+measured at sf0.1 it took 17 s vs 4 s on the session fields and 244 s vs
+2.6 s on long documents, with equal results (within 3e-15).
 """
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import UNIGRAM_BINS
 
+# Ship this module's UDF bodies by value, so executors need no installed copy
+# of the package (works from any working directory and on any cluster).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def text_flatten(c: Column, dtype: T.DataType | None = None) -> Column:
     """NULL -> ``''``; a list -> its elements joined by one space; a string
@@ -30,8 +41,39 @@ def text_length(c: Column) -> Column:
     return F.length(c)
 
 
+def _entropies(values: pd.Series) -> pd.Series:
+    """Shannon entropy (bits) per string over code points, for a whole Arrow
+    batch with one sort: (row, code point) keys -> run counts -> -p log2 p
+    summed per row.  NULL/empty -> 0.0."""
+    texts = ["" if v is None else v for v in values]
+    n = len(texts)
+    if n == 0:
+        return pd.Series([], dtype="float64")
+    cps = [np.frombuffer(t.encode("utf-32-le", errors="surrogatepass"), dtype=np.uint32) for t in texts]
+    lengths = np.fromiter((len(c) for c in cps), dtype=np.int64, count=n)
+    if lengths.sum() == 0:
+        return pd.Series(np.zeros(n))
+    rows = np.repeat(np.arange(n, dtype=np.int64), lengths)
+    keys = (rows << 21) | np.concatenate(cps).astype(np.int64)
+    uniq, counts = np.unique(keys, return_counts=True)
+    owner = uniq >> 21
+    p = counts / lengths[owner]
+    h = np.bincount(owner, weights=-p * np.log2(p), minlength=n)
+    return pd.Series(h + 0.0)
+
+
+text_entropy_arrow = F.pandas_udf(_entropies, T.DoubleType())
+text_entropy_arrow.__doc__ = "Arrow UDF: Shannon entropy in bits over code points (NULL/empty -> 0.0)."
+
+
 def text_entropy(c: Column) -> Column:
-    """Shannon entropy in bits over the code points of ``c``.
+    """Shannon entropy in bits over the code points of ``c`` (Arrow UDF);
+    NULL or empty text gives 0.0, a one-symbol text 0.0 (never -0.0)."""
+    return text_entropy_arrow(c)
+
+
+def text_entropy_native(c: Column) -> Column:
+    """Shannon entropy in bits over the code points of ``c``, JVM-only.
 
     NULL or empty text gives 0.0; a one-symbol text gives 0.0 (never -0.0).
     The code points are sorted once and run lengths are folded in a single

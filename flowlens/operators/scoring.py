@@ -10,6 +10,7 @@ quality.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -39,7 +40,7 @@ def train_forest(
     column.  Training is distributed by Spark ML (per-partition statistics,
     tree-level aggregation); nothing is collected to the driver.
     """
-    inputs = assemble_features(features).withColumn(label_col, F.col(label_col).cast("double"))
+    inputs = assemble_features(features).select("features", F.col(label_col).cast("double").alias(label_col))
     rf = RandomForestClassifier(
         featuresCol="features",
         labelCol=label_col,
@@ -47,7 +48,14 @@ def train_forest(
         maxDepth=max_depth,
         seed=seed,
     )
-    return rf.fit(inputs.select("features", label_col))
+    # The forest makes several passes (metadata, split finding, binning);
+    # keep the assembled matrix instead of re-deriving text features each
+    # time.  Lost cached blocks are recomputed from lineage.
+    inputs = inputs.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return rf.fit(inputs)
+    finally:
+        inputs.unpersist()
 
 
 def load_model(path: str):

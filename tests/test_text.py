@@ -73,3 +73,12 @@ def test_no_row_at_a_time_python_in_feature_plan(spark):
     plan = tf.text_features(df, ["http_host"])._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan
     assert "ArrowEvalPython" in plan
+
+
+def test_native_and_arrow_entropy_agree(spark):
+    from flowlens.functions.text import text_entropy_arrow, text_entropy_native
+
+    df = spark.createDataFrame([(s,) for s in SAMPLES], "s string")
+    flat = text_flatten(F.col("s"))
+    for a, b in df.select(text_entropy_native(flat), text_entropy_arrow(flat)).collect():
+        assert math.isclose(a, b, abs_tol=1e-12)
