@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 
 from .. import schema as S
+from ..config import checkpoint_dir
 from ..operators.alerts import alert_cooldown, build_alerts, first_alert_per_pair, suppress_known
 from ..operators.correlate import temporal_correlation
 from ..operators.features import session_features
@@ -38,10 +39,22 @@ def confirmed_sessions(
     threshold: float = S.DEFAULT_THRESHOLD,
     window_ms: int = S.CORRELATION_WINDOW_MS,
     repeat_threshold: int = S.REPEAT_THRESHOLD,
+    materialize: bool | None = None,
 ) -> DataFrame:
     """Scored sessions above ``threshold`` that repeat on their destination
-    (narrow: only the columns an alert needs, plus ``hit_count``)."""
+    (narrow: only the columns an alert needs, plus ``hit_count``).
+
+    The correlation reads its input twice (the bucketed window and the small
+    per-bucket count table).  With a model in the plan (``materialize``
+    defaults to True then) the narrow above-threshold rows are checkpointed
+    once to the shared checkpoint folder, so features and scores are computed
+    once and the lineage is cut; without a model the input is a pruned,
+    filter-pushed scan and is simply read twice.
+    """
     hot = score_filter(scored_sessions(sessions, model), threshold).select(*ALERT_INPUT)
+    if materialize if materialize is not None else model is not None:
+        checkpoint_dir(hot.sparkSession)
+        hot = hot.checkpoint(eager=True)
     return temporal_correlation(hot, window_ms, repeat_threshold)
 
 
@@ -56,6 +69,7 @@ def detect_alerts(
     cooldown_minutes: int | None = None,
     alert_ts: Column | None = None,
     batch_id: int | Column | None = None,
+    materialize: bool | None = None,
 ) -> DataFrame:
     """End-to-end batch detection returning alert rows (``ALERT_ROW``).
 
@@ -63,7 +77,7 @@ def detect_alerts(
     known pairs; with ``now`` and ``cooldown_minutes`` only alerts inside the
     cool-down window suppress.
     """
-    confirmed = confirmed_sessions(sessions, model, threshold, window_ms, repeat_threshold)
+    confirmed = confirmed_sessions(sessions, model, threshold, window_ms, repeat_threshold, materialize)
     first = first_alert_per_pair(confirmed.drop("hit_count"))
     if history is not None:
         if now is not None and cooldown_minutes is not None:

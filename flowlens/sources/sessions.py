@@ -29,8 +29,10 @@ def scan_sessions(spark: SparkSession, *paths: str, with_keys: bool = True) -> D
     """Read session Parquet files under ``paths`` with the declared schema.
 
     When the files carry no ``session_id``, a stable one is derived from the
-    record's content (``xxhash64`` of the four structs), so later steps never
-    need row positions.
+    fields that identify a session (addresses, ports, protocol, start time,
+    duration), so later steps never need row positions.  Hashing only these
+    keeps nested column pruning intact: a query that needs two fields still
+    reads two fields.
     """
     df = (
         spark.read.schema(session_schema(with_keys))
@@ -39,13 +41,23 @@ def scan_sessions(spark: SparkSession, *paths: str, with_keys: bool = True) -> D
         .parquet(*paths)
     )
     if with_keys:
-        df = df.withColumn(
-            S.SESSION_ID,
-            F.coalesce(F.col(S.SESSION_ID), F.xxhash64("network", "transport", "session", "payload")),
-        )
+        df = df.withColumn(S.SESSION_ID, F.coalesce(F.col(S.SESSION_ID), derived_session_id()))
     return df
 
 
+def derived_session_id():
+    """``xxhash64`` over the identifying fields of a session record."""
+    return F.xxhash64(
+        F.col("network.src_ip"),
+        F.col("network.dst_ip"),
+        F.col("transport.src_port"),
+        F.col("transport.dst_port"),
+        F.col("transport.protocol"),
+        F.col("session.start_time"),
+        F.col("session.duration"),
+    )
+
+
 def union_sources(*frames: DataFrame) -> DataFrame:
     """Union session frames by column name (missing columns -> NULL)."""
     out = frames[0]

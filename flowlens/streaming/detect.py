@@ -25,6 +25,7 @@ from ..operators.features import session_features
 from ..operators.scoring import score_filter, score_sessions
 from ..plans.detect import ALERT_INPUT
 from ..sources.alerts import read_alerts, write_alerts
+from ..sources.sessions import derived_session_id
 from .correlate import CorrelationState, correlate_batch, last_batch_id
 
 
@@ -49,9 +50,7 @@ def read_session_stream(
         if clean_source == "archive":
             reader = reader.option("sourceArchiveDir", archive_dir)
     df = reader.parquet(input_dir)
-    return df.withColumn(
-        S.SESSION_ID, F.coalesce(F.col(S.SESSION_ID), F.xxhash64("network", "transport", "session", "payload"))
-    )
+    return df.withColumn(S.SESSION_ID, F.coalesce(F.col(S.SESSION_ID), derived_session_id()))
 
 
 def _trigger(writer, trigger: str | None):
