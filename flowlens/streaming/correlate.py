@@ -103,6 +103,14 @@ def correlate_batch(
     return emitted
 
 
+def previous_watermark(spark: SparkSession, st: CorrelationState, batch_id: int) -> int | None:
+    """The watermark committed by batch ``batch_id - 1`` (None before any)."""
+    if batch_id == 0:
+        return None
+    rows = spark.read.schema(_WM_SCHEMA).parquet(st.wm_path(batch_id - 1)).collect()
+    return rows[0]["watermark"] if rows else None
+
+
 def late_rows(spark: SparkSession, st: CorrelationState) -> DataFrame:
     """Late rows dropped per batch."""
     return spark.read.parquet(f"{st.state_dir}/late")

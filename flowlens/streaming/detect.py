@@ -26,7 +26,7 @@ from ..operators.scoring import score_filter, score_sessions
 from ..plans.detect import ALERT_INPUT
 from ..sources.alerts import read_alerts, write_alerts
 from ..sources.sessions import derived_session_id
-from .correlate import CorrelationState, correlate_batch, last_batch_id
+from .correlate import CorrelationState, correlate_batch, last_batch_id, previous_watermark
 
 
 def read_session_stream(
@@ -104,12 +104,18 @@ def detect_micro_batch(
     """One micro-batch of scored, above-threshold sessions -> alert rows."""
     hot.persist()
     try:
+        prev_wm = previous_watermark(spark, state, batch_id)
         confirmed = correlate_batch(spark, hot, batch_id, state, flush=flush)
         first = first_alert_per_pair(confirmed.drop("hit_count"))
         try:
             # History as of the batch start: earlier batches only, so a retry
-            # of this batch never suppresses its own first attempt.
+            # of this batch never suppresses its own first attempt.  This
+            # batch only emits rows newer than the previous watermark, so
+            # older history cannot matter: prune by date partition and time.
             history = read_alerts(spark, alerts_dir).filter(F.col("batch_id") < F.lit(int(batch_id)))
+            if prev_wm is not None and prev_wm > -(2**61):
+                since = F.timestamp_millis(F.lit(int(prev_wm) - int(cooldown_minutes) * 60_000))
+                history = history.filter((F.col("alert_date") >= F.to_date(since)) & (F.col("alert_ts") >= since))
             first = cooldown_by_event_time(first, history, cooldown_minutes)
         except Exception as e:  # noqa: BLE001 - first batch: no table yet
             if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):

@@ -116,3 +116,11 @@ def test_model_matrix_width_and_order(spark):
     # host unigram block starts after the 57 scalars and sums to 1
     assert math.isclose(sum(vec[57:57 + 256]), 1.0, rel_tol=1e-6)
     assert F is not None
+
+
+def test_score_threshold_is_strict(spark):
+    from flowlens.operators.scoring import score_filter
+
+    rows = [session_row(1, score=0.8), session_row(2, score=0.8000001), session_row(3, score=None)]
+    kept = score_filter(feat.session_features(sessions_df(spark, rows))).select(S.SESSION_ID).collect()
+    assert [r[0] for r in kept] == [2]
