@@ -124,7 +124,8 @@ def validate_files(spark: SparkSession, path: str, schema: T.StructType = S.SESS
             rows = []
             for p in pdf["path"]:
                 try:
-                    fs, inner = pafs.FileSystem.from_uri(p)
+                    uri = p.replace("s3a://", "s3://", 1).replace("s3n://", "s3://", 1)
+                    fs, inner = pafs.FileSystem.from_uri(uri)
                     with fs.open_input_file(inner) as fh:
                         found = leaves(pq.read_schema(fh))
                     bad = [
