@@ -49,20 +49,27 @@ class CorrelationState:
     def wm_path(self, batch_id: int) -> str:
         return f"{self.state_dir}/watermark/batch={batch_id}"
 
-    def late_path(self, batch_id: int) -> str:
-        return f"{self.state_dir}/late/batch={batch_id}"
 
 
-_WM_SCHEMA = T.StructType([T.StructField("watermark", T.LongType())])
+#: One row per batch: the watermark after the batch, the largest event time
+#: seen so far, and how many late rows the batch dropped.
+_WM_SCHEMA = T.StructType(
+    [
+        T.StructField("watermark", T.LongType()),
+        T.StructField("max_seen", T.LongType()),
+        T.StructField("late_rows", T.LongType()),
+    ]
+)
 
 
-def _read_prev(spark: SparkSession, st: CorrelationState, batch_id: int, schema: T.StructType) -> tuple[DataFrame | None, int]:
+def _read_state(spark: SparkSession, st: CorrelationState, batch_id: int) -> tuple[int, int]:
+    """(watermark, max event time seen) committed by ``batch_id - 1``."""
     if batch_id == 0:
-        return None, _NO_WM
-    wm_rows = spark.read.schema(_WM_SCHEMA).parquet(st.wm_path(batch_id - 1)).collect()
-    wm = wm_rows[0]["watermark"] if wm_rows else _NO_WM
-    tail = spark.read.schema(schema).parquet(st.tail_path(batch_id - 1))
-    return tail, wm
+        return _NO_WM, _NO_WM
+    rows = spark.read.schema(_WM_SCHEMA).parquet(st.wm_path(batch_id - 1)).collect()
+    if not rows:
+        return _NO_WM, _NO_WM
+    return int(rows[0]["watermark"]), int(rows[0]["max_seen"])
 
 
 def correlate_batch(
@@ -74,24 +81,33 @@ def correlate_batch(
 ) -> DataFrame:
     """Process one micro-batch of narrow rows (``session_id``, ``dst_ip``,
     ``start_time`` and any payload columns).  Returns the rows finalised in
-    this batch that are confirmed (with ``hit_count``); writes the new tail,
-    watermark and late-row count for ``batch_id``."""
-    schema = rows.schema
-    tail, prev_wm = _read_prev(spark, st, batch_id, schema)
+    this batch that are confirmed (with ``hit_count``); writes the new tail
+    and the batch's state row (watermark, max seen, late rows).
+
+    Per batch: one small aggregate over the new rows (late count and largest
+    time), one write of the tail, one tiny state row, and the lazily returned
+    correlation.  ``rows`` should be persisted by the caller.
+    """
+    prev_wm, prev_max = _read_state(spark, st, batch_id)
+    tail = None if batch_id == 0 else spark.read.schema(rows.schema).parquet(st.tail_path(batch_id - 1))
 
     fresh = rows.filter(F.col("start_time").isNotNull())
-    late = fresh.filter(F.col("start_time") <= F.lit(prev_wm))
-    on_time = fresh.filter(F.col("start_time") > F.lit(prev_wm))
-    late.agg(F.count(F.lit(1)).alias("late_rows")).write.mode("overwrite").parquet(st.late_path(batch_id))
+    is_late = F.col("start_time") <= F.lit(prev_wm)
+    stats = fresh.agg(
+        F.count_if(is_late).alias("late"),
+        F.max(F.when(~is_late, F.col("start_time"))).alias("top"),
+    ).collect()[0]
+    late_n = int(stats["late"] or 0)
+    max_seen = prev_max if stats["top"] is None else max(prev_max, int(stats["top"]))
+    if flush:
+        new_wm = 2**62
+    else:
+        new_wm = prev_wm if max_seen == _NO_WM else max(prev_wm, max_seen - int(st.lateness_ms))
 
     # A retried batch re-reads the same tail (b - 1) and the same files, so
     # the union never holds a row twice.
+    on_time = fresh.filter(~is_late)
     data = on_time if tail is None else tail.unionByName(on_time)
-    if flush:
-        new_wm = 2**62
-    else:
-        top = data.agg(F.max("start_time").alias("m")).collect()[0]["m"]
-        new_wm = prev_wm if top is None else max(prev_wm, int(top) - int(st.lateness_ms))
 
     counted = hit_counts(data, st.window_ms)
     final_now = (F.col("start_time") > F.lit(prev_wm)) & (F.col("start_time") <= F.lit(new_wm))
@@ -99,21 +115,20 @@ def correlate_batch(
 
     keep = data.filter(F.col("start_time") >= F.lit(new_wm - int(st.window_ms)))
     keep.write.mode("overwrite").parquet(st.tail_path(batch_id))
-    spark.createDataFrame([(int(new_wm),)], _WM_SCHEMA).write.mode("overwrite").parquet(st.wm_path(batch_id))
+    state_row = [(int(new_wm), int(max_seen), late_n)]
+    spark.createDataFrame(state_row, _WM_SCHEMA).coalesce(1).write.mode("overwrite").parquet(st.wm_path(batch_id))
     return emitted
 
 
 def previous_watermark(spark: SparkSession, st: CorrelationState, batch_id: int) -> int | None:
     """The watermark committed by batch ``batch_id - 1`` (None before any)."""
-    if batch_id == 0:
-        return None
-    rows = spark.read.schema(_WM_SCHEMA).parquet(st.wm_path(batch_id - 1)).collect()
-    return rows[0]["watermark"] if rows else None
+    wm, _ = _read_state(spark, st, batch_id)
+    return None if wm == _NO_WM else wm
 
 
 def late_rows(spark: SparkSession, st: CorrelationState) -> DataFrame:
-    """Late rows dropped per batch."""
-    return spark.read.parquet(f"{st.state_dir}/late")
+    """(batch, late_rows): rows dropped as late per batch."""
+    return spark.read.parquet(f"{st.state_dir}/watermark").select("batch", "late_rows")
 
 
 def last_batch_id(spark: SparkSession, st: CorrelationState) -> int:

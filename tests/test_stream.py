@@ -69,7 +69,9 @@ def test_late_rows_are_dropped_not_miscounted(spark, workdir):
     flush_correlation(spark, f"{workdir}/w")
     got = {r["session_id"]: r["hit_count"] for r in confirmed_output(spark, f"{workdir}/w").collect()}
     assert got == {3: 3}
-    late_n = spark.read.parquet(f"{workdir}/w/state/late").agg(F.sum("late_rows")).collect()[0][0]
+    from flowlens.streaming.correlate import CorrelationState, late_rows
+
+    late_n = late_rows(spark, CorrelationState(f"{workdir}/w/state")).agg(F.sum("late_rows")).collect()[0][0]
     assert late_n == 1
 
 
