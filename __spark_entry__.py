@@ -371,7 +371,8 @@ def q_training_set(spark, sf_dir):
     from flowlens.sources.alerts import append_training_set
 
     path = scratch_path(spark, "flowlens-training", uuid.uuid4().hex)
-    append_training_set(_features(spark, sf_dir), path)
+    append_training_set(_features(spark, sf_dir), path, batch_id=0)
+    append_training_set(_features(spark, sf_dir), path, batch_id=0)  # a re-run replaces, never duplicates
     return spark.read.parquet(path)
 
 

@@ -53,6 +53,20 @@ def alert_history(alerts: DataFrame) -> DataFrame:
     return flat.groupBy("src_ip", "dst_ip").agg(F.max("alert_ts").alias("alert_ts"))
 
 
-def append_training_set(features: DataFrame, path: str) -> None:
-    """Append flat features to a training set (Parquet, append mode)."""
-    features.write.mode("append").parquet(path)
+def append_training_set(features: DataFrame, path: str, batch_id: int | None = None) -> None:
+    """Append flat features to a training set (Parquet).
+
+    With ``batch_id`` the rows land in partition ``batch_id=<id>`` with
+    dynamic partition overwrite, so re-running a batch replaces its rows
+    instead of appending them twice.
+    """
+    if batch_id is None:
+        features.write.mode("append").parquet(path)
+        return
+    (
+        features.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch_id")
+        .parquet(path)
+    )

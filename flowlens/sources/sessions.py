@@ -25,19 +25,24 @@ def session_schema(with_keys: bool = True) -> T.StructType:
     return S.SESSION_WITH_KEYS if with_keys else S.SESSION
 
 
-def scan_sessions(spark: SparkSession, *paths: str, with_keys: bool = True) -> DataFrame:
+def scan_sessions(
+    spark: SparkSession, *paths: str, with_keys: bool = True, ignore_corrupt: bool = False
+) -> DataFrame:
     """Read session Parquet files under ``paths`` with the declared schema.
 
     When the files carry no ``session_id``, a stable one is derived from the
     fields that identify a session (addresses, ports, protocol, start time,
     duration), so later steps never need row positions.  Hashing only these
     keeps nested column pruning intact: a query that needs two fields still
-    reads two fields.
+    reads two fields.  ``ignore_corrupt`` skips unreadable files
+    (``ignoreCorruptFiles``); type-mismatched files are caught up front by
+    ``read_valid_sessions`` instead.
     """
     df = (
         spark.read.schema(session_schema(with_keys))
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true")
+        .option("ignoreCorruptFiles", str(bool(ignore_corrupt)).lower())
         .parquet(*paths)
     )
     if with_keys:

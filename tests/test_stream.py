@@ -103,3 +103,21 @@ def test_cooldown_stream_one_alert_per_pair_within_window(spark, workdir):
     got = sorted(r["session_id"] for r in spark.read.parquet(f"{workdir}/out").collect())
     assert got == [1, 3, 4]
     assert al is not None and S is not None and read_alerts is not None
+
+
+def test_retried_micro_batch_writes_alerts_once(spark, workdir):
+    from flowlens.streaming.correlate import CorrelationState
+    from flowlens.streaming.detect import detect_micro_batch
+
+    t0 = 1_700_000_000_000
+    rows = [(i, 10 + i, "s", "d", 1, 80, 5, t0 + i * 1000, 0.9) for i in range(5)]
+    schema = (
+        "session_id long, src_port_x long, src_ip string, dst_ip string, src_port int, dst_port int, "
+        "Flow_Duration long, start_time long, malicious_score double"
+    )
+    hot = spark.createDataFrame(rows, schema).drop("src_port_x")
+    state = CorrelationState(f"{workdir}/state")
+    detect_micro_batch(spark, hot, 0, state, f"{workdir}/alerts", flush=True)
+    detect_micro_batch(spark, hot, 0, state, f"{workdir}/alerts", flush=True)  # the same batch, retried
+    out = read_alerts(spark, f"{workdir}/alerts").collect()
+    assert len(out) == 1 and out[0]["session_id"] == 2  # first confirmed session of the pair
