@@ -364,7 +364,8 @@ def q_write_alerts(spark, sf_dir):
 def q_alert_history(spark, sf_dir):
     from flowlens.sources.alerts import alert_history, read_alerts
 
-    return alert_history(read_alerts(spark, _alert_table(spark, sf_dir)))
+    hist = alert_history(read_alerts(spark, _alert_table(spark, sf_dir)))
+    return hist.select("src_ip", "dst_ip", F.unix_millis("alert_ts").alias("alert_ms"))
 
 
 def q_training_set(spark, sf_dir):
@@ -407,6 +408,7 @@ def q_stream_correlation(spark, sf_dir):
     hot = score_filter(_features(spark, sf_dir)).select(*det.ALERT_INPUT)
     src_dir = _time_chunks(spark, hot, F.col("start_time"), base)
     stream = spark.readStream.schema(hot.schema).option("maxFilesPerTrigger", 1).parquet(src_dir)
+    stream = stream.select(*hot.columns)  # drop the staging folders' partition column
     start_correlation(spark, stream, f"{base}/work").awaitTermination()
     flush_correlation(spark, f"{base}/work")
     return confirmed_output(spark, f"{base}/work")
@@ -431,6 +433,7 @@ def q_stream_cooldown(spark, sf_dir):
     confirmed = _confirmed(spark, sf_dir).drop("hit_count")
     src_dir = _time_chunks(spark, confirmed, F.col("start_time"), base)
     stream = spark.readStream.schema(confirmed.schema).option("maxFilesPerTrigger", 1).parquet(src_dir)
+    stream = stream.select(*confirmed.columns)
     q = (
         cooldown_stream(stream)
         .writeStream.format("parquet")
@@ -528,8 +531,17 @@ def _oracles() -> dict[str, str]:
     conf = Q.confirmed_cte()
     scan_sql = Q.with_sessions("SELECT * REPLACE (CAST(dst_port AS BIGINT) AS dst_port) FROM sessions")
     flat_fields = ", ".join(f"COALESCE({f}, '') AS {f}" for f in S.TEXT_FIELDS)
+    feat_body = "SELECT * FROM feat"
     out.update(
         {
+            "write_alerts": Q.with_sessions(Q.alert_view("first_pair"), conf + ",\n" + Q.first_cte()),
+            "alert_history": Q.with_sessions(
+                "SELECT src_ip, dst_ip, max(start_time) AS alert_ms FROM first_pair GROUP BY src_ip, dst_ip",
+                conf + ",\n" + Q.first_cte(),
+            ),
+            "training_set": Q.with_sessions("SELECT *, CAST(0 AS INTEGER) AS batch_id FROM feat", feat_cte),
+            "stream_features": Q.with_sessions(feat_body, feat_cte),
+            "stream_correlation": Q.with_sessions("SELECT * FROM confirmed", conf),
             "scan_sessions": scan_sql,
             "union_sources": scan_sql,
             "model_features": Q.with_sessions(
