@@ -379,7 +379,10 @@ def q_training_set(spark, sf_dir):
 
 def _time_chunks(spark, df: DataFrame, time_col, base: str, chunks: int = 6) -> str:
     """Stage ``df`` as ``chunks`` files in event-time order (written one
-    after another, so file modification order follows time)."""
+    after another, so file modification order follows time).  The input is
+    checkpointed first so its lineage runs once, not once per chunk."""
+    scratch_path(spark)  # make sure a checkpoint folder is registered
+    df = df.checkpoint(eager=True)
     bounds = df.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).collect()[0]
     lo, hi = int(bounds["lo"]), int(bounds["hi"])
     step = (hi - lo) // chunks + 1
@@ -427,21 +430,15 @@ def q_stream_alerts(spark, sf_dir):
 
 
 def q_stream_cooldown(spark, sf_dir):
-    from flowlens.streaming.detect import cooldown_stream
+    from flowlens.streaming.detect import start_cooldown
 
     base = scratch_path(spark, "flowlens-stream", uuid.uuid4().hex)
     confirmed = _confirmed(spark, sf_dir).drop("hit_count")
     src_dir = _time_chunks(spark, confirmed, F.col("start_time"), base)
     stream = spark.readStream.schema(confirmed.schema).option("maxFilesPerTrigger", 1).parquet(src_dir)
     stream = stream.select(*confirmed.columns)
-    q = (
-        cooldown_stream(stream)
-        .writeStream.format("parquet")
-        .option("path", f"{base}/out")
-        .option("checkpointLocation", f"{base}/ckpt")
-        .trigger(availableNow=True)
-        .start()
-    )
+    # State keyed by pair: a handful of pairs here, so a few state partitions.
+    q = start_cooldown(spark, stream, f"{base}/out", f"{base}/ckpt", state_partitions=8)
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out")
 

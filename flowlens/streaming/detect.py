@@ -178,3 +178,38 @@ def cooldown_stream(confirmed: DataFrame, minutes: int = S.ALERT_RETENTION_MINUT
     return with_time.withWatermark("event_time", f"{int(minutes)} minutes").dropDuplicatesWithinWatermark(
         ["src_ip", "dst_ip"]
     )
+
+
+def start_cooldown(
+    spark: SparkSession,
+    confirmed: DataFrame,
+    output_dir: str,
+    checkpoint_location: str,
+    minutes: int = S.ALERT_RETENTION_MINUTES,
+    trigger: str | None = None,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Run ``cooldown_stream`` into a Parquet sink.
+
+    ``state_partitions`` sizes the state store (one partition per shuffle
+    partition, fixed in the checkpoint at the first batch) to the number of
+    pairs instead of the session default.  The query clones the session
+    configuration when it starts, so the setting is applied only around
+    ``start()``.
+    """
+    writer = (
+        cooldown_stream(confirmed, minutes)
+        .writeStream.format("parquet")
+        .option("path", output_dir)
+        .option("checkpointLocation", checkpoint_location)
+    )
+    writer = _trigger(writer, trigger)
+    if state_partitions is None:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(int(state_partitions)))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)
