@@ -29,10 +29,19 @@ def _passthrough(df: DataFrame) -> list[Column]:
     return [F.col(c) for c in _PASSTHROUGH if c in df.columns]
 
 
+#: Every letter-case spelling of "http" (the only strings whose lower case is
+#: "http").  As an IN-list the predicate reaches the Parquet reader, which can
+#: skip row groups and files without HTTP traffic; ``lower()`` cannot.
+HTTP_SPELLINGS = sorted(
+    "".join(c.upper() if (mask >> i) & 1 else c for i, c in enumerate("http")) for mask in range(16)
+)
+
+
 def http_filter(sessions: DataFrame) -> DataFrame:
     """Keep sessions whose ``session.protocol`` is ``http`` in any letter case
     (``transport.protocol`` is not consulted)."""
-    return sessions.filter(F.lower(F.col("session.protocol")) == F.lit("http"))
+    proto = F.col("session.protocol")
+    return sessions.filter(proto.isin(HTTP_SPELLINGS) & (F.lower(proto) == F.lit("http")))
 
 
 def _flow_columns() -> list[tuple[str, Column]]:
