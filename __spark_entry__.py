@@ -30,7 +30,6 @@ from flowlens.operators import alerts as al  # noqa: E402
 from flowlens.operators import features as feat  # noqa: E402
 from flowlens.operators import matrix as mx  # noqa: E402
 from flowlens.operators import text_features as tf  # noqa: E402
-from flowlens.operators.correlate import temporal_correlation  # noqa: E402
 from flowlens.operators.scoring import score_filter  # noqa: E402
 from flowlens.plans import detect as det  # noqa: E402
 from flowlens.plans.metrics import stage_counts  # noqa: E402
