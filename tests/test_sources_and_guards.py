@@ -70,3 +70,12 @@ def test_entry_contract(spark):
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert not [k for k in q if "pipeline" in k or re.match(r"op\d+_", k)]
+
+
+def test_observed_counts_without_extra_jobs(spark):
+    from flowlens.plans.metrics import observed
+
+    rows = [session_row(i, protocol="http" if i % 3 else "dns") for i in range(30)]
+    feats, obs = observed(session_features(sessions_df(spark, rows)), "http_rows")
+    feats.write.format("noop").mode("overwrite").save()  # the job that runs anyway
+    assert obs.get == {"rows": 20}
