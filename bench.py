@@ -4,7 +4,8 @@ Setup (untimed): the stand-in session records of the scale factor are
 written once as multi-file session Parquet -- the shape of the detector's
 real input -- and every timed query starts from a declared-schema scan of
 those files.  Each query runs to completion through the ``noop`` sink (full
-execution, nothing collected).  Prints one JSON line.
+execution, nothing collected); batch queries report the best of two runs,
+forest training and the stream one run each.  Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -60,11 +61,16 @@ def main() -> None:
         "detect_alerts": lambda: detect_alerts(sessions(), alert_ts=F.timestamp_millis(F.col("start_time"))),
         "assemble_features": lambda: mx.assemble_features(session_features(sessions())).select(S.SESSION_ID, "features"),
     }
+    # Best of two runs per batch query: the host is shared, and single runs
+    # vary by up to 2x; the minimum is the least noisy estimate.
     timings: dict[str, float] = {}
     for name, build in queries.items():
-        t = time.time()
-        _run(build())
-        timings[name] = round(time.time() - t, 3)
+        best = float("inf")
+        for _ in range(2):
+            t = time.time()
+            _run(build())
+            best = min(best, time.time() - t)
+        timings[name] = round(best, 3)
 
     # Model: fit (timed separately) and score every HTTP session.
     feats = session_features(sessions()).withColumn(
@@ -73,9 +79,12 @@ def main() -> None:
     t = time.time()
     model = train_forest(feats, num_trees=10, max_depth=5)
     timings["train_forest"] = round(time.time() - t, 3)
-    t = time.time()
-    _run(score_sessions(feats, model).select(S.SESSION_ID, "prediction", S.SCORE))
-    timings["score_sessions"] = round(time.time() - t, 3)
+    best = float("inf")
+    for _ in range(2):
+        t = time.time()
+        _run(score_sessions(feats, model).select(S.SESSION_ID, "prediction", S.SCORE))
+        best = min(best, time.time() - t)
+    timings["score_sessions"] = round(best, 3)
 
     # Streaming: the same detection as a stream over time-ordered files
     # (6 chunks of `cpus` files, one micro-batch per chunk), with state and

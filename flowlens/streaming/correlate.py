@@ -78,6 +78,7 @@ def correlate_batch(
     batch_id: int,
     st: CorrelationState,
     flush: bool = False,
+    prev_state: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Process one micro-batch of narrow rows (``session_id``, ``dst_ip``,
     ``start_time`` and any payload columns).  Returns the rows finalised in
@@ -88,7 +89,7 @@ def correlate_batch(
     time), one write of the tail, one tiny state row, and the lazily returned
     correlation.  ``rows`` should be persisted by the caller.
     """
-    prev_wm, prev_max = _read_state(spark, st, batch_id)
+    prev_wm, prev_max = prev_state if prev_state is not None else _read_state(spark, st, batch_id)
     tail = None if batch_id == 0 else spark.read.schema(rows.schema).parquet(st.tail_path(batch_id - 1))
 
     fresh = rows.filter(F.col("start_time").isNotNull())
@@ -120,6 +121,11 @@ def correlate_batch(
     return emitted
 
 
+def previous_state(spark: SparkSession, st: CorrelationState, batch_id: int) -> tuple[int, int]:
+    """(watermark, max seen) committed by batch ``batch_id - 1``."""
+    return _read_state(spark, st, batch_id)
+
+
 def previous_watermark(spark: SparkSession, st: CorrelationState, batch_id: int) -> int | None:
     """The watermark committed by batch ``batch_id - 1`` (None before any)."""
     wm, _ = _read_state(spark, st, batch_id)

@@ -26,7 +26,7 @@ from ..operators.scoring import score_filter, score_sessions
 from ..plans.detect import ALERT_INPUT
 from ..sources.alerts import read_alerts, write_alerts
 from ..sources.sessions import derived_session_id
-from .correlate import CorrelationState, correlate_batch, last_batch_id, previous_watermark
+from .correlate import CorrelationState, correlate_batch, last_batch_id, previous_state
 
 
 def read_session_stream(
@@ -104,8 +104,9 @@ def detect_micro_batch(
     """One micro-batch of scored, above-threshold sessions -> alert rows."""
     hot.persist()
     try:
-        prev_wm = previous_watermark(spark, state, batch_id)
-        confirmed = correlate_batch(spark, hot, batch_id, state, flush=flush)
+        prev = previous_state(spark, state, batch_id)
+        prev_wm = prev[0]
+        confirmed = correlate_batch(spark, hot, batch_id, state, flush=flush, prev_state=prev)
         first = first_alert_per_pair(confirmed.drop("hit_count"))
         try:
             # History as of the batch start: earlier batches only, so a retry
