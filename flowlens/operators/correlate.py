@@ -25,9 +25,12 @@ window) and each group is ``(dst_ip, bucket)``:
 
 ``count = P_own + P_edge + F`` is exact for any data; a group holds at most
 the rows of one destination in two buckets, however hot the destination.
-There is one shuffle of the (narrow) rows, keyed by ``(dst_ip, bucket)``;
-the count table is derived from that same shuffle output (exchange reuse)
-and joined back on the same keys, so the big side is not shuffled again.
+There is one shuffle of the (narrow) rows, keyed by ``(dst_ip, bucket)``.
+The count table is a partial aggregate over a second, pruned read of the
+input (key and time only), and it is joined back on the same keys, so the
+big side is not shuffled again.  When the input is expensive to recompute
+(a model in the plan), the caller checkpoints it first
+(``plans.detect.confirmed_sessions``).
 """
 
 from __future__ import annotations

@@ -1,9 +1,10 @@
 """Text-field features for the five HTTP strings.
 
 Per field: the flattened text (NULL -> ''), its length, Shannon entropy and
-256-bin UTF-8 byte frequencies.  Flatten, length and entropy are native; the
-byte counts come from one Arrow UDF pass whose result feeds both the dense
-frequency vector and the sparse long form.
+256-bin UTF-8 byte frequencies.  Flatten and length are native; entropy and
+the byte histograms are vectorised Arrow UDFs (see ``functions.text``), all
+evaluated in one Arrow round trip per projection.  The sparse long form is
+built row-locally from the byte counts, without a shuffle.
 """
 
 from __future__ import annotations
