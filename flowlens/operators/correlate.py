@@ -96,11 +96,12 @@ def hit_counts(
         F.sum(home).over(ordered).alias(_HRUN),
         F.sum(ctx).over(ordered).alias(_CRUN),
         F.sum(ctx).over(grp).alias(_CTOT),
-        F.sum(home).over(grp).alias(_HTOT),
     ).filter(is_home)
 
-    # Whole buckets strictly between the edge bucket and the own bucket.
-    per_bucket = counted.groupBy(_KN, _KV, _B).agg(F.max(_HTOT).alias(_HTOT))
+    # Whole buckets strictly between the edge bucket and the own bucket: a
+    # count per (key, bucket) with a map-side partial step, then a range
+    # frame over each key's buckets.
+    per_bucket = rows.groupBy(_KN, _KV, _B).agg(F.count(F.lit(1)).alias(_HTOT))
     between = per_bucket.select(
         _KN,
         _KV,
