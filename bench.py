@@ -86,6 +86,12 @@ def main() -> None:
         best = min(best, time.time() - t)
     timings["score_sessions"] = round(best, 3)
 
+    # End to end with the model: score, threshold, checkpoint the narrow
+    # above-threshold rows, correlate, one alert per pair.
+    t = time.time()
+    _run(detect_alerts(sessions(), model=model, alert_ts=F.timestamp_millis(F.col("start_time"))))
+    timings["detect_with_model"] = round(time.time() - t, 3)
+
     # Streaming: the same detection as a stream over time-ordered files
     # (6 chunks of `cpus` files, one micro-batch per chunk), with state and
     # alerts written per batch.
