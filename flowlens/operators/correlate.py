@@ -69,7 +69,7 @@ def hit_counts(
         {
             _KN: F.col(key).isNull(),
             _KV: F.coalesce(F.col(key).cast("string"), F.lit("")),
-            _B: F.expr(f"({time_col} - pmod({time_col}, {g})) div {g}"),
+            _B: ((t - F.pmod(t, F.lit(g))) / F.lit(g)).cast("bigint"),  # exact: numerator is a multiple of g
             _T: t,
         }
     )
