@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from . import line_dedup, quality_rules, url_filter
+from . import jaccard_join, line_dedup, packing, quality_rules, url_filter
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op7_ngram_jaccard": jaccard_join.op7_ngram_jaccard,
+    "op8_packing": packing.op8_packing,
     "op9_url_filter": url_filter.op9_url_filter,
 }
 
 ORACLES = {
     "op1_line_dedup": line_dedup.ORACLE_SQL,
     "op2_quality_rules": quality_rules.ORACLE_SQL,
+    "op7_ngram_jaccard": jaccard_join.ORACLE_SQL,
     "op9_url_filter": url_filter.ORACLE_SQL,
 }
