@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard_join, line_dedup, packing, quality_rules, url_filter
+from . import decontaminate, jaccard_join, line_dedup, packing, quality_rules, url_filter
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op7_ngram_jaccard": jaccard_join.op7_ngram_jaccard,
     "op8_packing": packing.op8_packing,
     "op9_url_filter": url_filter.op9_url_filter,
+    "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 
 ORACLES = {
