@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard_join, line_dedup, packing, quality_rules, url_filter
+from . import (
+    decontaminate,
+    html_render,
+    jaccard_join,
+    line_dedup,
+    packing,
+    quality_crf,
+    quality_rules,
+    secrets,
+    suffix_dedup,
+    url_filter,
+)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
+    "op4_secret_scan": secrets.op4_secret_scan,
+    "op5_quality_crf": quality_crf.op5_quality_crf,
+    "op6_html_render": html_render.op6_html_render,
     "op7_ngram_jaccard": jaccard_join.op7_ngram_jaccard,
     "op8_packing": packing.op8_packing,
     "op9_url_filter": url_filter.op9_url_filter,
