@@ -1,0 +1,38 @@
+import duckdb
+from flowlens.llm.url_filter import ORACLE_SQL, RULES, default_rules, judge_urls
+
+URLS = [
+    "http://example.org/es/a", "http://www.Example.ORG/es/", "http://example.org/en/1", "http://a.b.example.org/en/199?x#y", "http://example.org/en/2",
+    "http://x.com/fr/1", "https://x.com/de/", "http://com/de/1", "http://notexample.org/en/1", "http://org", "http://org?x=/", "ftp://org/", "no scheme",
+    "", None, "://", "http:///path", "http://x.com:80/de/1", "http://u@x.com/fr/1#://", "http://example.org/en/1", "http://..org/", "http://x.net/é/ü",
+]
+
+
+def test_matches_sql(spark):
+    pages = spark.createDataFrame(list(enumerate(URLS)), "page_id long, url string")
+    got = judge_urls(pages, default_rules(spark)).select("page_id", "host", "path", "rule", "verdict")
+    frame = pages.toPandas()
+    frame["url"] = [u for u in URLS]
+    pages = frame  # noqa: F841
+    assert sorted(map(tuple, got.collect())) == sorted(duckdb.sql(ORACLE_SQL).fetchall())
+
+
+def test_precedence_ties_and_bad_rules(spark):
+    rules = [("a.b", "/", "allow"), ("b", "/xx", "block"), ("b", "/", "allow"), ("b", "/", "block"), (None, "/", "block"), ("c", None, "block"), ("", "/", "block")]
+    pages = spark.createDataFrame([(1, "http://a.b/xx"), (2, "http://z.b/x"), (3, "http://c/"), (None, "http://a.b/y")], "page_id long, url string")
+    got = judge_urls(pages, spark.createDataFrame(rules, "host string, path string, verdict string")).collect()
+    assert {(r.url, r.rule, r.verdict) for r in got} == {
+        ("http://a.b/xx", "a.b/", "allow"),  # as long as b/xx: the longer host wins
+        ("http://z.b/x", "b/", "block"),  # equal rules: block wins
+        ("http://c/", None, "allow"),
+        ("http://a.b/y", "a.b/", "allow"),
+    }
+
+
+def test_clashing_columns_and_empty_tables(spark):
+    pages = spark.createDataFrame([(1, "http://x.com/de/1", "mine", "v", 3)], "page_id long, url string, host string, b_rule string, verdict int")
+    row = judge_urls(pages, default_rules(spark)).first()
+    assert (row.host, row.b_rule, row.verdict, row._host, row.rule, row._verdict) == ("mine", "v", 3, "x.com", "com/de/", "block")
+    assert judge_urls(pages.limit(0), default_rules(spark)).count() == 0
+    assert judge_urls(pages, default_rules(spark).limit(0)).first()._verdict == "allow"
+    assert len(RULES) == 5
