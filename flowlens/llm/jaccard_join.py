@@ -295,8 +295,9 @@ def similar_documents(
         .select("w_doc", "root", "n", "node", "copies", F.col("digest").alias("w_digest")),
         "jaccard-wanted",
     )
+    # shuffled at every size, so that a small corpus runs like a large one
     again = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).join(
-        wanted, F.col("doc").eqNullSafe(F.col("w_doc")), "inner"
+        wanted.hint("merge"), F.col("doc").eqNullSafe(F.col("w_doc")), "inner"
     )
 
     def sets(batches):
