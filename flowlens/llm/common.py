@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import types
 import uuid
 from collections.abc import Iterator
 
@@ -45,6 +46,15 @@ def free_name(taken: list[str], wanted: str) -> str:
     return wanted
 
 
+def worker_cache(name: str, make):
+    """What ``make`` gives, kept for the life of the Python worker.  (Module
+    globals start anew with each task, as modules are shipped by value.)"""
+    kept = sys.modules.setdefault("_flowlens_worker_cache", types.ModuleType("_flowlens_worker_cache")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 def split_words(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` as UTF-8 (``bytes.split`` splits at
     exactly these six characters).  None: no words."""

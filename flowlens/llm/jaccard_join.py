@@ -42,7 +42,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Forest, components, encoded, free_name, grouped, int_lists, partitions, staged, table, texts
+from .common import Forest, components, encoded, free_name, grouped, int_lists, partitions, staged, table, texts, worker_cache
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -59,9 +59,6 @@ class _Hashes(dict):
         return h
 
 
-_WORD_HASHES = _Hashes()
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     return x ^ (x >> np.uint64(32))
@@ -72,7 +69,7 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     own = encoded(text).split()
     if not own:
         return np.zeros(0, dtype=np.uint64)
-    hashes = _WORD_HASHES
+    hashes = worker_cache("word hashes", _Hashes)
     h = np.array([hashes[w] for w in own], dtype=np.uint64)
     size = min(words, len(h))
     rolled = np.full(len(h) - size + 1, size, dtype=np.uint64)

@@ -37,7 +37,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import encoded, free_name, staged, table, texts
+from .common import encoded, free_name, staged, table, texts, worker_cache
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -64,15 +64,15 @@ def char_class(code: int) -> int:
     return {"L": 2, "N": 3, "P": 6, "S": 7}.get(kind[0], 8)
 
 
-_CLASSES: list[np.ndarray] = []
+def _class_table() -> np.ndarray:
+    return np.array([char_class(i) for i in range(0x110000)], dtype=np.uint8)
 
 
 def char_classes(text: str) -> np.ndarray:
     """Counts of a text's characters by class."""
-    if not _CLASSES:
-        _CLASSES.append(np.array([char_class(i) for i in range(0x110000)], dtype=np.uint8))
+    classes = worker_cache("character classes", _class_table)
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    return np.bincount(_CLASSES[0][codes], minlength=N_CLASSES)
+    return np.bincount(classes[codes], minlength=N_CLASSES)
 
 
 def repeated_words(words: list[bytes]) -> int:

@@ -33,7 +33,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import encoded, partitions, staged, table, texts
+from .common import encoded, partitions, staged, table, texts, worker_cache
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -51,11 +51,8 @@ class _Hashes(dict):
         return h
 
 
-_WORD_HASHES = _Hashes()
-
-
 def word_hashes(text: str | None) -> np.ndarray:
-    hashes = _WORD_HASHES
+    hashes = worker_cache("word hashes", _Hashes)
     return np.array([hashes[w] for w in encoded(text).split()], dtype=np.uint64)
 
 
