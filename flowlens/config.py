@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 #: Settings the detector's plans are written for.  AQE re-plans joins and
 #: coalesces small shuffle partitions at run time; skew-join splitting covers
@@ -43,7 +45,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names shared storage and is only read.  When it
-    is unset (local tests) a fresh folder is created and registered.
+    is unset, a local master gets a fresh folder; any other raises.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -54,6 +56,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="flowlens-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")
@@ -62,3 +66,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path below the shared checkpoint folder (for written tables)."""
     return "/".join([checkpoint_dir(spark)] + [p.strip("/") for p in parts])
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared checkpoint folder and reread: one
+    job, where an eager checkpoint computes its input twice."""
+    return staged_with_count(df, name)[0]
+
+
+def staged_with_count(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``staged`` and the number of rows, observed while they are written."""
+    path = scratch_path(df.sparkSession, "flowlens-staged", f"{name}-{uuid.uuid4().hex}")
+    rows = Observation()
+    df.observe(rows, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), int(rows.get["n"])

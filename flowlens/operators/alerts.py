@@ -7,11 +7,13 @@ NULL address, as the original text key ``"{src}_{dst}"`` did).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..config import staged, staged_with_count
 
 PAIR = ("src_ip", "dst_ip")
 
@@ -59,20 +61,25 @@ def first_alert_per_pair(confirmed: DataFrame, time_col: str = "start_time", ord
     return out.select(*confirmed.columns)
 
 
+def utc_date(ts: Column) -> Column:
+    """The UTC calendar date of an instant, whatever the session time zone
+    (``alert_date`` must mean the same to every writer and reader)."""
+    return F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.unix_micros(ts) / F.lit(86_400_000_000)).cast("int"))
+
+
 def alert_retention(alerts: DataFrame, now: Column | str | dt.datetime, minutes: int = S.ALERT_RETENTION_MINUTES) -> DataFrame:
     """Keep alerts no older than ``minutes`` at ``now``.  With the alert
     table partitioned by ``alert_date`` the date bound prunes partitions."""
-    now_c = _ts(now)
-    lower = now_c - F.make_interval(mins=F.lit(int(minutes)))
-    return alerts.filter((F.col("alert_date") >= F.to_date(lower)) & (F.col("alert_ts") >= lower)) if "alert_date" in alerts.columns else alerts.filter(F.col("alert_ts") >= lower)
+    lower = _ts(now) - F.make_interval(mins=F.lit(int(minutes)))
+    kept = alerts.filter(F.col("alert_ts") >= lower)
+    return kept.filter(F.col("alert_date") >= utc_date(lower)) if "alert_date" in alerts.columns else kept
 
 
 def alert_export(alerts: DataFrame, marker: Column | str | dt.datetime) -> DataFrame:
     """Alerts strictly newer than the export marker."""
     m = _ts(marker)
-    if "alert_date" in alerts.columns:
-        return alerts.filter((F.col("alert_date") >= F.to_date(m)) & (F.col("alert_ts") > m))
-    return alerts.filter(F.col("alert_ts") > m)
+    newer = alerts.filter(F.col("alert_ts") > m)
+    return newer.filter(F.col("alert_date") >= utc_date(m)) if "alert_date" in alerts.columns else newer
 
 
 def alert_cooldown(
@@ -83,10 +90,43 @@ def alert_cooldown(
     return suppress_known(sessions, alert_retention(history, now, minutes))
 
 
+def cooldown_alerts(confirmed: DataFrame, last: DataFrame | None = None, minutes: int = S.ALERT_RETENTION_MINUTES) -> DataFrame:
+    """R5/J3 applied to every confirmed row: per pair, in ``(start_time,
+    session_id)`` order, a row alerts when the pair's last alert is more than
+    ``minutes`` older (or there is none).  ``last`` has the pairs' latest
+    earlier alerts (``src_ip``, ``dst_ip``, ``last_ms``).
+
+    The rule is a chain per pair, but each link is a grouped minimum over the
+    rows after the previous alert, so a pair with very many rows is reduced
+    map-side.  Rounds: the most alerts that one pair gets, at most the rows'
+    time span over the cool-down; rows that a round settles are left behind.
+    """
+    gap = int(minutes) * 60_000
+    keyed = lambda previous: previous.select(
+        F.col("src_ip").alias("_p_src"), F.col("dst_ip").alias("_p_dst"), F.col("last_ms").alias("_p_ms")
+    )
+
+    def after(rows: DataFrame, previous: DataFrame, how: str) -> DataFrame:
+        same = F.col("src_ip").eqNullSafe(F.col("_p_src")) & F.col("dst_ip").eqNullSafe(F.col("_p_dst"))
+        joined = rows.join(keyed(previous), same, how)
+        return joined.filter(F.col("_p_ms").isNull() | (F.col("start_time") > F.col("_p_ms") + F.lit(gap))).drop("_p_src", "_p_dst", "_p_ms")
+
+    rows, left = staged_with_count(confirmed if last is None else after(confirmed, last, "left"), "confirmed")
+    picked = None
+    while left:
+        new = staged(first_alert_per_pair(rows), "first-alerts")
+        picked = new if picked is None else picked.unionByName(new)
+        rows, left = staged_with_count(after(rows, new.withColumn("last_ms", F.col("start_time")), "inner"), "confirmed")
+    return confirmed.limit(0) if picked is None else picked
+
+
 def _ts(v: Column | str | dt.datetime) -> Column:
     if isinstance(v, Column):
         return v
     if isinstance(v, dt.datetime):
+        if v.tzinfo is not None:  # an instant: no session time zone involved
+            micros = (v - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1)
+            return F.timestamp_micros(F.lit(micros))
         v = v.strftime("%Y-%m-%d %H:%M:%S.%f")
     return F.to_timestamp(F.lit(v))
 
@@ -113,19 +153,31 @@ def alert_struct() -> Column:
     )
 
 
-def build_alerts(sessions: DataFrame, alert_ts: Column | None = None, batch_id: int | Column | None = None) -> DataFrame:
+def new_batch_id() -> int:
+    """A batch id that no other write has (random, positive)."""
+    return uuid.uuid4().int >> 65
+
+
+def build_alerts(
+    sessions: DataFrame,
+    alert_ts: Column | None = None,
+    batch_id: int | Column | None = None,
+    writer: str = "batch",
+) -> DataFrame:
     """B1/M4: alert rows (schema ``ALERT_ROW``): the alert fields plus
     ``session_id``, ``start_time``, ``alert_ts`` (default: the query's current
-    timestamp), ``alert_date`` and ``batch_id``."""
+    timestamp), ``alert_date`` (UTC), and the key of the write: ``writer`` and
+    ``batch_id`` (default: a new one)."""
     ts = alert_ts if alert_ts is not None else F.current_timestamp()
-    bid = batch_id if isinstance(batch_id, Column) else F.lit(batch_id).cast("bigint")
+    bid = batch_id if isinstance(batch_id, Column) else F.lit(new_batch_id() if batch_id is None else int(batch_id)).cast("bigint")
     a = sessions.select(alert_struct().alias("_a"), S.SESSION_ID, "start_time", ts.alias("alert_ts"))
     return a.select(
         "_a.*",
         S.SESSION_ID,
         F.col("start_time").cast("bigint").alias("start_time"),
         F.col("alert_ts").cast("timestamp").alias("alert_ts"),
-        F.to_date("alert_ts").alias("alert_date"),
+        utc_date(F.col("alert_ts")).alias("alert_date"),
+        F.lit(writer).alias("writer"),
         bid.alias("batch_id"),
     )
 

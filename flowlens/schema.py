@@ -195,6 +195,7 @@ ALERT_ROW = T.StructType(
         T.StructField("start_time", _L),
         T.StructField("alert_ts", T.TimestampType()),
         T.StructField("alert_date", T.DateType()),
+        T.StructField("writer", T.StringType()),
         T.StructField("batch_id", _L),
     ]
 )

@@ -1,46 +1,108 @@
-"""Alert table sink and history source.
-
-The alert table is Parquet partitioned by ``alert_date`` (so retention and
-export prune partitions) and every write is keyed by ``batch_id``: a retried
-batch replaces its own rows (dynamic partition overwrite on
-``(alert_date, batch_id)``) instead of appending duplicates.  JSON export
-writes one JSON object per line.  The original detector's one-file-per-alert
-indented JSON can still be read as history (``multiLine``).
+"""Alert table sink and history source.
+
+The alert table is Parquet partitioned by ``alert_date`` (UTC, so retention
+and export prune partitions whatever the session time zone) and every write is
+keyed by ``(writer, batch_id)``: a retried batch replaces its own rows (dynamic
+partition overwrite) instead of appending duplicates, and two writers never
+meet.  The JSON sink has one folder per write under the same key.  Documents
+of the original detector (one indented file per alert) are read as history
+with the file's modification time as alert time.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from .. import schema as S
+from .files import child_names, delete_path, path_exists
 
 
 def write_alerts(alerts: DataFrame, path: str) -> None:
-    """Write alert rows to the table at ``path`` (idempotent per batch)."""
+    """Write alert rows to the table at ``path`` (idempotent per writer
+    and batch; ``build_alerts`` sets both)."""
     (
         alerts.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("alert_date", "batch_id")
+        .partitionBy("alert_date", "writer", "batch_id")
         .parquet(path)
     )
 
 
 def write_alerts_json(alerts: DataFrame, path: str) -> None:
-    """Alerts as JSON lines (alert fields + ``alert_ts``), for log shippers."""
-    cols = [F.col(f.name) for f in S.ALERT.fields] + [F.col("alert_ts")]
-    alerts.select(*cols).write.mode("append").json(path)
+    """Alerts as JSON lines (alert fields + ``alert_ts``), for log shippers;
+    the same key as the table, so a retried write replaces itself."""
+    cols = [F.col(f.name) for f in S.ALERT.fields] + [F.col(c) for c in ("alert_ts", "writer", "batch_id")]
+    (
+        alerts.select(*cols)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("timeZone", "UTC")
+        .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+        .partitionBy("writer", "batch_id")
+        .json(path)
+    )
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
-    """The alert table written by ``write_alerts``."""
+    """The alert table written by ``write_alerts``; no rows before the
+    first write."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], S.ALERT_ROW)
     return spark.read.schema(S.ALERT_ROW).parquet(path)
 
 
-def read_alert_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Alert history from JSON documents (indented, one per file, as the
-    original detector wrote them, or JSON lines)."""
-    return spark.read.schema(S.ALERT).option("multiLine", True).option("pathGlobFilter", "*.json").json(path)
+def read_alert_documents(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Alert history from JSON documents, with ``alert_ts``: the
+    document's own, else the file's modification time.  One indented document
+    per file, as the original detector wrote them, or with ``lines`` one
+    document per line, as the JSON sink and the export write them.  No folder:
+    no rows."""
+    schema = T.StructType([*S.ALERT.fields, T.StructField("alert_ts", T.TimestampType())])
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    docs = (
+        spark.read.schema(schema)
+        .option("multiLine", not lines)
+        .option("pathGlobFilter", "*.json")
+        .option("recursiveFileLookup", "true")
+        .json(path)
+    )
+    return docs.withColumn("alert_ts", F.coalesce(F.col("alert_ts"), F.col("_metadata.file_modification_time")))
+
+
+def drop_old_alerts(spark: SparkSession, path: str, now: dt.datetime, minutes: int = S.ALERT_RETENTION_MINUTES) -> list[str]:
+    """S10, physical: remove the ``alert_date`` partitions whose every alert
+    is older than ``minutes`` at ``now`` (a naive ``now`` is UTC).  Returns
+    the removed dates.  Only partition folder names are listed."""
+    now = now if now.tzinfo is not None else now.replace(tzinfo=dt.timezone.utc)
+    oldest = (now - dt.timedelta(minutes=int(minutes))).astimezone(dt.timezone.utc).date()
+    gone = []
+    for name in child_names(spark, path):
+        if name.startswith("alert_date=") and name[11:] < oldest.isoformat():
+            delete_path(spark, f"{path}/{name}")
+            gone.append(name[11:])
+    return sorted(gone)
+
+
+def export_alerts(spark: SparkSession, path: str, output: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
+    """S9 with a moving marker: a stream over the alert table's files into
+    JSON lines.  The checkpoint is the marker: every alert file is exported
+    once, also after a restart.  ``trigger=None`` exports what is there."""
+    source = spark.readStream.schema(S.ALERT_ROW).parquet(path)
+    cols = [F.col(f.name) for f in S.ALERT.fields] + [F.col("alert_ts")]
+    writer = (
+        source.select(*cols)
+        .writeStream.format("json")
+        .option("timeZone", "UTC")
+        .option("path", output)
+        .option("checkpointLocation", checkpoint)
+    )
+    return (writer.trigger(availableNow=True) if trigger is None else writer.trigger(processingTime=trigger)).start()
 
 
 def alert_history(alerts: DataFrame) -> DataFrame:

@@ -5,33 +5,42 @@ Each micro-batch runs the same skew-safe batch operator
 rows, so a hot destination is split by time buckets in the stream too and no
 per-destination state ever sits in one task.
 
-Event time and lateness.  The watermark is ``max(start_time seen) -
-lateness_ms``.  A row is final once the watermark passes it: every row that
-could precede it inside its window has then arrived.  Final rows are emitted
-exactly once (the batch in which the watermark passes them); rows that arrive
-already behind the watermark are late: counted and dropped.  The tail keeps
-what later rows can still need: rows not older than ``watermark - window``
-(context) and rows not yet final (pending).
-
-Durability.  The tail and the watermark of batch ``b`` are written to
-``state_dir`` under ``b``; batch ``b`` reads those of ``b - 1``.  A retried
-batch rewrites its own outputs, so replays after an executor or driver loss
-do not duplicate rows.  ``flush`` finalises everything pending (end of
-input), which makes stream output equal to the batch operator's.
+Event time and lateness.  The watermark is ``max(event time seen) -
+lateness_ms``; the caller says what was seen, so sessions that are not
+candidates advance it as well.  A row is final once the watermark passes it:
+every row that could precede it inside its window has then arrived.  Final
+rows are emitted exactly once (the batch in which the watermark passes them).
+The tail keeps what later rows can still need: rows not older than ``watermark
+- window`` (context) and rows not yet final (pending).
+
+Nothing is dropped silently: rows that arrive behind the watermark go to the
+``late`` table; rows dated more than ``max_ahead_ms`` after the present go to
+the ``ahead`` table and do not move the watermark, so one bad clock cannot
+turn the detector off.
+
+Durability.  The tail and the watermark of a version are written below
+``state_dir``; versions are ``batch_id * 1000 + flush number`` and each reads
+the newest one before it.  A retried batch rewrites its own outputs, so
+replays after an executor or driver loss do not duplicate rows.  Two
+generations are kept.  ``flush`` finalises everything pending (end of input,
+idle source), which makes stream output equal to the batch operator's.
 """
 
 from __future__ import annotations
 
+import json
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import schema as S
 from ..operators.correlate import hit_counts
+from ..sources.files import child_names, delete_path, path_exists, read_text, write_text
 
 _NO_WM = -(2**62)
+_FLUSHES = 1000
 
 
 @dataclass
@@ -42,123 +51,131 @@ class CorrelationState:
     window_ms: int = S.CORRELATION_WINDOW_MS
     repeat_threshold: int = S.REPEAT_THRESHOLD
     lateness_ms: int = S.CORRELATION_WINDOW_MS
+    max_ahead_ms: int = 3_600_000
+    bucket_ms: int = 1000
 
-    def tail_path(self, batch_id: int) -> str:
-        return f"{self.state_dir}/tail/batch={batch_id}"
+    def tail_path(self, version: int) -> str:
+        return f"{self.state_dir}/tail/version={version}"
 
-    def wm_path(self, batch_id: int) -> str:
-        return f"{self.state_dir}/watermark/batch={batch_id}"
+    def mark_path(self, version: int) -> str:
+        return f"{self.state_dir}/marks/{version}.json"
 
+    def side_path(self, name: str, version: int) -> str:
+        return f"{self.state_dir}/{name}/version={version}"
 
+    def versions(self, spark: SparkSession) -> list[int]:
+        """Committed versions (at most three are kept)."""
+        names = child_names(spark, f"{self.state_dir}/marks")
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
-#: One row per batch: the watermark after the batch, the largest event time
-#: seen so far, and how many late rows the batch dropped.
-_WM_SCHEMA = T.StructType(
-    [
-        T.StructField("watermark", T.LongType()),
-        T.StructField("max_seen", T.LongType()),
-        T.StructField("late_rows", T.LongType()),
-    ]
-)
+    def before(self, spark: SparkSession, version: int) -> dict:
+        """The newest mark before ``version``."""
+        older = [v for v in self.versions(spark) if v < version]
+        if not older:
+            return {"version": None, "watermark": _NO_WM, "max_seen": _NO_WM, "written_at": 0}
+        return json.loads(read_text(spark, self.mark_path(older[-1])))
 
 
-def _read_state(spark: SparkSession, st: CorrelationState, batch_id: int) -> tuple[int, int]:
-    """(watermark, max event time seen) committed by ``batch_id - 1``."""
-    if batch_id == 0:
-        return _NO_WM, _NO_WM
-    rows = spark.read.schema(_WM_SCHEMA).parquet(st.wm_path(batch_id - 1)).collect()
-    if not rows:
-        return _NO_WM, _NO_WM
-    return int(rows[0]["watermark"]), int(rows[0]["max_seen"])
+def batch_version(batch_id: int) -> int:
+    return int(batch_id) * _FLUSHES
 
 
 def correlate_batch(
     spark: SparkSession,
     rows: DataFrame,
-    batch_id: int,
+    version: int,
     st: CorrelationState,
     flush: bool = False,
-    prev_state: tuple[int, int] | None = None,
+    seen_ms: int | None = None,
+    now_ms: int | None = None,
 ) -> DataFrame:
     """Process one micro-batch of narrow rows (``session_id``, ``dst_ip``,
     ``start_time`` and any payload columns).  Returns the rows finalised in
-    this batch that are confirmed (with ``hit_count``); writes the new tail
-    and the batch's state row (watermark, max seen, late rows).
-
-    Per batch: one small aggregate over the new rows (late count and largest
-    time), one write of the tail, one tiny state row, and the lazily returned
-    correlation.  ``rows`` should be persisted by the caller.
+    this batch that are confirmed (with ``hit_count``); writes the new tail,
+    the side tables and the version's mark.
+
+    ``seen_ms``: the largest event time of everything the batch read, when
+    ``rows`` are only part of it; values beyond the present plus
+    ``max_ahead_ms`` must be left out of it.  ``rows`` should be persisted by
+    the caller: one small aggregate, one write of the tail and the lazily
+    returned correlation read them.
     """
-    prev_wm, prev_max = prev_state if prev_state is not None else _read_state(spark, st, batch_id)
-    tail = None if batch_id == 0 else spark.read.schema(rows.schema).parquet(st.tail_path(batch_id - 1))
+    now_ms = int(time.time() * 1000) if now_ms is None else int(now_ms)
+    prev = st.before(spark, version)
+    prev_wm, prev_max = int(prev["watermark"]), int(prev["max_seen"])
+    tail = None if prev["version"] is None else spark.read.schema(rows.schema).parquet(st.tail_path(prev["version"]))
 
     fresh = rows.filter(F.col("start_time").isNotNull())
     is_late = F.col("start_time") <= F.lit(prev_wm)
+    is_ahead = F.col("start_time") > F.lit(now_ms + int(st.max_ahead_ms))
     stats = fresh.agg(
         F.count_if(is_late).alias("late"),
-        F.max(F.when(~is_late, F.col("start_time"))).alias("top"),
+        F.count_if(is_ahead).alias("ahead"),
+        F.max(F.when(~is_late & ~is_ahead, F.col("start_time"))).alias("top"),
     ).collect()[0]
-    late_n = int(stats["late"] or 0)
-    max_seen = prev_max if stats["top"] is None else max(prev_max, int(stats["top"]))
+    max_seen = max(prev_max, _NO_WM if stats["top"] is None else int(stats["top"]), _NO_WM if seen_ms is None else int(seen_ms))
     if flush:
-        new_wm = 2**62
+        new_wm = max(prev_wm, max_seen)
     else:
         new_wm = prev_wm if max_seen == _NO_WM else max(prev_wm, max_seen - int(st.lateness_ms))
+    for name, n, cond in (("late", stats["late"], is_late), ("ahead", stats["ahead"], is_ahead)):
+        if n:
+            fresh.filter(cond).write.mode("overwrite").parquet(st.side_path(name, version))
 
-    # A retried batch re-reads the same tail (b - 1) and the same files, so
-    # the union never holds a row twice.
-    on_time = fresh.filter(~is_late)
+    # A retried batch re-reads the same tail and the same files, so the union
+    # never holds a row twice.
+    on_time = fresh.filter(~is_late & ~is_ahead)
     data = on_time if tail is None else tail.unionByName(on_time)
 
-    counted = hit_counts(data, st.window_ms)
+    counted = hit_counts(data, st.window_ms, bucket_ms=st.bucket_ms)
     final_now = (F.col("start_time") > F.lit(prev_wm)) & (F.col("start_time") <= F.lit(new_wm))
     emitted = counted.filter(final_now & (F.col("hit_count") >= F.lit(int(st.repeat_threshold))))
 
     keep = data.filter(F.col("start_time") >= F.lit(new_wm - int(st.window_ms)))
-    keep.write.mode("overwrite").parquet(st.tail_path(batch_id))
-    state_row = [(int(new_wm), int(max_seen), late_n)]
-    spark.createDataFrame(state_row, _WM_SCHEMA).coalesce(1).write.mode("overwrite").parquet(st.wm_path(batch_id))
+    keep.write.mode("overwrite").parquet(st.tail_path(version))
+    mark = {
+        "version": int(version),
+        "watermark": new_wm,
+        "max_seen": max_seen,
+        "late_rows": int(stats["late"] or 0),
+        "ahead_rows": int(stats["ahead"] or 0),
+        "written_at": now_ms,
+    }
+    write_text(spark, st.mark_path(version), json.dumps(mark))
+    for old in st.versions(spark):
+        if prev["version"] is not None and old < prev["version"]:
+            delete_path(spark, st.tail_path(old))
+            delete_path(spark, st.mark_path(old))
     return emitted
 
 
-def previous_state(spark: SparkSession, st: CorrelationState, batch_id: int) -> tuple[int, int]:
-    """(watermark, max seen) committed by batch ``batch_id - 1``."""
-    return _read_state(spark, st, batch_id)
-
-
-def previous_watermark(spark: SparkSession, st: CorrelationState, batch_id: int) -> int | None:
-    """The watermark committed by batch ``batch_id - 1`` (None before any)."""
-    wm, _ = _read_state(spark, st, batch_id)
-    return None if wm == _NO_WM else wm
-
-
-def late_rows(spark: SparkSession, st: CorrelationState) -> DataFrame:
-    """(batch, late_rows): rows dropped as late per batch."""
-    return spark.read.parquet(f"{st.state_dir}/watermark").select("batch", "late_rows")
+def side_rows(spark: SparkSession, st: CorrelationState, name: str, schema) -> DataFrame:
+    """The rows that came too late (``late``) or dated too far ahead
+    (``ahead``), with the version that met them."""
+    path = f"{st.state_dir}/{name}"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema).withColumn("version", F.lit(0).cast("long"))
+    return spark.read.schema(schema.add("version", "long") if "version" not in schema.fieldNames() else schema).parquet(path)
 
 
-def last_batch_id(spark: SparkSession, st: CorrelationState) -> int:
-    """The last batch id that committed correlation state (-1 if none)."""
-    try:
-        top = spark.read.parquet(f"{st.state_dir}/watermark").agg(F.max("batch").alias("b")).collect()[0]["b"]
-    except Exception as e:  # noqa: BLE001 - no state written yet
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return -1
-        raise
-    return -1 if top is None else int(top)
+def flush_version(spark: SparkSession, st: CorrelationState) -> int | None:
+    """The version of a flush after the last committed one (None before any)."""
+    done = st.versions(spark)
+    return done[-1] + 1 if done else None
 
 
 def start_correlation(spark: SparkSession, hot: DataFrame, work_dir: str, trigger: str | None = None, **state_opts):
     """Run ``correlate_batch`` on a stream of narrow rows; confirmed rows land
-    in ``<work_dir>/confirmed/batch=<id>`` (rewritten, never appended, when a
+    in ``<work_dir>/confirmed/version=<n>`` (rewritten, never appended, when a
     batch is retried)."""
     st = CorrelationState(f"{work_dir}/state", **state_opts)
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
         batch_df.persist()
         try:
-            out = correlate_batch(spark, batch_df, batch_id, st)
-            out.write.mode("overwrite").parquet(f"{work_dir}/confirmed/batch={batch_id}")
+            version = batch_version(batch_id)
+            out = correlate_batch(spark, batch_df, version, st)
+            out.write.mode("overwrite").parquet(f"{work_dir}/confirmed/version={version}")
         finally:
             batch_df.unpersist()
 
@@ -168,15 +185,15 @@ def start_correlation(spark: SparkSession, hot: DataFrame, work_dir: str, trigge
 
 
 def flush_correlation(spark: SparkSession, work_dir: str, **state_opts) -> None:
-    """End of input: emit every pending row (as the batch after the last)."""
+    """End of input: emit every pending row."""
     st = CorrelationState(f"{work_dir}/state", **state_opts)
-    last = last_batch_id(spark, st)
-    if last < 0:
+    version = flush_version(spark, st)
+    if version is None:
         return
-    schema = spark.read.parquet(st.tail_path(last)).schema
-    out = correlate_batch(spark, spark.createDataFrame([], schema), last + 1, st, flush=True)
-    out.write.mode("overwrite").parquet(f"{work_dir}/confirmed/batch={last + 1}")
+    schema = spark.read.parquet(st.tail_path(version - 1)).schema
+    out = correlate_batch(spark, spark.createDataFrame([], schema), version, st, flush=True)
+    out.write.mode("overwrite").parquet(f"{work_dir}/confirmed/version={version}")
 
 
 def confirmed_output(spark: SparkSession, work_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{work_dir}/confirmed").drop("batch")
+    return spark.read.parquet(f"{work_dir}/confirmed").drop("version")

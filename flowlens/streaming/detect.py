@@ -3,30 +3,36 @@
 * ``stream_features``: file source with a checkpoint (each input file is
   consumed exactly once, optionally archived or deleted after commit) ->
   session features -> Parquet file sink.
-* ``start_detection``: file source -> features -> score -> threshold, then
-  per micro-batch (``foreachBatch``): stream correlation with durable state,
-  one alert per pair, 24 h event-time cool-down against the alert table, and
-  an alert write keyed by ``batch_id`` (a retried batch replaces its own
-  rows).  The 5-minute cadence of the original service loop is a
-  processing-time trigger.
+* ``start_detection``: file source, then per micro-batch (``foreachBatch``)
+  features, score, threshold, stream correlation with durable state, the 24 h
+  event-time cool-down of every confirmed row in time order (within the batch
+  and against the alert table), and an alert write keyed by writer and
+  version (a retried batch replaces its own rows).  The 5-minute cadence of
+  the original service loop is a processing-time trigger, or ``run_detection``
+  called every five minutes.
 * ``cooldown_stream``: the cool-down as a pure streaming operator
   (``dropDuplicatesWithinWatermark`` on the pair, 24 h event-time watermark).
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schema as S
-from ..operators.alerts import build_alerts, first_alert_per_pair
+from ..operators.alerts import build_alerts, cooldown_alerts, utc_date
 from ..operators.features import session_features
 from ..operators.scoring import score_filter, score_sessions
 from ..plans.detect import ALERT_INPUT
 from ..sources.alerts import read_alerts, write_alerts
 from ..sources.sessions import derived_session_id
-from .correlate import CorrelationState, correlate_batch, last_batch_id, previous_state
+from .correlate import CorrelationState, batch_version, correlate_batch, flush_version
+
+#: The alert table's writer name of the streaming detector.
+STREAM_WRITER = "stream"
 
 
 def read_session_stream(
@@ -35,14 +41,18 @@ def read_session_stream(
     max_files_per_trigger: int | None = None,
     clean_source: str | None = None,
     archive_dir: str | None = None,
+    skip_bad_files: bool = True,
 ) -> DataFrame:
     """A file stream of session Parquet files with the declared schema.
 
     ``clean_source`` is ``"archive"`` (move to ``archive_dir``) or
     ``"delete"``: files are removed from the input only after their batch has
     been committed, so a failed batch is retried from the same files.
+    ``skip_bad_files``: an unreadable or mistyped file is left out instead of
+    stopping the query (``sources.sessions.validate_files`` names such files).
     """
     reader = spark.readStream.schema(S.SESSION_WITH_KEYS).option("pathGlobFilter", "*.parquet")
+    reader = reader.option("ignoreCorruptFiles", str(bool(skip_bad_files)).lower())
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     if clean_source:
@@ -74,54 +84,46 @@ def stream_features(
     return _trigger(writer.outputMode("append"), trigger).start()
 
 
-def cooldown_by_event_time(first: DataFrame, history: DataFrame, minutes: int = S.ALERT_RETENTION_MINUTES) -> DataFrame:
-    """Drop a pair's alert when the pair already alerted within ``minutes``
-    before this alert's event time (null-safe pair match)."""
-    h = history.select(
-        F.col("match_body.network.src_ip").alias("_h_src"),
-        F.col("match_body.network.dst_ip").alias("_h_dst"),
-        F.col("alert_ts").alias("_h_ts"),
-    )
-    h = h.groupBy("_h_src", "_h_dst").agg(F.max("_h_ts").alias("_h_ts"))  # one row per pair
-    t = F.timestamp_millis(F.col("start_time"))
-    cond = (
-        F.col("src_ip").eqNullSafe(F.col("_h_src"))
-        & F.col("dst_ip").eqNullSafe(F.col("_h_dst"))
-        & (F.col("_h_ts") >= t - F.make_interval(mins=F.lit(int(minutes))))
-    )
-    return first.join(h, cond, "left_anti")
+def last_alerts(history: DataFrame) -> DataFrame:
+    """(src_ip, dst_ip, last_ms): each pair's latest alert."""
+    return history.groupBy(
+        F.col("match_body.network.src_ip").alias("src_ip"), F.col("match_body.network.dst_ip").alias("dst_ip")
+    ).agg(F.unix_millis(F.max("alert_ts")).alias("last_ms"))
 
 
 def detect_micro_batch(
     spark: SparkSession,
     hot: DataFrame,
-    batch_id: int,
+    version: int,
     state: CorrelationState,
     alerts_dir: str,
     cooldown_minutes: int = S.ALERT_RETENTION_MINUTES,
     flush: bool = False,
+    seen_ms: int | None = None,
+    now_ms: int | None = None,
+    writer: str = STREAM_WRITER,
 ) -> None:
-    """One micro-batch of scored, above-threshold sessions -> alert rows."""
+    """One micro-batch of scored, above-threshold sessions -> alert rows.
+
+    Every confirmed row is held against its pair's last alert in time order,
+    within the batch and against the table, so the alerts do not depend on how
+    rows fall into micro-batches."""
     hot.persist()
     try:
-        prev = previous_state(spark, state, batch_id)
-        prev_wm = prev[0]
-        confirmed = correlate_batch(spark, hot, batch_id, state, flush=flush, prev_state=prev)
-        first = first_alert_per_pair(confirmed.drop("hit_count"))
-        try:
-            # History as of the batch start: earlier batches only, so a retry
-            # of this batch never suppresses its own first attempt.  This
-            # batch only emits rows newer than the previous watermark, so
-            # older history cannot matter: prune by date partition and time.
-            history = read_alerts(spark, alerts_dir).filter(F.col("batch_id") < F.lit(int(batch_id)))
-            if prev_wm is not None and prev_wm > -(2**61):
-                since = F.timestamp_millis(F.lit(int(prev_wm) - int(cooldown_minutes) * 60_000))
-                history = history.filter((F.col("alert_date") >= F.to_date(since)) & (F.col("alert_ts") >= since))
-            first = cooldown_by_event_time(first, history, cooldown_minutes)
-        except Exception as e:  # noqa: BLE001 - first batch: no table yet
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
-        alerts = build_alerts(first, alert_ts=F.timestamp_millis(F.col("start_time")), batch_id=batch_id)
+        prev_wm = int(state.before(spark, version)["watermark"])
+        confirmed = correlate_batch(spark, hot, version, state, flush, seen_ms, now_ms)
+        # All writers' alerts but this version's own: a retry never suppresses
+        # its first attempt.  This batch only emits rows newer than the
+        # previous watermark, so older history cannot matter: prune by date
+        # partition and time.
+        history = read_alerts(spark, alerts_dir).filter(
+            ~((F.col("writer") == F.lit(writer)) & (F.col("batch_id") == F.lit(int(version)))).eqNullSafe(F.lit(True))
+        )
+        if prev_wm > -(2**61):
+            since = F.timestamp_millis(F.lit(prev_wm - int(cooldown_minutes) * 60_000))
+            history = history.filter((F.col("alert_date") >= utc_date(since)) & (F.col("alert_ts") >= since))
+        chosen = cooldown_alerts(confirmed.drop("hit_count"), last_alerts(history), cooldown_minutes)
+        alerts = build_alerts(chosen, alert_ts=F.timestamp_millis(F.col("start_time")), batch_id=version, writer=writer)
         write_alerts(alerts, alerts_dir)
     finally:
         hot.unpersist()
@@ -136,35 +138,61 @@ def start_detection(
     window_ms: int = S.CORRELATION_WINDOW_MS,
     repeat_threshold: int = S.REPEAT_THRESHOLD,
     lateness_ms: int = S.CORRELATION_WINDOW_MS,
+    max_ahead_ms: int = 3_600_000,
     cooldown_minutes: int = S.ALERT_RETENTION_MINUTES,
     trigger: str | None = "5 minutes",
     **source_opts,
 ) -> StreamingQuery:
     """The detector as a stream.  ``work_dir`` holds the checkpoint,
-    the correlation state and the alert table (``<work_dir>/alerts``)."""
-    feats = session_features(read_session_stream(spark, input_dir, **source_opts))
-    scored = score_sessions(feats, model) if model is not None else feats
-    hot = score_filter(scored, threshold).select(*ALERT_INPUT)
-    state = CorrelationState(f"{work_dir}/state", window_ms, repeat_threshold, lateness_ms)
+    the correlation state and the alert table (``<work_dir>/alerts``).  All
+    sessions of a batch advance the watermark, not only those above the
+    threshold."""
+    sessions = read_session_stream(spark, input_dir, **source_opts)
+    state = CorrelationState(f"{work_dir}/state", window_ms, repeat_threshold, lateness_ms, max_ahead_ms)
     alerts_dir = f"{work_dir}/alerts"
 
-    def process(batch_df: DataFrame, batch_id: int) -> None:
-        detect_micro_batch(spark, batch_df, batch_id, state, alerts_dir, cooldown_minutes)
+    def process(batch: DataFrame, batch_id: int) -> None:
+        now_ms = int(time.time() * 1000)
+        started = F.col("session.start_time")
+        seen = batch.agg(F.max(F.when(started <= F.lit(now_ms + int(max_ahead_ms)), started)).alias("m")).collect()[0]["m"]
+        feats = session_features(batch)
+        scored = score_sessions(feats, model) if model is not None else feats
+        hot = score_filter(scored, threshold).select(*ALERT_INPUT)
+        detect_micro_batch(spark, hot, batch_version(batch_id), state, alerts_dir, cooldown_minutes, seen_ms=seen, now_ms=now_ms)
 
-    writer = hot.writeStream.foreachBatch(process).option("checkpointLocation", f"{work_dir}/checkpoint")
+    writer = sessions.writeStream.foreachBatch(process).option("checkpointLocation", f"{work_dir}/checkpoint")
     return _trigger(writer, trigger).start()
 
 
-def flush_detection(spark: SparkSession, work_dir: str, **state_opts) -> None:
-    """End of input: finalise every pending row (as the batch after the last
-    committed one)."""
+def flush_detection(spark: SparkSession, work_dir: str, cooldown_minutes: int = S.ALERT_RETENTION_MINUTES, **state_opts) -> None:
+    """End of input: finalise every pending row.  The stream may go on
+    afterwards; rows older than what was flushed then count as late."""
     state = CorrelationState(f"{work_dir}/state", **state_opts)
-    last = last_batch_id(spark, state)
-    if last < 0:
+    version = flush_version(spark, state)
+    if version is None:
         return
-    schema = spark.read.parquet(state.tail_path(last)).schema
+    schema = spark.read.parquet(state.tail_path(version - 1)).schema
     empty = spark.createDataFrame([], schema)
-    detect_micro_batch(spark, empty, last + 1, state, f"{work_dir}/alerts", flush=True)
+    detect_micro_batch(spark, empty, version, state, f"{work_dir}/alerts", cooldown_minutes, flush=True)
+
+
+def run_detection(spark: SparkSession, input_dir: str, work_dir: str, idle_ms: int = 300_000, now_ms: int | None = None, **options) -> bool:
+    """One cycle of the service: process the files that are there, then, if
+    nothing has arrived for ``idle_ms``, finalise what is pending, so the last
+    burst before a silence is reported.  Returns whether it flushed."""
+    start_detection(spark, input_dir, work_dir, trigger=None, **options).awaitTermination()
+    names = ("window_ms", "repeat_threshold", "lateness_ms", "max_ahead_ms")
+    state = CorrelationState(f"{work_dir}/state", **{k: options[k] for k in names if k in options})
+    done = state.versions(spark)
+    if not done:
+        return False
+    mark = state.before(spark, done[-1] + 1)
+    now_ms = int(time.time() * 1000) if now_ms is None else now_ms
+    if mark["watermark"] >= mark["max_seen"] or now_ms - mark["written_at"] < idle_ms:
+        return False
+    minutes = options.get("cooldown_minutes", S.ALERT_RETENTION_MINUTES)
+    flush_detection(spark, work_dir, minutes, **{k: options[k] for k in names if k in options})
+    return True
 
 
 def cooldown_stream(confirmed: DataFrame, minutes: int = S.ALERT_RETENTION_MINUTES, event_time: Column | None = None) -> DataFrame:

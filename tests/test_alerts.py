@@ -87,3 +87,95 @@ def test_reads_indented_one_per_file_history(spark, tmp_path):
     hist = sink.read_alert_documents(spark, str(tmp_path))
     pairs = {(r["src_ip"], r["dst_ip"]) for r in al.known_pairs(hist).collect()}
     assert pairs == {("10.0.0.1", "203.0.113.1"), ("10.0.0.2", None)}
+
+
+def test_writes_without_an_id_and_of_two_writers_stay_apart(spark, workdir):
+    one = _confirmed(spark).limit(1)
+    ts = F.timestamp_millis(F.col("start_time"))
+    for _ in range(2):
+        sink.write_alerts(al.build_alerts(one, alert_ts=ts), workdir)  # a new id each
+    sink.write_alerts(al.build_alerts(one, alert_ts=ts, batch_id=7, writer="a"), workdir)
+    sink.write_alerts(al.build_alerts(one, alert_ts=ts, batch_id=7, writer="b"), workdir)
+    assert sink.read_alerts(spark, workdir).count() == 4
+
+
+def test_writer_and_reader_in_different_time_zones(spark, workdir):
+    import datetime as dt
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        sink.write_alerts(al.build_alerts(_confirmed(spark), alert_ts=F.timestamp_millis(F.col("start_time"))), workdir)
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        alerts = sink.read_alerts(spark, workdir)
+        at = lambda ms: dt.datetime.fromtimestamp((T0 + ms) / 1000, dt.timezone(dt.timedelta(hours=9)))
+        assert al.alert_retention(alerts, at(86_400_040)).count() == 2
+        assert al.alert_export(alerts, at(10)).count() == 2
+        assert {str(r["alert_date"]) for r in alerts.collect()} == {"2024-01-01"}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_history_of_a_first_run_is_empty(spark, workdir):
+    assert sink.read_alerts(spark, f"{workdir}/none").count() == 0
+    assert sink.read_alert_documents(spark, f"{workdir}/none").count() == 0
+    assert al.suppress_known(_confirmed(spark), sink.read_alerts(spark, f"{workdir}/none")).count() == 6
+
+
+def test_documents_have_their_files_time(spark, tmp_path):
+    import datetime as dt
+
+    doc = {"match_body": {"network": {"src_ip": "a", "dst_ip": "x"}}, "score": 0.9}
+    for name, age in (("old", 100_000), ("new", 10)):
+        with open(tmp_path / f"{name}.json", "w") as f:
+            json.dump(doc, f, indent=4)
+        at = (T0 / 1000) - age
+        os.utime(tmp_path / f"{name}.json", (at, at))
+    now = dt.datetime.fromtimestamp(T0 / 1000, dt.timezone.utc)
+    assert al.alert_retention(sink.read_alert_documents(spark, str(tmp_path)), now).count() == 1
+
+
+def test_expired_date_partitions_are_removed(spark, workdir):
+    import datetime as dt
+
+    days = spark.createDataFrame([(i, "a", "x", 1, 80, 5, T0 + i * 86_400_000, 0.9) for i in range(5)], CONF)
+    sink.write_alerts(al.build_alerts(days, alert_ts=F.timestamp_millis(F.col("start_time"))), workdir)
+    gone = sink.drop_old_alerts(spark, workdir, dt.datetime(2024, 1, 4, 12), minutes=1440)
+    assert gone == ["2024-01-01", "2024-01-02"]
+    assert sorted(r["session_id"] for r in sink.read_alerts(spark, workdir).collect()) == [2, 3, 4]
+    assert sink.drop_old_alerts(spark, f"{workdir}/none", dt.datetime(2024, 1, 4)) == []
+
+
+def test_export_moves_its_marker(spark, workdir):
+    ts = F.timestamp_millis(F.col("start_time"))
+    run = lambda: sink.export_alerts(spark, f"{workdir}/t", f"{workdir}/out", f"{workdir}/ck").awaitTermination()
+    count = lambda: sink.read_alert_documents(spark, f"{workdir}/out", lines=True).count()
+    sink.write_alerts(al.build_alerts(_confirmed(spark), alert_ts=ts, batch_id=1), f"{workdir}/t")
+    run()
+    run()
+    assert count() == 6
+    sink.write_alerts(al.build_alerts(_confirmed(spark).limit(2), alert_ts=ts, batch_id=2), f"{workdir}/t")
+    run()
+    assert count() == 8
+
+
+def test_json_sink_replaces_a_retried_batch(spark, workdir):
+    alerts = al.build_alerts(_confirmed(spark), alert_ts=F.timestamp_millis(F.col("start_time")), batch_id=3)
+    for _ in range(2):
+        sink.write_alerts_json(alerts, workdir)
+    back = sink.read_alert_documents(spark, workdir, lines=True)
+    assert sorted((r["alert_ts"].timestamp() * 1000) for r in back.collect()) == sorted(r["start_time"] for r in _confirmed(spark).collect())
+
+
+def test_cooldown_chain_of_a_pair(spark):
+    gaps = [0, 5, 1439, 1440, 1441, 1500, 2881, 2882, 2883, 9000]
+    rows = [(i, "a", "x", 1, 80, 5, T0 + g * 60_000, 0.9) for i, g in enumerate(gaps)] + [(99, None, "x", 1, 80, 5, T0, 0.9)]
+    conf = spark.createDataFrame(rows, CONF)
+    want, last = [], None
+    for i, g in enumerate(gaps):
+        if last is None or g - last > 1440:
+            want.append(i)
+            last = g
+    assert sorted(r["session_id"] for r in al.cooldown_alerts(conf).collect()) == [*want, 99]
+    before = spark.createDataFrame([("a", "x", T0 + 60_000), (None, "x", T0 - 86_400_001)], "src_ip string, dst_ip string, last_ms long")
+    assert sorted(r["session_id"] for r in al.cooldown_alerts(conf, before).collect()) == [5, 9, 99]

@@ -1,11 +1,12 @@
 import random
 
-from pyspark.sql import functions as F
-
+from flowlens import schema as S
 from flowlens.operators.correlate import temporal_correlation
 from flowlens.sources.alerts import read_alerts
-from flowlens.streaming.correlate import confirmed_output, flush_correlation, start_correlation
-from flowlens.streaming.detect import cooldown_stream
+from flowlens.streaming.correlate import CorrelationState, confirmed_output, flush_correlation, side_rows, start_correlation
+from flowlens.streaming.detect import cooldown_stream, detect_micro_batch, flush_detection, run_detection, start_detection
+
+from .helpers import session_row, sessions_df
 
 SCHEMA = "session_id long, src_ip string, dst_ip string, start_time long, malicious_score double"
 
@@ -57,7 +58,7 @@ def test_restart_from_checkpoint_emits_no_duplicates(spark, workdir):
     assert set(ids) == want
 
 
-def test_late_rows_are_dropped_not_miscounted(spark, workdir):
+def test_late_rows_are_kept_aside_not_miscounted(spark, workdir):
     t0 = 1_700_000_000_000
     early = [(1, "s", "d", t0 + 3_600_000, 0.9), (2, "s", "d", t0 + 3_600_000, 0.9), (3, "s", "d", t0 + 3_600_001, 0.9)]
     late = [(4, "s", "d", t0, 0.9)]  # an hour behind a 10-minute watermark
@@ -67,10 +68,9 @@ def test_late_rows_are_dropped_not_miscounted(spark, workdir):
     flush_correlation(spark, f"{workdir}/w")
     got = {r["session_id"]: r["hit_count"] for r in confirmed_output(spark, f"{workdir}/w").collect()}
     assert got == {3: 3}
-    from flowlens.streaming.correlate import CorrelationState, late_rows
-
-    late_n = late_rows(spark, CorrelationState(f"{workdir}/w/state")).agg(F.sum("late_rows")).collect()[0][0]
-    assert late_n == 1
+    state = CorrelationState(f"{workdir}/w/state")
+    kept = side_rows(spark, state, "late", spark.createDataFrame([], SCHEMA).schema)
+    assert [(r["session_id"], r["version"]) for r in kept.collect()] == [(4, 1000)]
 
 
 def test_cooldown_stream_one_alert_per_pair_within_window(spark, workdir):
@@ -102,19 +102,124 @@ def test_cooldown_stream_one_alert_per_pair_within_window(spark, workdir):
     assert got == [1, 3, 4]
 
 
-def test_retried_micro_batch_writes_alerts_once(spark, workdir):
-    from flowlens.streaming.correlate import CorrelationState
-    from flowlens.streaming.detect import detect_micro_batch
+HOT = (
+    "session_id long, src_ip string, dst_ip string, src_port int, dst_port int, "
+    "Flow_Duration long, start_time long, malicious_score double"
+)
+T0 = 1_700_000_000_000
+HOUR = 3_600_000
 
-    t0 = 1_700_000_000_000
-    rows = [(i, 10 + i, "s", "d", 1, 80, 5, t0 + i * 1000, 0.9) for i in range(5)]
-    schema = (
-        "session_id long, src_port_x long, src_ip string, dst_ip string, src_port int, dst_port int, "
-        "Flow_Duration long, start_time long, malicious_score double"
-    )
-    hot = spark.createDataFrame(rows, schema).drop("src_port_x")
+
+def _hot(spark, rows):
+    """(session_id, src, dst, start) -> rows as the detector sees them."""
+    return spark.createDataFrame([(i, s, d, 1, 80, 5, t, 0.9) for i, s, d, t in rows], HOT)
+
+
+def test_retried_micro_batch_writes_alerts_once(spark, workdir):
+    hot = _hot(spark, [(i, "s", "d", T0 + i * 1000) for i in range(5)])
     state = CorrelationState(f"{workdir}/state")
-    detect_micro_batch(spark, hot, 0, state, f"{workdir}/alerts", flush=True)
-    detect_micro_batch(spark, hot, 0, state, f"{workdir}/alerts", flush=True)  # the same batch, retried
+    for _ in range(2):  # the same batch, retried
+        detect_micro_batch(spark, hot, 0, state, f"{workdir}/alerts", flush=True)
     out = read_alerts(spark, f"{workdir}/alerts").collect()
     assert len(out) == 1 and out[0]["session_id"] == 2  # first confirmed session of the pair
+
+
+def _alerts_of(spark, workdir, chunks):
+    state = CorrelationState(f"{workdir}/state")
+    for b, rows in enumerate(chunks):
+        detect_micro_batch(spark, _hot(spark, rows), b * 1000, state, f"{workdir}/alerts")
+    flush_detection(spark, workdir)
+    return sorted(r["session_id"] for r in read_alerts(spark, f"{workdir}/alerts").collect())
+
+
+def test_alerts_do_not_depend_on_micro_batch_cuts(spark, workdir):
+    """Alert at T0, hits inside the cool-down (23.9 h) and after it (24.3 h)."""
+    late, after = int(23.9 * HOUR), int(24.3 * HOUR)
+    bursts = [[(10 * b + i, "s", "d", T0 + t + i * 1000) for i in range(3)] for b, t in ((0, 0), (1, late), (2, after))]
+    rows = [r for b in bursts for r in b]
+    one = _alerts_of(spark, f"{workdir}/one", [rows])
+    three = _alerts_of(spark, f"{workdir}/three", bursts)
+    six = _alerts_of(spark, f"{workdir}/six", [rows[i : i + 2] for i in range(0, 9, 2)])
+    assert one == three == six == [2, 22]  # the third row of a burst confirms
+
+
+def test_a_future_clock_neither_moves_the_watermark_nor_vanishes(spark, workdir):
+    now = T0 + 2 * HOUR
+    state = CorrelationState(f"{workdir}/state")
+    ahead = T0 + 10 * 365 * 24 * HOUR
+    detect_micro_batch(spark, _hot(spark, [(1, "s", "d", ahead), (2, "s", "d", T0)]), 0, state, f"{workdir}/alerts", now_ms=now)
+    rows = [(10 + i, "s", "d", T0 + 60_000 + i) for i in range(5)]
+    detect_micro_batch(spark, _hot(spark, rows), 1000, state, f"{workdir}/alerts", now_ms=now)
+    flush_detection(spark, workdir)
+    assert [r["session_id"] for r in read_alerts(spark, f"{workdir}/alerts").collect()] == [11]
+    aside = side_rows(spark, state, "ahead", _hot(spark, []).schema).collect()
+    assert [r["session_id"] for r in aside] == [1]
+    assert side_rows(spark, state, "late", _hot(spark, []).schema).count() == 0
+
+
+def _files(spark, workdir, groups):
+    for i, rows in enumerate(groups):
+        sessions_df(spark, rows).coalesce(1).write.parquet(f"{workdir}/in/c={i}")
+
+
+def test_benign_traffic_finalises_a_burst(spark, workdir):
+    burst = [session_row(i, src="s", dst="d", start=T0 + i * 1000) for i in range(5)]
+    benign = [session_row(100 + i, src="b", dst="e", start=T0 + i * 10 * 60_000, score=0.1) for i in range(1, 10)]
+    _files(spark, workdir, [burst, benign])
+    start_detection(spark, f"{workdir}/in/*", f"{workdir}/w", trigger=None, max_files_per_trigger=1).awaitTermination()
+    assert [r["session_id"] for r in read_alerts(spark, f"{workdir}/w/alerts").collect()] == [2]
+
+
+def test_an_idle_source_finalises_what_is_pending_and_goes_on(spark, workdir):
+    _files(spark, workdir, [[session_row(i, src="s", dst="d", start=T0 + i * 1000) for i in range(5)]])
+    soon = run_detection(spark, f"{workdir}/in/*", f"{workdir}/w")
+    assert not soon and read_alerts(spark, f"{workdir}/w/alerts").count() == 0
+    far = 2**60  # long after
+    assert run_detection(spark, f"{workdir}/in/*", f"{workdir}/w", now_ms=far)
+    assert [r["session_id"] for r in read_alerts(spark, f"{workdir}/w/alerts").collect()] == [2]
+    assert not run_detection(spark, f"{workdir}/in/*", f"{workdir}/w", now_ms=far)  # nothing pending now
+    more = [session_row(50 + i, src="t", dst="d", start=T0 + 20 * 60_000 + i) for i in range(4)]
+    sessions_df(spark, more).coalesce(1).write.parquet(f"{workdir}/in/c=9")
+    assert run_detection(spark, f"{workdir}/in/*", f"{workdir}/w", now_ms=far)
+    assert sorted(r["session_id"] for r in read_alerts(spark, f"{workdir}/w/alerts").collect()) == [2, 52]
+
+
+def test_a_batch_alert_suppresses_a_stream_alert(spark, workdir):
+    first = _hot(spark, [(1, "s", "d", T0)])
+    from flowlens.operators.alerts import build_alerts
+    from flowlens.sources.alerts import write_alerts
+    from pyspark.sql import functions as F
+
+    ts = F.timestamp_millis(F.col("start_time"))
+    write_alerts(build_alerts(first, alert_ts=ts, batch_id=42), f"{workdir}/alerts")
+    assert _alerts_of(spark, workdir, [[(10 + i, "s", "d", T0 + HOUR + i) for i in range(4)]]) == [1]
+
+
+def test_state_folders_stay_bounded(spark, workdir):
+    from flowlens.sources.files import child_names
+
+    state = CorrelationState(f"{workdir}/state")
+    for b in range(6):
+        detect_micro_batch(spark, _hot(spark, [(b, "s", "d", T0 + b * HOUR)]), b * 1000, state, f"{workdir}/alerts")
+    assert len(state.versions(spark)) <= 3
+    assert len([n for n in child_names(spark, f"{state.state_dir}/tail") if n.startswith("version=")]) <= 3
+
+
+def test_a_mistyped_or_truncated_file_does_not_stop_the_stream(spark, workdir):
+    from pyspark.sql import functions as F
+
+    good = sessions_df(spark, [session_row(i) for i in range(6)])
+    good.coalesce(1).write.parquet(f"{workdir}/in/a")
+    bad = good.withColumn("session", F.col("session").withField("start_time", F.col("session.start_time").cast("string")))
+    bad.coalesce(1).write.parquet(f"{workdir}/in/b")
+    spark.createDataFrame([("not parquet",)], "value string").coalesce(1).write.text(f"{workdir}/in/c")
+    from flowlens.sources.files import _file_system, child_names
+
+    for name in child_names(spark, f"{workdir}/in/c"):
+        if name.endswith(".txt"):
+            src, fs = _file_system(spark, f"{workdir}/in/c/{name}")
+            fs.rename(src, _file_system(spark, f"{workdir}/in/c/part-0.parquet")[0])
+    from flowlens.streaming.detect import stream_features
+
+    stream_features(spark, f"{workdir}/in/*", f"{workdir}/out", f"{workdir}/ck").awaitTermination()
+    assert spark.read.parquet(f"{workdir}/out").select(S.SESSION_ID).distinct().count() == 6
