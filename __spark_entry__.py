@@ -26,7 +26,7 @@ import uuid  # noqa: E402
 
 from checks import sql as Q  # noqa: E402
 from flowlens import schema as S  # noqa: E402
-from flowlens.config import scratch_path  # noqa: E402
+from flowlens.config import scratch_path, staged  # noqa: E402
 from flowlens.operators import alerts as al  # noqa: E402
 from flowlens.operators import features as feat  # noqa: E402
 from flowlens.operators import matrix as mx  # noqa: E402
@@ -268,8 +268,7 @@ def q_build_alerts(spark, sf_dir):
 
 def q_alert_retention(spark, sf_dir):
     confirmed = _confirmed(spark, sf_dir).drop("hit_count")
-    table = _history_alerts(confirmed.filter(F.col("start_time") < _ms(COOLDOWN_NOW)))
-    return _alert_view(al.alert_retention(table, COOLDOWN_NOW))
+    return _alert_view(al.alert_retention(_history_alerts(confirmed), COOLDOWN_NOW))
 
 
 def q_alert_export(spark, sf_dir):
@@ -331,34 +330,63 @@ def q_score_sessions(spark, sf_dir):
 
 
 def q_assemble_features(spark, sf_dir):
+    """Width, the sum of the 57 scalar inputs, and the bytes values present."""
     from pyspark.ml.functions import vector_to_array
 
-    vec = mx.assemble_features(_features(spark, sf_dir))
-    arr = vector_to_array("features")
-    return vec.select(S.SESSION_ID, F.size(arr).alias("width"), F.aggregate(arr, F.lit(0.0), lambda a, x: a + x).alias("total"))
+    vec = mx.assemble_features(_features(spark, sf_dir)).select(S.SESSION_ID, vector_to_array("features").alias("v"))
+    n = len(mx.SCALAR_MODEL_INPUTS)
+    return vec.select(
+        S.SESSION_ID,
+        F.size("v").alias("width"),
+        F.round(F.aggregate(F.slice("v", 1, n), F.lit(0.0), lambda a, x: a + x), 4).alias("scalar_total"),
+        F.size(F.filter(F.slice("v", n + 1, mx.MODEL_WIDTH), lambda x: x > 0)).alias("n_bins"),
+    )
+
+
+def _unigram_digest(spark, sf_dir, cells) -> DataFrame:
+    """(session_id, field, n_bins, n_bytes, moment): the byte counts that a
+    vector of frequencies stands for, as whole numbers.  ``cells(field)`` is
+    the field's array of frequencies."""
+    texts = tf.flatten_text_fields(_features(spark, sf_dir)).select(
+        F.col(S.SESSION_ID).alias("t_id"), *[F.octet_length(f).cast("bigint").alias(f"{f}_n") for f in S.TEXT_FIELDS]
+    )
+    rows = cells.join(texts, F.col(S.SESSION_ID) == F.col("t_id"))
+    per_field = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"{f}_v").alias("v"), F.col(f"{f}_n").alias("n_bytes")) for f in S.TEXT_FIELDS])
+    counted = rows.select(S.SESSION_ID, F.inline(per_field)).withColumn(
+        "c", F.transform("v", lambda x: F.round(x.cast("double") * F.col("n_bytes")).cast("bigint"))
+    )
+    zero = F.lit(0).cast("bigint")
+    return counted.select(
+        S.SESSION_ID,
+        "field",
+        F.size(F.filter("c", lambda x: x > 0)).alias("n_bins"),
+        F.aggregate("c", zero, lambda acc, x: acc + x).alias("n_bytes"),
+        F.aggregate(F.transform("c", lambda x, i: x * i), zero, lambda acc, x: acc + x).alias("moment"),
+    )
 
 
 def q_unigram_vector(spark, sf_dir):
     out = tf.unigram_vectors(_features(spark, sf_dir))
-    return out.select(S.SESSION_ID, *[f"{f}_unigram" for f in S.TEXT_FIELDS])
+    return _unigram_digest(spark, sf_dir, out.select(S.SESSION_ID, *[F.col(f"{f}_unigram").alias(f"{f}_v") for f in S.TEXT_FIELDS]))
 
 
 def q_unigram_wide(spark, sf_dir):
-    return tf.unigram_wide(_features(spark, sf_dir))
+    wide = tf.unigram_wide(_features(spark, sf_dir))
+    arrays = [F.array(*[f"{f}_u{i}" for i in range(S.UNIGRAM_BINS)]).alias(f"{f}_v") for f in S.TEXT_FIELDS]
+    return _unigram_digest(spark, sf_dir, wide.select(S.SESSION_ID, *arrays))
 
 
 def q_quarantine(spark, sf_dir):
+    """Per reason the number of quarantined files, with the rows read."""
     base = scratch_path(spark, "flowlens-fixtures", uuid.uuid4().hex)
     recs = _sessions(spark, sf_dir)
     recs.repartition(4).write.parquet(f"{base}/in")
-    # One more file whose start_time arrives as text (a producer bug).
+    # Two more files whose start_time arrives as text (a producer bug).
     bad = recs.withColumn("session", F.col("session").withField("start_time", F.col("session.start_time").cast("string")))
-    bad.coalesce(1).write.mode("append").parquet(f"{base}/in/bad")
+    bad.repartition(2).write.mode("append").parquet(f"{base}/in/bad files")
     good, report = src.read_valid_sessions(spark, f"{base}/in")
-    n_good = good.agg(F.count(F.lit(1)).alias("n")).collect()[0]["n"]
-    return report.unionByName(
-        spark.createDataFrame([("valid-rows", True, str(n_good))], "path string, ok boolean, reason string")
-    )
+    read = good.agg(F.count(F.lit(1)).alias("rows_read"), F.countDistinct(S.SESSION_ID).alias("sessions_read"))
+    return report.groupBy("reason").agg(F.count(F.lit(1)).alias("n_files")).join(F.broadcast(read))
 
 
 def _alert_table(spark, sf_dir) -> str:
@@ -394,18 +422,18 @@ def q_training_set(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-def _time_chunks(spark, df: DataFrame, time_col, base: str, chunks: int = 6) -> str:
-    """Stage ``df`` as ``chunks`` files in event-time order (written one
-    after another, so file modification order follows time).  The input is
-    checkpointed first so its lineage runs once, not once per chunk."""
-    scratch_path(spark)  # make sure a checkpoint folder is registered
-    df = df.checkpoint(eager=True)
+def _time_chunks(spark, df: DataFrame, time_col, base: str, chunks: int = 6, files: int = 2) -> str:
+    """Stage ``df`` as ``chunks`` folders of at most ``files`` files in
+    event-time order (written one after another, so file modification order
+    follows time).  The input is staged first so its lineage runs once, not
+    once per chunk."""
+    df = staged(df, "chunks")
     bounds = df.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).collect()[0]
     lo, hi = int(bounds["lo"]), int(bounds["hi"])
     step = (hi - lo) // chunks + 1
     for i in range(chunks):
         part = df.filter((time_col >= F.lit(lo + i * step)) & (time_col < F.lit(lo + (i + 1) * step)))
-        part.coalesce(1).write.parquet(f"{base}/in/chunk={i:03d}")
+        part.repartition(files).write.parquet(f"{base}/in/chunk={i:03d}")
     return f"{base}/in"
 
 
@@ -427,7 +455,7 @@ def q_stream_correlation(spark, sf_dir):
     base = scratch_path(spark, "flowlens-stream", uuid.uuid4().hex)
     hot = score_filter(_features(spark, sf_dir)).select(*det.ALERT_INPUT)
     src_dir = _time_chunks(spark, hot, F.col("start_time"), base)
-    stream = spark.readStream.schema(hot.schema).option("maxFilesPerTrigger", 1).parquet(src_dir)
+    stream = spark.readStream.schema(hot.schema).option("maxFilesPerTrigger", 2).parquet(src_dir)
     stream = stream.select(*hot.columns)  # drop the staging folders' partition column
     start_correlation(spark, stream, f"{base}/work").awaitTermination()
     flush_correlation(spark, f"{base}/work")
@@ -440,19 +468,57 @@ def q_stream_alerts(spark, sf_dir):
 
     base = scratch_path(spark, "flowlens-stream", uuid.uuid4().hex)
     src_dir = _time_chunks(spark, _sessions(spark, sf_dir), F.col("session.start_time"), base)
-    q = start_detection(spark, src_dir, f"{base}/work", trigger=None, max_files_per_trigger=1)
+    q = start_detection(spark, src_dir, f"{base}/work", trigger=None, max_files_per_trigger=2)
     q.awaitTermination()
     flush_detection(spark, f"{base}/work")
     return _alert_view(read_alerts(spark, f"{base}/work/alerts"))
 
 
+def q_alert_json_sink(spark, sf_dir):
+    """Alerts written as JSON lines (twice: a retry replaces itself) and read
+    back as history with their own alert time."""
+    from flowlens.sources.alerts import read_alert_documents, write_alerts_json
+
+    path = scratch_path(spark, "flowlens-alerts", uuid.uuid4().hex)
+    first = al.first_alert_per_pair(_confirmed(spark, sf_dir).drop("hit_count"))
+    alerts = al.build_alerts(first, alert_ts=F.timestamp_millis(F.col("start_time")), batch_id=0)
+    write_alerts_json(alerts, path)
+    write_alerts_json(alerts, path)
+    back = read_alert_documents(spark, path, lines=True)
+    return al.flatten_alerts(back).withColumn("alert_ms", F.unix_millis("alert_ts")).drop("alert_ts")
+
+
+def q_alert_drop(spark, sf_dir):
+    """The alert table after its expired date partitions were removed."""
+    import datetime as dt
+
+    from flowlens.sources.alerts import drop_old_alerts, read_alerts
+
+    path = _alert_table(spark, sf_dir)
+    drop_old_alerts(spark, path, dt.datetime.fromisoformat(HISTORY_CUT), minutes=60)
+    return _alert_view(read_alerts(spark, path))
+
+
+def q_alert_export_stream(spark, sf_dir):
+    """The alert table exported by a stream in two runs; the second finds
+    nothing new."""
+    from flowlens.sources.alerts import export_alerts, read_alert_documents
+
+    path = _alert_table(spark, sf_dir)
+    base = scratch_path(spark, "flowlens-stream", uuid.uuid4().hex)
+    for _ in range(2):
+        export_alerts(spark, path, f"{base}/out", f"{base}/ckpt").awaitTermination()
+    back = read_alert_documents(spark, f"{base}/out", lines=True)
+    return al.flatten_alerts(back).withColumn("alert_ms", F.unix_millis("alert_ts")).drop("alert_ts")
+
+
 def q_stream_cooldown(spark, sf_dir):
     from flowlens.streaming.detect import start_cooldown
 
     base = scratch_path(spark, "flowlens-stream", uuid.uuid4().hex)
     confirmed = _confirmed(spark, sf_dir).drop("hit_count")
     src_dir = _time_chunks(spark, confirmed, F.col("start_time"), base)
-    stream = spark.readStream.schema(confirmed.schema).option("maxFilesPerTrigger", 1).parquet(src_dir)
+    stream = spark.readStream.schema(confirmed.schema).option("maxFilesPerTrigger", 2).parquet(src_dir)
     stream = stream.select(*confirmed.columns)
     # State keyed by pair: a handful of pairs here, so a few state partitions.
     q = start_cooldown(spark, stream, f"{base}/out", f"{base}/ckpt", state_partitions=8)
@@ -469,6 +535,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quarantine": q_quarantine,
     "write_alerts": q_write_alerts,
     "alert_history": q_alert_history,
+    "alert_json_sink": q_alert_json_sink,
+    "alert_drop": q_alert_drop,
+    "alert_export_stream": q_alert_export_stream,
     "training_set": q_training_set,
     "stream_features": q_stream_features,
     "stream_correlation": q_stream_correlation,
@@ -611,8 +680,7 @@ def _oracles() -> dict[str, str]:
             "build_alerts": Q.with_sessions(Q.alert_view("first_pair"), conf + ",\n" + Q.first_cte()),
             "alert_retention": Q.with_sessions(
                 Q.alert_view(
-                    f"(SELECT * FROM confirmed WHERE start_time < {Q.ms(COOLDOWN_NOW)} "
-                    f"AND start_time >= {Q.ms(COOLDOWN_NOW)} - {S.ALERT_RETENTION_MINUTES} * 60000)"
+                    f"(SELECT * FROM confirmed WHERE start_time >= {Q.ms(COOLDOWN_NOW)} - 1440 * 60000)"
                 ),
                 conf,
             ),
@@ -620,6 +688,20 @@ def _oracles() -> dict[str, str]:
                 Q.alert_view(f"(SELECT * FROM confirmed WHERE start_time > {Q.ms(EXPORT_MARKER)})"), conf
             ),
             "detect_alerts": Q.with_sessions(Q.alert_view("first_pair"), conf + ",\n" + Q.first_cte()),
+            "stream_alerts": Q.with_sessions(Q.alert_view("alerting"), conf + ",\n" + Q.cooldown_cte(), recursive=True),
+            "alert_json_sink": Q.with_sessions(Q.document_view("first_pair"), conf + ",\n" + Q.first_cte()),
+            "alert_export_stream": Q.with_sessions(Q.document_view("first_pair"), conf + ",\n" + Q.first_cte()),
+            "alert_drop": Q.with_sessions(
+                Q.alert_view("(SELECT * FROM first_pair WHERE start_time >= epoch_ms(TIMESTAMP '2024-01-02 00:00:00'))"),
+                conf + ",\n" + Q.first_cte(),
+            ),
+            "unigram_vector": Q.with_sessions(Q.unigram_digest_sql(), feat_cte),
+            "unigram_wide": Q.with_sessions(Q.unigram_digest_sql(), feat_cte),
+            "assemble_features": Q.with_sessions(Q.assembled_sql(), feat_cte),
+            "quarantine": Q.with_sessions(
+                "SELECT 'session.start_time: string != bigint' AS reason, CAST(2 AS BIGINT) AS n_files, count(*) AS rows_read, "
+                "count(DISTINCT session_id) AS sessions_read FROM sessions"
+            ),
             "stage_counts": Q.with_sessions(
                 f"SELECT 'sessions' AS stage, count(*) AS n_rows FROM sessions UNION ALL "
                 f"SELECT 'http', count(*) FILTER (WHERE {Q.HTTP_WHERE}) FROM sessions UNION ALL "

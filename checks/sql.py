@@ -25,11 +25,11 @@ def flag(col: str, letter: str) -> str:
     return f"CASE WHEN contains({col}, '{letter}') THEN 1 ELSE 0 END"
 
 
-def with_sessions(body: str, extra_ctes: str = "") -> str:
+def with_sessions(body: str, extra_ctes: str = "", recursive: bool = False) -> str:
     ctes = f"sessions AS ({duckdb_sessions_sql()})"
     if extra_ctes:
         ctes += ",\n" + extra_ctes
-    return f"WITH {ctes}\n{body}"
+    return f"WITH {'RECURSIVE ' if recursive else ''}{ctes}\n{body}"
 
 
 HTTP_WHERE = "lower(session_protocol) = 'http'"
@@ -196,6 +196,45 @@ def alert_view(source: str) -> str:
     )
 
 
+def document_view(source: str) -> str:
+    """``alert_view`` without the columns that alert documents do not have."""
+    return f"SELECT * EXCLUDE (session_id, start_time) FROM ({alert_view(source)})"
+
+
+def cooldown_cte(source: str = "confirmed") -> str:
+    """``alerting``: per pair the first confirmed row, then each time the
+    first one more than 24 h (86,400,000 ms) after the last alert."""
+    pair = "n.src_ip IS NOT DISTINCT FROM {0}.src_ip AND n.dst_ip IS NOT DISTINCT FROM {0}.dst_ip"
+    return (
+        f"ranked AS (SELECT * EXCLUDE (hit_count), row_number() OVER (PARTITION BY src_ip, dst_ip ORDER BY start_time, session_id) AS rn FROM {source}),\n"
+        "chained AS (SELECT c.*, (SELECT min(n.rn) FROM ranked n WHERE " + pair.format("c") + " AND n.start_time > c.start_time + 86400000) AS next_rn FROM ranked c),\n"
+        "alerting AS (SELECT * FROM chained WHERE rn = 1 UNION ALL SELECT n.* FROM alerting a JOIN chained n ON " + pair.format("a") + " AND n.rn = a.next_rn)"
+    )
+
+
+#: The model's numeric inputs and text fields, written out here so that a
+#: wrong name in the library cannot agree with itself.
+TEXT = ["http_host", "http_get", "http_content_type", "user_agent", "http_server"]
+
+
+def unigram_digest_sql() -> str:
+    parts = " UNION ALL ".join(f"SELECT session_id, '{f}' AS field, COALESCE({f}, '') AS txt FROM feat" for f in TEXT)
+    return (
+        "SELECT session_id, field, CAST(len(list_distinct(hs)) AS INTEGER) AS n_bins, CAST(len(hs) AS BIGINT) AS n_bytes, "
+        "CAST(coalesce(list_sum(list_transform(hs, lambda h: CAST('0x' || h AS INTEGER))), 0) AS BIGINT) AS moment "
+        f"FROM (SELECT session_id, field, regexp_extract_all(hex(encode(txt)), '[0-9A-F]{{2}}') AS hs FROM ({parts}))"
+    )
+
+
+def assembled_sql() -> str:
+    scalars = " + ".join(impute_sql(c) for c in S.NUMERIC_MODEL_FEATURES)
+    texts = " + ".join(f"length(coalesce({f}, '')) + {entropy_sql(coalesce_empty(f))}" for f in TEXT)
+    bins = " + ".join(f"len(list_distinct(regexp_extract_all(hex(encode(coalesce({f}, ''))), '[0-9A-F]{{2}}')))" for f in TEXT)
+    return (
+        f"SELECT session_id, 1337 AS width, round({scalars} + {texts}, 4) AS scalar_total, CAST({bins} AS INTEGER) AS n_bins FROM feat"
+    )
+
+
 def ms(ts: str) -> str:
     return f"epoch_ms(TIMESTAMP '{ts}')"
 

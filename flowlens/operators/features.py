@@ -55,8 +55,8 @@ def _flow_columns() -> list[tuple[str, Column]]:
     return [
         ("src_ip", F.col("network.src_ip")),
         ("dst_ip", F.col("network.dst_ip")),
-        ("src_port", F.col("transport.src_port").cast("int")),
-        ("dst_port", F.col("transport.dst_port").cast("int")),
+        ("src_port", F.col("transport.src_port").try_cast("int")),
+        ("dst_port", F.col("transport.dst_port").try_cast("int")),
         ("protocol", F.col("transport.protocol")),
         ("Flow_Duration", s("duration")),
         ("Total_Fwd_Packets", tx_p),

@@ -10,11 +10,13 @@ quality.
 
 from __future__ import annotations
 
+import json
+
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -58,12 +60,14 @@ def train_forest(
         inputs.unpersist()
 
 
-def load_model(path: str):
-    """L1: load a fitted model (a ``PipelineModel`` or a single forest)."""
-    try:
-        return PipelineModel.load(path)
-    except Exception:  # noqa: BLE001 - fall back to a bare forest model
-        return RandomForestClassificationModel.load(path)
+def load_model(spark: SparkSession, path: str):
+    """L1: load a fitted model: a ``PipelineModel`` or a single forest,
+    whichever the saved metadata names."""
+    kind = json.loads(spark.read.text(f"{path}/metadata").first()[0])["class"].rsplit(".", 1)[-1]
+    kinds = {c.__name__: c for c in (PipelineModel, RandomForestClassificationModel)}
+    if kind not in kinds:
+        raise ValueError(f"{path} holds a {kind}, not one of {', '.join(kinds)}")
+    return kinds[kind].load(path)
 
 
 def score_sessions(features: DataFrame, model) -> DataFrame:

@@ -51,24 +51,18 @@ def unigram_long(df: DataFrame, key: str = S.SESSION_ID, fields: list[str] = S.T
     per byte value present.  Built row-locally from the byte counts, so it
     needs no shuffle."""
     counted = with_byte_counts(df.select(key, *fields), fields)
+    # only the byte values present leave the array: about 50 rows a session,
+    # not 256 per field
+    present = lambda f: F.filter(
+        F.transform(f"{f}_bytes", lambda n, i: F.struct(i.cast("int").alias("byte_value"), n.cast("bigint").alias("byte_count"))),
+        lambda x: x["byte_count"] > 0,
+    )
     per_field = F.array(
-        *[
-            F.struct(
-                F.lit(f).alias("field"),
-                F.col(f"{f}_bytes").alias("counts"),
-                F.octet_length(F.col(f)).cast("bigint").alias("total"),
-            )
-            for f in fields
-        ]
+        *[F.struct(F.lit(f).alias("field"), present(f).alias("cells"), F.octet_length(F.col(f)).cast("bigint").alias("total")) for f in fields]
     )
-    long = counted.select(key, F.inline(per_field))
-    cells = long.select(key, "field", "total", F.posexplode("counts").alias("byte_value", "byte_count"))
-    return cells.filter(F.col("byte_count") > 0).select(
-        key,
-        "field",
-        F.col("byte_value").cast("int").alias("byte_value"),
-        F.col("byte_count").cast("bigint").alias("byte_count"),
-        (F.col("byte_count") / F.col("total")).alias("frequency"),
+    long = counted.select(key, F.inline(per_field)).filter(F.size("cells") > 0)
+    return long.select(key, "field", "total", F.inline("cells")).select(
+        key, "field", "byte_value", "byte_count", (F.col("byte_count") / F.col("total")).alias("frequency")
     )
 
 

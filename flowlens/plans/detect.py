@@ -1,7 +1,8 @@
 """Batch detection: sessions -> features -> score -> correlate -> alerts.
 
-One lazy Catalyst plan up to the sink: no ``collect``/``toPandas``, no
-re-alignment of rows by position, and every input row is read once.
+One lazy Catalyst plan up to the sink: no ``collect``/``toPandas`` and no
+re-alignment of rows by position.  Without a model the input is scanned twice,
+the second time narrowly (key and time of the rows above the threshold).
 
 Order of the alert steps: confirmed sessions are first reduced to one row per
 pair (a map-side partial aggregate), and only then compared with the alert
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 
 from .. import schema as S
-from ..config import checkpoint_dir
+from ..config import staged
 from ..operators.alerts import alert_cooldown, build_alerts, first_alert_per_pair, suppress_known
 from ..operators.correlate import temporal_correlation
 from ..operators.features import session_features
@@ -40,6 +41,7 @@ def confirmed_sessions(
     window_ms: int = S.CORRELATION_WINDOW_MS,
     repeat_threshold: int = S.REPEAT_THRESHOLD,
     materialize: bool | None = None,
+    bucket_ms: int = 1000,
 ) -> DataFrame:
     """Scored sessions above ``threshold`` that repeat on their destination
     (narrow: only the columns an alert needs, plus ``hit_count``).
@@ -53,9 +55,8 @@ def confirmed_sessions(
     """
     hot = score_filter(scored_sessions(sessions, model), threshold).select(*ALERT_INPUT)
     if materialize if materialize is not None else model is not None:
-        checkpoint_dir(hot.sparkSession)
-        hot = hot.checkpoint(eager=True)
-    return temporal_correlation(hot, window_ms, repeat_threshold)
+        hot = staged(hot, "hot-sessions")
+    return temporal_correlation(hot, window_ms, repeat_threshold, bucket_ms=bucket_ms)
 
 
 def detect_alerts(
@@ -70,18 +71,21 @@ def detect_alerts(
     alert_ts: Column | None = None,
     batch_id: int | Column | None = None,
     materialize: bool | None = None,
+    bucket_ms: int = 1000,
+    writer: str = "batch",
 ) -> DataFrame:
     """End-to-end batch detection returning alert rows (``ALERT_ROW``).
 
     ``history`` (alert rows or any frame with ``src_ip``/``dst_ip``) suppresses
     known pairs; with ``now`` and ``cooldown_minutes`` only alerts inside the
-    cool-down window suppress.
+    cool-down window suppress.  ``bucket_ms`` (see ``operators.correlate``)
+    can be lowered for a destination with extreme traffic in one second.
     """
-    confirmed = confirmed_sessions(sessions, model, threshold, window_ms, repeat_threshold, materialize)
+    confirmed = confirmed_sessions(sessions, model, threshold, window_ms, repeat_threshold, materialize, bucket_ms)
     first = first_alert_per_pair(confirmed.drop("hit_count"))
     if history is not None:
         if now is not None and cooldown_minutes is not None:
             first = alert_cooldown(first, history, now, cooldown_minutes)
         else:
             first = suppress_known(first, history)
-    return build_alerts(first, alert_ts, batch_id)
+    return build_alerts(first, alert_ts, batch_id, writer)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..operators.alerts import first_alert_per_pair
+from ..config import staged
 from ..operators.correlate import temporal_correlation
 
 
@@ -26,35 +26,31 @@ def stage_counts(sessions: DataFrame, threshold: float = S.DEFAULT_THRESHOLD) ->
     """(stage, n_rows): input sessions, HTTP sessions, above the threshold,
     confirmed by correlation, and distinct alert pairs.
 
-    The first three come from one conditional aggregate over the input; the
-    last two from the correlation plan.
+    The first three are observations on the one job that reads the input and
+    stages the narrow rows above the threshold; the last two come from one
+    correlation over those, reduced to a count per pair.
     """
-    is_http = F.lower(F.col("session.protocol")) == F.lit("http")
-    hot = is_http & (F.col(S.SCORE) > F.lit(float(threshold)))
-    one_pass = sessions.agg(
-        F.count(F.lit(1)).alias("sessions"),
-        F.count_if(F.coalesce(is_http, F.lit(False))).alias("http"),
-        F.count_if(F.coalesce(hot, F.lit(False))).alias("above_threshold"),
-    )
-    early = one_pass.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(n).alias("stage"), F.col(n).cast("bigint").alias("n_rows"))
-                    for n in ("sessions", "http", "above_threshold")
-                ]
-            )
-        )
-    )
-    flat = sessions.filter(hot).select(
+    is_http = F.coalesce(F.lower(F.col("session.protocol")) == F.lit("http"), F.lit(False))
+    is_hot = is_http & F.coalesce(F.col(S.SCORE) > F.lit(float(threshold)), F.lit(False))
+    obs = Observation()
+    flat = sessions.select(
         S.SESSION_ID,
         F.col("network.src_ip").alias("src_ip"),
         F.col("network.dst_ip").alias("dst_ip"),
         F.col("session.start_time").alias("start_time"),
+        is_http.alias("_http"),
+        is_hot.alias("_hot"),
+    ).observe(
+        obs,
+        F.count(F.lit(1)).alias("sessions"),
+        F.count_if("_http").alias("http"),
+        F.count_if("_hot").alias("above_threshold"),
     )
-    confirmed = temporal_correlation(flat).drop("hit_count")
-    n_conf = confirmed.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("confirmed").alias("stage"), "n_rows")
-    n_pairs = first_alert_per_pair(confirmed).agg(F.count(F.lit(1)).alias("n_rows")).select(
-        F.lit("alert_pairs").alias("stage"), "n_rows"
+    hot = staged(flat.filter("_hot").drop("_http", "_hot"), "hot-sessions")
+    early = [(n, int(obs.get[n])) for n in ("sessions", "http", "above_threshold")]
+    per_pair = temporal_correlation(hot).groupBy("src_ip", "dst_ip").agg(F.count(F.lit(1)).alias("n"))
+    totals = per_pair.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("confirmed"), F.count(F.lit(1)).alias("alert_pairs"))
+    late = totals.select(
+        F.inline(F.array(*[F.struct(F.lit(n).alias("stage"), F.col(n).cast("bigint").alias("n_rows")) for n in ("confirmed", "alert_pairs")]))
     )
-    return early.unionByName(n_conf).unionByName(n_pairs)
+    return sessions.sparkSession.createDataFrame(early, "stage string, n_rows bigint").unionByName(late)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
+from ..config import staged
 
 
 def session_schema(with_keys: bool = True) -> T.StructType:
@@ -32,9 +33,8 @@ def scan_sessions(
 
     When the files carry no ``session_id``, a stable one is derived from the
     fields that identify a session (addresses, ports, protocol, start time,
-    duration), so later steps never need row positions.  Hashing only these
-    keeps nested column pruning intact: a query that needs two fields still
-    reads two fields.  ``ignore_corrupt`` skips unreadable files
+    duration, sizes, HTTP payload), so later steps never need row positions; a
+    query that does not use the id does not read them.  ``ignore_corrupt`` skips unreadable files
     (``ignoreCorruptFiles``); type-mismatched files are caught up front by
     ``read_valid_sessions`` instead.
     """
@@ -51,7 +51,9 @@ def scan_sessions(
 
 
 def derived_session_id():
-    """``xxhash64`` over the identifying fields of a session record."""
+    """``xxhash64`` over the identifying fields of a session record, byte
+    counts and the HTTP payload included: sessions that differ only in their
+    URL get different ids, and so a fixed order among equal times."""
     return F.xxhash64(
         F.col("network.src_ip"),
         F.col("network.dst_ip"),
@@ -60,6 +62,9 @@ def derived_session_id():
         F.col("transport.protocol"),
         F.col("session.start_time"),
         F.col("session.duration"),
+        F.col("session.total_bytes"),
+        F.col("session.total_packets"),
+        F.col("payload"),
     )
 
 
@@ -82,32 +87,35 @@ def _leaf_types(st: T.StructType, prefix: str = "") -> dict[str, str]:
     return out
 
 
-_ARROW_TO_SPARK = {
-    "int64": "bigint",
-    "string": "string",
-    "large_string": "string",
-    "double": "double",
-    "int32": "int",
+#: Arrow types that Spark's Parquet reader turns into a declared type.
+_READABLE = {
+    "bigint": {"int8", "int16", "int32", "int64", "uint8", "uint16", "uint32"},
+    "int": {"int8", "int16", "int32", "uint8", "uint16"},
+    "double": {"float", "double", "int8", "int16", "int32"},
+    "string": {"string", "large_string", "binary", "large_binary"},
 }
 
 _REPORT = "path string, ok boolean, reason string"
 
 
 def validate_files(spark: SparkSession, path: str, schema: T.StructType = S.SESSION_WITH_KEYS) -> DataFrame:
-    """(path, ok, reason) per ``*.parquet`` file under ``path``.
+    """(path, ok, reason) per ``*.parquet`` file under ``path``; ``path`` is
+    the file's URI, as in ``_metadata.file_path``.
 
     Files are listed by Spark (``binaryFile`` without reading contents) and
     each executor reads only the footers of its files with pyarrow.  A file is
     bad when it is not readable Parquet or when a declared leaf column exists
-    with a different type.  Missing columns are fine (they read as NULL).
+    with a type that Spark does not widen to the declared one.  Missing
+    columns are fine (they read as NULL).
     """
     expected = _leaf_types(schema)
+    readable = dict(_READABLE)
     listing = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true")
         .load(path)
-        .select("path")
+        .select(F.col("_metadata.file_path").alias("path"))
     )
 
     def check(batches):
@@ -122,7 +130,8 @@ def validate_files(spark: SparkSession, path: str, schema: T.StructType = S.SESS
                 if pa.types.is_struct(fld.type):
                     out.update(leaves(fld.type, name + "."))
                 else:
-                    out[name] = _ARROW_TO_SPARK.get(str(fld.type), str(fld.type))
+                    kind = fld.type.value_type if pa.types.is_dictionary(fld.type) else fld.type
+                    out[name] = str(kind)
             return out
 
         for pdf in batches:
@@ -134,7 +143,9 @@ def validate_files(spark: SparkSession, path: str, schema: T.StructType = S.SESS
                     with fs.open_input_file(inner) as fh:
                         found = leaves(pq.read_schema(fh))
                     bad = [
-                        f"{k}: {found[k]} != {v}" for k, v in expected.items() if k in found and found[k] != v
+                        f"{k}: {found[k]} != {v}"
+                        for k, v in expected.items()
+                        if k in found and found[k] not in readable.get(v, {v})
                     ]
                     rows.append((p, not bad, "; ".join(bad) or None))
                 except Exception as e:  # noqa: BLE001 - report, never fail the batch
@@ -147,12 +158,12 @@ def validate_files(spark: SparkSession, path: str, schema: T.StructType = S.SESS
 def read_valid_sessions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(sessions from the valid files, report of the quarantined files).
 
-    Only file paths (metadata) reach the driver, never rows.
+    The report is staged once; the scan skips corrupt files and drops the
+    rows of any quarantined file by a join on the file's path, so neither rows
+    nor paths reach the driver however many files there are.
     """
-    report = validate_files(spark, path).cache()
-    good = [r["path"] for r in report.filter("ok").select("path").collect()]
+    report = staged(validate_files(spark, path), "file-report")
     quarantined = report.filter(~F.col("ok"))
-    if not good:
-        empty = spark.createDataFrame([], S.SESSION_WITH_KEYS)
-        return empty, quarantined
-    return scan_sessions(spark, *good), quarantined
+    rows = scan_sessions(spark, path, ignore_corrupt=True).withColumn("_file", F.col("_metadata.file_path"))
+    bad = quarantined.select(F.col("path").alias("_file"))
+    return rows.join(bad, "_file", "left_anti").drop("_file"), quarantined
