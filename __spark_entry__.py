@@ -291,42 +291,69 @@ def q_stage_counts(spark, sf_dir):
 
 
 def _labelled(features: DataFrame) -> DataFrame:
-    """Training labels from a stated rule: the stand-in score above the
-    threshold.  They describe the fixture only, not detection quality."""
-    return features.withColumn("label", (F.col(S.SCORE) > F.lit(S.DEFAULT_THRESHOLD)).cast("int"))
+    """Training labels from a stated rule over the model's inputs: more
+    packets sent than received.  They describe the stand-in records only, not
+    detection quality."""
+    return features.withColumn("label", (F.col("Total_Fwd_Packets") > F.col("Total_Backward_Packets")).cast("int"))
+
+
+def _held_out():
+    return F.pmod(F.xxhash64(S.SESSION_ID), F.lit(5)) == 0
 
 
 _MODELS: dict = {}
 
 
 def _forest(spark: SparkSession, sf_dir: str):
-    """A forest fitted on the stand-in sessions (fitted once per process)."""
-    from flowlens.operators.scoring import train_forest
+    """A forest fitted on four fifths of the stand-in sessions (fitted once
+    per process), saved and loaded."""
+    from flowlens.operators.scoring import load_model, train_forest
 
     key = (id(spark.sparkContext), sf_dir)
     if key not in _MODELS:
-        _MODELS[key] = train_forest(_labelled(_features(spark, sf_dir)), num_trees=10, max_depth=5)
+        rows = _labelled(_features(spark, sf_dir)).filter(~_held_out())
+        model = train_forest(rows, num_trees=10, max_depth=5, feature_subset="onethird")
+        path = scratch_path(spark, "flowlens-models", uuid.uuid4().hex)
+        model.write().overwrite().save(path)
+        _MODELS[key] = load_model(spark, path)
     return _MODELS[key]
 
 
 def q_train_forest(spark, sf_dir):
+    """All sessions scored: how many, how many scores are probabilities that
+    agree with the prediction, and whether the rule was learnt, judged by the
+    sessions that were held out."""
     from flowlens.operators.scoring import score_sessions
 
-    feats = _labelled(_features(spark, sf_dir))
-    model = _forest(spark, sf_dir)
-    path = scratch_path(spark, "flowlens-models", uuid.uuid4().hex)
-    model.write().overwrite().save(path)
-    from flowlens.operators.scoring import load_model
-
-    scored = score_sessions(feats, load_model(path))
-    return scored.select(S.SESSION_ID, "label", "prediction", S.SCORE)
+    scored = score_sessions(_labelled(_features(spark, sf_dir)), _forest(spark, sf_dir))
+    agrees = F.col(S.SCORE).between(0, 1) & ((F.col(S.SCORE) > 0.5).cast("int") == F.col("prediction"))
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_scored"),
+        F.count_if(agrees).alias("n_consistent"),
+        (F.avg(F.when(_held_out(), (F.col("prediction") == F.col("label")).cast("double"))) > 0.9).alias("learnt"),
+    )
 
 
 def q_score_sessions(spark, sf_dir):
+    """Every HTTP session scored once: its keys, and whether the score is a
+    probability that agrees with the prediction."""
     from flowlens.operators.scoring import score_sessions
 
     scored = score_sessions(_features(spark, sf_dir), _forest(spark, sf_dir))
-    return scored.select(S.SESSION_ID, "src_ip", "dst_ip", "start_time", "prediction", S.SCORE)
+    agrees = F.col(S.SCORE).between(0, 1) & ((F.col(S.SCORE) > 0.5).cast("int") == F.col("prediction"))
+    return scored.select(S.SESSION_ID, "src_ip", "dst_ip", "start_time", agrees.alias("consistent"))
+
+
+def q_detect_with_model(spark, sf_dir):
+    """Detection with the model's own scores: at least one alert, one per
+    pair, every score above the threshold."""
+    alerts = det.detect_alerts(_sessions(spark, sf_dir), model=_forest(spark, sf_dir))
+    flat = staged(al.flatten_alerts(alerts), "model-alerts")
+    return flat.agg(
+        (F.count(F.lit(1)) > 0).alias("any_alert"),
+        (F.count(F.lit(1)) == F.count_distinct(F.struct("src_ip", "dst_ip"))).alias("one_per_pair"),
+        (F.min("score") > 0.8).alias("above_threshold"),
+    )
 
 
 def q_assemble_features(spark, sf_dir):
@@ -529,6 +556,7 @@ def q_stream_cooldown(spark, sf_dir):
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "train_forest": q_train_forest,
     "score_sessions": q_score_sessions,
+    "detect_with_model": q_detect_with_model,
     "assemble_features": q_assemble_features,
     "unigram_vector": q_unigram_vector,
     "unigram_wide": q_unigram_wide,
@@ -698,6 +726,9 @@ def _oracles() -> dict[str, str]:
             "unigram_vector": Q.with_sessions(Q.unigram_digest_sql(), feat_cte),
             "unigram_wide": Q.with_sessions(Q.unigram_digest_sql(), feat_cte),
             "assemble_features": Q.with_sessions(Q.assembled_sql(), feat_cte),
+            "train_forest": Q.with_sessions("SELECT count(*) AS n_scored, count(*) AS n_consistent, TRUE AS learnt FROM feat", feat_cte),
+            "score_sessions": Q.with_sessions("SELECT session_id, src_ip, dst_ip, start_time, TRUE AS consistent FROM feat", feat_cte),
+            "detect_with_model": "SELECT TRUE AS any_alert, TRUE AS one_per_pair, TRUE AS above_threshold",
             "quarantine": Q.with_sessions(
                 "SELECT 'session.start_time: string != bigint' AS reason, CAST(2 AS BIGINT) AS n_files, count(*) AS rows_read, "
                 "count(DISTINCT session_id) AS sessions_read FROM sessions"

@@ -16,7 +16,9 @@ import sys
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -138,3 +140,46 @@ unigram_vector.__doc__ = (
     "Arrow UDF: 256 byte frequencies (count / total bytes) as ``ARRAY<FLOAT>``; "
     "all zeros for NULL or empty text."
 )
+
+
+def _text_entries(values: pd.Series, first: int, bins: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, index, value) of a field's model inputs: length and entropy at
+    ``first`` and ``first + 1``, the byte frequencies present from ``bins``."""
+    n = len(values)
+    rows = np.arange(n)
+    lengths = np.fromiter((len(v or "") for v in values), dtype=np.float64, count=n)
+    counts = _count_matrix(values)
+    row, byte = np.nonzero(counts)
+    totals = counts.sum(axis=1)
+    freqs = (counts[row, byte] / totals[row]).astype(np.float32).astype(np.float64)
+    return [
+        (rows, np.full(n, first), lengths),
+        (rows, np.full(n, first + 1), _entropies(values).to_numpy()),
+        (row, bins + byte, freqs),
+    ]
+
+
+def model_vector(numbers: Column, texts: list[Column], n_numbers: int) -> Column:
+    """One sparse ML vector: ``numbers`` (an array of ``n_numbers`` doubles),
+    then length and entropy per text, then 256 byte frequencies per text, of
+    which only those present are stored (about a tenth).  One Arrow round trip
+    for everything."""
+    width = n_numbers + (2 + UNIGRAM_BINS) * len(texts)
+    n_texts = len(texts)
+
+    @F.arrow_udf(VectorUDT())
+    def build(numbers: pa.Array, *texts: pa.Array) -> pa.Array:
+        n = len(numbers)
+        scalars = numbers.flatten().to_numpy(zero_copy_only=False)
+        parts = [(np.repeat(np.arange(n), n_numbers), np.tile(np.arange(n_numbers), n), scalars)]
+        for k, column in enumerate(texts):
+            parts += _text_entries(column.to_pandas(), n_numbers + 2 * k, n_numbers + 2 * n_texts + UNIGRAM_BINS * k)
+        row, index, value = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        order = np.argsort(row * width + index, kind="stable")
+        offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=n))]).astype(np.int32))
+        indices = pa.ListArray.from_arrays(offsets, pa.array(index[order].astype(np.int32)))
+        values = pa.ListArray.from_arrays(offsets, pa.array(value[order].astype(np.float64)))
+        kind, size = pa.array(np.zeros(n, dtype=np.int8)), pa.array(np.full(n, width, dtype=np.int32))
+        return pa.StructArray.from_arrays([kind, size, indices, values], names=["type", "size", "indices", "values"])
+
+    return build(numbers, *texts)

@@ -1,20 +1,18 @@
 """Model matrix: feature selection, imputation and vector assembly.
 
-The 1,337 model inputs stay compact: 57 scalar columns plus five 256-wide
-``ARRAY<FLOAT>`` columns, assembled into one ML vector with
-``array_to_vector(concat(...))`` -- no 1,280 ``withColumn`` calls and no
-schema wide enough to lose whole-stage codegen.
+The 1,337 model inputs are 57 scalars and five times 256 byte frequencies,
+assembled into one sparse ML vector in one Arrow round trip -- no 1,280
+``withColumn`` calls and no schema wide enough to lose whole-stage codegen.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.columns import impute
-from ..functions.text import text_entropy, text_flatten, text_length, unigram_vector
+from ..functions.text import model_vector, text_flatten
 from .text_features import text_features
 
 #: Scalar model inputs in model order: 41 flow/flag/entropy, 6 content-length,
@@ -54,15 +52,10 @@ def assemble_features(features: DataFrame, output: str = "features") -> DataFram
 
     Built from the flat session features in a single projection: imputed
     numeric features, then ``len``/``entropy`` per flattened text field, then
-    the five 256-bin unigram vectors.  Every input column is kept, so a model
-    ``transform`` carries the session through and no join by position or key
-    is needed afterwards.
+    the five 256-bin unigram vectors, as a sparse vector (most bins are zero).
+    Every input column is kept, so a model ``transform`` carries the session
+    through and no join by position or key is needed afterwards.
     """
-    fields = S.TEXT_FIELDS
-    flat = {f: text_flatten(F.col(f), features.schema[f].dataType) for f in fields}
-    scalars = [impute(F.col(c)) for c in S.NUMERIC_MODEL_FEATURES]
-    for f in fields:
-        scalars += [text_length(flat[f]).cast("double"), text_entropy(flat[f])]
-    unigrams = [unigram_vector(flat[f]).cast("array<double>") for f in fields]
-    vec = array_to_vector(F.concat(F.array(*scalars), *unigrams))
-    return features.withColumn(output, vec)
+    flat = [text_flatten(F.col(f), features.schema[f].dataType) for f in S.TEXT_FIELDS]
+    numbers = F.array(*[impute(F.col(c)) for c in S.NUMERIC_MODEL_FEATURES])
+    return features.withColumn(output, model_vector(numbers, flat, len(S.NUMERIC_MODEL_FEATURES)))

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import json
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -20,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..config import staged
 from .matrix import assemble_features
 
 
@@ -29,35 +29,48 @@ def score_filter(scored: DataFrame, threshold: float = S.DEFAULT_THRESHOLD) -> D
     return scored.filter(F.col(S.SCORE) > F.lit(float(threshold)))
 
 
+#: The most labelled rows that a forest is fitted to.
+TRAINING_ROWS = 200_000
+
+
 def train_forest(
     features: DataFrame,
     label_col: str = "label",
     num_trees: int = 20,
     max_depth: int = 6,
     seed: int = 42,
+    max_rows: int = TRAINING_ROWS,
+    feature_subset: str = "auto",
 ) -> RandomForestClassificationModel:
     """Fit a random forest on the assembled 1,337-wide feature vector.
 
     ``features`` is the output of ``session_features`` plus a 0/1 label
-    column.  Training is distributed by Spark ML (per-partition statistics,
-    tree-level aggregation); nothing is collected to the driver.
+    column.  At most about ``max_rows`` labelled rows are used, chosen by a
+    hash of the session id, so what training keeps in memory is bounded
+    however large the input.  Training is distributed by Spark ML
+    (per-partition statistics, tree-level aggregation); nothing is collected
+    to the driver.
     """
-    inputs = assemble_features(features).select("features", F.col(label_col).cast("double").alias(label_col))
+    labelled = features.filter(F.col(label_col).isNotNull())
+    share = min(1.0, max_rows / max(1, labelled.count()))
+    chosen = labelled if share == 1.0 else labelled.filter(F.pmod(F.xxhash64(S.SESSION_ID), F.lit(1 << 30)) < int(share * (1 << 30)))
+    inputs = assemble_features(chosen).select("features", F.col(label_col).cast("double").alias(label_col))
     rf = RandomForestClassifier(
         featuresCol="features",
         labelCol=label_col,
         numTrees=num_trees,
         maxDepth=max_depth,
         seed=seed,
+        featureSubsetStrategy=feature_subset,
     )
-    # The forest makes several passes (metadata, split finding, binning);
-    # keep the assembled matrix instead of re-deriving text features each
-    # time.  Lost cached blocks are recomputed from lineage.
-    inputs = inputs.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return rf.fit(inputs)
-    finally:
-        inputs.unpersist()
+    # The forest makes several passes (metadata, split finding, binning) over
+    # the bounded, sparse matrix; written once, it is neither derived again
+    # nor lost with an executor.
+    model = rf.fit(staged(inputs, "training"))
+    # The training summary holds the session, which cannot be shipped to
+    # executors once an observation was used in it; scoring needs no summary.
+    model._java_obj.setSummary(features.sparkSession._jvm.scala.Option.empty())
+    return model
 
 
 def load_model(spark: SparkSession, path: str):

@@ -107,7 +107,7 @@ def test_model_matrix_width_and_order(spark):
     rows = [session_row(1, http_host="a.example", user_agent="agent/é😀")]
     feats = feat.session_features(sessions_df(spark, rows))
     assert mx.model_features(feats).columns[2:] == S.MODEL_FEATURES
-    vec = mx.assemble_features(feats).select("features").collect()[0][0]
+    vec = mx.assemble_features(feats).select("features").collect()[0][0].toArray()
     assert vec.size == mx.MODEL_WIDTH == 1337
     # 47 numeric, then host_len, host_entropy: 'a.example' has 9 code points
     assert vec[47] == 9.0
