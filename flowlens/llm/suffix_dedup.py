@@ -4,8 +4,9 @@ A suffix is kept where it starts with a minimiser: the smallest hash of ``k``
 words among ``window`` consecutive places.  The choice depends on the words
 alone, so equal passages keep the same suffixes, about two in ``window + 1``.
 A suffix is ordered by the 96-bit hash of its first
-``min_words - window + 1`` words, so that every passage of ``min_words`` words holds a kept
-suffix whose whole prefix is inside it, and then by document and place.
+``min_words - window + 1`` words, so that every passage of ``min_words`` words
+holds a kept suffix whose whole prefix is inside it, then by the words after
+and before that, then by document and place.
 
 The suffixes are range-partitioned and sorted in that order.  A suffix equal to
 its neighbour of another document is a match; it is extended left and right
@@ -87,7 +88,7 @@ def suffixes(words: np.ndarray, k: int, window: int, size: int) -> tuple[np.ndar
 
 def suffix_array(docs: DataFrame, text: str, doc_id: str, k: int, window: int, size: int) -> DataFrame:
     """Rows of SUFFIX.  ``near``: one byte for each of the window - 1 words
-    before the prefix, the nearest first, then after it; 0 past the text."""
+    after the prefix, then before it, the nearest first; 0 past the text."""
     reach = window - 1
 
     def run(batches):
@@ -102,7 +103,7 @@ def suffix_array(docs: DataFrame, text: str, doc_id: str, k: int, window: int, s
                     padded[reach : reach + len(words)] = (words % np.uint64(255)).astype(np.uint8) + 1
                     before = at[:, None] + np.arange(reach - 1, -1, -1)
                     after = at[:, None] + reach + size + np.arange(reach)
-                    near.append(padded[np.concatenate([before, after], axis=1)])
+                    near.append(padded[np.concatenate([after, before], axis=1)])
                     places.append(at)
                     first.append(h)
                     second.append(g)
@@ -147,8 +148,8 @@ def _matches(h, g, doc, at, near, size: int) -> tuple[np.ndarray, np.ndarray, np
         equal = (h[fits] == h[other]) & (g[fits] == g[other])
         fits, other = fits[equal], other[equal]
         rows.append(fits)
-        starts.append(at[fits] - _agreement(near[fits, :reach], near[other, :reach]))
-        ends.append(at[fits] + size + _agreement(near[fits, reach:], near[other, reach:]))
+        starts.append(at[fits] - _agreement(near[fits, reach:], near[other, reach:]))
+        ends.append(at[fits] + size + _agreement(near[fits, :reach], near[other, :reach]))
     return np.concatenate(rows), np.concatenate(starts), np.concatenate(ends)
 
 
@@ -225,7 +226,9 @@ def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     """(doc_id, passages) of the documents that have any: array of
     (start, stop), in words, stop exclusive."""
     spark, size = docs.sparkSession, min_words - window + 1
-    order = ["h", "g", "doc", "at"]
+    # in order of the words after the prefix, then of those before it, so that
+    # neighbours are the suffixes that agree the furthest
+    order = ["h", "g", "near", "doc", "at"]
     array = staged(suffix_array(docs, text, doc_id, k, window, size), "suffixes")
     ranged = array.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
     found = staged(compare_neighbours(ranged, size, False), "suffix-matches")

@@ -19,7 +19,7 @@ def awkward(spark, extra: str = "", values: tuple = ()):
     """doc_id, text, lang, source and extra columns (a DDL string and their
     values): nulls, empty and very long texts, ties, repeated rows."""
     shared = "\n".join(["This line is shared by very many documents.", "  THIS line is Shared by very many documents.\t"])
-    long = "\n".join(prose(s, 400) for s in range(60))
+    long = "\n".join(prose(5000 + s, 400) for s in range(60))
     rows = [
         (1, "alpha beta\n" + shared, "en", "a"),
         (2, shared + "\n" + prose(2, 90), "en", None),

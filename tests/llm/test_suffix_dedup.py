@@ -41,15 +41,16 @@ def brute(rows, size=51):
     return out
 
 
-def check(got, want):
-    """All passages are found; a reported one may be longer by the words that
-    a one-byte hash cannot tell apart, or where passages of different
-    documents overlap."""
+def check(got, want, slack=9):
+    """All passages are found, in no other documents.  An end may be off by
+    less than the window: a one-byte hash can take one word for another, the
+    neighbour need not be the document that agrees furthest to the left, and
+    passages of different documents that overlap are one."""
     assert set(got) == set(want)
     for i, spans in want.items():
         for a, b in spans:
-            assert any(x <= a and b <= y and (y - x) - (b - a) <= 12 for x, y in got[i]), (i, spans, got[i])
-        assert sum(y - x for x, y in got[i]) <= sum(b - a for a, b in spans) + 12 * len(spans)
+            assert any(x <= a + slack and b - slack <= y for x, y in got[i]), (i, spans, got[i])
+        assert sum(y - x for x, y in got[i]) <= sum(b - a for a, b in spans) + 2 * slack * len(spans)
 
 
 def found(docs, **options):
@@ -93,6 +94,6 @@ def test_run_hashes_depend_on_the_words_alone():
 
 def test_whole_groups_need_no_edges(spark):
     docs = spark.createDataFrame(corpus(), "doc_id long, text string")
-    rows = suffix_array(docs, "text", "doc_id", 8, 10, 42).repartition(4, "h", "g").sortWithinPartitions("h", "g", "doc", "at")
+    rows = suffix_array(docs, "text", "doc_id", 8, 10, 42).repartition(4, "h", "g").sortWithinPartitions("h", "g", "near", "doc", "at")
     out = compare_neighbours(rows, 42, True)
     assert out.filter(F.col("start").isNull()).count() == 0 and out.count() > 0
