@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import staged, table
+from flowlens.llm.common import free_name, staged, table
 from flowlens.llm.decontaminate import find_contamination
 from flowlens.llm.jaccard_join import keep_one_of_each
 from flowlens.llm.line_dedup import dedup_lines
@@ -21,13 +21,17 @@ from flowlens.llm.packing import pack_documents
 from flowlens.llm.quality_rules import judge_quality
 
 
+def columns(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return judge_quality(docs).filter("kept").select(*docs.columns)
+    return judge_quality(docs).filter(F.col(free_name(docs.columns, "kept"))).select(*columns(docs))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = dedup_lines(docs)
-    return out.select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else c for c in docs.columns])
+    return out.select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +39,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return find_contamination(docs, table(spark, sf_dir, "benchmark")).filter("NOT contaminated").select(*docs.columns)
+    found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.filter(~F.col(free_name(docs.columns, "contaminated"))).select(*columns(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
