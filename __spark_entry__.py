@@ -540,17 +540,15 @@ def q_alert_export_stream(spark, sf_dir):
 
 
 def q_stream_cooldown(spark, sf_dir):
-    from flowlens.streaming.detect import start_cooldown
+    from flowlens.streaming.detect import cooldown_output, start_cooldown
 
     base = scratch_path(spark, "flowlens-stream", uuid.uuid4().hex)
     confirmed = _confirmed(spark, sf_dir).drop("hit_count")
     src_dir = _time_chunks(spark, confirmed, F.col("start_time"), base)
     stream = spark.readStream.schema(confirmed.schema).option("maxFilesPerTrigger", 2).parquet(src_dir)
     stream = stream.select(*confirmed.columns)
-    # State keyed by pair: a handful of pairs here, so a few state partitions.
-    q = start_cooldown(spark, stream, f"{base}/out", f"{base}/ckpt", state_partitions=8)
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    start_cooldown(spark, stream, f"{base}/out", f"{base}/ckpt").awaitTermination()
+    return cooldown_output(spark, f"{base}/out", confirmed.schema)
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -621,7 +619,7 @@ def _oracles() -> dict[str, str]:
         ),
         "http_filter": Q.with_sessions(f"SELECT session_id, src_ip, dst_ip, session_protocol {http}"),
         "content_length_stats": Q.with_sessions(
-            "SELECT session_id, http_content_length, " + ", ".join(S.CONTENT_LENGTH_FEATURES) + " FROM feat",
+            "SELECT session_id, http_content_length, " + ", ".join(Q.NUMERIC[41:]) + " FROM feat",
             Q.feature_cte(),
         ),
         "content_length_parse": Q.with_sessions(
@@ -641,7 +639,7 @@ def _oracles() -> dict[str, str]:
     feat_cte = Q.feature_cte()
     conf = Q.confirmed_cte()
     scan_sql = Q.with_sessions("SELECT * REPLACE (CAST(dst_port AS BIGINT) AS dst_port) FROM sessions")
-    flat_fields = ", ".join(f"COALESCE({f}, '') AS {f}" for f in S.TEXT_FIELDS)
+    flat_fields = ", ".join(f"COALESCE({f}, '') AS {f}" for f in Q.TEXT)
     feat_body = "SELECT * FROM feat"
     out.update(
         {
@@ -656,17 +654,17 @@ def _oracles() -> dict[str, str]:
             "scan_sessions": scan_sql,
             "union_sources": scan_sql,
             "model_features": Q.with_sessions(
-                "SELECT session_id, malicious_score, " + ", ".join(S.MODEL_FEATURES) + " FROM feat", feat_cte
+                "SELECT session_id, malicious_score, " + ", ".join(Q.NUMERIC[:41] + Q.TEXT + Q.NUMERIC[41:]) + " FROM feat", feat_cte
             ),
             "impute_features": Q.with_sessions(
                 "SELECT session_id, "
-                + ", ".join(f"{Q.impute_sql(c)} AS {c}" for c in S.NUMERIC_MODEL_FEATURES)
+                + ", ".join(f"{Q.impute_sql(c)} AS {c}" for c in Q.NUMERIC)
                 + " FROM feat",
                 feat_cte,
             ),
             "score_filter": Q.with_sessions(
                 "SELECT session_id, src_ip, dst_ip, start_time, malicious_score FROM feat "
-                f"WHERE malicious_score > CAST({S.DEFAULT_THRESHOLD} AS DOUBLE)",
+                f"WHERE malicious_score > CAST(0.8 AS DOUBLE)",
                 feat_cte,
             ),
             "session_time": Q.with_sessions(
@@ -676,17 +674,17 @@ def _oracles() -> dict[str, str]:
             "text_flatten": Q.with_sessions(f"SELECT session_id, {flat_fields} FROM feat", feat_cte),
             "text_length": Q.with_sessions(
                 "SELECT session_id, "
-                + ", ".join(f"CAST(length(COALESCE({f}, '')) AS INTEGER) AS {f}_len" for f in S.TEXT_FIELDS)
+                + ", ".join(f"CAST(length(COALESCE({f}, '')) AS INTEGER) AS {f}_len" for f in Q.TEXT)
                 + " FROM feat",
                 feat_cte,
             ),
             "text_entropy": Q.with_sessions(
                 "SELECT session_id, "
-                + ", ".join(f"round({Q.entropy_sql(Q.coalesce_empty(f))}, 9) AS {f}_entropy" for f in S.TEXT_FIELDS)
+                + ", ".join(f"round({Q.entropy_sql(Q.coalesce_empty(f))}, 9) AS {f}_entropy" for f in Q.TEXT)
                 + " FROM feat",
                 feat_cte,
             ),
-            "unigram_long": Q.with_sessions(Q.unigram_long_sql(S.TEXT_FIELDS), feat_cte),
+            "unigram_long": Q.with_sessions(Q.unigram_long_sql(Q.TEXT), feat_cte),
             "temporal_correlation": Q.with_sessions("SELECT * FROM confirmed", conf),
             "first_alert_per_pair": Q.with_sessions("SELECT * FROM first_pair", conf + ",\n" + Q.first_cte()),
             "malicious_summary": Q.with_sessions("SELECT src_ip, dst_ip, malicious_score FROM confirmed", conf),
@@ -701,7 +699,7 @@ def _oracles() -> dict[str, str]:
                 "SELECT * EXCLUDE (hit_count) FROM confirmed b "
                 f"WHERE b.start_time >= {Q.ms(COOLDOWN_NOW)} AND NOT EXISTS (SELECT 1 FROM confirmed h "
                 f"WHERE h.start_time < {Q.ms(COOLDOWN_NOW)} "
-                f"AND h.start_time >= {Q.ms(COOLDOWN_NOW)} - {S.ALERT_RETENTION_MINUTES} * 60000 "
+                f"AND h.start_time >= {Q.ms(COOLDOWN_NOW)} - 1440 * 60000 "
                 "AND h.src_ip IS NOT DISTINCT FROM b.src_ip AND h.dst_ip IS NOT DISTINCT FROM b.dst_ip)",
                 conf,
             ),
@@ -717,6 +715,7 @@ def _oracles() -> dict[str, str]:
             ),
             "detect_alerts": Q.with_sessions(Q.alert_view("first_pair"), conf + ",\n" + Q.first_cte()),
             "stream_alerts": Q.with_sessions(Q.alert_view("alerting"), conf + ",\n" + Q.cooldown_cte(), recursive=True),
+            "stream_cooldown": Q.with_sessions("SELECT * EXCLUDE (rn, next_rn) FROM alerting", conf + ",\n" + Q.cooldown_cte(), recursive=True),
             "alert_json_sink": Q.with_sessions(Q.document_view("first_pair"), conf + ",\n" + Q.first_cte()),
             "alert_export_stream": Q.with_sessions(Q.document_view("first_pair"), conf + ",\n" + Q.first_cte()),
             "alert_drop": Q.with_sessions(
@@ -737,7 +736,7 @@ def _oracles() -> dict[str, str]:
                 f"SELECT 'sessions' AS stage, count(*) AS n_rows FROM sessions UNION ALL "
                 f"SELECT 'http', count(*) FILTER (WHERE {Q.HTTP_WHERE}) FROM sessions UNION ALL "
                 f"SELECT 'above_threshold', count(*) FILTER (WHERE {Q.HTTP_WHERE} AND malicious_score > "
-                f"CAST({S.DEFAULT_THRESHOLD} AS DOUBLE)) FROM sessions UNION ALL "
+                f"CAST(0.8 AS DOUBLE)) FROM sessions UNION ALL "
                 "SELECT 'confirmed', count(*) FROM confirmed UNION ALL "
                 "SELECT 'alert_pairs', count(*) FROM first_pair",
                 conf + ",\n" + Q.first_cte(),

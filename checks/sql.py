@@ -7,9 +7,24 @@ from the same ``sessions`` stand-in view as the Spark side.
 
 from __future__ import annotations
 
-from flowlens import schema as S
 from flowlens.sources.fixture import duckdb_sessions_sql
 
+# Fixed values, written out here (not taken from the library), so that a wrong
+# name, order or constant there cannot agree with itself.
+FLAGS = [("FIN", "F"), ("SYN", "S"), ("RST", "R"), ("PSH", "P"), ("ACK", "A"), ("URG", "U"), ("CWE", "C"), ("ECE", "E")]
+PAYLOAD = ["http_host", "http_get", "http_content_type", "user_agent", "http_server", "http_content_length"]
+NUMERIC = (
+    "Flow_Duration Total_Fwd_Packets Total_Backward_Packets Fwd_Packets_Length_Total Bwd_Packets_Length_Total "
+    "Fwd_Packet_Length_Max Bwd_Packet_Length_Max Fwd_Packet_Length_Mean Bwd_Packet_Length_Mean "
+    "Flow_Bytes_per_s Flow_Packets_per_s Flow_IAT_Mean Flow_IAT_Std Fwd_IAT_Mean Fwd_IAT_Std Bwd_IAT_Mean Bwd_IAT_Std "
+    "Fwd_Packets_per_s Bwd_Packets_per_s Packet_Length_Max Packet_Length_Mean Packet_Length_Std Packet_Length_Variance "
+    "Down_Up_Ratio Avg_Packet_Size Avg_Fwd_Segment_Size Avg_Bwd_Segment_Size "
+    "Fwd_PSH_Flag_Count Bwd_PSH_Flag_Count Fwd_URG_Flag_Count Bwd_URG_Flag_Count "
+    "FIN_Flag_Count SYN_Flag_Count RST_Flag_Count PSH_Flag_Count ACK_Flag_Count URG_Flag_Count CWE_Flag_Count ECE_Flag_Count "
+    "request_body_entropy response_body_entropy "
+    "content_len_min content_len_max content_len_sum content_len_count content_len_mean content_len_std"
+).split()
+
 D = "CAST({} AS DOUBLE)"
 
 
@@ -91,16 +106,16 @@ def flow_exprs() -> list[tuple[str, str]]:
 def flag_exprs() -> list[tuple[str, str]]:
     out = []
     for side, col in (("Fwd", "src_flags"), ("Bwd", "dst_flags")):
-        for name, letter in S.FLAG_LETTERS:
+        for name, letter in FLAGS:
             out.append((f"{side}_{name}_Flag_Count", flag(col, letter)))
-    for name, letter in S.FLAG_LETTERS:
+    for name, letter in FLAGS:
         out.append((f"{name}_Flag_Count", f"({flag('src_flags', letter)}) + ({flag('dst_flags', letter)})"))
     return out
 
 
 def http_exprs() -> list[tuple[str, str]]:
     out = [("request_body_entropy", "client_entropy"), ("response_body_entropy", "server_entropy")]
-    out += [(f.name, f.name) for f in S.PAYLOAD.fields]
+    out += [(n, n) for n in PAYLOAD]
     out.append(("start_time", "start_time"))
     return out
 
@@ -156,7 +171,7 @@ def entropy_sql(col: str) -> str:
     )
 
 
-def hot_cte(threshold: float = S.DEFAULT_THRESHOLD) -> str:
+def hot_cte(threshold: float = 0.8) -> str:
     """``hot``: HTTP sessions above the score threshold (alert columns)."""
     return (
         "hot AS (SELECT session_id, src_ip, dst_ip, CAST(src_port AS INTEGER) AS src_port, "
@@ -165,7 +180,7 @@ def hot_cte(threshold: float = S.DEFAULT_THRESHOLD) -> str:
     )
 
 
-def confirmed_cte(window_ms: int = S.CORRELATION_WINDOW_MS, repeat: int = S.REPEAT_THRESHOLD) -> str:
+def confirmed_cte(window_ms: int = 600_000, repeat: int = 3) -> str:
     """``confirmed``: the ordered trailing-window count restated with window
     functions (range frame minus the later peers at the same instant)."""
     return (
@@ -189,9 +204,9 @@ def alert_view(source: str) -> str:
     """Flat alert rows built from ``source`` (stamped at the session start)."""
     return (
         f"SELECT 'http' AS protocol, Flow_Duration AS session_duration, src_ip, dst_ip, src_port, dst_port, "
-        f"malicious_score AS score, '{S.ALERT_RULE_NAME}' AS rule_name, '{S.ALERT_TYPE}' AS alert_type, "
-        f"'{S.ALERT_CATEGORY}' AS alert_category, {S.ALERT_PRIORITY} AS priority, "
-        f"'{S.ALERT_DESCRIPTION}' AS alert_description, session_id, start_time, start_time AS alert_ms "
+        "malicious_score AS score, 'ML HTTP_TUNNEL Alert' AS rule_name, 'http-tunnel' AS alert_type, "
+        "'Suspicious tunnelling Anomaly' AS alert_category, 1 AS priority, "
+        "'HTTP tunnel  Anomaly' AS alert_description, session_id, start_time, start_time AS alert_ms "
         f"FROM {source}"
     )
 
@@ -227,7 +242,7 @@ def unigram_digest_sql() -> str:
 
 
 def assembled_sql() -> str:
-    scalars = " + ".join(impute_sql(c) for c in S.NUMERIC_MODEL_FEATURES)
+    scalars = " + ".join(impute_sql(c) for c in NUMERIC)
     texts = " + ".join(f"length(coalesce({f}, '')) + {entropy_sql(coalesce_empty(f))}" for f in TEXT)
     bins = " + ".join(f"len(list_distinct(regexp_extract_all(hex(encode(coalesce({f}, ''))), '[0-9A-F]{{2}}')))" for f in TEXT)
     return (

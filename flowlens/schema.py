@@ -10,6 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# --------------------------------------------------------------------------
+# Fixed values that must equal the original detector's (do not edit).
+# --------------------------------------------------------------------------
+
 # --------------------------------------------------------------------------
 # Input: one row per network session, four nested structs.
 # Times are epoch milliseconds (BIGINT); entropies arrive as integers.
@@ -89,7 +93,7 @@ SESSION_WITH_KEYS = T.StructType(
 )
 
 # --------------------------------------------------------------------------
-# Fixed values that must equal the original detector's (do not edit).
+# Feature names and detector constants.
 # --------------------------------------------------------------------------
 
 # Text fields that get length, entropy and byte-frequency features, in order.

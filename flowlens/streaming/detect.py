@@ -11,7 +11,8 @@
   the original service loop is a processing-time trigger, or ``run_detection``
   called every five minutes.
 * ``cooldown_stream``: the cool-down as a pure streaming operator
-  (``dropDuplicatesWithinWatermark`` on the pair, 24 h event-time watermark).
+  (``dropDuplicatesWithinWatermark`` on the pair, 24 h event-time watermark);
+  ``start_cooldown``: the exact rule, batch by batch.
 """
 
 from __future__ import annotations
@@ -20,14 +21,17 @@ import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schema as S
+from ..config import staged
 from ..operators.alerts import build_alerts, cooldown_alerts, utc_date
 from ..operators.features import session_features
 from ..operators.scoring import score_filter, score_sessions
 from ..plans.detect import ALERT_INPUT
 from ..sources.alerts import read_alerts, write_alerts
+from ..sources.files import path_exists
 from ..sources.sessions import derived_session_id
 from .correlate import CorrelationState, batch_version, correlate_batch, flush_version
 
@@ -209,6 +213,13 @@ def cooldown_stream(confirmed: DataFrame, minutes: int = S.ALERT_RETENTION_MINUT
     )
 
 
+def cooldown_output(spark: SparkSession, output_dir: str, schema) -> DataFrame:
+    """What ``start_cooldown`` let through (no rows before the first batch)."""
+    if not path_exists(spark, output_dir):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(output_dir).drop("version")
+
+
 def start_cooldown(
     spark: SparkSession,
     confirmed: DataFrame,
@@ -216,29 +227,25 @@ def start_cooldown(
     checkpoint_location: str,
     minutes: int = S.ALERT_RETENTION_MINUTES,
     trigger: str | None = None,
-    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Run ``cooldown_stream`` into a Parquet sink.
+    """R5, exactly: the cool-down of every confirmed row in time order, into a
+    Parquet table with a folder per batch (rewritten when a batch is retried).
 
-    ``state_partitions`` sizes the state store (one partition per shuffle
-    partition, fixed in the checkpoint at the first batch) to the number of
-    pairs instead of the session default.  The query clones the session
-    configuration when it starts, so the setting is applied only around
-    ``start()``.
-    """
-    writer = (
-        cooldown_stream(confirmed, minutes)
-        .writeStream.format("parquet")
-        .option("path", output_dir)
-        .option("checkpointLocation", checkpoint_location)
-    )
-    writer = _trigger(writer, trigger)
-    if state_partitions is None:
-        return writer.start()
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(int(state_partitions)))
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set(key, before)
+    Unlike ``cooldown_stream`` the result does not depend on when state is
+    evicted.  What was let through before is the state: per batch the pairs'
+    latest rows not older than the batch's first one less the cool-down."""
+    schema = confirmed.schema
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        rows = staged(batch, "cooldown-batch")
+        first = rows.agg(F.min("start_time").alias("m")).collect()[0]["m"]
+        last = None
+        if first is not None and path_exists(spark, output_dir):
+            done = spark.read.schema(T.StructType([*schema.fields, T.StructField("version", T.LongType())])).parquet(output_dir)
+            done = done.filter((F.col("version") < int(batch_id)) & (F.col("start_time") >= int(first) - int(minutes) * 60_000))
+            last = done.groupBy("src_ip", "dst_ip").agg(F.max("start_time").alias("last_ms"))
+        chosen = cooldown_alerts(rows, last, minutes)
+        chosen.write.mode("overwrite").parquet(f"{output_dir}/version={int(batch_id)}")
+
+    writer = confirmed.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_location)
+    return _trigger(writer, trigger).start()

@@ -17,6 +17,14 @@ KEYS = [
     "suppress_known",
     "alert_cooldown",
     "stage_counts",
+    "alert_retention",
+    "alert_drop",
+    "alert_json_sink",
+    "alert_export_stream",
+    "unigram_vector",
+    "assemble_features",
+    "quarantine",
+    "stream_cooldown",
 ]
 
 

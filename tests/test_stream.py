@@ -223,3 +223,21 @@ def test_a_mistyped_or_truncated_file_does_not_stop_the_stream(spark, workdir):
 
     stream_features(spark, f"{workdir}/in/*", f"{workdir}/out", f"{workdir}/ck").awaitTermination()
     assert spark.read.parquet(f"{workdir}/out").select(S.SESSION_ID).distinct().count() == 6
+
+
+def test_exact_cooldown_does_not_depend_on_batches(spark, workdir):
+    from flowlens.streaming.detect import cooldown_output, start_cooldown
+
+    minutes = [0, 5, 1439, 1440, 1441, 1500, 2881, 2882, 2883, 9000]
+    rows = [(i, "s", "d" if i % 4 else None, T0 + m * 60_000, 0.9) for i, m in enumerate(minutes)]
+    rows += [(100 + i, "s", "d", T0 + m * 60_000, 0.9) for i, m in enumerate(minutes)]
+    got = {}
+    for chunks in (1, 3, 7):
+        base = f"{workdir}/{chunks}"
+        _write_in_time_order(spark, rows, f"{base}/in", chunks)
+        schema = spark.createDataFrame([], SCHEMA).schema
+        stream = _stream(spark, f"{base}/in").select(*schema.names)
+        for _ in range(2):  # the second run finds nothing new
+            start_cooldown(spark, stream, f"{base}/out", f"{base}/ck").awaitTermination()
+        got[chunks] = sorted(r["session_id"] for r in cooldown_output(spark, f"{base}/out", schema).collect())
+    assert got[1] == got[3] == got[7] == [0, 4, 7, 8, 9, 100, 104]
