@@ -242,5 +242,7 @@ def find_contamination(
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contaminated documents, with the test items found in them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return find_contamination(docs, table(spark, sf_dir, "benchmark")).select("doc_id", "items", "score", "contaminated")
+    found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.filter("contaminated").select("doc_id", "items", "score")

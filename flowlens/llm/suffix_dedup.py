@@ -257,14 +257,7 @@ def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per document with its repeated passages (none: 0 and '')."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = repeated_passages(docs).select(F.col("doc_id").alias("f_id"), "passages")
-    rows = docs.select("doc_id").join(found, F.col("doc_id").eqNullSafe(F.col("f_id")), "left")
-    passages = F.coalesce("passages", F.array().cast("array<struct<start:long,stop:long>>"))
-    return rows.select(
-        "doc_id",
-        F.size(passages).cast("long").alias("n_passages"),
-        F.aggregate(passages, F.lit(0).cast("long"), lambda n, p: n + p["stop"] - p["start"]).alias("n_repeated_words"),
-        F.array_join(F.transform(passages, lambda p: F.concat_ws(":", p["start"], p["stop"])), ",").alias("passages"),
-    )
+    """One row per repeated passage: the document, and the passage's words."""
+    found = repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = found.select("doc_id", F.posexplode("passages").alias("passage", "p"))
+    return rows.select("doc_id", "passage", F.col("p.start").alias("start"), F.col("p.stop").alias("stop"))
