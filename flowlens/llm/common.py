@@ -47,21 +47,21 @@ def free_name(taken: list[str], wanted: str) -> str:
 
 
 def worker_cache(name: str, make):
-    """What ``make`` gives, kept for the life of the Python worker.  (Module
-    globals start anew with each task, as modules are shipped by value.)"""
-    kept = sys.modules.setdefault("_flowlens_worker_cache", types.ModuleType("_flowlens_worker_cache")).__dict__
-    if name not in kept:
-        kept[name] = make()
-    return kept[name]
-
-
-def split_words(text: str | None) -> list[bytes]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` as UTF-8 (``bytes.split`` splits at
-    exactly these six characters).  None: no words."""
-    return encoded(text).split()
+    """What ``make`` gives, kept in the Python worker from task to task.
+    (Module globals start anew with each task, as modules are shipped by
+    value.)  A worker keeps one such thing: another name's goes, so that the
+    operators of a pipeline do not add up."""
+    kept = sys.modules.setdefault("_flowlens_worker_cache", types.ModuleType("_flowlens_worker_cache"))
+    held = getattr(kept, "held", None)
+    if held is None or held[0] != name:
+        kept.held = held = None
+        kept.held = held = (name, make())
+    return held[1]
 
 
 def encoded(text: str | None) -> bytes:
+    """UTF-8 of a text, None as empty.  ``bytes.split()`` of it gives the words
+    ``[^\\x20\\x09-\\x0D]+``: it splits at exactly these six characters."""
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
 
