@@ -36,16 +36,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import scratch_path
-from .common import encoded, partitions, table, texts
+from .common import encoded, partitions, table, texts, worker_cache
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SEQUENCE = 2048
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-_MEMO_WORDS = 400_000
+_MEMO_WORDS = 800_000
 _CHUNK_BYTES = 1 << 20
-_STOPS = ".,;:!?"
+_STOPS = b".,;:!?"
 
 
 def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
@@ -93,16 +93,19 @@ class WordTokens:
             self.ends[i] = token.endswith("</w>")
         self.memo: dict[bytes, bytes] = {}
 
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.model.encode(text, add_special_tokens=False).ids, dtype=self.kind)
+    def _encode(self, strings: list[str]) -> list[np.ndarray]:
+        # encode(), but for the offsets, which nothing here needs
+        found = self.model.encode_batch_fast(strings, add_special_tokens=False) if strings else []
+        return [np.array(x.ids, dtype=self.kind) for x in found]
 
-    def _plain(self, words: list[str]) -> dict[str, bytes]:
+    def _plain(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of lower-case words of letters only: each is one pre-token and
         ends in one word-end token, so they can be encoded together."""
-        ids = self._encode(" ".join(words)) if words else np.zeros(0, dtype=self.kind)
+        text = b" ".join(words).decode("utf-8", "surrogatepass")
+        ids = self._encode([text])[0]
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) != len(words) or (words and cuts[-1] != len(ids)):
-            return {w: self._encode(w).tobytes() for w in words}
+            return {w: x.tobytes() for w, x in zip(words, self._encode([w.decode("utf-8", "surrogatepass") for w in words]))}
         raw, size, out, a = ids.tobytes(), self.kind.itemsize, {}, 0
         for w, b in zip(words, (cuts * size).tolist()):
             out[w] = raw[a:b]
@@ -113,45 +116,44 @@ class WordTokens:
         if len(self.memo) > _MEMO_WORDS:
             self.memo.clear()
         plain, parts, odd = set(), [], []
-        for w in words:
-            if w in self.memo:
+        for w in words.difference(self.memo):
+            if w.isalpha() and w.islower():  # ASCII letters
+                plain.add(w)
                 continue
-            s = w.decode("utf-8", "surrogatepass")
-            stop = s[-1:] if s[-1:] in _STOPS else ""
-            core = s[: len(s) - len(stop)]
-            if core.isalpha() and core == core.lower():
-                plain.add(core)
-                parts.append((w, core, stop))
-            else:
-                odd.append((w, s))
-        ids = self._plain(sorted(plain))
-        stops = {c: self._encode(c).tobytes() for c in {p[2] for p in parts} if c}
+            stop = w[-1:] if w[-1] in _STOPS else b""
+            core = w[:-1] if stop else w
+            if not (core.isalpha() and core.islower()):
+                s = core.decode("utf-8", "surrogatepass")
+                if not s.isalpha() or s != s.lower():
+                    odd.append(w)
+                    continue
+            plain.add(core)
+            parts.append((w, core, stop))
+        ids = self._plain(list(plain))
+        stops = {c: self._encode([c.decode()])[0].tobytes() for c in {p[2] for p in parts} if c}
+        self.memo.update(ids)
         for w, core, stop in parts:
-            self.memo[w] = ids[core] + (stops[stop] if stop else b"")
-        for w, s in odd:
-            self.memo[w] = self._encode(s).tobytes()
+            self.memo[w] = ids[core] + stops[stop] if stop else ids[core]
+        for w, x in zip(odd, self._encode([w.decode("utf-8", "surrogatepass") for w in odd])):
+            self.memo[w] = x.tobytes()
 
     def ids(self, chunk: list[str | None]) -> list[bytes]:
         """Little-endian ids of each text."""
         if not self.by_words:
-            return [self._encode(t or "").tobytes() for t in chunk]
+            return [x.tobytes() for x in self._encode([t or "" for t in chunk])]
         split = []
         for t in chunk:
             raw = encoded(t)
             # the normaliser lower-cases; doing it here makes for fewer words
             # (a text that may hold special tokens stays as it is)
             split.append((raw if b"<|" in raw else raw.lower()).split())
-        self._learn({w for words in split for w in words})
-        return [b"".join([self.memo[w] for w in words]) for words in split]
-
-
-_LOADED: dict[tuple[str, bool], WordTokens] = {}
+        self._learn(set().union(*split))
+        known = self.memo.__getitem__
+        return [b"".join(map(known, words)) for words in split]
 
 
 def tokens(path: str, by_words: bool) -> WordTokens:
-    if (path, by_words) not in _LOADED:
-        _LOADED[path, by_words] = WordTokens(path, by_words)
-    return _LOADED[path, by_words]
+    return worker_cache(f"tokens {by_words} {path}", lambda: WordTokens(path, by_words))
 
 
 def curve_keys(ids: list[np.ndarray], dims: int, bits: int, buckets: int) -> np.ndarray:
