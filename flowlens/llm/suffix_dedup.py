@@ -222,7 +222,7 @@ def compare_neighbours(rows: DataFrame, size: int, whole: bool) -> DataFrame:
     return rows.mapInArrow(run, "doc long, start int, stop int, h long, g int, at int, near binary")
 
 
-def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_words: int = 51, k: int = 8, window: int = 10) -> DataFrame:
+def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_words: int = 51, k: int = 8, window: int = 16) -> DataFrame:
     """(doc_id, passages) of the documents that have any: array of
     (start, stop), in words, stop exclusive."""
     spark, size = docs.sparkSession, min_words - window + 1

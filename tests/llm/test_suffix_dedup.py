@@ -41,7 +41,7 @@ def brute(rows, size=51):
     return out
 
 
-def check(got, want, slack=9):
+def check(got, want, slack=15):
     """All passages are found, in no other documents.  An end may be off by
     less than the window: a one-byte hash can take one word for another, the
     neighbour need not be the document that agrees furthest to the left, and
