@@ -4,9 +4,9 @@ Per language (the ``lang`` column) the whole corpus gives two references: the
 histogram of character classes, and that of its common words.  A word is
 common if it makes up ``1 / common_share`` of the language's words or more, so
 a language has at most ``common_share`` of them; the rest is one bin.  A
-language has references of its own if it holds ``1 / lang_share`` of all words
-or more (so at most ``lang_share`` languages do); the others are measured
-against the whole corpus.  Both bounds are arithmetic, so the references can be
+language has references if it holds ``1 / lang_share`` of all words or more (so
+at most ``lang_share`` languages do); documents of the others have too little
+to be compared with and are left to the base rules.  Both bounds are arithmetic, so the references can be
 collected whatever the corpus' size.
 
 A document is rejected if the Jensen-Shannon distance (base 2, 0 to 1) of its
@@ -116,8 +116,7 @@ class References:
     """Per language: character classes and the counts of common words; the
     last word bin holds the rest."""
 
-    def __init__(self, rows: list, whole: str):
-        self.whole = whole
+    def __init__(self, rows: list):
         self.chars: dict[str, np.ndarray] = {}
         self.bins: dict[str, dict[bytes, int]] = {}
         self.words: dict[str, np.ndarray] = {}
@@ -132,21 +131,19 @@ class References:
             self.bins[lang] = {w: i for i, (w, _) in enumerate(common)}
             self.words[lang] = np.array([n for _, n in common] + [total - sum(n for _, n in common)], dtype=float)
 
-    def distances(self, lang: str | None, text: str, words: list[bytes]) -> tuple[float, float]:
+    def distances(self, lang: str | None, text: str, words: list[bytes]) -> tuple[float, float] | tuple[None, None]:
         lang = f"={lang}" if lang is not None else ""
-        lang = lang if lang in self.chars else self.whole
+        if lang not in self.chars:
+            return None, None
         bins, counts = self.bins[lang], np.zeros(len(self.words[lang]))
         for word, n in Counter(words).items():
             counts[bins.get(word.lower(), len(counts) - 1)] += n
         return distance(char_classes(text), self.chars[lang]), distance(counts, self.words[lang])
 
 
-_WHOLE = "*"
-
-
 def language_references(docs: DataFrame, text: str, lang: str, common_share: int, lang_share: int) -> References:
     """Counts over all documents; languages are keyed ``=name``, null as an
-    empty string, the whole corpus as ``*``."""
+    empty string."""
 
     def run(batches):
         held: Counter = Counter()
@@ -186,13 +183,10 @@ def language_references(docs: DataFrame, text: str, lang: str, common_share: int
     words = counts.filter("kind = 2").agg(F.sum("n")).first()[0] or 0
     own = {r.lang: r.total for r in totals.filter(F.col("total") * lang_share >= words).collect()}
     if not own:
-        return References([], _WHOLE)
+        return References([])
     least = F.create_map(*[F.lit(x) for k, n in own.items() for x in (k, n)])[F.col("lang")]
-    of_langs = counts.filter(F.col("lang").isin(*own)).filter((F.col("kind") != 1) | (F.col("n") * common_share >= least))
-    of_all = (
-        counts.groupBy("kind", "token").agg(F.sum("n").alias("n")).filter((F.col("kind") != 1) | (F.col("n") * common_share >= F.lit(words)))
-    ).select(F.lit(_WHOLE).alias("lang"), "kind", "token", "n")
-    return References(of_langs.unionByName(of_all).collect(), _WHOLE)
+    kept = counts.filter(F.col("lang").isin(*own)).filter((F.col("kind") != 1) | (F.col("n") * common_share >= least))
+    return References(kept.collect())
 
 
 def judge_quality(
@@ -210,7 +204,7 @@ def judge_quality(
     lang_share: int = 1000,
 ) -> DataFrame:
     """``docs`` with the base features, base_failed, char_distance,
-    word_distance (null where there is no text) and kept."""
+    word_distance (null where there is no text or no reference) and kept."""
     references = language_references(docs, text, lang, common_share, lang_share)
     wanted = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance", "kept"]
     names = [free_name(docs.columns, n) for n in wanted]
@@ -228,6 +222,7 @@ def judge_quality(
                 kept = not failed
                 if words:
                     by_char, by_word = references.distances(None if l is None else str(l), t, words)
+                if by_char is not None:
                     if len(t) >= min_chars and by_char > max_char_distance:
                         kept = False
                     if len(words) >= min_words and by_word > word_distance + word_noise / math.sqrt(len(words)):
@@ -268,6 +263,11 @@ base AS (
     coalesce(rep.n, 0) AS n_repeat_words,
     coalesce(n_words, 0) < 20 OR 100 * coalesce(rep.n, 0) > 30 * coalesce(n_words, 0) AS base_failed
   FROM d LEFT JOIN nw USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id)),
+lw AS (
+  SELECT doc_id, lang, translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS word, count(*) AS c
+  FROM w GROUP BY ALL),
+total AS (SELECT lang, sum(c) AS n FROM lw GROUP BY lang),
+big AS (SELECT lang FROM total WHERE n * 1000 >= (SELECT sum(n) FROM total)),
 k0 AS (
   SELECT doc_id, lang, length(text) AS n_chars, length(regexp_replace(text, '[^\p{Ll}]', '', 'g')) AS c0,
     length(regexp_replace(text, '[^\p{Lu}]', '', 'g')) AS c1, length(regexp_replace(text, '[^\p{L}]', '', 'g')) AS letters,
@@ -277,15 +277,11 @@ k0 AS (
 k AS (
   SELECT doc_id, lang, n_chars, unnest([0, 1, 2, 3, 4, 5, 6, 7, 8]) AS b,
     unnest([c0, c1, letters - c0 - c1, c3, c4, c5, p - c5, c7, n_chars - letters - c3 - c4 - p - c7]) AS c FROM k0 WHERE n_chars > 0),
-kref AS (SELECT lang, b, sum(c) / sum(sum(c)) OVER (PARTITION BY lang) AS q FROM k GROUP BY lang, b),
+kref AS (SELECT lang, b, sum(c) / sum(sum(c)) OVER (PARTITION BY lang) AS q FROM k JOIN big USING (lang) GROUP BY lang, b),
 kjs AS (
   SELECT doc_id, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
       + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)) AS js, any_value(n_chars) AS n_chars
   FROM (SELECT doc_id, n_chars, c / n_chars AS p, q FROM k JOIN kref USING (lang, b)) GROUP BY doc_id),
-lw AS (
-  SELECT doc_id, lang, translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS word, count(*) AS c
-  FROM w GROUP BY ALL),
-total AS (SELECT lang, sum(c) AS n FROM lw GROUP BY lang),
 common AS (SELECT lang, word, sum(c) AS c FROM lw GROUP BY lang, word HAVING sum(c) * 1000 >= (SELECT n FROM total WHERE total.lang = lw.lang)),
 wref AS (
   SELECT lang, word, c / n AS q FROM common JOIN total USING (lang)
@@ -299,7 +295,7 @@ wjs AS (
       + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)) AS js
   FROM (
     SELECT b.doc_id, coalesce(x.c, 0) / b.n_words AS p, r.q
-    FROM base b JOIN wref r ON r.lang = b.lang LEFT JOIN wdoc x ON x.doc_id = b.doc_id AND x.word = r.word WHERE b.n_words > 0)
+    FROM base b JOIN big ON big.lang = b.lang JOIN wref r ON r.lang = b.lang LEFT JOIN wdoc x ON x.doc_id = b.doc_id AND x.word = r.word WHERE b.n_words > 0)
   GROUP BY doc_id)
 SELECT base.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT coalesce(n_chars >= 200 AND kjs.js > 0.27, FALSE)

@@ -38,6 +38,13 @@ def test_junk_goes_and_prose_stays(spark):
     assert all(out[i] for i in range(60)) and not out[100] and not out[101]
 
 
+def test_a_language_without_a_reference_is_left_to_the_base_rules(spark):
+    rows = [(i, prose(i, 600), "en") for i in range(40)] + [(100, " ".join(f"ord{i % 97}" for i in range(90)), "xx")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in judge_quality(docs, lang_share=100).collect()}
+    assert got[100].kept and got[100].word_distance is None and got[0].word_distance is not None
+
+
 def test_min_length_guards(spark):
     rows = [(i, prose(i, 200), "en") for i in range(30)] + [(50, " ".join(["QX"] * 21), "en")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
