@@ -17,9 +17,6 @@ from ..config import scratch_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: ``[\x20\x09-\x0D]``, what separates words and what keys are stripped of.
-SPACES = " \t\n\x0b\x0c\r"
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

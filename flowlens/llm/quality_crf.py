@@ -23,7 +23,6 @@ get equal scores; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import math
 import sys
 
 import numpy as np
