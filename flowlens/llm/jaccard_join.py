@@ -342,7 +342,7 @@ def keep_one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
     keepers = similar_documents(docs, text, doc_id, **options).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
     keepers = staged(keepers.select(F.col("doc_id").alias("k")).distinct(), "jaccard-keepers")
     mine, rank = free_name(docs.columns, "k"), free_name(docs.columns, "rank")
-    kept = docs.join(keepers.withColumnRenamed("k", mine), F.col(f"`{doc_id}`").cast("long").eqNullSafe(F.col(mine)), "left_semi")
+    kept = docs.join(keepers.withColumnRenamed("k", mine).hint("merge"), F.col(f"`{doc_id}`").cast("long").eqNullSafe(F.col(mine)), "left_semi")
     one = Window.partitionBy(F.col(f"`{doc_id}`"), F.xxhash64(F.col(f"`{text}`"))).orderBy(F.col(f"`{text}`"))
     return kept.withColumn(rank, F.row_number().over(one)).filter(F.col(rank) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
 
