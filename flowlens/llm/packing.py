@@ -43,9 +43,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SEQUENCE = 2048
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-_MEMO_WORDS = 800_000
+_MEMO_WORDS = 2_000_000
 _CHUNK_BYTES = 1 << 20
-_STOPS = b".,;:!?"
+#: ASCII marks but the apostrophe, which the pre-tokeniser joins to letters.
+_MARKS = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 
 
 def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
@@ -82,7 +83,7 @@ class WordTokens:
 
     def __init__(self, path: str, by_words: bool):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.model, self.by_words = Tokenizer.from_file(path), by_words
         vocab = self.model.get_vocab(with_added_tokens=True)
@@ -92,17 +93,24 @@ class WordTokens:
         for token, i in vocab.items():
             self.ends[i] = token.endswith("</w>")
         self.memo: dict[bytes, bytes] = {}
-
-    def _encode(self, strings: list[str]) -> list[np.ndarray]:
+        # The model without normaliser and pre-tokeniser, which leave
+        # lower-case ASCII words between spaces as they are (if they do).
+        self.bare = Tokenizer(self.model.model)
+        self.bare.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        probe = ["a the quick brown fox jumps over zyx abcdefghijklmnopqrstuvwxyz ll ve re the"]
+        if self._encode(probe)[0].tolist() != self._encode(probe, self.bare)[0].tolist():
+            self.bare = self.model
+
+    def _encode(self, strings: list[str], model=None) -> list[np.ndarray]:
         # encode(), but for the offsets, which nothing here needs
-        found = self.model.encode_batch_fast(strings, add_special_tokens=False) if strings else []
+        found = (model or self.model).encode_batch_fast(strings, add_special_tokens=False) if strings else []
         return [np.array(x.ids, dtype=self.kind) for x in found]
 
-    def _plain(self, words: list[bytes]) -> dict[bytes, bytes]:
+    def _plain(self, words: list[bytes], model) -> dict[bytes, bytes]:
         """Ids of lower-case words of letters only: each is one pre-token and
         ends in one word-end token, so they can be encoded together."""
         text = b" ".join(words).decode("utf-8", "surrogatepass")
-        ids = self._encode([text])[0]
+        ids = self._encode([text], model)[0]
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) != len(words) or (words and cuts[-1] != len(ids)):
             return {w: x.tobytes() for w, x in zip(words, self._encode([w.decode("utf-8", "surrogatepass") for w in words]))}
@@ -112,30 +120,38 @@ class WordTokens:
             a = b
         return out
 
-    def _learn(self, words: set[bytes]) -> None:
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words that the memory does not have."""
         if len(self.memo) > _MEMO_WORDS:
             self.memo.clear()
-        plain, parts, odd = set(), [], []
-        for w in words.difference(self.memo):
+        memo, simple, plain, parts, odd = self.memo, set(), set(), [], []
+        for w in words:
             if w.isalpha() and w.islower():  # ASCII letters
-                plain.add(w)
+                simple.add(w)
                 continue
-            stop = w[-1:] if w[-1] in _STOPS else b""
-            core = w[:-1] if stop else w
-            if not (core.isalpha() and core.islower()):
+            core = w.rstrip(_MARKS)
+            if core.isalpha() and core.islower():
+                if core not in memo:
+                    simple.add(core)
+            else:
                 s = core.decode("utf-8", "surrogatepass")
                 if not s.isalpha() or s != s.lower():
                     odd.append(w)
                     continue
-            plain.add(core)
-            parts.append((w, core, stop))
-        ids = self._plain(list(plain))
-        stops = {c: self._encode([c.decode()])[0].tobytes() for c in {p[2] for p in parts} if c}
-        self.memo.update(ids)
-        for w, core, stop in parts:
-            self.memo[w] = ids[core] + stops[stop] if stop else ids[core]
+                if core not in memo:
+                    plain.add(core)
+            if len(core) < len(w):
+                parts.append((w, core, w[len(core) :]))
+        memo.update(self._plain(list(simple), self.bare))
+        memo.update(self._plain(list(plain), self.model))
+        # marks after a letter are a pre-token of their own
+        marks = list({p[2] for p in parts})
+        tails = {m: x.tobytes() for m, x in zip(marks, self._encode([m.decode() for m in marks]))}
+        for w, core, tail in parts:
+            memo[w] = memo[core] + tails[tail]
         for w, x in zip(odd, self._encode([w.decode("utf-8", "surrogatepass") for w in odd])):
-            self.memo[w] = x.tobytes()
+            memo[w] = x.tobytes()
+        return {w: memo[w] for w in words}
 
     def ids(self, chunk: list[str | None]) -> list[bytes]:
         """Little-endian ids of each text."""
@@ -147,8 +163,11 @@ class WordTokens:
             # the normaliser lower-cases; doing it here makes for fewer words
             # (a text that may hold special tokens stays as it is)
             split.append((raw if b"<|" in raw else raw.lower()).split())
-        self._learn(set().union(*split))
-        known = self.memo.__getitem__
+        # the chunk's own words: small, so that it stays in the processor's cache
+        held = self.memo.get
+        own = {w: held(w) for w in set().union(*split)}
+        own.update(self._learn([w for w, x in own.items() if x is None]))
+        known = own.__getitem__
         return [b"".join(map(known, words)) for words in split]
 
 
@@ -174,13 +193,14 @@ def tokenised(docs: DataFrame, text: str, doc_id: str, path: str, by_words: bool
 
     def run(batches):
         model = tokens(path, by_words)
+        end = np.array([end_id], dtype=model.kind).tobytes()
         for batch in batches:
             chunk, size, start = [], 0, 0
             for i, t in enumerate(texts(batch.column(1))):
                 chunk.append(t)
                 size += len(t or "")
                 if size >= _CHUNK_BYTES or i == batch.num_rows - 1:
-                    raw = [x + np.array([end_id], dtype=model.kind).tobytes() for x in model.ids(chunk)]
+                    raw = [x + end for x in model.ids(chunk)]
                     ids = [np.frombuffer(x, dtype=model.kind) for x in raw]
                     yield pa.RecordBatch.from_arrays(
                         [
