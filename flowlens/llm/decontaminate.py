@@ -44,6 +44,8 @@ _MEMO_WORDS = 500_000
 def bare(word: bytes) -> str:
     """A word in lower case without non-alphanumerics at its ends."""
     s = word.decode("utf-8", "surrogatepass").lower()
+    if s.isalnum():
+        return s
     a, b = 0, len(s)
     while a < b and not s[a].isalnum():
         a += 1
