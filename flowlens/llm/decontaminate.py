@@ -1,14 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then local alignment.
-
-Words are lower-cased and freed of punctuation at their ends.  A first pass
-counts in how many documents each n-gram of the test items occurs.  An item's
-seeds are its n-grams in at most ``rare_docs`` documents, and in any case the
-rarer half of its n-grams, so that an item copied into very many documents
-still has seeds.  A second pass joins passages to items on the seeds; hits
-closer together than the item is long form a passage, and if an item has
-``min_seeds`` different seeds there (fewer if it has fewer), the passage is
-aligned to the item by Smith-Waterman (match 1, mismatch -1, gap -0.5, word by
-word).  The score is the alignment's over the item's number of words; from
+"""Benchmark decontamination: n-gram seeds, then local alignment.
+
+Words are lower-cased and freed of punctuation at their ends.  Every n-gram of
+a test item is a seed, however many documents it occurs in: a cut by documents
+would lose edited copies that occur often.  Passages are joined to items on the
+seeds; hits closer together than the item is long form a passage, and if an
+item has ``min_seeds`` different seeds there (fewer if it has fewer), the
+passage is aligned to the item by Smith-Waterman (match 1, mismatch -1, gap
+-0.5, word by word), unless too few of its words are the item's for any
+alignment to reach ``min_score`` (``most``, an upper bound, so nothing is
+lost).  The score is the alignment's over the item's number of words; from
 ``min_score`` on the document is contaminated.
 
 The test items are the small side.  They are taken in slices of at most about
@@ -24,7 +24,6 @@ result columns get underscores in front where their names are taken.
 from __future__ import annotations
 
 import sys
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +38,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 N = 3
 GAP = 0.5
 _MEMO_WORDS = 500_000
+_HITS = 1_000_000
 
 
 def bare(word: bytes) -> str:
@@ -72,6 +72,13 @@ def align(item: np.ndarray, passage: np.ndarray) -> float:
     return best
 
 
+def most(known: np.ndarray) -> float:
+    """No alignment of a passage scores more: a word that is in the item
+    (``known``) adds 1 at most, any other costs a gap at least."""
+    total = np.concatenate([[0.0], np.cumsum(np.where(known, 1.0, -GAP))])
+    return float((total - np.minimum.accumulate(total)).max())
+
+
 class _Ids(dict):
     """Raw word -> id of its bare form in the items; -1 elsewhere, -2 for
     words without letters or digits."""
@@ -89,7 +96,7 @@ class _Ids(dict):
 
 
 class Items:
-    """A slice of the benchmark: words, n-gram codes and, later, seeds."""
+    """A slice of the benchmark: words, n-gram codes, and whose they are."""
 
     def __init__(self, rows: list[tuple[int, str | None]], n: int):
         self.n = n
@@ -102,8 +109,23 @@ class Items:
         self.vocab = vocab
         self.table = _Ids(vocab)
         self.sizes = sorted({min(n, len(w)) for w in self.words})
-        self.grams = [self.codes(w, min(n, len(w))) for w in self.words]
-        self.all = np.unique(np.concatenate(self.grams)) if self.grams else np.zeros(0, dtype=np.int64)
+        self.length = np.array([len(w) for w in self.words], dtype=np.int64)
+        grams = [self.codes(w, min(n, len(w))) for w in self.words]
+        self.needed = np.array([len(np.unique(g)) for g in grams], dtype=np.int64)
+        # one row for each item and n-gram of it, by n-gram, with its first
+        # and last place in the item
+        none = np.zeros(0, dtype=np.int64)
+        code = np.concatenate([none, *grams])
+        owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+        place = np.concatenate([none, *(np.arange(len(g)) for g in grams)])
+        order = np.lexsort((place, owner, code))
+        code, owner, place = code[order], owner[order], place[order]
+        new = np.ones(len(code) + 1, dtype=bool)
+        new[1:-1] = (code[1:] != code[:-1]) | (owner[1:] != owner[:-1])
+        own = np.flatnonzero(new)
+        self.owner, self.early, self.late = owner[own[:-1]], place[own[:-1]], place[own[1:] - 1]
+        self.seeds, first = np.unique(code[own[:-1]], return_index=True)
+        self.first = np.append(first, len(own) - 1)
 
     def codes(self, ids: np.ndarray, size: int) -> np.ndarray:
         """Codes of the runs of ``size`` ids; -1 where a word is in no item.
@@ -123,61 +145,74 @@ class Items:
         own = np.array([ids[w] for w in encoded(text).split()], dtype=np.int64)
         return own[own > -2]
 
-    def hits(self, own: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places and codes of the wanted n-grams in a document."""
-        places, codes = [], []
+    def hits(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and numbers of the seeds in a document."""
+        places, seeds = [], []
         for size in self.sizes:
             c = self.codes(own, size)
             at = np.flatnonzero(c >= 0)
-            if len(at):
-                found = np.searchsorted(wanted, c[at])
-                at = at[wanted[np.minimum(found, len(wanted) - 1)] == c[at]]
-            places.append(at)
-            codes.append(c[at])
-        if not places:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        return np.concatenate(places), np.concatenate(codes)
-
-    def choose(self, docs: dict[int, int], rare_docs: int) -> None:
-        """Keeps each item's rare n-grams as seeds."""
-        self.owners: dict[int, list[tuple[int, int]]] = {}
-        self.needed = []
-        for k, grams in enumerate(self.grams):
-            found = np.array([docs.get(g, 0) for g in grams.tolist()])
-            limit = max(rare_docs, int(np.sort(found)[(len(found) - 1) // 2]))
-            rare = np.flatnonzero(found <= limit)
-            self.needed.append(len(np.unique(grams[rare])))
-            for at in rare.tolist():
-                self.owners.setdefault(int(grams[at]), []).append((k, at))
-        self.seeds = np.array(sorted(self.owners), dtype=np.int64)
+            found = np.minimum(np.searchsorted(self.seeds, c[at]), len(self.seeds) - 1)
+            real = self.seeds[found] == c[at]
+            places.append(at[real])
+            seeds.append(found[real])
+        return np.concatenate(places), np.concatenate(seeds)
+
+    def passages(self, own: np.ndarray, min_seeds: int):
+        """(item, start, stop) of passages with enough seeds of an item.  Hits
+        of very many items are taken some items at a time."""
+        places, seeds = self.hits(own)
+        many = self.first[seeds + 1] - self.first[seeds]
+        parts = -(-int(many.sum()) // _HITS)
+        for part in range(parts):
+            rows, hit = self._expand(places, seeds, many, part, parts)
+            k, p = self.owner[rows], places[hit]
+            order = np.lexsort((p, k))
+            rows, k, p, seed = rows[order], k[order], p[order], seeds[hit[order]]
+            if not len(k):
+                continue
+            begin = np.ones(len(k), dtype=bool)
+            begin[1:] = (k[1:] != k[:-1]) | (p[1:] - p[:-1] > self.length[k[1:]])
+            passage = np.cumsum(begin) - 1
+            first = np.flatnonzero(begin)
+            item = k[first]
+            different = np.bincount(np.unique(passage * len(self.seeds) + seed) // len(self.seeds))
+            # each part of a best alignment scores over 0, so it has fewer
+            # than two gaps in the document for each word of the item
+            start = np.minimum.reduceat(p - 3 * self.late[rows], first) - self.n
+            stop = np.maximum.reduceat(p + 3 * (self.length[k] - self.early[rows]), first) + self.n
+            enough = different >= np.minimum(min_seeds, self.needed[item])
+            yield from zip(item[enough].tolist(), np.maximum(start[enough], 0).tolist(), stop[enough].tolist())
+
+    def _expand(self, places, seeds, many, part: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+        """Owner rows and hits of the items of a part."""
+        rows, hits = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        ends = np.cumsum(many)
+        a = 0
+        while a < len(seeds):
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + _HITS, "right")))
+            n = many[a:b]
+            row = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.first[seeds[a:b]], n)
+            hit = np.repeat(np.arange(a, b), n)
+            if parts > 1:
+                own = self.owner[row] % parts == part
+                row, hit = row[own], hit[own]
+            rows.append(row)
+            hits.append(hit)
+            a = b
+        return np.concatenate(rows), np.concatenate(hits)
 
     def matches(self, own: np.ndarray, min_seeds: int, min_score: float) -> list[tuple[int, float]]:
         """(item_id, score) of the items found in a document."""
-        if not len(self.seeds):
-            return []
-        places, codes = self.hits(own, self.seeds)
-        found: dict[int, list[tuple[int, int, int]]] = {}
-        for p, c in zip(places.tolist(), codes.tolist()):
-            for k, at in self.owners[c]:
-                found.setdefault(k, []).append((p, at, c))
-        out = []
-        for k, hits in found.items():
-            size, need = len(self.words[k]), min(min_seeds, self.needed[k])
-            hits.sort()
-            best, a = 0.0, 0
-            for b in range(1, len(hits) + 1):
-                if b < len(hits) and hits[b][0] - hits[b - 1][0] <= size:
-                    continue
-                passage = hits[a:b]
-                a = b
-                if len({c for _, _, c in passage}) < need:
-                    continue
-                first = max(0, min(p - 2 * at for p, at, _ in passage) - self.n)
-                last = max(p + 2 * (size - at) for p, at, _ in passage) + self.n
-                best = max(best, align(self.words[k], own[first:last]) / size)
-            if best >= min_score:
-                out.append((self.ids[k], best))
-        return out
+        best: dict[int, float] = {}
+        mark = np.zeros(len(self.vocab) + 1, dtype=bool) if len(own) else None  # the last: in no item
+        for k, start, stop in self.passages(own, min_seeds):
+            words, passage = self.words[k], own[start:stop]
+            mark[words] = True
+            bound = most(mark[passage])
+            mark[words] = False
+            if bound >= min_score * len(words):
+                best[k] = max(best.get(k, 0.0), align(words, passage) / len(words))
+        return [(self.ids[k], score) for k, score in best.items() if score >= min_score]
 
 
 def _slices(benchmark: DataFrame, text: str, item_id: str, n: int, slice_words: int) -> list[Items]:
@@ -193,21 +228,6 @@ def _slices(benchmark: DataFrame, text: str, item_id: str, n: int, slice_words:
     return out
 
 
-def gram_documents(docs: DataFrame, text: str, items: Items) -> dict[int, int]:
-    """In how many documents each of the slice's n-grams occurs."""
-
-    def run(batches):
-        held: Counter = Counter()
-        for batch in batches:
-            for t in texts(batch.column(0)):
-                _, codes = items.hits(items.read(t), items.all)
-                held.update(np.unique(codes).tolist())
-        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(list(held.values()), pa.int64())], ["code", "docs"])
-
-    counts = docs.select(text).mapInArrow(run, "code long, docs long").groupBy("code").agg(F.sum("docs").alias("docs"))
-    return {r.code: r.docs for r in counts.collect()}  # at most the slice's n-grams
-
-
 def find_contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -215,7 +235,6 @@ def find_contamination(
     item_text: str = "text",
     item_id: str = "item_id",
     n: int = N,
-    rare_docs: int = 20,
     min_seeds: int = 2,
     min_score: float = 0.5,
     slice_words: int = 500_000,
@@ -226,7 +245,6 @@ def find_contamination(
     at = docs.columns.index(text)
     out = docs.withColumn(found, F.array().cast("array<long>")).withColumn(score, F.lit(0.0))
     for items in _slices(benchmark, item_text, item_id, n, slice_words):
-        items.choose(gram_documents(docs, text, items), rare_docs)
 
         def run(batches, items=items):
             for batch in batches:

@@ -1,5 +1,6 @@
 import numpy as np
-from flowlens.llm.decontaminate import align, bare_words, find_contamination
+from flowlens.llm import decontaminate
+from flowlens.llm.decontaminate import Items, align, bare_words, find_contamination, most
 from hypothesis import given
 from hypothesis import strategies as st
 
@@ -76,3 +77,30 @@ def test_awkward_rows_and_empty_tables(spark):
     assert out.count() == docs.count() and {r["items"] for r in out.collect()} == {"mine"}
     assert find_contamination(docs, items.limit(0)).filter("contaminated").count() == 0
     assert find_contamination(empty(spark), items).count() == 0
+
+
+def test_an_edited_copy_in_many_documents_is_found(spark):
+    item = prose(700, 20).split()
+    edited = " ".join("swap" if i in (4, 9, 14) else w for i, w in enumerate(item))
+    halves = " ".join(item[:10]) + " other " + " ".join(item[8:])
+    rows = [(i, prose(i, 40) + " " + edited + " " + prose(50 + i, 40)) for i in range(25)]
+    rows += [(100 + i, " ".join(item[i % 17 : i % 17 + 3]) + " " + prose(200 + i, 30)) for i in range(90)]  # each n-gram is common
+    rows += [(300, halves)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(item)), (2, prose(701, 25))], "item_id long, text string")
+    got = {r.doc_id: r["items"] for r in find_contamination(docs, items).collect() if r.contaminated}
+    assert all(got[i] == [1] for i in [*range(25), 300])
+    assert got == slow(docs, items)
+
+
+def test_hits_taken_some_items_at_a_time_give_the_same(monkeypatch):
+    items = Items([(i, prose(i % 7, 20 + i % 3)) for i in range(40)], 3)
+    own = items.read(" ".join(prose(i, 21) for i in range(9)))
+    whole = sorted(items.matches(own, 2, 0.5))
+    monkeypatch.setattr(decontaminate, "_HITS", 50)
+    assert sorted(items.matches(own, 2, 0.5)) == whole and len({i for i, _ in whole}) == 40
+
+
+@given(st.lists(st.integers(0, 3), min_size=1, max_size=12), st.lists(st.integers(-1, 5), max_size=15))
+def test_no_alignment_scores_over_the_bound(a, b):
+    assert slow_align(a, b) <= most(np.isin(np.array(b, dtype=np.int64), a)) + 1e-9
