@@ -3,18 +3,19 @@
 A suffix is kept where it starts with a minimiser: the smallest hash of ``k``
 words among ``window`` consecutive places.  The choice depends on the words
 alone, so equal passages keep the same suffixes, about two in ``window + 1``.
-A suffix is ordered by the 96-bit hash of its first
-``min_words - window + 1`` words, so that every passage of ``min_words`` words
-holds a kept suffix whose whole prefix is inside it, then by the words after
-and before that, then by document and place.
-
-The suffixes are range-partitioned and sorted in that order.  A suffix equal to
-its neighbour of another document is a match; it is extended left and right
-word by word, up to the places where the next kept suffixes would lie (each
-row carries one-byte hashes of those words).  Matches of a document that
-overlap are one passage, and passages of ``min_words`` words or more are
-reported.  A group of equal suffixes that crosses a partition's edge leaves
-its outermost rows, which are compared once more; so a passage that is in a
+A suffix's prefix are its first ``min_words - window + 1`` words, as a 96-bit
+hash, so every passage of ``min_words`` words holds a kept suffix whose whole
+prefix is inside it.  Each row carries two-byte hashes of the ``window - 1``
+words after the prefix and before it.
+
+Suffixes are ordered by the prefix, then by the words after and before it, then
+by document and place, range-partitioned and sorted.  A prefix lies in
+``window`` stretches of ``min_words`` words; suffixes of equal prefixes are
+compared on each of them, so a stretch that another document has is met
+whatever stands between the two in sorted order.  Stretches of a document that
+overlap are one passage.  A group of equal prefixes that crosses a partition's
+edge leaves the stretches that no other document had there, and two documents'
+for each that some had; these are grouped once more.  So a passage that is in a
 third of all documents is spread over many tasks.
 
 Cases: null, empty or short texts have no passages; repeats inside one
@@ -87,7 +88,7 @@ def suffixes(words: np.ndarray, k: int, window: int, size: int) -> tuple[np.ndar
 
 
 def suffix_array(docs: DataFrame, text: str, doc_id: str, k: int, window: int, size: int) -> DataFrame:
-    """Rows of SUFFIX.  ``near``: one byte for each of the window - 1 words
+    """Rows of SUFFIX.  ``near``: two bytes for each of the window - 1 words
     after the prefix, then before it, the nearest first; 0 past the text."""
     reach = window - 1
 
@@ -99,8 +100,8 @@ def suffix_array(docs: DataFrame, text: str, doc_id: str, k: int, window: int, s
                 for t in texts(part.column(1)):
                     words = word_hashes(t)
                     at, h, g = suffixes(words, k, window, size)
-                    padded = np.zeros(len(words) + 2 * reach, dtype=np.uint8)
-                    padded[reach : reach + len(words)] = (words % np.uint64(255)).astype(np.uint8) + 1
+                    padded = np.zeros(len(words) + 2 * reach, dtype=np.uint16)
+                    padded[reach : reach + len(words)] = (words % np.uint64(0xFFFF)).astype(np.uint16) + 1
                     before = at[:, None] + np.arange(reach - 1, -1, -1)
                     after = at[:, None] + reach + size + np.arange(reach)
                     near.append(padded[np.concatenate([after, before], axis=1)])
@@ -109,7 +110,7 @@ def suffix_array(docs: DataFrame, text: str, doc_id: str, k: int, window: int, s
                     second.append(g)
                     counts.append(len(at))
                 bytes_ = np.concatenate(near)
-                ends = np.arange(len(bytes_) + 1, dtype=np.int32) * (2 * reach)
+                ends = np.arange(len(bytes_) + 1, dtype=np.int32) * (4 * reach)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate(first).view(np.int64)),
@@ -124,118 +125,125 @@ def suffix_array(docs: DataFrame, text: str, doc_id: str, k: int, window: int, s
     return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NULL_ID)).alias("doc"), F.col(text).alias("text")).mapInArrow(run, SUFFIX)
 
 
-def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Leading places in which two rows of bytes agree (0: past the text)."""
-    same = (a == b) & (a > 0)
-    return np.cumprod(same, axis=1).sum(axis=1)
-
-
-def _matches(h, g, doc, at, near, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, start, end) of suffixes that agree with a neighbour, in sorted
-    order, of another document, extended by what both have around them."""
-    reach = near.shape[1] // 2
-    n = len(h)
-    rows, starts, ends = [], [], []
+def _stretches(h, g, near) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the stretches around each suffix, a column for each number of
+    words before it, and whether the text is long enough for them."""
+    n, reach = len(h), near.shape[1] // 2
+    hashes = np.zeros((2, n, reach + 1), dtype=np.uint64)
+    inside = np.ones((2, n, reach + 1), dtype=bool)
+    for side in (0, 1):  # after, before
+        own = near[:, side * reach : (side + 1) * reach]
+        inside[side, :, 1:] = own > 0
+        for i in range(reach):
+            step = (hashes[side, :, i] + own[:, i] + np.uint64(1)) * np.uint64(_FACTORS[side])
+            hashes[side, :, i + 1] = step ^ (step >> np.uint64(29))
+    mixed = h.view(np.uint64) ^ (g.astype(np.uint64) << np.uint64(17))
+    keys = hashes[0, :, ::-1] * np.uint64(0xD6E8FEB86659FD93) + hashes[1] + np.arange(reach + 1, dtype=np.uint64) * np.uint64(0x9FB21C651E98DF25)
+    keys = (keys ^ (keys >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) + mixed[:, None]
+    return (keys ^ (keys >> np.uint64(31))).view(np.int64), inside[0, :, ::-1] & inside[1]
+
+
+def _matches(h, g, doc, at, near, size: int, open_left: bool, open_right: bool):
+    """(row, start, stop) of suffixes with a stretch that another document
+    has, and (key, row, start) of the stretches to be compared with those of
+    other parts, of the first and last group if they are open."""
+    n, reach = len(h), near.shape[1] // 2
     begin = np.ones(n, dtype=bool)
-    begin[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1]) | (doc[1:] != doc[:-1])
-    block = np.cumsum(begin) - 1  # one suffix value in one document
-    first = np.flatnonzero(begin)
-    last = np.append(first[1:], n) - 1
-    for side in (-1, 1):
-        partner = first[block] - 1 if side < 0 else last[block] + 1
-        fits = np.flatnonzero((partner >= 0) & (partner < n))
-        other = partner[fits]
-        equal = (h[fits] == h[other]) & (g[fits] == g[other])
-        fits, other = fits[equal], other[equal]
-        rows.append(fits)
-        starts.append(at[fits] - _agreement(near[fits, reach:], near[other, reach:]))
-        ends.append(at[fits] + size + _agreement(near[fits, :reach], near[other, :reach]))
-    return np.concatenate(rows), np.concatenate(starts), np.concatenate(ends)
+    begin[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1])
+    group, first = np.cumsum(begin) - 1, np.flatnonzero(begin)
+    several = np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first)
+    partial = np.zeros(len(first), dtype=bool)
+    partial[0] |= open_left
+    partial[-1] |= open_right
+    rows = np.flatnonzero((several | partial)[group])
+    keys, inside = _stretches(h[rows], g[rows], near[rows])
+    doc, at, is_open = doc[rows], at[rows], partial[group[rows]]
+    lefts, rights = np.full(len(rows), -1), np.full(len(rows), reach + 1)
+    left_over = [(np.zeros(0, dtype=np.int64),) * 3]
+    for before in range(reach + 1):
+        own = np.flatnonzero(inside[:, before])
+        if not len(own):
+            continue
+        own = own[np.lexsort((doc[own], keys[own, before]))]
+        key = keys[own, before]
+        new = np.ones(len(own), dtype=bool)
+        new[1:] = key[1:] != key[:-1]
+        run, start = np.cumsum(new) - 1, np.flatnonzero(new)
+        stop = np.append(start[1:], len(own)) - 1
+        shared = (doc[own[start]] != doc[own[stop]])[run]
+        lefts[own[shared]] = before
+        rights[own[shared]] = np.minimum(rights[own[shared]], before)
+        place = np.arange(len(own))
+        left = own[is_open[own] & (~shared | (place == start[run]) | (place == stop[run]))]
+        left_over.append((keys[left, before], rows[left], at[left] - before))
+    found = np.flatnonzero(lefts >= 0)
+    matched = rows[found], at[found] - lefts[found], at[found] - rights[found] + size + reach
+    return matched, tuple(np.concatenate(x) for x in zip(*left_over))
 
 
 def compare_neighbours(rows: DataFrame, size: int, whole: bool) -> DataFrame:
     """(doc, start, stop) of matches in sorted suffixes.  If groups of equal
-    suffixes may cross partitions (not ``whole``), the outermost rows of a
-    partition's first and last group follow as suffixes, start null."""
+    prefixes may cross partitions (not ``whole``), stretches of a partition's
+    first and last group follow with their key, start null."""
 
     def run(batches):
         held: list[pa.RecordBatch] = []
 
-        def arrays(part: pa.Table):
-            near = np.frombuffer(b"".join(part.column("near").to_pylist()), dtype=np.uint8).reshape(part.num_rows, -1)
-            return *(part.column(c).to_numpy() for c in ("h", "g", "doc", "at")), near
-
-        def rows_of(doc, start, stop, edge=None):
-            n = len(doc)
-            parts = [pa.array(doc, pa.int64()), pa.array(start, pa.int32()), pa.array(stop, pa.int32())]
-            if edge is None:
-                parts += [pa.nulls(n, t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.binary())]
-            else:
-                parts += [pa.array(edge[i]) for i in (0, 1, 3)] + [pa.array([x.tobytes() for x in edge[4]], pa.binary())]
-            return pa.RecordBatch.from_arrays(parts, ["doc", "start", "stop", "h", "g", "at", "near"])
-
-        def edges(cols, lo, hi):
-            """The outermost documents' rows of the group lo..hi."""
-            doc = cols[2][lo:hi]
-            own = np.flatnonzero((doc == doc[0]) | (doc == doc[-1])) + lo
-            picked = [c[own] for c in cols]
-            return rows_of(picked[2], [None] * len(own), [None] * len(own), picked)
-
-        def finished(part, left, right):
-            cols = arrays(part)
-            h, g, doc, at, near = cols
-            row, start, stop = _matches(*cols, size)
-            yield rows_of(doc[row], start, stop)
-            if not whole:
-                cut = np.flatnonzero((h[1:] != h[:-1]) | (g[1:] != g[:-1])) + 1
-                if left:
-                    yield edges(cols, 0, cut[0] if len(cut) else len(h))
-                if right and (len(cut) or not left):
-                    yield edges(cols, cut[-1] if len(cut) else 0, len(h))
+        def finished(part: pa.Table, left: bool, right: bool):
+            near = np.frombuffer(b"".join(part.column("near").to_pylist()), dtype=np.uint16).reshape(part.num_rows, -1)
+            h, g, doc, at = (part.column(c).to_numpy() for c in ("h", "g", "doc", "at"))
+            (row, start, stop), (key, of, first) = _matches(h, g, doc, at, near, size, left, right)
+            names = ["doc", "start", "stop", "key", "g", "first"]
+            none = lambda n, *kinds: [pa.nulls(n, k) for k in kinds]
+            found = [pa.array(doc[row], pa.int64()), pa.array(start, pa.int32()), pa.array(stop, pa.int32())]
+            yield pa.RecordBatch.from_arrays([*found, *none(len(row), pa.int64(), pa.int32(), pa.int32())], names)
+            for a in range(0, len(key), 100_000):
+                k, o, f = key[a : a + 100_000], of[a : a + 100_000], first[a : a + 100_000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(doc[o], pa.int64()), *none(len(k), pa.int32(), pa.int32()), pa.array(k), pa.array(g[o], pa.int32()), pa.array(f, pa.int32())],
+                    names,
+                )
 
         # parts are cut between groups, except that a group of more than
-        # 200,000 rows is cut between two of its documents
-        left = True
+        # 200,000 rows is cut anywhere
+        left, count = not whole, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             held.append(batch)
-            if sum(b.num_rows for b in held) < 50_000:
+            count += batch.num_rows
+            if count < 50_000:
                 continue
             part = pa.Table.from_batches(held)
-            h, g, doc = (part.column(c).to_numpy() for c in ("h", "g", "doc"))
+            h, g = (part.column(c).to_numpy() for c in ("h", "g"))
             cut = np.flatnonzero((h[1:] != h[:-1]) | (g[1:] != g[:-1])) + 1
             if len(cut):
-                end = keep = int(cut[-1])
-            elif len(h) > 200_000 and doc[0] != doc[-1]:
-                # the last document's rows stay, with one of the one before
-                end = int(np.flatnonzero(doc != doc[-1])[-1]) + 1
-                keep = end - 1
-            else:
-                continue
-            yield from finished(part.slice(0, end), left, False)
-            left = False
-            held = part.slice(keep).to_batches()
+                yield from finished(part.slice(0, cut[-1]), left, False)
+                left, held = False, part.slice(cut[-1]).to_batches()
+            elif count > 200_000 and not whole:
+                yield from finished(part, True, True)
+                left, held = True, []
+            count = sum(b.num_rows for b in held)
         if held:
-            yield from finished(pa.Table.from_batches(held), left, True)
+            yield from finished(pa.Table.from_batches(held), left, not whole)
 
-    return rows.mapInArrow(run, "doc long, start int, stop int, h long, g int, at int, near binary")
+    return rows.mapInArrow(run, "doc long, start int, stop int, key long, g int, first int")
 
 
 def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_words: int = 51, k: int = 8, window: int = 16) -> DataFrame:
     """(doc_id, passages) of the documents that have any: array of
     (start, stop), in words, stop exclusive."""
     spark, size = docs.sparkSession, min_words - window + 1
-    # in order of the words after the prefix, then of those before it, so that
-    # neighbours are the suffixes that agree the furthest
+    # in order of the words around the prefix, so that a large group's equal
+    # stretches are mostly in the same part
     order = ["h", "g", "near", "doc", "at"]
-    array = staged(suffix_array(docs, text, doc_id, k, window, size), "suffixes")
+    array = suffix_array(docs, text, doc_id, k, window, size)  # twice: range bounds are sampled; cheaper than on disk
     ranged = array.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
     found = staged(compare_neighbours(ranged, size, False), "suffix-matches")
-    crossing = found.filter("start IS NULL").select("h", "g", "doc", "at", "near").distinct()
-    crossing = crossing.repartition(partitions(spark), "h", "g").sortWithinPartitions(*order)
-    again = compare_neighbours(crossing, size, True)
-    matches = found.filter("start IS NOT NULL").select("doc", "start", "stop").unionByName(again.select("doc", "start", "stop")).distinct()
+    crossing = found.filter("start IS NULL").groupBy("key", "g")
+    crossing = crossing.agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.collect_list(F.struct("doc", "first")).alias("own"))
+    again = crossing.filter("least < most").select(F.inline("own")).select("doc", F.col("first").alias("start"), (F.col("first") + min_words).alias("stop"))
+    matches = found.filter("start IS NOT NULL").select("doc", "start", "stop").unionByName(again).distinct()
     lists = matches.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
 
     def merge(batches):
@@ -249,7 +257,7 @@ def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
                         merged[-1][1] = max(merged[-1][1], s["stop"])
                     else:
                         merged.append([s["start"], s["stop"]])
-                out.append([{"start": a, "stop": b} for a, b in merged if b - a >= min_words])
+                out.append([{"start": a, "stop": b} for a, b in merged])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind)], ["doc", "passages"])
 
     merged = lists.mapInArrow(merge, "doc long, passages array<struct<start:long,stop:long>>").filter(F.size("passages") > 0)
