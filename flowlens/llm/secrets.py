@@ -6,11 +6,15 @@ The identifiers of all documents are counted; those that make up
 become the content of a zstandard dictionary, the commonest last, cut to
 ``dictionary_bytes``.  A candidate is a string of 16 characters or more with
 digits and letters, not inside a pattern's span, with a sensitive word in the
-``reach`` characters before it.  Its novelty is the number of compressed bytes
-that it adds to the surrounding text, per byte: names, words and repeated
-strings are matched in the dictionary or the surroundings and cost little,
-random ones cost nearly all of their bytes.  Candidates of ``min_novelty`` or
-more are reported, as kind ``novel``.
+``reach`` characters before it: on its line, or on an earlier one if no other
+value stands between.  A value's further lines are candidates too, and so is
+all that a PEM key block holds.  A candidate's novelty is the number of
+compressed bytes that it adds to the surrounding text, per byte: names, words
+and repeated strings are matched in the dictionary or the surroundings and cost
+little, random ones cost nearly all of their bytes, or, where they are long and
+their alphabet is small, their characters' entropy.  Candidates of
+``min_novelty`` or more, or of nearly what as many random characters of their
+alphabet cost (``random_cost``), are reported, as kind ``novel``.
 
 Patterns (kinds assign, access, hex) are leftmost, non-overlapping per kind,
 and matches that are too short are dropped after matching.
@@ -22,6 +26,7 @@ columns get underscores in front where their names are taken.
 
 from __future__ import annotations
 
+import random
 import re
 import sys
 from collections import Counter
@@ -46,6 +51,15 @@ SENSITIVE = re.compile(
     r"passw|passphrase|pwd|secret|token|key|auth|bearer|credential|private|signature|session|cookie|login", re.IGNORECASE | re.ASCII
 )
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+PEM_KEY = re.compile(r"-----BEGIN [A-Z0-9 ]*KEY[A-Z ]*-----")
+BETWEEN_LINES = re.compile(r"""[\s"'\\+,;|>#*]*\n[\s"'\\+,;|>#*]*""")
+#: Alphabets of random strings, the smallest first: hex, base 32, base 36 and 62; signs are added.
+ALPHABETS = [
+    (re.compile(f"[{chars}]*"), size)
+    for chars, size in (("0-9a-f", 16), ("0-9A-F", 16), ("0-9a-fA-F", 22), ("A-Z2-7", 32), ("a-z2-7", 32), ("a-z0-9", 36), ("A-Z0-9", 36), ("A-Za-z0-9", 62))
+]
+SIGNS = re.compile(r"[+/_.=-]")
+_SLACK, _DRAWN = 0.95, 4096  # random strings' costs differ by less; beyond so many characters a byte's cost hardly falls
 IDENTIFIER = re.compile(rb"[A-Za-z_][A-Za-z0-9_]{2,63}")
 _ASSIGN_HINTS = ("passw", "secret", "token", "api")
 _CONTEXT_HINTS = ("passw", "passphrase", "pwd", "secret", "token", "key", "auth", "bearer", "credential", "private", "signature", "session", "cookie", "login")
@@ -70,6 +84,7 @@ class Novelty:
 
     def __init__(self, content: bytes, level: int = 9):
         self.content, self.level = content, level
+        self.random: dict[tuple[int, int], float] = {}
         self.empty = len(zstandard.ZstdCompressor(level=level, write_content_size=False).compress(b""))
 
     def __call__(self, before: str, string: str, after: str) -> float:
@@ -79,21 +94,64 @@ class Novelty:
         model = zstandard.ZstdCompressor(level=self.level, dict_data=primed, write_content_size=False)
         return (len(model.compress(encoded(string))) - self.empty) / len(string)
 
+    def random_cost(self, size: int, length: int) -> float:
+        """Nearly what ``length`` random characters out of ``size`` cost."""
+        key = size, min(length, _DRAWN)
+        if key not in self.random:
+            drawn = bytes(random.Random(0).choices(range(size), k=key[1]))
+            model = zstandard.ZstdCompressor(level=self.level, write_content_size=False)
+            self.random[key] = _SLACK * (len(model.compress(drawn)) - self.empty) / key[1]
+        return self.random[key]
+
+
+def alphabet_size(string: str) -> int:
+    plain = SIGNS.sub("", string)
+    size = next(size for kind, size in ALPHABETS if kind.fullmatch(plain))
+    return size + len(set(SIGNS.findall(string.rstrip("="))))
+
+
+def key_blocks(text: str) -> list[tuple[int, int]]:
+    """(start, end) of what PEM key blocks hold."""
+    out, at = [], 0
+    while m := PEM_KEY.search(text, at):
+        at = text.find("-----END", m.end())
+        if at < 0:
+            break
+        out.append((m.end(), at))
+    return out
+
 
 def novel_spans(text: str, low: str, taken: list[tuple[int, int, str]], novelty: Novelty, reach: int, context: int, min_novelty: float) -> list[tuple[int, int, str]]:
     if not any(h in low for h in _CONTEXT_HINTS):
         return []
     out = []
+    blocks = key_blocks(text)
+    values = sorted((y, kind) for _, y, kind in taken)
+    block = value = end = 0  # end: of the last value
+    wraps = False  # it was in context, so its further lines are
     for m in CANDIDATE.finditer(text):
         a, b = m.span()
         s = m[0]
         if not (any(c.isdigit() for c in s) and any(c.isalpha() for c in s)) or any(x <= a and b <= y for x, y, _ in taken):
             continue
+        while value < len(values) and values[value][0] <= a:
+            if values[value][0] > end:
+                end, wraps = values[value][0], values[value][1] != "hex"
+            value += 1
+        while block < len(blocks) and blocks[block][1] <= a:
+            block += 1
         line = text.rfind("\n", 0, a) + 1
-        if not SENSITIVE.search(text, max(line, a - reach), a):
+        if not (
+            SENSITIVE.search(text, max(line, a - reach), a)
+            or SENSITIVE.search(text, max(end, a - reach), a)
+            or (wraps and a - end <= context and BETWEEN_LINES.fullmatch(text, end, a))
+            or (block < len(blocks) and blocks[block][0] <= a)
+        ):
             continue
-        if novelty(text[max(0, a - context) : a], s, text[b : b + context]) >= min_novelty:
+        cost = novelty(text[max(0, a - context) : a], s, text[b : b + context])
+        if cost >= min_novelty or cost >= novelty.random_cost(alphabet_size(s), len(s)):
             out.append((a, b, "novel"))
+            end, wraps = b, True
     return out
 
 

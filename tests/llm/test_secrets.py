@@ -2,7 +2,7 @@ import random
 import re
 import string
 
-from flowlens.llm.secrets import KINDS, Novelty, identifier_dictionary, pattern_spans, scan_secrets
+from flowlens.llm.secrets import KINDS, Novelty, identifier_dictionary, novel_spans, pattern_spans, scan_secrets
 from hypothesis import given
 from hypothesis import strategies as st
 
@@ -54,3 +54,50 @@ def test_dictionary_counts_all_documents(spark):
     assert b"shared_name" in content.split() and not any(w.startswith(b"rare") for w in content.split())
     assert len(identifier_dictionary(docs, "text", 100, 20)) == 20
     assert KINDS[:3] == ("assign", "access", "hex")
+
+
+def novel(text, novelty):
+    spans = novel_spans(text, text.lower(), pattern_spans(text, text.lower()), novelty, 40, 256, 0.75)
+    return [text[a:b] for a, b, _ in spans]
+
+
+NAMES = b" ".join(b"name_%d_%s" % (i, w) for i, w in enumerate(re.findall(rb"\w+", prose(1, 6000).encode())))[: 1 << 16]
+RANDOM = {
+    "upper hex": "0123456789ABCDEF",
+    "base 32": string.ascii_uppercase + "234567",
+    "lower base 36": string.ascii_lowercase + string.digits,
+    "upper base 36": string.ascii_uppercase + string.digits,
+    "base 62": string.ascii_letters + string.digits,
+    "base 64": string.ascii_letters + string.digits + "+/",
+}
+
+
+def test_random_keys_of_every_length_and_alphabet():
+    novelty, rand = Novelty(NAMES), random.Random(3)
+    for name, chars in RANDOM.items():
+        for size in (24, 40, 64, 96, 128, 256, 512, 1000, 2000):
+            for _ in range(10):
+                key = "".join(rand.choice(chars) for _ in range(size - 2)) + "A7" if name != "lower base 36" else "".join(rand.choice(chars) for _ in range(size - 2)) + "a7"
+                assert novel(f"the key is {key} here", novelty) == [key], (name, size)
+
+
+def test_long_names_and_paths_are_not_novel():
+    known = b" site packages authentication session password accounts settings profile notifications preferences language summary details"
+    novelty = Novelty(NAMES + known)
+    for path in (
+        "/usr/local/lib/python3.11/site-packages/authentication/backends/session_store/tests/test_password_reset_view.py",
+        "https.example.org/accounts/settings/profile/notifications/preferences/language2/overview/summary/details/index.html",
+        "name_1_" * 40,
+        "a1" * 300,
+    ):
+        assert novel(f"the token is in {path} now", novelty) == [], path
+
+
+def test_keys_on_further_lines():
+    novelty, rand = Novelty(NAMES), random.Random(4)
+    chars = string.ascii_letters + string.digits
+    lines = ["".join(rand.choice(chars) for _ in range(62)) + "a7" for _ in range(12)]
+    pem = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,12\n\n" + "\n".join(lines) + "\n-----END RSA PRIVATE KEY-----\n"
+    assert novel("text\n" + pem + "x " * 40 + "\n" + lines[0][::-1], novelty) == lines
+    assert novel(f"api-key:\n    {lines[0]}\n    {lines[1]}\nmore", novelty) == lines[:2]
+    assert novel(f"the key: {lines[0]}, see\n{lines[1]}", novelty) == lines[:1]
