@@ -8,10 +8,14 @@ indented by depth, table cells padded to aligned columns, preformatted text as
 it is.
 
 Not visible: head, scripts, styles, templates and other elements without
-rendered text, comments, elements with ``hidden``, with ``display:none`` or
-``visibility:hidden`` in their style or by a tag, class or id rule of a style
-element, hidden inputs, closed dialogs, and the text of a closed ``details``
-but its summary.
+rendered text, comments, elements with ``display:none``, ``hidden`` or closed
+dialogs unless a style displays them, the text of a closed ``details`` but its
+summary, and text whose visibility is hidden (inherited, so a visible child
+shows).  Styles are an element's own and the tag, class and id rules of style
+elements, by importance, specificity and order; other selectors are ignored.
+Rules under ``@media`` (or in a style element with ``media``) count if they fit a screen
+of ``SCREEN`` pixels, a mouse, and no preferences; those under ``@supports`` and
+``@layer`` count unless the condition is negated, other at-rules do not.
 
 Cases: null or empty html renders to an empty text; broken markup is repaired
 (unclosed elements end with their parent, stray end tags are ignored, an
@@ -63,8 +67,14 @@ MAX_DEPTH = 200
 
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>")
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-HIDING = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.IGNORECASE)
+IGNORED = re.compile(r"""(?s)/\*.*?(?:\*/|\Z)|"(?:\\.|[^"\\\n])*"|'(?:\\.|[^'\\\n])*'|<!--|-->""")
+SELECTOR = re.compile(r"[.#]?[\w-]+")
+SCREEN = {"width": 1280.0, "height": 800.0}
+FEATURES = {
+    "orientation": "landscape", "hover": "hover", "any-hover": "hover", "pointer": "fine", "any-pointer": "fine", "scripting": "enabled", "update": "fast",
+    "prefers-color-scheme": "light", "prefers-reduced-motion": "no-preference", "prefers-contrast": "no-preference", "forced-colors": "none",
+}
+LENGTH = re.compile(r"([\d.]+)(px|r?em|)")
 SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -139,7 +149,7 @@ def build(page: str) -> tuple[Node, str]:
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.IGNORECASE).search(page, at)
             stop = len(page) if end is None else end.start()
-            if tag == "style":
+            if tag == "style" and fits(node.attrs.get("media", "")):
                 styles.append(page[at:stop])
             node.children.append(html.unescape(page[at:stop]) if tag in ("textarea", "title") else page[at:stop])
             gt = page.find(">", stop)
@@ -149,33 +159,140 @@ def build(page: str) -> tuple[Node, str]:
     return root, "\n".join(styles)
 
 
-def hiding_selectors(styles: str) -> frozenset[str]:
-    """Simple selectors (tag, .class, #id) that hide their elements."""
-    out = set()
-    for selectors, body in RULE.findall(re.sub(r"(?s)/\*.*?\*/", "", styles)):
-        if HIDING.search(body):
-            out |= {s.strip().lower() for s in selectors.split(",") if re.fullmatch(r"\s*[.#]?[\w-]+\s*", s)}
-    return frozenset(out)
-
-
-def hidden(node: Node, selectors: frozenset[str]) -> bool:
-    a = node.attrs
-    if node.tag in UNSEEN or "hidden" in a or (node.tag == "dialog" and "open" not in a):
-        return True
-    if a.get("style") and HIDING.search(a["style"]):
-        return True
-    if not selectors:
-        return False
-    own = {node.tag, f"#{a.get('id', '').lower()}", *(f".{c.lower()}" for c in a.get("class", "").split())}
-    return not own.isdisjoint(selectors)
+def pixels(value: str) -> float | None:
+    m = LENGTH.fullmatch(value)
+    try:
+        return float(m[1]) * (16 if m[2].endswith("em") else 1) if m else None
+    except ValueError:
+        return None
+
+
+def feature(text: str) -> bool | None:
+    """Whether the screen has a media feature; None for an unknown one."""
+    name, colon, value = (x.strip() for x in text.partition(":"))
+    if colon:
+        bound, _, side = name.rpartition("-")
+        if bound in ("min", "max") and side in SCREEN:
+            size = pixels(value)
+            return None if size is None else SCREEN[side] >= size if bound == "min" else SCREEN[side] <= size
+        return SCREEN[name] == pixels(value) if name in SCREEN else FEATURES[name] == value if name in FEATURES else None
+    if name in SCREEN or name in FEATURES:
+        return FEATURES.get(name, "") not in ("none", "no-preference")
+    parts = [x.strip() for x in re.split(r"([<>]=?|=)", text)]
+    if len(parts) not in (3, 5) or not any(x in SCREEN for x in parts):
+        return None
+    sizes = [SCREEN.get(x, pixels(x)) for x in parts[::2]]
+    if None in sizes:
+        return None
+    compare = {"<": float.__lt__, "<=": float.__le__, ">": float.__gt__, ">=": float.__ge__, "=": float.__eq__}
+    return all(compare[sign](x, y) for x, sign, y in zip(sizes, parts[1::2], sizes[1:]))
+
+
+def fits(media: str) -> bool:
+    """Whether one of a list of media queries fits the screen."""
+
+    def one(query: str) -> bool:
+        m = re.fullmatch(r"(not\b|only\b)?\s*([a-z-]+)?\s*(?:(?:\band\b)?\s*(\(.*))?", query, re.DOTALL)
+        if not m:
+            return False
+        kind, ok = m[2] or "all", True
+        if m[3]:
+            terms = re.split(r"\s*\b(and|or)\b\s*", m[3])
+            known = []
+            for term in terms[::2]:
+                t = re.fullmatch(r"(not\s*)?\(([^()]*)\)\s*", term)
+                has = feature(t[2]) if t else None
+                if has is None:
+                    return False
+                known.append(has != bool(t[1]))
+            ok = any(known) if "or" in terms[1::2] else all(known)
+        return (kind in ("all", "screen") and ok) != (m[1] == "not")
+
+    return not media.strip() or any(one(q.strip()) for q in media.lower().split(","))
+
+
+def declared(text: str) -> tuple[str, bool, bool | None] | None:
+    """(property, important, shown) of a declaration of display or visibility;
+    shown is None where the element's parent or kind decides."""
+    name, colon, value = text.partition(":")
+    name, words = name.strip().lower(), value.lower().replace("!", " !").split()
+    if not colon or name not in ("display", "visibility"):
+        return None
+    important = "!important" in words or words[-2:] == ["!", "important"]
+    value = words[0] if words else ""
+    if name == "display":
+        return name, important, None if value in ("revert", "revert-layer") else value != "none"
+    shown = {"hidden": False, "collapse": False, "visible": True, "initial": True, "inherit": None, "unset": None, "revert": None, "revert-layer": None}
+    return (name, important, shown[value]) if value in shown else None
+
+
+class Styles:
+    """What the rules of a page's style elements say of display and
+    visibility: selector -> property -> (important, order, shown)."""
+
+    def __init__(self, styles: str):
+        self.rules: dict[str, dict[str, tuple[bool, int, bool | None]]] = {}
+        text = IGNORED.sub(" ", styles)
+        # open blocks: whether they count, and whose declarations they hold
+        blocks: list[tuple[bool, list[str] | None]] = [(True, None)]
+        at = 0
+        for m in re.finditer(r"[{};]|\Z", text):
+            chunk, at = text[at : m.start()].strip(), m.end()
+            counts, owners = blocks[-1]
+            if m[0] != "{":
+                if counts and owners and (found := declared(chunk)):
+                    self.add(owners, *found, m.start())
+                if m[0] == "}" and len(blocks) > 1:
+                    blocks.pop()
+            elif chunk.startswith("@"):
+                name, condition = re.fullmatch(r"(?s)@([\w-]*)(.*)", chunk).groups()
+                condition = condition.strip().lower()
+                name = name.lower()
+                counts &= fits(condition) if name == "media" else name in ("supports", "layer") and not condition.startswith("not")
+                blocks.append((counts, owners))
+            elif owners is None:
+                blocks.append((counts, [x.strip().lower() for x in chunk.split(",") if SELECTOR.fullmatch(x.strip())]))
+            else:
+                blocks.append((False, owners))  # nested rules have other selectors
+
+    def add(self, owners: list[str], name: str, important: bool, shown: bool | None, order: int) -> None:
+        for selector in owners:
+            held = self.rules.setdefault(selector, {})
+            held[name] = max(held.get(name, (False, -1, None)), (important, order, shown), key=lambda x: x[:2])
+
+    def state(self, node: Node, visible: bool) -> bool | None:
+        """Whether the node's own text is visible, given its parent's; None if
+        nothing of the node is displayed."""
+        a = node.attrs
+        if node.tag in UNSEEN:
+            return None
+        best: dict[str, tuple] = {}
+        if self.rules:
+            own = [(1, node.tag), *((2, f".{c.lower()}") for c in a.get("class", "").split()), (3, f"#{a.get('id', '').lower()}")]
+            for rank, selector in own:
+                for name, (important, order, shown) in self.rules.get(selector, {}).items():
+                    best[name] = max(best.get(name, (False, 0, 0, None)), (important, rank, order, shown), key=lambda x: x[:3])
+        if a.get("style"):
+            for i, part in enumerate(IGNORED.sub(" ", a["style"]).split(";")):
+                if found := declared(part):
+                    name, important, shown = found
+                    best[name] = max(best.get(name, (False, 0, 0, None)), (important, 4, i, shown), key=lambda x: x[:3])
+        displayed = best["display"][3] if "display" in best else None
+        if displayed is None:
+            displayed = not ("hidden" in a or (node.tag == "dialog" and "open" not in a))
+        if not displayed:
+            return None
+        own_visible = best["visibility"][3] if "visibility" in best else None
+        return visible if own_visible is None else own_visible
 
 
 class Page:
     """Lines under construction.  ``gap``: line breaks owed before the next
     text (2 makes a blank line)."""
 
-    def __init__(self, selectors: frozenset[str]):
-        self.selectors = selectors
+    def __init__(self, styles: Styles, visible: bool = True):
+        self.styles = styles
+        self.visible = visible
         self.lines: list[str] = []
         self.line = ""
         self.gap = 0
@@ -197,6 +314,8 @@ class Page:
             self.marker, self.gap, self.space = "", 0, False
 
     def text(self, raw: str, pre: bool) -> None:
+        if not self.visible:
+            return
         if pre:
             for i, part in enumerate(raw.split("\n")):
                 if i:
@@ -225,16 +344,21 @@ class Page:
             if isinstance(child, str):
                 self.text(child, pre)
                 continue
-            tag = child.tag
-            if hidden(child, self.selectors):
+            tag, outer = child.tag, self.visible
+            visible = self.styles.state(child, outer)
+            if visible is None:
                 continue
+            self.visible = visible
             if tag == "br":
+                if not visible:
+                    self.visible = outer
+                    continue
                 self.start()
                 self.lines.append(self.line.rstrip())
                 self.line, self.space = "", False
             elif tag == "table":
                 self.end_line(2)
-                for line in table_lines(child, self.selectors):
+                for line in table_lines(child, self.styles, visible):
                     self.lines_of(line)
                 self.end_line(2)
             elif tag in ("ul", "ol", "menu"):
@@ -252,6 +376,7 @@ class Page:
                 self.indent = held
             else:
                 self.render(child, pre)
+            self.visible = outer
 
     def lines_of(self, line: str) -> None:
         if line.strip():
@@ -269,20 +394,21 @@ class Page:
             if isinstance(child, str):
                 self.text(child, pre)
                 continue
-            if hidden(child, self.selectors):
-                continue
             if child.tag != "li":
                 holder = Node("#part", {})
                 holder.children = [child]
                 self.render(holder, pre)
                 continue
+            outer, visible = self.visible, self.styles.state(child, self.visible)
+            if visible is None:
+                continue
             self.end_line(1)
             mark = f"{number}. " if node.tag == "ol" else "- "
             number += 1
-            self.indent, self.marker = held + " " * len(mark), mark
+            self.indent, self.marker, self.visible = held + " " * len(mark), mark if visible else "", visible
             self.render(child, pre)
             self.end_line(1)
-            self.indent, self.marker = held, ""
+            self.indent, self.marker, self.visible = held, "", outer
         self.end_line(1 if nested else 2)
 
     def result(self) -> list[str]:
@@ -290,8 +416,8 @@ class Page:
         return self.lines
 
 
-def lines_under(node: Node, selectors: frozenset[str]) -> list[str]:
-    page = Page(selectors)
+def lines_under(node: Node, styles: Styles, visible: bool = True) -> list[str]:
+    page = Page(styles, visible)
     page.render(node, node.tag == "pre")
     lines = page.result()
     while lines and not lines[0].strip():
@@ -301,36 +427,38 @@ def lines_under(node: Node, selectors: frozenset[str]) -> list[str]:
     return lines
 
 
-def table_lines(node: Node, selectors: frozenset[str]) -> list[str]:
+def table_lines(node: Node, styles: Styles, visible: bool) -> list[str]:
     """A table's caption and rows; columns as wide as their widest cell that
     spans no other, two spaces apart."""
     before: list[str] = []
     rows: list[list[tuple[list[str], int]]] = []
 
-    def visit(part: Node) -> None:
+    def visit(part: Node, visible: bool) -> None:
         loose = Node("#loose", {})
         for child in part.children:
-            if isinstance(child, Node) and hidden(child, selectors):
+            own = styles.state(child, visible) if isinstance(child, Node) else visible
+            if own is None:
                 continue
             if isinstance(child, Node) and child.tag in ("thead", "tbody", "tfoot"):
-                visit(child)
+                visit(child, own)
             elif isinstance(child, Node) and child.tag == "tr":
                 cells, odd = [], Node("#odd", {})
                 for cell in child.children:
                     if isinstance(cell, Node) and cell.tag in ("td", "th"):
-                        if not hidden(cell, selectors):
+                        shown = styles.state(cell, own)
+                        if shown is not None:
                             span = cell.attrs.get("colspan", "")
-                            cells.append((lines_under(cell, selectors), max(1, min(1000, int(span))) if re.fullmatch(r"\d{1,4}", span) else 1))
+                            cells.append((lines_under(cell, styles, shown), max(1, min(1000, int(span))) if re.fullmatch(r"\d{1,4}", span) else 1))
                     else:
                         odd.children.append(cell)
-                before.extend(lines_under(odd, selectors))
+                before.extend(lines_under(odd, styles, own))
                 if any(lines for lines, _ in cells):
                     rows.append(cells)
             else:
                 loose.children.append(child)  # captions and misplaced text stand before the table
-        before.extend(lines_under(loose, selectors))
+        before.extend(lines_under(loose, styles, visible))
 
-    visit(node)
+    visit(node, visible)
     widths: dict[int, int] = {}
     for cells in rows:
         column = 0
@@ -354,7 +482,7 @@ def render_html(page: str | None) -> str:
     if not page:
         return ""
     root, styles = build(page)
-    return "\n".join(lines_under(root, hiding_selectors(styles)))
+    return "\n".join(lines_under(root, Styles(styles)))
 
 
 def render_pages(pages: DataFrame, markup: str = "html") -> DataFrame:

@@ -79,3 +79,26 @@ def test_depth_and_awkward_rows(spark):
     by = {r.page_id: r._text for r in out.collect()}
     assert by[1].split()[0] == "x" and by[1].endswith("y") and by[2].count("word") == 200_000 and by[None] == by[3] == ""
     assert render_pages(pages.limit(0)).count() == 0
+
+
+NAV = "<nav class='n'>menu</nav><p class='noprint'>x</p>"
+STYLED = [
+    ("<style>@media print { .noprint { display:none } } @media (max-width:600px){nav{display:none}}</style>" + NAV, "menu\n\nx"),
+    ("<style media=print>nav{display:none}</style><style media='screen'>.noprint{display:none}</style>" + NAV, "menu"),
+    ("<style>@media screen and (min-width: 50em), print { nav{display:none} }</style>" + NAV, "x"),
+    ("<style>@media not screen{nav{display:none}} @media (width < 700px){p{display:none}} @media (400px <= width){.n{display:none}}</style>" + NAV, "x"),
+    ("<style>@media all{@supports (display:grid){@media print{p{display:none}} nav{display:none}}} @import url(x);</style>" + NAV, "x"),
+    ("<style>@media (prefers-color-scheme: dark){nav{display:none}} @font-face{src:url(x)} @keyframes p{from{display:none}}</style>" + NAV, "menu\n\nx"),
+    ("<style>nav{display:none} nav{display:block}</style>" + NAV, "menu\n\nx"),
+    ("<style>nav{display:none!important} nav{display:block} .noprint{display:none} p{display:block}</style>" + NAV, ""),
+    ("<style>.n{display:none} /* p{display:none} */ p::after{content:'}p{display:none}'}</style><nav class=n style='display:flex'>menu</nav><p>x", "menu\n\nx"),
+    ("<style>.t{visibility:hidden} .v{visibility:visible}</style><div class=t>no <b class=v>yes</b> no<i style='visibility: visible'>s</i></div>", "yess"),
+    ("<ul style='visibility:hidden'><li>a<li style='visibility:visible'>b<li><i style='visibility:visible'>c</i></ul>", "- b\n  c"),
+    ("<table style='visibility:hidden'><tr><td>aa<td style='visibility:visible'>b<tr style='visibility:visible'><td>cc<td>d</table>", "    b\ncc  d"),
+    ("<style>.s{display:block}</style><p hidden class=s>shown</p><p hidden>not</p>", "shown"),
+]
+
+
+@pytest.mark.parametrize("page,want", STYLED)
+def test_styles(page, want):
+    assert render_html(page) == want
