@@ -6,7 +6,8 @@ score is the mean of the lines' forward-backward marginals of "good", weighted
 by line length.
 
 Training takes a bounded sample of labelled documents: ``sample_docs`` ids in
-the order of a hash, of each the first ``sample_lines`` lines.  All lines of a
+the order of a hash, cut over their whole length into runs of up to
+``sample_lines`` lines, and of these as many runs by hash.  All lines of a
 document carry its label.  The weights are fitted by gradient ascent on the
 chain's log-likelihood with an L2 penalty.  Every document is scored, over all
 of its lines.
@@ -218,17 +219,23 @@ def train(
 
     def run(batches):
         for batch in batches:
-            found = [line_features(split_lines(t)[:sample_lines]) for t in texts(batch.column(0))]
+            found, rows, part = [], [], []
+            for i, t in enumerate(texts(batch.column(0))):
+                own = line_features(split_lines(t))
+                runs = [own[a : a + sample_lines] for a in range(0, len(own), sample_lines)]
+                found += runs
+                rows += [i] * len(runs)
+                part += range(len(runs))
             flat = np.concatenate([f.ravel() for f in found]) if found else np.zeros(0, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [int_lists(flat, [f.size for f in found], pa.int64()).cast(pa.list_(pa.int16())), batch.column(1), batch.column(2)], ["features", "y", "id"]
-            )
+            y, ids = (batch.column(c).take(pa.array(rows, pa.int64())) for c in (1, 2))
+            lists = int_lists(flat, [f.size for f in found], pa.int64()).cast(pa.list_(pa.int16()))
+            yield pa.RecordBatch.from_arrays([lists, y, ids, pa.array(part, pa.int64())], ["features", "y", "id", "part"])
 
     own = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(ids), "id")  # sample_docs rows
-    rows = own.select("text", "y", F.col("id").cast("long").alias("id")).mapInArrow(run, "features array<smallint>, y int, id long")
-    rows = rows.dropDuplicates(["id"]).toArrow()
+    rows = own.select("text", "y", F.col("id").cast("long").alias("id")).mapInArrow(run, "features array<smallint>, y int, id long, part long")
+    rows = rows.dropDuplicates(["id", "part"]).orderBy(F.xxhash64("id", "part"), "id", "part").limit(sample_docs).toArrow()
     documents = []
-    order = np.argsort(rows.column("id").to_numpy())
+    order = np.lexsort((rows.column("part").to_numpy(), rows.column("id").to_numpy()))
     for i in order.tolist():
         f = np.array(rows.column("features")[i].values, dtype=np.int64).reshape(-1, WIDTH)
         documents.append((f, int(rows.column("y")[i].as_py() > 0)))

@@ -73,3 +73,15 @@ def test_awkward_rows(spark):
     assert {r.score for r in score_quality(odd, train(odd, labels.limit(0))).collect()} == {0.5}
     one = train(docs, labels.filter("quality = 1"))
     assert all(r.predicted == 1 for r in score_quality(docs.filter("doc_id % 3 = 1"), one).collect())
+
+
+def test_the_tail_of_a_long_document_is_trained_on(spark):
+    clean = lambda i, n: "\n".join(prose(1000 * i + k, 12) for k in range(n))
+    junk = clean(999, 40).upper().replace(" ", "!! ")
+    models = []
+    for tail in (junk, clean(998, 40)):
+        rows = [(i, clean(i, 64) + "\n" + tail if i % 3 == 0 else clean(i, 8)) for i in range(45)]
+        labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(45)], "doc_id long, quality int")
+        models.append(train(spark.createDataFrame(rows, "doc_id long, text string"), labels, steps=40))
+    assert not np.array_equal(models[0].unary, models[1].unary)
+    assert models[0].score(junk) < min(0.3, models[1].score(junk))
