@@ -11,6 +11,7 @@ from . import (
     quality_crf,
     quality_rules,
     secrets,
+    spelling,
     suffix_dedup,
     url_filter,
 )
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_url_filter": url_filter.op9_url_filter,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op13_spelling_variants": spelling.op13_spelling_variants,
 }
 
 ORACLES = {
