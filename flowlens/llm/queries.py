@@ -10,6 +10,7 @@ from . import (
     packing,
     quality_crf,
     quality_rules,
+    reply_trees,
     secrets,
     spelling,
     suffix_dedup,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_url_filter": url_filter.op9_url_filter,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op12_reply_trees": reply_trees.op12_reply_trees,
     "op13_spelling_variants": spelling.op13_spelling_variants,
 }
 
@@ -35,4 +37,5 @@ ORACLES = {
     "op2_quality_rules": quality_rules.ORACLE_SQL,
     "op7_ngram_jaccard": jaccard_join.ORACLE_SQL,
     "op9_url_filter": url_filter.ORACLE_SQL,
+    "op12_reply_trees": reply_trees.ORACLE_SQL,
 }
