@@ -6,6 +6,7 @@ from . import (
     decontaminate,
     html_render,
     jaccard_join,
+    lexical_search,
     line_dedup,
     packing,
     quality_crf,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_url_filter": url_filter.op9_url_filter,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op11_lexical_search": lexical_search.op11_lexical_search,
     "op12_reply_trees": reply_trees.op12_reply_trees,
     "op13_spelling_variants": spelling.op13_spelling_variants,
 }
@@ -37,5 +39,6 @@ ORACLES = {
     "op2_quality_rules": quality_rules.ORACLE_SQL,
     "op7_ngram_jaccard": jaccard_join.ORACLE_SQL,
     "op9_url_filter": url_filter.ORACLE_SQL,
+    "op11_lexical_search": lexical_search.ORACLE_SQL,
     "op12_reply_trees": reply_trees.ORACLE_SQL,
 }
