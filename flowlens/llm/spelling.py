@@ -45,7 +45,7 @@ from .common import staged, table, texts
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SYMBOLS = 4
+SYMBOLS = 8
 BITS = 27
 _HELD_WORDS = 200_000
 _CHUNK = 1 << 20
