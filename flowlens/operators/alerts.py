@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..config import staged, staged_with_count
+from .cooldown import spaced_rows
 
 PAIR = ("src_ip", "dst_ip")
 
@@ -94,30 +94,20 @@ def cooldown_alerts(confirmed: DataFrame, last: DataFrame | None = None, minutes
     """R5/J3 applied to every confirmed row: per pair, in ``(start_time,
     session_id)`` order, a row alerts when the pair's last alert is more than
     ``minutes`` older (or there is none).  ``last`` has the pairs' latest
-    earlier alerts (``src_ip``, ``dst_ip``, ``last_ms``).
+    earlier alerts (``src_ip``, ``dst_ip``, ``last_ms``).  Rows without a time
+    do not alert.
 
-    The rule is a chain per pair, but each link is a grouped minimum over the
-    rows after the previous alert, so a pair with very many rows is reduced
-    map-side.  Rounds: the most alerts that one pair gets, at most the rows'
-    time span over the cool-down; rows that a round settles are left behind.
+    One ordered scan (``operators.cooldown``): two jobs however long a time the
+    rows span, and a pair with very many rows is spread over tasks.
     """
     gap = int(minutes) * 60_000
-    keyed = lambda previous: previous.select(
-        F.col("src_ip").alias("_p_src"), F.col("dst_ip").alias("_p_dst"), F.col("last_ms").alias("_p_ms")
-    )
-
-    def after(rows: DataFrame, previous: DataFrame, how: str) -> DataFrame:
+    rows = confirmed.filter(F.col("start_time").isNotNull())
+    if last is not None:
+        keyed = last.select(F.col("src_ip").alias("_p_src"), F.col("dst_ip").alias("_p_dst"), F.col("last_ms").alias("_p_ms"))
         same = F.col("src_ip").eqNullSafe(F.col("_p_src")) & F.col("dst_ip").eqNullSafe(F.col("_p_dst"))
-        joined = rows.join(keyed(previous), same, how)
-        return joined.filter(F.col("_p_ms").isNull() | (F.col("start_time") > F.col("_p_ms") + F.lit(gap))).drop("_p_src", "_p_dst", "_p_ms")
-
-    rows, left = staged_with_count(confirmed if last is None else after(confirmed, last, "left"), "confirmed")
-    picked = None
-    while left:
-        new = staged(first_alert_per_pair(rows), "first-alerts")
-        picked = new if picked is None else picked.unionByName(new)
-        rows, left = staged_with_count(after(rows, new.withColumn("last_ms", F.col("start_time")), "inner"), "confirmed")
-    return confirmed.limit(0) if picked is None else picked
+        joined = rows.join(keyed, same, "left")
+        rows = joined.filter(F.col("_p_ms").isNull() | (F.col("start_time") > F.col("_p_ms") + F.lit(gap))).select(*confirmed.columns)
+    return spaced_rows(rows, list(PAIR), "start_time", S.SESSION_ID, gap)
 
 
 def _ts(v: Column | str | dt.datetime) -> Column:
@@ -162,7 +152,7 @@ def build_alerts(
     sessions: DataFrame,
     alert_ts: Column | None = None,
     batch_id: int | Column | None = None,
-    writer: str = "batch",
+    writer: str | Column = "batch",
 ) -> DataFrame:
     """B1/M4: alert rows (schema ``ALERT_ROW``): the alert fields plus
     ``session_id``, ``start_time``, ``alert_ts`` (default: the query's current
@@ -170,6 +160,7 @@ def build_alerts(
     ``batch_id`` (default: a new one)."""
     ts = alert_ts if alert_ts is not None else F.current_timestamp()
     bid = batch_id if isinstance(batch_id, Column) else F.lit(new_batch_id() if batch_id is None else int(batch_id)).cast("bigint")
+    whose = writer if isinstance(writer, Column) else F.lit(writer)
     a = sessions.select(alert_struct().alias("_a"), S.SESSION_ID, "start_time", ts.alias("alert_ts"))
     return a.select(
         "_a.*",
@@ -177,7 +168,7 @@ def build_alerts(
         F.col("start_time").cast("bigint").alias("start_time"),
         F.col("alert_ts").cast("timestamp").alias("alert_ts"),
         utc_date(F.col("alert_ts")).alias("alert_date"),
-        F.lit(writer).alias("writer"),
+        whose.alias("writer"),
         bid.alias("batch_id"),
     )
 

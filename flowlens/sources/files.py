@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -49,3 +50,30 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         fs.delete(p, False)
     if not fs.rename(part, p):
         raise OSError(f"cannot write {path}")
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a small file unless there is one of that name; whether it did."""
+    p, fs = _file_system(spark, path)
+    fs.mkdirs(p.getParent())
+    try:
+        stream = fs.create(p, False)
+    except Py4JJavaError as e:
+        if "AlreadyExists" in e.java_exception.getClass().getName() or fs.exists(p):
+            return False
+        raise
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return True
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    p, fs = _file_system(spark, path)
+    fs.mkdirs(p)
+
+
+def modified_ms(spark: SparkSession, path: str) -> int:
+    p, fs = _file_system(spark, path)
+    return int(fs.getFileStatus(p).getModificationTime())

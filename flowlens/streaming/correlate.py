@@ -5,25 +5,33 @@ Each micro-batch runs the same skew-safe batch operator
 rows, so a hot destination is split by time buckets in the stream too and no
 per-destination state ever sits in one task.
 
-Event time and lateness.  The watermark is ``max(event time seen) -
-lateness_ms``; the caller says what was seen, so sessions that are not
-candidates advance it as well.  A row is final once the watermark passes it:
-every row that could precede it inside its window has then arrived.  Final
-rows are emitted exactly once (the batch in which the watermark passes them).
-The tail keeps what later rows can still need: rows not older than ``watermark
-- window`` (context) and rows not yet final (pending).
+Two clocks.  The watermark is ``max(event time seen) - lateness_ms``, where
+only times up to the present count: a row dated ahead of the processing clock
+stays pending until the present has passed it and never moves the watermark,
+neither past the present nor, in a backlog, past the rows still to come.  The
+caller says what was seen, so sessions that are not candidates advance it as
+well.  A row is final once the watermark passes it: every row that could precede
+it inside its window has then arrived.  Final rows are emitted exactly once (the
+batch in which the watermark passes them).  The tail keeps what later rows can
+still need: rows not older than ``watermark - window`` (context) and rows not
+yet final (pending).
+
+Flush.  An idle source, or the end of input, is reported without touching the
+watermark: rows that are pending and confirmed by what has arrived are emitted
+as *early*.  Rows that come later, in time, still count and become final with
+the rest, so a flush never loses anything.  More rows only raise counts, so what
+was reported early stays confirmed; the set of early rows (the ledger) belongs
+to its version, and rows that become final leave it.
 
 Nothing is dropped silently: rows that arrive behind the watermark go to the
 ``late`` table; rows dated more than ``max_ahead_ms`` after the present go to
-the ``ahead`` table and do not move the watermark, so one bad clock cannot
-turn the detector off.
+the ``ahead`` table instead of staying pending for long.
 
 Durability.  The tail and the watermark of a version are written below
 ``state_dir``; versions are ``batch_id * 1000 + flush number`` and each reads
 the newest one before it.  A retried batch rewrites its own outputs, so
 replays after an executor or driver loss do not duplicate rows.  Two
-generations are kept.  ``flush`` finalises everything pending (end of input,
-idle source), which makes stream output equal to the batch operator's.
+generations are kept.
 """
 
 from __future__ import annotations
@@ -80,7 +88,17 @@ def batch_version(batch_id: int) -> int:
     return int(batch_id) * _FLUSHES
 
 
-def correlate_batch(
+@dataclass
+class Correlated:
+    """What one micro-batch confirmed: rows that are final now, rows that are
+    still pending (``start_time`` after the watermark), and the watermark."""
+
+    final: DataFrame
+    pending: DataFrame
+    watermark: int
+
+
+def correlate_rows(
     spark: SparkSession,
     rows: DataFrame,
     version: int,
@@ -88,15 +106,14 @@ def correlate_batch(
     flush: bool = False,
     seen_ms: int | None = None,
     now_ms: int | None = None,
-) -> DataFrame:
+) -> Correlated:
     """Process one micro-batch of narrow rows (``session_id``, ``dst_ip``,
-    ``start_time`` and any payload columns).  Returns the rows finalised in
-    this batch that are confirmed (with ``hit_count``); writes the new tail,
-    the side tables and the version's mark.
+    ``start_time`` and any payload columns).  Returns the confirmed rows (with
+    ``hit_count``); writes the new tail, the side tables and the version's mark,
+    which remembers whether the version was a ``flush``.
 
-    ``seen_ms``: the largest event time of everything the batch read, when
-    ``rows`` are only part of it; values beyond the present plus
-    ``max_ahead_ms`` must be left out of it.  ``rows`` should be persisted by
+    ``seen_ms``: the largest event time of everything the batch read, up to the
+    present, when ``rows`` are only part of it.  ``rows`` should be persisted by
     the caller: one small aggregate, one write of the tail and the lazily
     returned correlation read them.
     """
@@ -108,16 +125,15 @@ def correlate_batch(
     fresh = rows.filter(F.col("start_time").isNotNull())
     is_late = F.col("start_time") <= F.lit(prev_wm)
     is_ahead = F.col("start_time") > F.lit(now_ms + int(st.max_ahead_ms))
+    present = F.col("start_time") <= F.lit(now_ms)
     stats = fresh.agg(
         F.count_if(is_late).alias("late"),
         F.count_if(is_ahead).alias("ahead"),
-        F.max(F.when(~is_late & ~is_ahead, F.col("start_time"))).alias("top"),
+        F.max(F.when(~is_late & present, F.col("start_time"))).alias("top"),
     ).collect()[0]
-    max_seen = max(prev_max, _NO_WM if stats["top"] is None else int(stats["top"]), _NO_WM if seen_ms is None else int(seen_ms))
-    if flush:
-        new_wm = max(prev_wm, max_seen)
-    else:
-        new_wm = prev_wm if max_seen == _NO_WM else max(prev_wm, max_seen - int(st.lateness_ms))
+    seen = [t for t in (stats["top"], None if seen_ms is None else min(int(seen_ms), now_ms)) if t is not None]
+    max_seen = max([prev_max, *seen])
+    new_wm = prev_wm if max_seen == _NO_WM else max(prev_wm, max_seen - int(st.lateness_ms))
     for name, n, cond in (("late", stats["late"], is_late), ("ahead", stats["ahead"], is_ahead)):
         if n:
             fresh.filter(cond).write.mode("overwrite").parquet(st.side_path(name, version))
@@ -128,8 +144,8 @@ def correlate_batch(
     data = on_time if tail is None else tail.unionByName(on_time)
 
     counted = hit_counts(data, st.window_ms, bucket_ms=st.bucket_ms)
-    final_now = (F.col("start_time") > F.lit(prev_wm)) & (F.col("start_time") <= F.lit(new_wm))
-    emitted = counted.filter(final_now & (F.col("hit_count") >= F.lit(int(st.repeat_threshold))))
+    confirmed = counted.filter((F.col("start_time") > F.lit(prev_wm)) & (F.col("hit_count") >= F.lit(int(st.repeat_threshold))))
+    is_final = F.col("start_time") <= F.lit(new_wm)
 
     keep = data.filter(F.col("start_time") >= F.lit(new_wm - int(st.window_ms)))
     keep.write.mode("overwrite").parquet(st.tail_path(version))
@@ -139,6 +155,7 @@ def correlate_batch(
         "max_seen": max_seen,
         "late_rows": int(stats["late"] or 0),
         "ahead_rows": int(stats["ahead"] or 0),
+        "flushed": bool(flush),
         "written_at": now_ms,
     }
     write_text(spark, st.mark_path(version), json.dumps(mark))
@@ -146,7 +163,21 @@ def correlate_batch(
         if prev["version"] is not None and old < prev["version"]:
             delete_path(spark, st.tail_path(old))
             delete_path(spark, st.mark_path(old))
-    return emitted
+    return Correlated(confirmed.filter(is_final), confirmed.filter(~is_final & present), new_wm)
+
+
+def correlate_batch(
+    spark: SparkSession,
+    rows: DataFrame,
+    version: int,
+    st: CorrelationState,
+    flush: bool = False,
+    seen_ms: int | None = None,
+    now_ms: int | None = None,
+) -> DataFrame:
+    """``correlate_rows``' final rows, with ``flush`` the pending ones, too."""
+    out = correlate_rows(spark, rows, version, st, flush, seen_ms, now_ms)
+    return out.final.unionByName(out.pending) if flush else out.final
 
 
 def side_rows(spark: SparkSession, st: CorrelationState, name: str, schema) -> DataFrame:
@@ -165,16 +196,16 @@ def flush_version(spark: SparkSession, st: CorrelationState) -> int | None:
 
 
 def start_correlation(spark: SparkSession, hot: DataFrame, work_dir: str, trigger: str | None = None, **state_opts):
-    """Run ``correlate_batch`` on a stream of narrow rows; confirmed rows land
-    in ``<work_dir>/confirmed/version=<n>`` (rewritten, never appended, when a
-    batch is retried)."""
+    """Run ``correlate_rows`` on a stream of narrow rows; final confirmed rows
+    land in ``<work_dir>/confirmed/version=<n>`` (rewritten, never appended,
+    when a batch is retried)."""
     st = CorrelationState(f"{work_dir}/state", **state_opts)
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
         batch_df.persist()
         try:
             version = batch_version(batch_id)
-            out = correlate_batch(spark, batch_df, version, st)
+            out = correlate_rows(spark, batch_df, version, st).final
             out.write.mode("overwrite").parquet(f"{work_dir}/confirmed/version={version}")
         finally:
             batch_df.unpersist()
@@ -184,16 +215,29 @@ def start_correlation(spark: SparkSession, hot: DataFrame, work_dir: str, trigge
     return writer.start()
 
 
-def flush_correlation(spark: SparkSession, work_dir: str, **state_opts) -> None:
-    """End of input: emit every pending row."""
+def flush_correlation(spark: SparkSession, work_dir: str, now_ms: int | None = None, **state_opts) -> None:
+    """Report every pending row that is confirmed, in
+    ``<work_dir>/early/version=<n>``; the stream may go on as if nothing had
+    happened."""
     st = CorrelationState(f"{work_dir}/state", **state_opts)
     version = flush_version(spark, st)
     if version is None:
         return
     schema = spark.read.parquet(st.tail_path(version - 1)).schema
-    out = correlate_batch(spark, spark.createDataFrame([], schema), version, st, flush=True)
-    out.write.mode("overwrite").parquet(f"{work_dir}/confirmed/version={version}")
+    out = correlate_rows(spark, spark.createDataFrame([], schema), version, st, flush=True, now_ms=now_ms)
+    out.final.write.mode("overwrite").parquet(f"{work_dir}/confirmed/version={version}")
+    out.pending.write.mode("overwrite").parquet(f"{work_dir}/early/version={version}")
 
 
-def confirmed_output(spark: SparkSession, work_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{work_dir}/confirmed").drop("version")
+def confirmed_output(spark: SparkSession, work_dir: str, **state_opts) -> DataFrame:
+    """Final confirmed rows, and those of the last flush that are not final yet
+    (their ``hit_count`` is that of the flush)."""
+    final = spark.read.parquet(f"{work_dir}/confirmed").drop("version")
+    flushes = sorted(int(n[8:]) for n in child_names(spark, f"{work_dir}/early") if n.startswith("version="))
+    st = CorrelationState(f"{work_dir}/state", **state_opts)
+    done = st.versions(spark)
+    if not flushes or not done:
+        return final
+    watermark = st.before(spark, done[-1] + 1)["watermark"]
+    early = spark.read.schema(final.schema).parquet(f"{work_dir}/early/version={flushes[-1]}")
+    return final.unionByName(early.filter(F.col("start_time") > F.lit(int(watermark))))

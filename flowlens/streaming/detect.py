@@ -33,10 +33,13 @@ from ..plans.detect import ALERT_INPUT
 from ..sources.alerts import read_alerts, write_alerts
 from ..sources.files import path_exists
 from ..sources.sessions import derived_session_id
-from .correlate import CorrelationState, batch_version, correlate_batch, flush_version
+from .correlate import CorrelationState, batch_version, correlate_rows, flush_version
 
 #: The alert table's writer name of the streaming detector.
 STREAM_WRITER = "stream"
+#: Ending of the writer name of alerts that a flush reports before the watermark
+#: has passed them.
+EARLY = "-early"
 
 
 def read_session_stream(
@@ -111,24 +114,39 @@ def detect_micro_batch(
 
     Every confirmed row is held against its pair's last alert in time order,
     within the batch and against the table, so the alerts do not depend on how
-    rows fall into micro-batches."""
+    rows fall into micro-batches.
+
+    ``flush`` also reports pending rows, as early alerts (writer ``<writer>-early``).
+    Each version's commit replaces the early alerts of the one before: those
+    whose rows are final now are alerts in their own right or were overtaken by
+    an earlier row of the pair; those still pending are carried.  Early alerts
+    never suppress final ones, so the final alerts are the same with and without
+    flushes, and the table as a whole is what a batch run over all input gives."""
+    early = f"{writer}{EARLY}"
     hot.persist()
     try:
         prev_wm = int(state.before(spark, version)["watermark"])
-        confirmed = correlate_batch(spark, hot, version, state, flush, seen_ms, now_ms)
+        found = correlate_rows(spark, hot, version, state, flush, seen_ms, now_ms)
         # All writers' alerts but this version's own: a retry never suppresses
         # its first attempt.  This batch only emits rows newer than the
         # previous watermark, so older history cannot matter: prune by date
         # partition and time.
-        history = read_alerts(spark, alerts_dir).filter(
-            ~((F.col("writer") == F.lit(writer)) & (F.col("batch_id") == F.lit(int(version)))).eqNullSafe(F.lit(True))
-        )
+        history = read_alerts(spark, alerts_dir)
+        own = (F.col("writer") == F.lit(writer)) & (F.col("batch_id") >= F.lit(int(version)))
+        past = history.filter(~(own | (F.col("writer") == F.lit(early))).eqNullSafe(F.lit(True)))
         if prev_wm > -(2**61):
             since = F.timestamp_millis(F.lit(prev_wm - int(cooldown_minutes) * 60_000))
-            history = history.filter((F.col("alert_date") >= utc_date(since)) & (F.col("alert_ts") >= since))
-        chosen = cooldown_alerts(confirmed.drop("hit_count"), last_alerts(history), cooldown_minutes)
-        alerts = build_alerts(chosen, alert_ts=F.timestamp_millis(F.col("start_time")), batch_id=version, writer=writer)
-        write_alerts(alerts, alerts_dir)
+            past = past.filter((F.col("alert_date") >= utc_date(since)) & (F.col("alert_ts") >= since))
+        confirmed = found.final.unionByName(found.pending) if flush else found.final
+        if not flush:
+            reported = history.filter((F.col("writer") == F.lit(early)) & (F.col("start_time") > F.lit(found.watermark)))
+            reported = reported.select(S.SESSION_ID).distinct()
+            if not reported.isEmpty():
+                confirmed = confirmed.unionByName(found.pending.join(reported, S.SESSION_ID, "left_semi"))
+        chosen = cooldown_alerts(confirmed.drop("hit_count"), last_alerts(past), cooldown_minutes)
+        whose = F.when(F.col("start_time") <= F.lit(found.watermark), F.lit(writer)).otherwise(F.lit(early))
+        alerts = build_alerts(chosen, alert_ts=F.timestamp_millis(F.col("start_time")), batch_id=version, writer=whose)
+        write_alerts(alerts, alerts_dir, keys=[(writer, version), (early, version)], instead_of=[early])
     finally:
         hot.unpersist()
 
@@ -158,7 +176,7 @@ def start_detection(
     def process(batch: DataFrame, batch_id: int) -> None:
         now_ms = int(time.time() * 1000)
         started = F.col("session.start_time")
-        seen = batch.agg(F.max(F.when(started <= F.lit(now_ms + int(max_ahead_ms)), started)).alias("m")).collect()[0]["m"]
+        seen = batch.agg(F.max(F.when(started <= F.lit(now_ms), started)).alias("m")).collect()[0]["m"]
         feats = session_features(batch)
         scored = score_sessions(feats, model) if model is not None else feats
         hot = score_filter(scored, threshold).select(*ALERT_INPUT)
@@ -168,22 +186,25 @@ def start_detection(
     return _trigger(writer, trigger).start()
 
 
-def flush_detection(spark: SparkSession, work_dir: str, cooldown_minutes: int = S.ALERT_RETENTION_MINUTES, **state_opts) -> None:
-    """End of input: finalise every pending row.  The stream may go on
-    afterwards; rows older than what was flushed then count as late."""
+def flush_detection(
+    spark: SparkSession, work_dir: str, cooldown_minutes: int = S.ALERT_RETENTION_MINUTES, now_ms: int | None = None, **state_opts
+) -> None:
+    """Report every pending row that is confirmed, as early alerts.  The stream
+    may go on afterwards as if nothing had happened."""
     state = CorrelationState(f"{work_dir}/state", **state_opts)
     version = flush_version(spark, state)
     if version is None:
         return
     schema = spark.read.parquet(state.tail_path(version - 1)).schema
     empty = spark.createDataFrame([], schema)
-    detect_micro_batch(spark, empty, version, state, f"{work_dir}/alerts", cooldown_minutes, flush=True)
+    detect_micro_batch(spark, empty, version, state, f"{work_dir}/alerts", cooldown_minutes, flush=True, now_ms=now_ms)
 
 
 def run_detection(spark: SparkSession, input_dir: str, work_dir: str, idle_ms: int = 300_000, now_ms: int | None = None, **options) -> bool:
     """One cycle of the service: process the files that are there, then, if
-    nothing has arrived for ``idle_ms``, finalise what is pending, so the last
-    burst before a silence is reported.  Returns whether it flushed."""
+    nothing has arrived for ``idle_ms``, flush what is pending, so the last
+    burst before a silence is reported.  Returns whether it flushed (once for
+    each silence)."""
     start_detection(spark, input_dir, work_dir, trigger=None, **options).awaitTermination()
     names = ("window_ms", "repeat_threshold", "lateness_ms", "max_ahead_ms")
     state = CorrelationState(f"{work_dir}/state", **{k: options[k] for k in names if k in options})
@@ -192,7 +213,7 @@ def run_detection(spark: SparkSession, input_dir: str, work_dir: str, idle_ms: i
         return False
     mark = state.before(spark, done[-1] + 1)
     now_ms = int(time.time() * 1000) if now_ms is None else now_ms
-    if mark["watermark"] >= mark["max_seen"] or now_ms - mark["written_at"] < idle_ms:
+    if mark.get("flushed") or mark["watermark"] >= mark["max_seen"] or now_ms - mark["written_at"] < idle_ms:
         return False
     minutes = options.get("cooldown_minutes", S.ALERT_RETENTION_MINUTES)
     flush_detection(spark, work_dir, minutes, **{k: options[k] for k in names if k in options})

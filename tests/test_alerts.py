@@ -179,3 +179,143 @@ def test_cooldown_chain_of_a_pair(spark):
     assert sorted(r["session_id"] for r in al.cooldown_alerts(conf).collect()) == [*want, 99]
     before = spark.createDataFrame([("a", "x", T0 + 60_000), (None, "x", T0 - 86_400_001)], "src_ip string, dst_ip string, last_ms long")
     assert sorted(r["session_id"] for r in al.cooldown_alerts(conf, before).collect()) == [5, 9, 99]
+
+
+def test_alert_time_is_that_of_the_query(spark, workdir):
+    """M4: without an event time the alert is stamped when it is written, its
+    date is the UTC one."""
+    import datetime as dt
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Pacific/Kiritimati")  # UTC+14
+        before = dt.datetime.now(dt.timezone.utc)
+        sink.write_alerts(al.build_alerts(_confirmed(spark), batch_id=1), workdir)
+        after = dt.datetime.now(dt.timezone.utc)
+        rows = sink.read_alerts(spark, workdir).select(F.unix_micros("alert_ts").alias("us"), "alert_date").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    at = [dt.datetime.fromtimestamp(r["us"] / 1e6, dt.timezone.utc) for r in rows]
+    assert len(rows) == 6 and all(before <= t <= after for t in at)
+    assert all(r["alert_date"] == t.date() for r, t in zip(rows, at))
+
+
+def _ids(spark, path):
+    return sorted(r["session_id"] for r in sink.read_alerts(spark, path).collect())
+
+
+def _alerts(spark, batch_id, where="true", writer="batch"):
+    return al.build_alerts(_confirmed(spark).filter(where), alert_ts=F.timestamp_millis(F.col("start_time")), batch_id=batch_id, writer=writer)
+
+
+def test_a_retry_with_fewer_rows_replaces_all_of_its_first_attempt(spark, workdir):
+    sink.write_alerts(_alerts(spark, 1), workdir, keys=[("batch", 1)])
+    sink.write_alerts(_alerts(spark, 2, "session_id = 1"), workdir)
+    sink.write_alerts(_alerts(spark, 1, "session_id = 6"), workdir, keys=[("batch", 1)])
+    assert _ids(spark, workdir) == [1, 6]
+    sink.write_alerts(_alerts(spark, 1, "false"), workdir, keys=[("batch", 1)])
+    assert _ids(spark, workdir) == [1]
+
+
+def test_a_commit_with_several_keys_can_be_replaced_in_part(spark, workdir):
+    both = _alerts(spark, 1, "session_id < 3").unionByName(_alerts(spark, 2, "session_id >= 3", "it=s a/b"))
+    sink.write_alerts(both, workdir)
+    sink.write_alerts(_alerts(spark, 2, "session_id = 5", "it=s a/b"), workdir)
+    assert _ids(spark, workdir) == [1, 2, 5]
+
+
+def test_writers_that_meet_take_different_numbers(spark, workdir):
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(6) as pool:
+        numbers = list(pool.map(lambda k: sink.write_alerts(_alerts(spark, k, "session_id = 1"), workdir), range(6)))
+    assert sorted(numbers) == [1, 2, 3, 4, 5, 6] and len(_ids(spark, workdir)) == 6
+
+
+def test_readers_open_few_manifests_and_ignore_one_being_written(spark, workdir, monkeypatch):
+    from flowlens.sources import commits, files
+
+    monkeypatch.setattr(commits, "SNAPSHOT_EVERY", 3)
+    for k in range(8):
+        sink.write_alerts(_alerts(spark, k % 4, "session_id = 2"), workdir)
+    assert files.create_text(spark, f"{commits.log_path(workdir)}/{9:020d}.json", '{"n": 9, "fol')
+    opened = []
+    monkeypatch.setattr(commits, "read_text", lambda s, p: opened.append(p) or files.read_text(s, p))
+    assert len(_ids(spark, workdir)) == 4 and len(opened) == 4  # a snapshot at 6, then 7, 8 and the torn 9
+    assert sink.write_alerts(_alerts(spark, 7), workdir) == 10 and len(_ids(spark, workdir)) == 10
+
+
+def test_a_retried_batch_is_exported_once(spark, workdir):
+    run = lambda: sink.export_alerts(spark, f"{workdir}/t", f"{workdir}/out", f"{workdir}/ck").awaitTermination()
+    count = lambda: sink.read_alert_documents(spark, f"{workdir}/out", lines=True).count()
+    sink.write_alerts(_alerts(spark, 1, "session_id < 4"), f"{workdir}/t", keys=[("batch", 1)])
+    run()
+    assert count() == 3
+    sink.write_alerts(_alerts(spark, 1), f"{workdir}/t", keys=[("batch", 1)])  # the retry finds more
+    run()
+    run()
+    assert count() == 6
+    sink.write_alerts(_alerts(spark, 2, "session_id = 1"), f"{workdir}/t")
+    sink.write_alerts(_alerts(spark, 2, "session_id = 1"), f"{workdir}/t")  # retried before it was exported
+    run()
+    assert count() == 7
+
+
+def test_an_early_alert_that_becomes_final_is_exported_once(spark, workdir):
+    run = lambda: sink.export_alerts(spark, f"{workdir}/t", f"{workdir}/out", f"{workdir}/ck").awaitTermination()
+    for batch, early, final in ((1, "session_id = 1", "false"), (2, "session_id in (1, 2)", "session_id = 3"), (3, "false", "session_id in (1, 2)")):
+        rows = _alerts(spark, batch, early, "s-early").unionByName(_alerts(spark, batch, final, "s"))
+        sink.write_alerts(rows, f"{workdir}/t", keys=[("s", batch), ("s-early", batch)], instead_of=["s-early"])
+        run()
+    assert _ids(spark, f"{workdir}/t") == [1, 2, 3]
+    assert sink.read_alert_documents(spark, f"{workdir}/out", lines=True).count() == 3
+
+
+def test_writes_and_retention_do_not_fail_a_running_export(spark, workdir):
+    import datetime as dt
+    import time
+
+    sink.write_alerts(_alerts(spark, 0), f"{workdir}/t")
+    query = sink.export_alerts(spark, f"{workdir}/t", f"{workdir}/out", f"{workdir}/ck", trigger="100 milliseconds")
+    try:
+        for k in range(4):
+            sink.write_alerts(_alerts(spark, k % 2, "session_id <= 2"), f"{workdir}/t", keys=[("batch", k % 2)])
+            sink.drop_old_alerts(spark, f"{workdir}/t", dt.datetime(2023, 6, 1))
+        query.processAllAvailable()
+        time.sleep(0.2)
+        assert query.exception() is None
+    finally:
+        query.stop()
+    assert _ids(spark, f"{workdir}/t") == [1, 1, 2, 2]
+
+
+def test_compaction_keeps_rows_and_takes_out_old_ones_to_the_minute(spark, workdir):
+    import datetime as dt
+
+    days = spark.createDataFrame([(i, "a", "x", 1, 80, 5, T0 + i * 3_600_000, 0.9) for i in range(48)], CONF)
+    for part in range(4):
+        rows = days.filter(F.col("session_id") % 4 == part)
+        sink.write_alerts(al.build_alerts(rows, alert_ts=F.timestamp_millis(F.col("start_time")), batch_id=part), workdir)
+    before = sorted(map(repr, sink.read_alerts(spark, workdir).collect()))
+    assert sink.compact_alerts(spark, workdir, grace_minutes=0) == 5
+    assert sorted(map(repr, sink.read_alerts(spark, workdir).collect())) == before
+    from flowlens.sources.files import child_names
+
+    assert len([n for n in child_names(spark, workdir) if n.startswith("commit=")]) == 1
+    sink.write_alerts(_alerts(spark, 3, "session_id = 6"), workdir)  # a retry after compaction
+    assert _ids(spark, workdir) == sorted([i for i in range(48) if i % 4 != 3] + [6])
+    sink.compact_alerts(spark, workdir, dt.datetime(2024, 1, 2, 0, 30), minutes=60)
+    assert _ids(spark, workdir) == [i for i in range(24, 48) if i % 4 != 3]
+    assert sink.compact_alerts(spark, f"{workdir}/none") is None
+
+
+def test_a_retry_during_compaction_wins(spark, workdir):
+    from flowlens.sources import commits
+
+    for k in (1, 2):
+        sink.write_alerts(_alerts(spark, k, "session_id = 1"), workdir, keys=[("batch", k)])
+    read = commits.live_commits(spark, workdir)
+    sink.write_alerts(_alerts(spark, 2, "session_id = 5"), workdir, keys=[("batch", 2)])  # after compaction has read
+    sink._read_commits(spark, workdir, read).write.partitionBy("alert_date").parquet(f"{workdir}/commit=c")
+    commits.commit(spark, workdir, "commit=c", [("batch", 1), ("batch", 2)], layout="dates", upto=read[-1]["n"])
+    assert _ids(spark, workdir) == [1, 5]

@@ -241,3 +241,137 @@ def test_exact_cooldown_does_not_depend_on_batches(spark, workdir):
             start_cooldown(spark, stream, f"{base}/out", f"{base}/ck").awaitTermination()
         got[chunks] = sorted(r["session_id"] for r in cooldown_output(spark, f"{base}/out", schema).collect())
     assert got[1] == got[3] == got[7] == [0, 4, 7, 8, 9, 100, 104]
+
+
+MIN = 60_000
+
+
+def _detect(spark, workdir, steps, now):
+    """``steps``: lists of (id, src, dst, start) for a batch, or "flush"."""
+    state, version = CorrelationState(f"{workdir}/state"), -1
+    for step in steps:
+        if step == "flush":
+            flush_detection(spark, workdir, now_ms=now)
+        else:
+            version += 1
+            detect_micro_batch(spark, _hot(spark, step), version * 1000, state, f"{workdir}/alerts", now_ms=now)
+    return sorted(r["session_id"] for r in read_alerts(spark, f"{workdir}/alerts").collect())
+
+
+def test_a_session_59_minutes_ahead_does_not_blind_the_stream(spark, workdir):
+    now = T0 + 2 * HOUR
+    burst = [[(10 * b + i, "s", "d", now - 5 * MIN + b * 30_000 + i) for i in range(3)] for b in range(3)]
+    ahead = [(1, "x", "y", now + 59 * MIN)]
+    assert _detect(spark, f"{workdir}/a", [burst[0], ahead, *burst[1:], "flush"], now) == [2]
+    late = side_rows(spark, CorrelationState(f"{workdir}/a/state"), "late", _hot(spark, []).schema)
+    assert late.count() == 0
+
+
+def test_an_ahead_session_counts_once_the_present_has_passed_it(spark, workdir):
+    now = T0 + 2 * HOUR
+    rows = [(i, "s", "d", now + 30 * MIN + i) for i in range(3)]
+    assert _detect(spark, workdir, [rows, [(9, "b", "e", now)], "flush"], now) == []
+    later = now + HOUR
+    state = CorrelationState(f"{workdir}/state")
+    detect_micro_batch(spark, _hot(spark, [(10, "b", "e", later)]), 5000, state, f"{workdir}/alerts", now_ms=later)
+    assert [r["session_id"] for r in read_alerts(spark, f"{workdir}/alerts").collect()] == [2]
+
+
+def test_an_ahead_session_does_not_hurt_a_backlog(spark, workdir):
+    """Old files after an outage: their times still make the watermark."""
+    now = T0 + 100 * HOUR
+    burst = [(10 + i, "s", "d", T0 + i * MIN) for i in range(3)]
+    assert _detect(spark, workdir, [[(1, "x", "y", now + 1), (2, "x", "z", T0)], burst, [(3, "x", "w", T0 + HOUR)]], now) == [12]
+
+
+def test_a_flush_between_batches_loses_nothing(spark, workdir):
+    now = T0 + HOUR
+    one, two = [(1, "s", "d", now - 8 * MIN), (2, "s", "d", now - 4 * MIN)], [(3, "s", "d", now - 6 * MIN), (4, "s", "d", now - 5 * MIN)]
+    for name, steps in (("with", [one, "flush", two, "flush"]), ("without", [one, two, "flush"])):
+        assert _detect(spark, f"{workdir}/{name}", steps, now) == [4]
+
+
+def test_an_early_alert_gives_way_to_the_final_one(spark, workdir):
+    now = T0 + HOUR
+    one = [(i, "s", "d", now - 8 * MIN + i * MIN) for i in (1, 3, 4)]
+    assert _detect(spark, workdir, [one, "flush"], now) == [4]
+    state, alerts = CorrelationState(f"{workdir}/state"), f"{workdir}/alerts"
+    # A row in time makes session 3 the third hit; the early alert is carried until that is final.
+    detect_micro_batch(spark, _hot(spark, [(2, "s", "d", now - 6 * MIN)]), 2000, state, alerts, now_ms=now)
+    assert [r["session_id"] for r in read_alerts(spark, alerts).collect()] == [4]
+    detect_micro_batch(spark, _hot(spark, [(9, "b", "e", now + HOUR)]), 3000, state, alerts, now_ms=now + HOUR)
+    assert [(r["session_id"], r["writer"]) for r in read_alerts(spark, alerts).collect()] == [(3, "stream")]
+
+
+def test_stream_equals_batch_under_random_flushes_and_clock_errors(spark, workdir):
+    for seed in (1, 2):
+        rnd = random.Random(seed)
+        now = T0 + 1000 * HOUR
+        rows = sorted(((i, f"s{i % 3}", rnd.choice("ab"), T0 + rnd.randrange(0, 40) * MIN) for i in range(90)), key=lambda r: r[3] + rnd.randrange(0, 9) * MIN)
+        steps = []
+        for k in range(0, 90, 15):
+            steps.append(rows[k : k + 15] + [(1000 + k, "clock", "x", now + rnd.randrange(1, 59) * MIN)])
+            if rnd.random() < 0.6:
+                steps.append("flush")
+        got = _detect(spark, f"{workdir}/{seed}", [*steps, "flush"], now)
+        hot = _hot(spark, rows)
+        from flowlens.operators.alerts import cooldown_alerts
+
+        want = cooldown_alerts(temporal_correlation(hot).drop("hit_count"))
+        assert got == sorted(r["session_id"] for r in want.collect()) and got
+
+
+def test_correlation_flush_reports_and_goes_on(spark, workdir):
+    rows = sorted(_rows(seed=11), key=lambda r: r[3])
+    got = {}
+    for i, part in enumerate((rows[:150], rows[150:300], rows[300:])):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.parquet(f"{workdir}/in/chunk={i}")
+        start_correlation(spark, _stream(spark, f"{workdir}/in"), f"{workdir}/w").awaitTermination()
+        flush_correlation(spark, f"{workdir}/w")
+        out = confirmed_output(spark, f"{workdir}/w").collect()
+        so_far = temporal_correlation(spark.createDataFrame([r for r in rows if r[0] in {x[0] for x in rows[: 150 * (i + 1)]}], SCHEMA)).collect()
+        got[i] = sorted((r["session_id"], r["hit_count"]) for r in out) == sorted((r["session_id"], r["hit_count"]) for r in so_far)
+    assert got == {0: True, 1: True, 2: True}
+
+
+def test_the_archive_holds_exactly_the_committed_files(spark, workdir):
+    """The source archives a file in a later batch than the one that read
+    it; files not committed stay where they are."""
+    from flowlens.sources.files import child_names
+    from flowlens.streaming.detect import stream_features
+
+    run = lambda: stream_features(
+        spark, f"{workdir}/in", f"{workdir}/out", f"{workdir}/ck", max_files_per_trigger=1, clean_source="archive", archive_dir=f"{workdir}/archive"
+    ).awaitTermination()
+    kept = lambda base: sorted(r[0].rsplit("/", 1)[1] for r in spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(base).select("path").collect())
+    names = []
+    for i in range(3):
+        sessions_df(spark, [session_row(10 * i + k) for k in range(2)]).coalesce(1).write.mode("append").parquet(f"{workdir}/in")
+        names.append(next(n for n in child_names(spark, f"{workdir}/in") if n.endswith(".parquet") and n not in names))
+        run()
+    assert spark.read.parquet(f"{workdir}/out").count() == 6
+    archived = kept(f"{workdir}/archive")
+    left = sorted(n for n in child_names(spark, f"{workdir}/in") if n.endswith(".parquet"))
+    assert archived and sorted(archived + left) == sorted(names) and names[-1] in left
+
+
+def test_a_processing_time_trigger_runs_batch_after_batch(spark, workdir):
+    """The query stays up and takes up a file that comes later."""
+    import time
+
+    from flowlens.streaming.detect import stream_features
+
+    sessions_df(spark, [session_row(1)]).coalesce(1).write.mode("append").parquet(f"{workdir}/in")
+    query = stream_features(spark, f"{workdir}/in", f"{workdir}/out", f"{workdir}/ck", trigger="1 second")
+    try:
+        for n in (1, 2):
+            until = time.time() + 60
+            while time.time() < until and not (query.lastProgress and spark.read.schema("session_id long").parquet(f"{workdir}/out").count() == n):
+                time.sleep(0.3)
+            if n == 1:
+                sessions_df(spark, [session_row(2)]).coalesce(1).write.mode("append").parquet(f"{workdir}/in")
+        assert query.isActive
+        ran = [p["batchId"] for p in query.recentProgress if p["numInputRows"]]
+    finally:
+        query.stop()
+    assert ran == [0, 1] and spark.read.parquet(f"{workdir}/out").count() == 2
