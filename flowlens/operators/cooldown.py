@@ -115,6 +115,8 @@ def spaced_rows(rows: DataFrame, keys: list[str], time: str, order: str, gap: in
             yield out(edge, FIRST if at_head else LAST, first_ms, last_ms, last)
 
     walked = staged(dealt.mapInArrow(scan, schema), "spaced-walk")
+    if count <= FEW:  # one range, before which nothing comes
+        return walked.filter(F.col(_KIND).isin(TAKEN, ALONE)).select(*columns)
     lines = walked.filter(F.col(_KIND).isin(FIRST, LAST)).select(*keys, _RANGE, _KIND, _A, _B, _C).collect()  # two a range
     alone, again = _carry(walked, lines, keys, time, order, gap)
     settled = F.col(_KIND) == TAKEN

@@ -98,25 +98,16 @@ _READABLE = {
 _REPORT = "path string, ok boolean, reason string"
 
 
-def validate_files(spark: SparkSession, path: str, schema: T.StructType = S.SESSION_WITH_KEYS) -> DataFrame:
-    """(path, ok, reason) per ``*.parquet`` file under ``path``; ``path`` is
-    the file's URI, as in ``_metadata.file_path``.
-
-    Files are listed by Spark (``binaryFile`` without reading contents) and
-    each executor reads only the footers of its files with pyarrow.  A file is
-    bad when it is not readable Parquet or when a declared leaf column exists
-    with a type that Spark does not widen to the declared one.  Missing
-    columns are fine (they read as NULL).
-    """
+def file_check(schema: T.StructType = S.SESSION_WITH_KEYS, pages: bool = False):
+    """A ``mapInPandas`` function from rows with a file's URI (``path``) to
+    (path, ok, reason).  A file is bad when it is not readable Parquet or when
+    a declared leaf column exists with a type that Spark does not widen to the
+    declared one; missing columns are fine (they read as NULL).  Only footers
+    are read; with ``pages`` the declared columns, too, a piece at a time, which
+    finds damage behind a sound footer."""
     expected = _leaf_types(schema)
     readable = dict(_READABLE)
-    listing = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select(F.col("_metadata.file_path").alias("path"))
-    )
+    top = [f.name for f in schema.fields]
 
     def check(batches):
         import pyarrow as pa
@@ -141,28 +132,53 @@ def validate_files(spark: SparkSession, path: str, schema: T.StructType = S.SESS
                     uri = p.replace("s3a://", "s3://", 1).replace("s3n://", "s3://", 1)
                     fs, inner = pafs.FileSystem.from_uri(uri)
                     with fs.open_input_file(inner) as fh:
-                        found = leaves(pq.read_schema(fh))
-                    bad = [
-                        f"{k}: {found[k]} != {v}"
-                        for k, v in expected.items()
-                        if k in found and found[k] not in readable.get(v, {v})
-                    ]
+                        file = pq.ParquetFile(fh)
+                        arrow = file.schema_arrow
+                        found = leaves(arrow)
+                        bad = [
+                            f"{k}: {found[k]} != {v}"
+                            for k, v in expected.items()
+                            if k in found and found[k] not in readable.get(v, {v})
+                        ]
+                        if pages and not bad:
+                            n = sum(b.num_rows for b in file.iter_batches(65_536, columns=[c for c in top if c in arrow.names]))
+                            if n != file.metadata.num_rows:
+                                bad = [f"rows: {n} != {file.metadata.num_rows}"]
                     rows.append((p, not bad, "; ".join(bad) or None))
                 except Exception as e:  # noqa: BLE001 - report, never fail the batch
                     rows.append((p, False, f"unreadable: {type(e).__name__}"))
             yield pd.DataFrame(rows, columns=["path", "ok", "reason"])
 
-    return listing.mapInPandas(check, _REPORT)
+    return check
+
+
+def validate_files(spark: SparkSession, path: str, schema: T.StructType = S.SESSION_WITH_KEYS, pages: bool = False) -> DataFrame:
+    """(path, ok, reason) per ``*.parquet`` file under ``path``; ``path`` is
+    the file's URI, as in ``_metadata.file_path``.
+
+    Files are listed by Spark (``binaryFile`` without reading contents) and
+    each executor checks its files with pyarrow (``file_check``).
+    """
+    listing = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", "true")
+        .load(path)
+        .select(F.col("_metadata.file_path").alias("path"))
+    )
+    return listing.mapInPandas(file_check(schema, pages), _REPORT)
 
 
-def read_valid_sessions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_valid_sessions(spark: SparkSession, path: str, pages: bool = True) -> tuple[DataFrame, DataFrame]:
     """(sessions from the valid files, report of the quarantined files).
 
     The report is staged once; the scan skips corrupt files and drops the
     rows of any quarantined file by a join on the file's path, so neither rows
-    nor paths reach the driver however many files there are.
+    nor paths reach the driver however many files there are.  With ``pages`` the
+    check reads the files' values, so a file that the scan would lose rows of is
+    in the report, and none of its rows are read; without, only footers are read.
     """
-    report = staged(validate_files(spark, path), "file-report")
+    report = staged(validate_files(spark, path, pages=pages), "file-report")
     quarantined = report.filter(~F.col("ok"))
     rows = scan_sessions(spark, path, ignore_corrupt=True).withColumn("_file", F.col("_metadata.file_path"))
     bad = quarantined.select(F.col("path").alias("_file"))

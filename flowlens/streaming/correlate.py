@@ -40,7 +40,7 @@ import json
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -88,6 +88,18 @@ def batch_version(batch_id: int) -> int:
     return int(batch_id) * _FLUSHES
 
 
+def row_stats(watermark: int, now_ms: int, st: CorrelationState) -> list[Column]:
+    """Aggregates that ``correlate_rows`` needs of a batch: how many rows are
+    late and ahead, and the largest time up to the present."""
+    t = F.col("start_time")
+    is_late = t <= F.lit(int(watermark))
+    return [
+        F.count_if(is_late).alias("late"),
+        F.count_if(t > F.lit(int(now_ms) + int(st.max_ahead_ms))).alias("ahead"),
+        F.max(F.when(~is_late & (t <= F.lit(int(now_ms))), t)).alias("top"),
+    ]
+
+
 @dataclass
 class Correlated:
     """What one micro-batch confirmed: rows that are final now, rows that are
@@ -106,6 +118,7 @@ def correlate_rows(
     flush: bool = False,
     seen_ms: int | None = None,
     now_ms: int | None = None,
+    stats: dict | None = None,
 ) -> Correlated:
     """Process one micro-batch of narrow rows (``session_id``, ``dst_ip``,
     ``start_time`` and any payload columns).  Returns the confirmed rows (with
@@ -113,8 +126,9 @@ def correlate_rows(
     which remembers whether the version was a ``flush``.
 
     ``seen_ms``: the largest event time of everything the batch read, up to the
-    present, when ``rows`` are only part of it.  ``rows`` should be persisted by
-    the caller: one small aggregate, one write of the tail and the lazily
+    present, when ``rows`` are only part of it.  ``stats``: the values of
+    ``row_stats`` where the caller has observed them.  ``rows`` should be staged
+    or persisted: one small aggregate, one write of the tail and the lazily
     returned correlation read them.
     """
     now_ms = int(time.time() * 1000) if now_ms is None else int(now_ms)
@@ -126,11 +140,8 @@ def correlate_rows(
     is_late = F.col("start_time") <= F.lit(prev_wm)
     is_ahead = F.col("start_time") > F.lit(now_ms + int(st.max_ahead_ms))
     present = F.col("start_time") <= F.lit(now_ms)
-    stats = fresh.agg(
-        F.count_if(is_late).alias("late"),
-        F.count_if(is_ahead).alias("ahead"),
-        F.max(F.when(~is_late & present, F.col("start_time"))).alias("top"),
-    ).collect()[0]
+    if stats is None:
+        stats = fresh.agg(*row_stats(prev_wm, now_ms, st)).collect()[0].asDict()
     seen = [t for t in (stats["top"], None if seen_ms is None else min(int(seen_ms), now_ms)) if t is not None]
     max_seen = max([prev_max, *seen])
     new_wm = prev_wm if max_seen == _NO_WM else max(prev_wm, max_seen - int(st.lateness_ms))

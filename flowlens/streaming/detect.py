@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -31,9 +31,11 @@ from ..operators.features import session_features
 from ..operators.scoring import score_filter, score_sessions
 from ..plans.detect import ALERT_INPUT
 from ..sources.alerts import read_alerts, write_alerts
+from ..sources.commits import live_commits
 from ..sources.files import path_exists
 from ..sources.sessions import derived_session_id
-from .correlate import CorrelationState, batch_version, correlate_rows, flush_version
+from .files import read_file_stream, with_quarantine
+from .correlate import CorrelationState, batch_version, correlate_rows, flush_version, row_stats
 
 #: The alert table's writer name of the streaming detector.
 STREAM_WRITER = "stream"
@@ -109,6 +111,7 @@ def detect_micro_batch(
     seen_ms: int | None = None,
     now_ms: int | None = None,
     writer: str = STREAM_WRITER,
+    stats: dict | None = None,
 ) -> None:
     """One micro-batch of scored, above-threshold sessions -> alert rows.
 
@@ -126,7 +129,7 @@ def detect_micro_batch(
     hot.persist()
     try:
         prev_wm = int(state.before(spark, version)["watermark"])
-        found = correlate_rows(spark, hot, version, state, flush, seen_ms, now_ms)
+        found = correlate_rows(spark, hot, version, state, flush, seen_ms, now_ms, stats)
         # All writers' alerts but this version's own: a retry never suppresses
         # its first attempt.  This batch only emits rows newer than the
         # previous watermark, so older history cannot matter: prune by date
@@ -137,16 +140,19 @@ def detect_micro_batch(
         if prev_wm > -(2**61):
             since = F.timestamp_millis(F.lit(prev_wm - int(cooldown_minutes) * 60_000))
             past = past.filter((F.col("alert_date") >= utc_date(since)) & (F.col("alert_ts") >= since))
-        confirmed = found.final.unionByName(found.pending) if flush else found.final
-        if not flush:
+        confirmed, keys = found.final, [(writer, version)]
+        if flush:
+            confirmed = confirmed.unionByName(found.pending)
+        elif any(w == early for e in live_commits(spark, alerts_dir) for w, _ in e["keys"]):
             reported = history.filter((F.col("writer") == F.lit(early)) & (F.col("start_time") > F.lit(found.watermark)))
-            reported = reported.select(S.SESSION_ID).distinct()
-            if not reported.isEmpty():
-                confirmed = confirmed.unionByName(found.pending.join(reported, S.SESSION_ID, "left_semi"))
+            confirmed = confirmed.unionByName(found.pending.join(reported.select(S.SESSION_ID).distinct(), S.SESSION_ID, "left_semi"))
+            flush = True
+        if flush:
+            keys.append((early, version))
         chosen = cooldown_alerts(confirmed.drop("hit_count"), last_alerts(past), cooldown_minutes)
         whose = F.when(F.col("start_time") <= F.lit(found.watermark), F.lit(writer)).otherwise(F.lit(early))
         alerts = build_alerts(chosen, alert_ts=F.timestamp_millis(F.col("start_time")), batch_id=version, writer=whose)
-        write_alerts(alerts, alerts_dir, keys=[(writer, version), (early, version)], instead_of=[early])
+        write_alerts(alerts, alerts_dir, keys=keys, instead_of=[early])
     finally:
         hot.unpersist()
 
@@ -168,21 +174,34 @@ def start_detection(
     """The detector as a stream.  ``work_dir`` holds the checkpoint,
     the correlation state and the alert table (``<work_dir>/alerts``).  All
     sessions of a batch advance the watermark, not only those above the
-    threshold."""
-    sessions = read_session_stream(spark, input_dir, **source_opts)
+    threshold.  Bad files are listed in ``<work_dir>/quarantine``
+    (``streaming.files``).  ``source_opts``: those of ``read_file_stream``."""
+    files = read_file_stream(spark, input_dir, **source_opts)
     state = CorrelationState(f"{work_dir}/state", window_ms, repeat_threshold, lateness_ms, max_ahead_ms)
     alerts_dir = f"{work_dir}/alerts"
 
-    def process(batch: DataFrame, batch_id: int) -> None:
-        now_ms = int(time.time() * 1000)
+    def process(listing: DataFrame, batch_id: int) -> None:
+        # The files are read once: the narrow rows above the threshold are
+        # staged, what all sessions say about time is observed on the way.
+        now_ms, version = int(time.time() * 1000), batch_version(batch_id)
         started = F.col("session.start_time")
-        seen = batch.agg(F.max(F.when(started <= F.lit(now_ms), started)).alias("m")).collect()[0]["m"]
-        feats = session_features(batch)
-        scored = score_sessions(feats, model) if model is not None else feats
-        hot = score_filter(scored, threshold).select(*ALERT_INPUT)
-        detect_micro_batch(spark, hot, batch_version(batch_id), state, alerts_dir, cooldown_minutes, seen_ms=seen, now_ms=now_ms)
-
-    writer = sessions.writeStream.foreachBatch(process).option("checkpointLocation", f"{work_dir}/checkpoint")
+        watermark = state.before(spark, version)["watermark"]
+        read = {}
+
+        def stage(sessions: DataFrame) -> None:
+            every, above = Observation(), Observation()
+            feats = session_features(sessions.observe(every, F.max(F.when(started <= F.lit(now_ms), started)).alias("seen")))
+            scored = score_sessions(feats, model) if model is not None else feats
+            hot = score_filter(scored, threshold).select(*ALERT_INPUT)
+            read["hot"] = staged(hot.observe(above, *row_stats(watermark, now_ms, state)), "hot-sessions")
+            read["seen"], read["stats"] = every.get["seen"], above.get
+
+        with_quarantine(spark, listing, version, f"{work_dir}/quarantine", stage)
+        detect_micro_batch(
+            spark, read["hot"], version, state, alerts_dir, cooldown_minutes, seen_ms=read["seen"], now_ms=now_ms, stats=read["stats"]
+        )
+
+    writer = files.writeStream.foreachBatch(process).option("checkpointLocation", f"{work_dir}/checkpoint")
     return _trigger(writer, trigger).start()
 
 

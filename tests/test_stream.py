@@ -375,3 +375,63 @@ def test_a_processing_time_trigger_runs_batch_after_batch(spark, workdir):
     finally:
         query.stop()
     assert ran == [0, 1] and spark.read.parquet(f"{workdir}/out").count() == 2
+
+
+def _damage(spark, folder, how):
+    """Rewrites the folder's one file: ``cut`` off its end, or with a broken
+    page behind a sound footer."""
+    import os
+
+    local = folder.replace("file:", "", 1)
+    name = next(n for n in os.listdir(local) if n.endswith(".parquet"))
+    with open(f"{local}/{name}", "rb") as f:
+        data = bytearray(f.read())
+    if how == "cut":
+        data = data[: len(data) // 2]
+    else:
+        data[4:400] = bytes(255 for _ in range(396))
+    for n in os.listdir(local):
+        if n.startswith("."):
+            os.remove(f"{local}/{n}")
+    with open(f"{local}/{name}", "wb") as f:
+        f.write(data)
+
+
+def _bad_and_good(spark, workdir):
+    from pyspark.sql import functions as F
+
+    good = sessions_df(spark, [session_row(i, src="s", dst="d", start=T0 + i * 1000) for i in range(5)])
+    for name in ("a good", "b", "c", "d"):
+        rows = good if name == "a good" else sessions_df(spark, [session_row(100 + i, src="t", dst="d", start=T0 + i) for i in range(50)])
+        if name == "b":
+            rows = rows.withColumn("session", F.col("session").withField("start_time", F.col("session.start_time").cast("string")))
+        rows.coalesce(1).write.parquet(f"{workdir}/in/{name}")
+    _damage(spark, f"{workdir}/in/c", "cut")
+    _damage(spark, f"{workdir}/in/d", "page")
+
+
+def test_the_stream_lists_the_files_it_leaves_out(spark, workdir):
+    """A mistyped, a truncated and a damaged file, and one good one."""
+    from flowlens.streaming.files import quarantined_files
+
+    _bad_and_good(spark, workdir)
+    start_detection(spark, f"{workdir}/in/*", f"{workdir}/w", trigger=None).awaitTermination()
+    flush_detection(spark, f"{workdir}/w")
+    listed = {r["path"].rsplit("/", 2)[1]: (r["reason"], r["version"]) for r in quarantined_files(spark, f"{workdir}/w/quarantine").collect()}
+    assert sorted(listed) == ["b", "c", "d"] and {v for _, v in listed.values()} == {0}
+    assert listed["b"][0] == "session.start_time: string != bigint" and listed["c"][0].startswith("unreadable") and listed["d"][0]
+    assert [r["session_id"] for r in read_alerts(spark, f"{workdir}/w/alerts").collect()] == [2]
+    # Later good files go on as before, and nothing new is listed.
+    sessions_df(spark, [session_row(7, src="b", dst="e", start=T0 + HOUR, score=0.1)]).coalesce(1).write.parquet(f"{workdir}/in/e")
+    start_detection(spark, f"{workdir}/in/*", f"{workdir}/w", trigger=None).awaitTermination()
+    assert quarantined_files(spark, f"{workdir}/w/quarantine").count() == 3
+    assert [(r["session_id"], r["writer"]) for r in read_alerts(spark, f"{workdir}/w/alerts").collect()] == [(2, "stream")]
+
+
+def test_a_batch_run_reports_a_damaged_page(spark, workdir):
+    from flowlens.sources.sessions import read_valid_sessions
+
+    _bad_and_good(spark, workdir)
+    rows, report = read_valid_sessions(spark, f"{workdir}/in")
+    assert rows.count() == 5
+    assert sorted(r["path"].rsplit("/", 2)[1] for r in report.collect()) == ["b", "c", "d"]
