@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..config import staged
 from .cooldown import spaced_rows
+from .known import maybe_known
 
 PAIR = ("src_ip", "dst_ip")
 
@@ -34,16 +36,24 @@ def known_pairs(history: DataFrame) -> DataFrame:
     return pairs.dropDuplicates()
 
 
-def suppress_known(sessions: DataFrame, history: DataFrame) -> DataFrame:
+def suppress_known(sessions: DataFrame, history: DataFrame, filter_bits: int | None = None) -> DataFrame:
     """Drop sessions whose pair already has an alert (null-safe anti-join).
 
     The known-pair side is a deduplicated pair list; Spark broadcasts it when
     its estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` and
-    otherwise shuffles both sides (AQE splits a skewed pair).
+    otherwise shuffles both sides (AQE splits a skewed pair).  For a history
+    larger than that, ``filter_bits`` (27, say) puts a bit map of that many bits
+    before the join (``operators.known``): only rows whose pair may be known
+    are shuffled.  The sessions are staged once for it.
     """
-    pairs = known_pairs(history).select(F.col("src_ip").alias("_k_src"), F.col("dst_ip").alias("_k_dst"))
+    known = known_pairs(history)
+    pairs = known.select(F.col("src_ip").alias("_k_src"), F.col("dst_ip").alias("_k_dst"))
     cond = F.col("src_ip").eqNullSafe(F.col("_k_src")) & F.col("dst_ip").eqNullSafe(F.col("_k_dst"))
-    return sessions.join(pairs, cond, "left_anti")
+    if filter_bits is None:
+        return sessions.join(pairs, cond, "left_anti")
+    marked = staged(sessions.withColumn("_maybe", maybe_known(sessions, known, filter_bits)), "maybe-known")
+    new = marked.filter(~F.col("_maybe")).drop("_maybe")
+    return new.unionByName(marked.filter("_maybe").drop("_maybe").join(pairs, cond, "left_anti"))
 
 
 def first_alert_per_pair(confirmed: DataFrame, time_col: str = "start_time", order_col: str = S.SESSION_ID) -> DataFrame:

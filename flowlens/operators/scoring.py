@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..config import staged
+from .assembler import SessionAssembler
 from .matrix import assemble_features
 
 
@@ -87,12 +88,14 @@ def score_sessions(features: DataFrame, model) -> DataFrame:
     """L2-L3: attach ``prediction`` (class at 0.5) and ``malicious_score``
     (class-1 probability) to every session in one pass: the assembled vector
     rides along the session's own columns, so nothing is re-aligned by row
-    position.  Model inputs are imputed (±inf/NaN/NULL -> 0) first."""
+    position.  Model inputs are imputed (±inf/NaN/NULL -> 0) first.  A pipeline
+    that begins with a ``SessionAssembler`` does that itself."""
     stages = getattr(model, "stages", [model])
     if not any(s.hasParam("probabilityCol") for s in stages):
         raise ValueError("the scorer must produce class probabilities")
     base = features.drop(S.SCORE) if S.SCORE in features.columns else features
-    out = model.transform(assemble_features(base))
+    assembles = any(isinstance(s, SessionAssembler) for s in stages)
+    out = model.transform(base if assembles else assemble_features(base))
     return out.select(
         *[F.col(c) for c in base.columns],
         F.col("prediction").cast("int").alias("prediction"),

@@ -17,6 +17,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -30,9 +31,10 @@ from ..operators.alerts import build_alerts, cooldown_alerts, utc_date
 from ..operators.features import session_features
 from ..operators.scoring import score_filter, score_sessions
 from ..plans.detect import ALERT_INPUT
+from ..plans.metrics import early_counts, observed_stream
 from ..sources.alerts import read_alerts, write_alerts
 from ..sources.commits import live_commits
-from ..sources.files import path_exists
+from ..sources.files import path_exists, write_text
 from ..sources.sessions import derived_session_id
 from .files import read_file_stream, with_quarantine
 from .correlate import CorrelationState, batch_version, correlate_rows, flush_version, row_stats
@@ -87,8 +89,9 @@ def stream_features(
     **source_opts,
 ) -> StreamingQuery:
     """Session features as a stream into a Parquet table (exactly-once file
-    sink).  ``trigger=None`` processes what is available and stops."""
-    feats = session_features(read_session_stream(spark, input_dir, **source_opts))
+    sink).  ``trigger=None`` processes what is available and stops.  Its
+    progress carries the counts of ``plans.metrics.observed_stream``."""
+    feats = session_features(observed_stream(read_session_stream(spark, input_dir, **source_opts)))
     writer = feats.writeStream.format("parquet").option("path", output_dir).option("checkpointLocation", checkpoint_dir)
     return _trigger(writer.outputMode("append"), trigger).start()
 
@@ -190,21 +193,33 @@ def start_detection(
 
         def stage(sessions: DataFrame) -> None:
             every, above = Observation(), Observation()
-            feats = session_features(sessions.observe(every, F.max(F.when(started <= F.lit(now_ms), started)).alias("seen")))
+            seen = F.max(F.when(started <= F.lit(now_ms), started)).alias("seen")
+            feats = session_features(sessions.observe(every, seen, *early_counts(threshold)[:2]))
             scored = score_sessions(feats, model) if model is not None else feats
             hot = score_filter(scored, threshold).select(*ALERT_INPUT)
-            read["hot"] = staged(hot.observe(above, *row_stats(watermark, now_ms, state)), "hot-sessions")
+            read["hot"] = staged(hot.observe(above, *row_stats(watermark, now_ms, state), F.count(F.lit(1)).alias("above_threshold")), "hot-sessions")
             read["seen"], read["stats"] = every.get["seen"], above.get
+            read["counts"] = {n: int(every.get[n]) for n in ("sessions", "http")} | {"above_threshold": int(above.get["above_threshold"])}
 
         with_quarantine(spark, listing, version, f"{work_dir}/quarantine", stage)
         detect_micro_batch(
             spark, read["hot"], version, state, alerts_dir, cooldown_minutes, seen_ms=read["seen"], now_ms=now_ms, stats=read["stats"]
         )
+        write_text(spark, f"{work_dir}/counts/{version}.json", json.dumps({"version": version, **read["counts"]}))
 
     writer = files.writeStream.foreachBatch(process).option("checkpointLocation", f"{work_dir}/checkpoint")
     return _trigger(writer, trigger).start()
 
 
+def batch_counts(spark: SparkSession, work_dir: str) -> DataFrame:
+    """(version, sessions, http, above_threshold) of each micro-batch,
+    observed while it was read."""
+    schema = "version long, sessions long, http long, above_threshold long"
+    if not path_exists(spark, f"{work_dir}/counts"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json(f"{work_dir}/counts")
+
+
 def flush_detection(
     spark: SparkSession, work_dir: str, cooldown_minutes: int = S.ALERT_RETENTION_MINUTES, now_ms: int | None = None, **state_opts
 ) -> None:

@@ -319,3 +319,24 @@ def test_a_retry_during_compaction_wins(spark, workdir):
     sink._read_commits(spark, workdir, read).write.partitionBy("alert_date").parquet(f"{workdir}/commit=c")
     commits.commit(spark, workdir, "commit=c", [("batch", 1), ("batch", 2)], layout="dates", upto=read[-1]["n"])
     assert _ids(spark, workdir) == [1, 5]
+
+
+def test_a_bit_map_before_the_anti_join_changes_no_row(spark):
+    """Few bits (many false positives), enough bits (hardly any), all bits set."""
+    rows = spark.range(4000).select((F.col("id") % 1000).cast("string").alias("src_ip"), F.when(F.col("id") % 7 > 0, F.lit("x")).alias("dst_ip"), F.col("id").alias("session_id"))
+    history = rows.filter("session_id % 1000 < 100").select("src_ip", "dst_ip")
+    want = sorted(r[0] for r in al.suppress_known(rows, history).select("session_id").collect())
+    for bits in (6, 10, 20):
+        got = al.suppress_known(rows, history, filter_bits=bits)
+        assert sorted(r[0] for r in got.select("session_id").collect()) == want and 0 < len(want) < 4000
+    assert al.suppress_known(rows, history.limit(0), filter_bits=10).count() == 4000
+
+
+def test_few_new_rows_get_as_far_as_the_join(spark):
+    from flowlens.operators.known import maybe_known
+
+    pairs = spark.range(2000).select(F.col("id").cast("string").alias("src_ip"), F.lit("d").alias("dst_ip"))
+    new = spark.range(10_000, 20_000).select(F.col("id").cast("string").alias("src_ip"), F.lit("d").alias("dst_ip"))
+    share = lambda df, bits: df.select(maybe_known(df, pairs, bits).alias("m")).filter("m").count() / df.count()
+    assert share(pairs, 17) == 1.0  # never a false negative
+    assert share(new, 17) < 0.01 and share(new, 10) > 0.5

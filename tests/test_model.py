@@ -95,3 +95,22 @@ def test_unigram_wide_is_the_long_form(features):
 def test_flatten_of_a_null_is_an_empty_text(spark):
     df = spark.createDataFrame([(None,), ("x",)], "t string").select(text_flatten(F.col("t")).alias("t"))
     assert [r["t"] for r in df.collect()] == ["", "x"]
+
+
+def test_a_saved_pipeline_assembles_and_scores_the_same(spark, features, workdir):
+    """L1/L4: the loaded pipeline takes flat features; direct scoring, with
+    the assembly outside, gives the same scores."""
+    from pyspark.ml import PipelineModel
+
+    from flowlens.operators.assembler import SessionAssembler, detector_pipeline
+
+    labelled = features.withColumn("label", (F.col("Total_Fwd_Packets") > F.col("Total_Backward_Packets")).cast("int"))
+    forest = train_forest(labelled, num_trees=3, max_depth=3)
+    detector_pipeline(forest).write().overwrite().save(f"{workdir}/p")
+    loaded = load_model(spark, f"{workdir}/p")
+    assert isinstance(loaded, PipelineModel) and isinstance(loaded.stages[0], SessionAssembler)
+    rows = lambda df: sorted(map(tuple, df.select(S.SESSION_ID, "prediction", S.SCORE).collect()))
+    want = rows(score_sessions(features, forest))
+    assert rows(score_sessions(features, loaded)) == want and len(want) > 0
+    raw = loaded.transform(features.drop(S.SCORE))
+    assert "features" in raw.columns and raw.count() == len(want)

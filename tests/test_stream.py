@@ -435,3 +435,35 @@ def test_a_batch_run_reports_a_damaged_page(spark, workdir):
     rows, report = read_valid_sessions(spark, f"{workdir}/in")
     assert rows.count() == 5
     assert sorted(r["path"].rsplit("/", 2)[1] for r in report.collect()) == ["b", "c", "d"]
+
+
+def test_counts_of_each_micro_batch(spark, workdir):
+    """The listener's and the detector's counts are ``stage_counts`` of
+    each batch's file."""
+    from flowlens.plans.metrics import StageCountListener, stage_counts
+    from flowlens.sources.sessions import scan_sessions
+    from flowlens.streaming.detect import batch_counts, stream_features
+
+    rnd = random.Random(1)
+    for c in range(3):
+        rows = [session_row(100 * c + i, protocol=rnd.choice(["http", "HTTP", "tls", None]), score=rnd.choice([0.1, 0.8, 0.95, None]), start=T0 + c * MIN + i) for i in range(20 + c)]
+        sessions_df(spark, rows).coalesce(1).write.parquet(f"{workdir}/in/c={c}")
+    want = []
+    for c in range(3):
+        n = {r["stage"]: r["n_rows"] for r in stage_counts(scan_sessions(spark, f"{workdir}/in/c={c}")).collect()}
+        want.append({k: n[k] for k in ("sessions", "http", "above_threshold")})
+    listener = StageCountListener()
+    spark.streams.addListener(listener)
+    try:
+        stream_features(spark, f"{workdir}/in", f"{workdir}/out", f"{workdir}/ck", max_files_per_trigger=1).awaitTermination()
+        import time
+
+        until = time.time() + 20
+        while len(listener.batches) < 3 and time.time() < until:
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert listener.counts() == list(enumerate(want))
+    start_detection(spark, f"{workdir}/in", f"{workdir}/w", trigger=None, max_files_per_trigger=1).awaitTermination()
+    got = batch_counts(spark, f"{workdir}/w").orderBy("version").collect()
+    assert [{k: r[k] for k in want[0]} for r in got] == want
