@@ -5,9 +5,11 @@ histogram of character classes, and that of its common words.  A word is
 common if it makes up ``1 / common_share`` of the language's words or more, so
 a language has at most ``common_share`` of them; the rest is one bin.  A
 language has references if it holds ``1 / lang_share`` of all words or more (so
-at most ``lang_share`` languages do); documents of the others have too little
-to be compared with and are left to the base rules.  Both bounds are arithmetic, so the references can be
-collected whatever the corpus' size.
+at most ``lang_share`` languages do).  Documents of the others (rare, mistyped
+or missing tags) are judged too: each distance is the smallest to any
+language's reference, so clean text under a wrong tag stays and junk goes.
+Both bounds are arithmetic, so the references can be collected whatever the
+corpus' size.
 
 A document is rejected if the Jensen-Shannon distance (base 2, 0 to 1) of its
 character classes to the reference is over ``max_char_distance``, or that of
@@ -133,12 +135,20 @@ class References:
 
     def distances(self, lang: str | None, text: str, words: list[bytes]) -> tuple[float, float] | tuple[None, None]:
         lang = f"={lang}" if lang is not None else ""
-        if lang not in self.chars:
+        if not self.chars:
             return None, None
-        bins, counts = self.bins[lang], np.zeros(len(self.words[lang]))
+        held: Counter = Counter()
         for word, n in Counter(words).items():
-            counts[bins.get(word.lower(), len(counts) - 1)] += n
-        return distance(char_classes(text), self.chars[lang]), distance(counts, self.words[lang])
+            held[word.lower()] += n
+        classes = char_classes(text)
+        found = [self._to(own, classes, held) for own in ([lang] if lang in self.chars else self.chars)]
+        return min(c for c, _ in found), min(w for _, w in found)
+
+    def _to(self, lang: str, classes: np.ndarray, held: Counter) -> tuple[float, float]:
+        bins, counts = self.bins[lang], np.zeros(len(self.words[lang]))
+        for word, n in held.items():
+            counts[bins.get(word, len(counts) - 1)] += n
+        return distance(classes, self.chars[lang]), distance(counts, self.words[lang])
 
 
 def language_references(docs: DataFrame, text: str, lang: str, common_share: int, lang_share: int) -> References:
@@ -204,7 +214,7 @@ def judge_quality(
     lang_share: int = 1000,
 ) -> DataFrame:
     """``docs`` with the base features, base_failed, char_distance,
-    word_distance (null where there is no text or no reference) and kept."""
+    word_distance (null where there are no words) and kept."""
     references = language_references(docs, text, lang, common_share, lang_share)
     wanted = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance", "kept"]
     names = [free_name(docs.columns, n) for n in wanted]
@@ -268,6 +278,7 @@ lw AS (
   FROM w GROUP BY ALL),
 total AS (SELECT lang, sum(c) AS n FROM lw GROUP BY lang),
 big AS (SELECT lang FROM total WHERE n * 1000 >= (SELECT sum(n) FROM total)),
+m AS (SELECT lang, lang AS ref FROM big UNION ALL SELECT t.lang, b.lang FROM total t, big b WHERE t.lang NOT IN (SELECT lang FROM big)),
 k0 AS (
   SELECT doc_id, lang, length(text) AS n_chars, length(regexp_replace(text, '[^\p{Ll}]', '', 'g')) AS c0,
     length(regexp_replace(text, '[^\p{Lu}]', '', 'g')) AS c1, length(regexp_replace(text, '[^\p{L}]', '', 'g')) AS letters,
@@ -278,25 +289,27 @@ k AS (
   SELECT doc_id, lang, n_chars, unnest([0, 1, 2, 3, 4, 5, 6, 7, 8]) AS b,
     unnest([c0, c1, letters - c0 - c1, c3, c4, c5, p - c5, c7, n_chars - letters - c3 - c4 - p - c7]) AS c FROM k0 WHERE n_chars > 0),
 kref AS (SELECT lang, b, sum(c) / sum(sum(c)) OVER (PARTITION BY lang) AS q FROM k JOIN big USING (lang) GROUP BY lang, b),
-kjs AS (
-  SELECT doc_id, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+kjs AS (SELECT doc_id, min(js) AS js, any_value(n_chars) AS n_chars FROM (
+  SELECT doc_id, ref, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
       + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)) AS js, any_value(n_chars) AS n_chars
-  FROM (SELECT doc_id, n_chars, c / n_chars AS p, q FROM k JOIN kref USING (lang, b)) GROUP BY doc_id),
+  FROM (SELECT doc_id, m.ref, n_chars, k.c / n_chars AS p, q FROM k JOIN m USING (lang) JOIN kref ON kref.lang = m.ref AND kref.b = k.b)
+  GROUP BY doc_id, ref) GROUP BY doc_id),
 common AS (SELECT lang, word, sum(c) AS c FROM lw GROUP BY lang, word HAVING sum(c) * 1000 >= (SELECT n FROM total WHERE total.lang = lw.lang)),
 wref AS (
   SELECT lang, word, c / n AS q FROM common JOIN total USING (lang)
   UNION ALL
   SELECT lang, '' AS word, (n - coalesce((SELECT sum(c) FROM common WHERE common.lang = total.lang), 0)) / n FROM total),
 wdoc AS (
-  SELECT doc_id, lw.lang, coalesce(common.word, '') AS word, sum(lw.c) AS c
-  FROM lw LEFT JOIN common ON common.lang = lw.lang AND common.word = lw.word GROUP BY ALL),
-wjs AS (
-  SELECT doc_id, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+  SELECT doc_id, m.ref, coalesce(common.word, '') AS word, sum(lw.c) AS c
+  FROM lw JOIN m USING (lang) LEFT JOIN common ON common.lang = m.ref AND common.word = lw.word GROUP BY ALL),
+wjs AS (SELECT doc_id, min(js) AS js FROM (
+  SELECT doc_id, ref, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
       + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)) AS js
   FROM (
-    SELECT b.doc_id, coalesce(x.c, 0) / b.n_words AS p, r.q
-    FROM base b JOIN big ON big.lang = b.lang JOIN wref r ON r.lang = b.lang LEFT JOIN wdoc x ON x.doc_id = b.doc_id AND x.word = r.word WHERE b.n_words > 0)
-  GROUP BY doc_id)
+    SELECT b.doc_id, m.ref, coalesce(x.c, 0) / b.n_words AS p, r.q
+    FROM base b JOIN m ON m.lang = b.lang JOIN wref r ON r.lang = m.ref
+    LEFT JOIN wdoc x ON x.doc_id = b.doc_id AND x.ref = m.ref AND x.word = r.word WHERE b.n_words > 0)
+  GROUP BY doc_id, ref) GROUP BY doc_id)
 SELECT base.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT coalesce(n_chars >= 200 AND kjs.js > 0.27, FALSE)
     AND NOT coalesce(n_words >= 50 AND wjs.js > 0.28 + 1.4 / sqrt(n_words), FALSE) AS kept

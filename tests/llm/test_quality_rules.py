@@ -38,11 +38,28 @@ def test_junk_goes_and_prose_stays(spark):
     assert all(out[i] for i in range(60)) and not out[100] and not out[101]
 
 
-def test_a_language_without_a_reference_is_left_to_the_base_rules(spark):
-    rows = [(i, prose(i, 600), "en") for i in range(40)] + [(100, " ".join(f"ord{i % 97}" for i in range(90)), "xx")]
+def test_a_language_without_a_reference_is_judged_by_the_others(spark):
+    """Junk gets the same verdict under any tag, and so does clean prose."""
+    words = " ".join(f"ord{i % 97}" for i in range(90))
+    signs = prose(101, 200).replace(" ", "### ")
+    rows = [(i, prose(i, 600), "en") for i in range(60)] + [(200 + i, prose(900 + i, 600).replace("a", "ö"), "de") for i in range(60)]
+    for at, tag in ((100, "en"), (110, "xx"), (120, None)):
+        rows += [(at, words, tag), (at + 1, signs, tag), (at + 2, prose(500, 400), tag)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = {r.doc_id: r for r in judge_quality(docs, lang_share=100).collect()}
-    assert got[100].kept and got[100].word_distance is None and got[0].word_distance is not None
+    for at in (100, 110, 120):
+        assert [got[at + k].kept for k in range(3)] == [False, False, True]
+    assert got[112].word_distance == got[102].word_distance and got[122].char_distance is not None
+
+
+def test_small_languages_equal_sql(spark):
+    rows = [(i, prose(i, 900), "en") for i in range(60)] + [(100 + i, prose(500 + i, 900).replace("a", "ö"), "de") for i in range(60)]
+    rows += [(200, prose(700, 60), "xx"), (201, prose(701, 60).upper(), None), (202, "### " * 30, "yy"), (203, prose(703, 70).replace("a", "ö"), "zz"), (204, None, "qq")]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    cols = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    got = sorted(tuple(r) for r in judge_quality(documents).select(*cols).collect())
+    documents = documents.toPandas()  # noqa: F841
+    assert got == sorted(duckdb.sql(ORACLE_SQL).fetchall())
 
 
 def test_min_length_guards(spark):
