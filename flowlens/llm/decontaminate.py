@@ -1,22 +1,26 @@
 """Benchmark decontamination: n-gram seeds, then local alignment.
 
-Words are lower-cased and freed of punctuation at their ends.  Every n-gram of
-a test item is a seed, however many documents it occurs in: a cut by documents
-would lose edited copies that occur often.  Passages are joined to items on the
-seeds; hits closer together than the item is long form a passage, and if an
-item has ``min_seeds`` different seeds there (fewer if it has fewer), the
-passage is aligned to the item by Smith-Waterman (match 1, mismatch -1, gap
--0.5, word by word), unless too few of its words are the item's for any
-alignment to reach ``min_score`` (``most``, an upper bound, so nothing is
-lost).  The score is the alignment's over the item's number of words; from
-``min_score`` on the document is contaminated.
+Words are lower-cased and freed of punctuation at their ends.  A passage is
+scored by Smith-Waterman (match 1, mismatch -1, gap -0.5, word by word) over the
+item's number of words; from ``min_score`` on the document is contaminated.
+
+Seeds are the item's word pairs, next to each other or with words between them
+(up to ``n`` words in all), and so are the document's, so one word inserted, left
+out or replaced between two words does not hide them.  How many such pairs a
+passage has is what makes it rare: an alignment of score s times the item's
+length L has M matches and at most 2 (M - s L) other columns, so at least
+s L - 1 of its neighbouring matches have at most one column between them, all of
+them within (3 - 2 s) L words of the document.  Only stretches with that many
+pairs of an item are aligned, and of these only those where ``most``, an upper
+bound by known words, allows the score; so every passage of an item of
+``SHORT`` words or more that scores ``min_score`` is found, however it is edited.
+Shorter items need all pairs of neighbouring words (one word: that word).
 
 The test items are the small side.  They are taken in slices of at most about
-``slice_words`` words, which bounds what a task holds; a larger benchmark takes
-more passes over the documents, without a shuffle.
+``slice_words`` words, one after another: the driver and a task hold one slice,
+and each further slice is a pass over the documents as staged by the last.
 
-Cases: null or empty texts and items match nothing; items shorter than n are
-one seed, their whole text; repeated rows are judged alike; equal items are
+Cases: null or empty texts and items match nothing; repeated rows are judged alike; equal items are
 all reported; null item_ids are ignored; empty tables leave documents clean;
 result columns get underscores in front where their names are taken.
 """
@@ -24,6 +28,7 @@ result columns get underscores in front where their names are taken.
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +36,12 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import encoded, free_name, table, texts
+from .common import encoded, free_name, staged, table, texts
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 N = 3
+SHORT = 8
 GAP = 0.5
 _MEMO_WORDS = 500_000
 _HITS = 1_000_000
@@ -96,7 +102,7 @@ class _Ids(dict):
 
 
 class Items:
-    """A slice of the benchmark: words, n-gram codes, and whose they are."""
+    """A slice of the benchmark: words, codes of word pairs, and whose they are."""
 
     def __init__(self, rows: list[tuple[int, str | None]], n: int):
         self.n = n
@@ -108,37 +114,26 @@ class Items:
         self.base = len(vocab) + 1
         self.vocab = vocab
         self.table = _Ids(vocab)
-        self.sizes = sorted({min(n, len(w)) for w in self.words})
         self.length = np.array([len(w) for w in self.words], dtype=np.int64)
-        grams = [self.codes(w, min(n, len(w))) for w in self.words]
-        self.needed = np.array([len(np.unique(g)) for g in grams], dtype=np.int64)
-        # one row for each item and n-gram of it, by n-gram, with its first
-        # and last place in the item
-        none = np.zeros(0, dtype=np.int64)
-        code = np.concatenate([none, *grams])
+        grams = [np.unique(self.pairs(w)[0]) if len(w) > 1 else w + 1 for w in self.words]
+        # one row for each item and seed of it, by seed
+        code = np.concatenate([np.zeros(0, dtype=np.int64), *grams])
         owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-        place = np.concatenate([none, *(np.arange(len(g)) for g in grams)])
-        order = np.lexsort((place, owner, code))
-        code, owner, place = code[order], owner[order], place[order]
-        new = np.ones(len(code) + 1, dtype=bool)
-        new[1:-1] = (code[1:] != code[:-1]) | (owner[1:] != owner[:-1])
-        own = np.flatnonzero(new)
-        self.owner, self.early, self.late = owner[own[:-1]], place[own[:-1]], place[own[1:] - 1]
-        self.seeds, first = np.unique(code[own[:-1]], return_index=True)
-        self.first = np.append(first, len(own) - 1)
-
-    def codes(self, ids: np.ndarray, size: int) -> np.ndarray:
-        """Codes of the runs of ``size`` ids; -1 where a word is in no item.
-        A shorter run's code is smaller than any of a longer one's."""
-        count = len(ids) - size + 1
-        if count <= 0:
-            return np.zeros(0, dtype=np.int64)
-        code, known = np.zeros(count, dtype=np.int64), np.ones(count, dtype=bool)
-        for j in range(size):
-            part = ids[j : j + count]
-            code = code * self.base + part + 1
-            known &= part >= 0
-        return np.where(known, code, -1)
+        order = np.lexsort((owner, code))
+        self.owner = owner[order]
+        self.seeds, first = np.unique(code[order], return_index=True)
+        self.first = np.append(first, len(code))
+
+    def pairs(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(codes, places) of pairs of known words within ``n`` words.  A
+        word's own code, for items of one word, is smaller than any of them."""
+        codes, places = [], []
+        for step in range(1, self.n):
+            a, b = ids[:-step], ids[step:]
+            at = np.flatnonzero((a >= 0) & (b >= 0))
+            codes.append((a[at] + 1) * self.base + b[at] + 1)
+            places.append(at)
+        return np.concatenate(codes), np.concatenate(places)
 
     def read(self, text: str | None) -> np.ndarray:
         ids = self.table
@@ -147,41 +142,38 @@ class Items:
 
     def hits(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places and numbers of the seeds in a document."""
-        places, seeds = [], []
-        for size in self.sizes:
-            c = self.codes(own, size)
-            at = np.flatnonzero(c >= 0)
-            found = np.minimum(np.searchsorted(self.seeds, c[at]), len(self.seeds) - 1)
-            real = self.seeds[found] == c[at]
-            places.append(at[real])
-            seeds.append(found[real])
-        return np.concatenate(places), np.concatenate(seeds)
-
-    def passages(self, own: np.ndarray, min_seeds: int):
-        """(item, start, stop) of passages with enough seeds of an item.  Hits
+        code, place = self.pairs(own)
+        if (self.length == 1).any():
+            at = np.flatnonzero(own >= 0)
+            code, place = np.concatenate([code, own[at] + 1]), np.concatenate([place, at])
+        found = np.minimum(np.searchsorted(self.seeds, code), len(self.seeds) - 1)
+        real = self.seeds[found] == code
+        return place[real], found[real]
+
+    def passages(self, own: np.ndarray, min_seeds: int, min_score: float):
+        """(item, start, stop) of stretches with enough pairs of an item.  Hits
         of very many items are taken some items at a time."""
         places, seeds = self.hits(own)
+        need = np.where(self.length < SHORT, np.maximum(self.length - 1, 1), np.maximum(np.ceil(min_score * self.length).astype(np.int64) - 1, min_seeds))
+        reach = np.ceil((3 - 2 * min(min_score, 1.0)) * self.length).astype(np.int64) + self.n
+        wide = len(own) + int(reach.max(initial=0)) + 1
         many = self.first[seeds + 1] - self.first[seeds]
         parts = -(-int(many.sum()) // _HITS)
         for part in range(parts):
             rows, hit = self._expand(places, seeds, many, part, parts)
-            k, p = self.owner[rows], places[hit]
-            order = np.lexsort((p, k))
-            rows, k, p, seed = rows[order], k[order], p[order], seeds[hit[order]]
-            if not len(k):
+            at = np.unique(self.owner[rows] * wide + places[hit])
+            k = at // wide
+            enough = np.searchsorted(at, at + reach[k], side="right") - np.arange(len(at)) >= need[k]
+            at, k = at[enough], k[enough]
+            if not len(at):
                 continue
-            begin = np.ones(len(k), dtype=bool)
-            begin[1:] = (k[1:] != k[:-1]) | (p[1:] - p[:-1] > self.length[k[1:]])
-            passage = np.cumsum(begin) - 1
+            p = at - k * wide
+            begin = np.ones(len(at), dtype=bool)
+            begin[1:] = (k[1:] != k[:-1]) | (p[1:] - p[:-1] > 2 * reach[k[1:]])
             first = np.flatnonzero(begin)
+            last = np.append(first[1:], len(at)) - 1
             item = k[first]
-            different = np.bincount(np.unique(passage * len(self.seeds) + seed) // len(self.seeds))
-            # each part of a best alignment scores over 0, so it has fewer
-            # than two gaps in the document for each word of the item
-            start = np.minimum.reduceat(p - 3 * self.late[rows], first) - self.n
-            stop = np.maximum.reduceat(p + 3 * (self.length[k] - self.early[rows]), first) + self.n
-            enough = different >= np.minimum(min_seeds, self.needed[item])
-            yield from zip(item[enough].tolist(), np.maximum(start[enough], 0).tolist(), stop[enough].tolist())
+            yield from zip(item.tolist(), np.maximum(p[first] - reach[item], 0).tolist(), (p[last] + reach[item]).tolist())
 
     def _expand(self, places, seeds, many, part: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
         """Owner rows and hits of the items of a part."""
@@ -205,7 +197,7 @@ class Items:
         """(item_id, score) of the items found in a document."""
         best: dict[int, float] = {}
         mark = np.zeros(len(self.vocab) + 1, dtype=bool) if len(own) else None  # the last: in no item
-        for k, start, stop in self.passages(own, min_seeds):
+        for k, start, stop in self.passages(own, min_seeds, min_score):
             words, passage = self.words[k], own[start:stop]
             mark[words] = True
             bound = most(mark[passage])
@@ -215,17 +207,16 @@ class Items:
         return [(self.ids[k], score) for k, score in best.items() if score >= min_score]
 
 
-def _slices(benchmark: DataFrame, text: str, item_id: str, n: int, slice_words: int) -> list[Items]:
+def _slices(benchmark: DataFrame, text: str, item_id: str, n: int, slice_words: int) -> Iterator[Items]:
+    """The benchmark's slices, each collected when it is asked for."""
     rows = benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(text).alias("t")).dropna()
     words = rows.agg(F.sum(F.size(F.split("t", r"\s+")))).first()[0] or 0
     parts = -(-int(words) // slice_words)
-    out = []
     for k in range(parts):
         own = rows.filter(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == k).collect()  # about slice_words words
         items = Items(sorted((r.i, r.t) for r in own), n)
         if items.ids:
-            out.append(items)
-    return out
+            yield items
 
 
 def find_contamination(
@@ -244,7 +235,9 @@ def find_contamination(
     found, score, bad = (free_name(docs.columns, c) for c in ("items", "score", "contaminated"))
     at = docs.columns.index(text)
     out = docs.withColumn(found, F.array().cast("array<long>")).withColumn(score, F.lit(0.0))
-    for items in _slices(benchmark, item_text, item_id, n, slice_words):
+    for i, items in enumerate(_slices(benchmark, item_text, item_id, n, slice_words)):
+        if i:  # a task runs one slice's worker
+            out = staged(out, "decontaminated")
 
         def run(batches, items=items):
             for batch in batches:

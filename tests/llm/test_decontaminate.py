@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 from flowlens.llm import decontaminate
 from flowlens.llm.decontaminate import Items, align, bare_words, find_contamination, most
@@ -104,3 +106,52 @@ def test_hits_taken_some_items_at_a_time_give_the_same(monkeypatch):
 @given(st.lists(st.integers(0, 3), min_size=1, max_size=12), st.lists(st.integers(-1, 5), max_size=15))
 def test_no_alignment_scores_over_the_bound(a, b):
     assert slow_align(a, b) <= most(np.isin(np.array(b, dtype=np.int64), a)) + 1e-9
+
+
+def edited(rand, words, how):
+    """Words substituted, inserted or left out, in a regular or random way."""
+    out = []
+    step = rand.choice([2, 3, 4, 5])
+    for i, w in enumerate(words):
+        on = i % step == step - 1 if rand.random() < 0.9 else rand.random() < 0.3
+        kind = rand.choice(["swap", "add", "drop"]) if how == "mixed" else how
+        if on and kind == "swap":
+            out.append("swapped")
+        elif not (on and kind == "drop"):
+            out.append(w)
+        if on and kind == "add":
+            out.extend(["added"] * rand.choice([1, 1, 2]))
+    return out
+
+
+def test_every_edited_copy_that_scores_is_found():
+    """Recall against full alignment is whole for substitutions, insertions and
+    deletions, also between every two words."""
+    rand = random.Random(3)
+    texts = [prose(700 + i, rand.randrange(8, 60)) for i in range(12)]
+    items = Items(list(enumerate(texts)), 3)
+    scored = 0
+    for how in ("swap", "add", "drop", "mixed"):
+        for _ in range(60):
+            k = rand.randrange(12)
+            words = bare_words(texts[k])
+            text = " ".join([*prose(rand.randrange(99), 30).split(), *edited(rand, words, how), *prose(rand.randrange(99), 30).split()])
+            own = items.read(text)
+            want = {(i, align(w, own) / len(w)) for i, w in enumerate(items.words) if align(w, own) >= 0.5 * len(w)}
+            assert set(items.matches(own, 2, 0.5)) == want
+            scored += len(want)
+    assert scored > 120
+
+
+def test_a_word_after_every_word(spark):
+    item = prose(700, 20).split()
+    for k in (1, 2):
+        text = " ".join(w + (f" extra{i}" if i % k == k - 1 else "") for i, w in enumerate(item))
+        found = find_contamination(spark.createDataFrame([(1, text)], "doc_id long, text string"), spark.createDataFrame([(5, " ".join(item))], "item_id long, text string"))
+        assert found.first()["items"] == [5]
+
+
+def test_many_slices_hold_one_worker_a_stage(spark):
+    docs, items = corpus(spark)
+    plan = find_contamination(docs, items, slice_words=40)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") <= 2  # the node and its type, once
