@@ -127,12 +127,17 @@ def novel_spans(text: str, low: str, taken: list[tuple[int, int, str]], novelty:
     out = []
     blocks = key_blocks(text)
     values = sorted((y, kind) for _, y, kind in taken)
+    begun = sorted((x, y) for x, y, _ in taken)
+    covered = inside = 0  # how far the spans reach that have begun, and their number
     block = value = end = 0  # end: of the last value
     wraps = False  # it was in context, so its further lines are
     for m in CANDIDATE.finditer(text):
         a, b = m.span()
         s = m[0]
-        if not (any(c.isdigit() for c in s) and any(c.isalpha() for c in s)) or any(x <= a and b <= y for x, y, _ in taken):
+        while inside < len(begun) and begun[inside][0] <= a:
+            covered = max(covered, begun[inside][1])
+            inside += 1
+        if b <= covered or not (any(c.isdigit() for c in s) and any(c.isalpha() for c in s)):
             continue
         while value < len(values) and values[value][0] <= a:
             if values[value][0] > end:
@@ -140,7 +145,7 @@ def novel_spans(text: str, low: str, taken: list[tuple[int, int, str]], novelty:
             value += 1
         while block < len(blocks) and blocks[block][1] <= a:
             block += 1
-        line = text.rfind("\n", 0, a) + 1
+        line = text.rfind("\n", max(0, a - reach), a) + 1
         if not (
             SENSITIVE.search(text, max(line, a - reach), a)
             or SENSITIVE.search(text, max(end, a - reach), a)

@@ -101,3 +101,15 @@ def test_keys_on_further_lines():
     assert novel("text\n" + pem + "x " * 40 + "\n" + lines[0][::-1], novelty) == lines
     assert novel(f"api-key:\n    {lines[0]}\n    {lines[1]}\nmore", novelty) == lines[:2]
     assert novel(f"the key: {lines[0]}, see\n{lines[1]}", novelty) == lines[:1]
+
+
+def test_many_lines_of_hashes_take_linear_time(spark):
+    """A checksum list with a sensitive word: no candidate is compared with
+    every span before it."""
+    import time
+
+    lines = "\n".join(f"{k:064x}  key file{k}" for k in range(100_000))
+    docs = spark.createDataFrame([(1, lines), (2, "password = x9x9x9x9x9x9x9")], "doc_id long, text string")
+    began = time.time()
+    assert scan_secrets(docs).count() == 2
+    assert time.time() - began < 40
