@@ -68,12 +68,14 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     # at most as many integers as the longest rule path has characters
     lengths = sorted(r.cut for r in hashed.select(F.length("r_path").alias("cut")).distinct().collect())
     cuts = F.array(*map(F.lit, lengths)).cast("array<int>")
+    # and of labels as the longest rule host has: a host makes no other suffixes
+    dots = lambda host: F.length(host) - F.length(F.replace(host, F.lit(".")))
+    depths = sorted(r.depth for r in hashed.select((dots(F.col("r_host")) + 1).alias("depth")).distinct().collect())
 
     parts = pages.withColumns({names["host"]: url_host(F.col(f"`{url}`")), names["path"]: url_path(F.col(f"`{url}`"))})
     keys = parts.select(F.col(names["host"]).alias("host"), F.col(names["path"]).alias("path")).distinct()
-    labels = F.split("host", r"\.", -1)
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    wide = keys.select("host", "path", F.explode(suffixes).alias("e_host"))
+    suffix = [F.when(dots(F.col("host")) + 1 >= k, F.substring_index("host", ".", -k)) for k in depths]
+    wide = keys.select("host", "path", F.explode(F.array(*suffix).cast("array<string>")).alias("e_host")).filter("e_host IS NOT NULL")
     wide = wide.withColumn("cut", F.explode(cuts)).filter(F.col("cut") <= F.length("path"))
     wide = wide.withColumn("e_path", F.expr("substring(path, 1, cut)"))
     wide = wide.select("host", "path", *_digests(F.col("e_host"), F.col("e_path")))

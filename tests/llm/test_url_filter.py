@@ -36,3 +36,14 @@ def test_clashing_columns_and_empty_tables(spark):
     assert judge_urls(pages.limit(0), default_rules(spark)).count() == 0
     assert judge_urls(pages, default_rules(spark).limit(0)).first()._verdict == "allow"
     assert len(RULES) == 5
+
+
+def test_a_host_of_very_many_labels(spark):
+    import time
+
+    hosts = [".".join("ab" for _ in range(30_000)) + end for end in (".com", ".example.org", "")]
+    pages = spark.createDataFrame([(i, f"http://{h}/de/x") for i, h in enumerate(hosts)], "page_id long, url string")
+    began = time.time()
+    got = {r.page_id: (r.rule, r.verdict) for r in judge_urls(pages, default_rules(spark)).collect()}
+    assert got == {0: ("com/de/", "block"), 1: ("org/", "allow"), 2: (None, "allow")}
+    assert time.time() - began < 20
