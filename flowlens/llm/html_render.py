@@ -19,8 +19,9 @@ of ``SCREEN`` pixels, a mouse, and no preferences; those under ``@supports`` and
 
 Cases: null or empty html renders to an empty text; broken markup is repaired
 (unclosed elements end with their parent, stray end tags are ignored, an
-unfinished tag is text); nesting deeper than 200 elements is flattened;
-repeated rows render alike; an empty table gives an empty result; result
+unfinished tag is text); elements may be nested to any depth (lines are
+indented by ``MAX_INDENT`` at most); long pages take linear time, and a table's
+padding is bounded by its text; repeated rows render alike; an empty table gives an empty result; result
 columns get underscores in front where their names are taken.
 """
 
@@ -29,6 +30,8 @@ from __future__ import annotations
 import html
 import re
 import sys
+from bisect import bisect_left
+from collections import Counter
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -63,9 +66,12 @@ IMPLIED = {
     "tbody": (("thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"), ("table",)),
     "tfoot": (("thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"), ("table",)),
 }
-MAX_DEPTH = 200
+#: Bounds of the layout, not of the text: how far lines are indented, and up to
+#: which width and number of lines cells are set side by side.
+MAX_INDENT, MAX_CELL, MAX_CELL_LINES = 80, 60, 20
 
-TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>")
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/><]*)")
+SPECIAL = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 IGNORED = re.compile(r"""(?s)/\*.*?(?:\*/|\Z)|"(?:\\.|[^"\\\n])*"|'(?:\\.|[^'\\\n])*'|<!--|-->""")
 SELECTOR = re.compile(r"[.#]?[\w-]+")
@@ -93,16 +99,65 @@ def attributes(raw: str) -> dict[str, str]:
     return out
 
 
-def build(page: str) -> tuple[Node, str]:
-    """The page's tree, and the text of its style elements."""
+class TagEnds:
+    """Where the tags of a page end: at the first ``>`` outside quotes.  Each
+    quote is followed up once, so a page of broken tags takes linear time."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.next = -1  # the first special character at or after the last place asked for
+        self.known: dict[int, int] = {}  # opening quote -> the end of its tag, -1 without
+
+    def after(self, at: int) -> int:
+        if self.next < at:
+            m = SPECIAL.search(self.page, at)
+            self.next = m.start() if m else len(self.page)
+        place, path = self.next, []
+        while True:
+            if place >= len(self.page):
+                end = -1
+                break
+            if self.page[place] == ">":
+                end = place
+                break
+            if place in self.known:
+                end = self.known[place]
+                break
+            path.append(place)
+            closing = self.page.find(self.page[place], place + 1)
+            if closing < 0:
+                end = -1
+                break
+            m = SPECIAL.search(self.page, closing + 1)
+            place = m.start() if m else len(self.page)
+        for quote in path:
+            self.known[quote] = end
+        return end
+
+
+def build(page: str) -> tuple[Node, str, int]:
+    """The page's tree, the text of its style elements, and the tree's depth."""
     root = Node("#root", {})
-    stack, styles, at = [root], [], 0
+    stack, styles, at, depth = [root], [], 0, 1
+    ends, said = TagEnds(page), []
+    opened: Counter = Counter()
+
+    def put(node: Node | None = None) -> None:
+        if said:
+            stack[-1].children.append(html.unescape("".join(said)))
+            said.clear()
+        if node is not None:
+            stack[-1].children.append(node)
 
     def close(kinds, bounds) -> None:
+        if not any(opened[k] for k in kinds):
+            return
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in bounds:
                 break
             if stack[i].tag in kinds:
+                put()
+                opened.subtract(n.tag for n in stack[i:])
                 del stack[i:]
                 break
 
@@ -111,7 +166,7 @@ def build(page: str) -> tuple[Node, str]:
         if lt < 0:
             lt = len(page)
         if lt > at:
-            stack[-1].children.append(html.unescape(page[at:lt]))
+            said.append(page[at:lt])
             at = lt
             continue
         if page.startswith("<!--", at):
@@ -122,17 +177,18 @@ def build(page: str) -> tuple[Node, str]:
             end = page.find(">", at)
             at = len(page) if end < 0 else end + 1
             continue
-        m = TAG.match(page, at)
-        if not m:
-            stack[-1].children.append("<")
+        m = NAME.match(page, at)
+        gt = ends.after(m.end()) if m else -1
+        if gt < 0:
+            said.append("<")
             at += 1
             continue
-        at = m.end()
+        raw, at = page[m.end() : gt], gt + 1
         tag = m[2].lower()
         if m[1]:
             if tag == "br":
-                stack[-1].children.append(Node("br", {}))
-            elif any(n.tag == tag for n in stack[1:]):
+                put(Node("br", {}))
+            elif opened[tag]:
                 bounds = ("table",) if tag not in ("table", "html", "body") and tag not in ("td", "th", "tr", "tbody", "thead", "tfoot") else ()
                 close((tag,), () if tag == "table" else bounds)
             continue
@@ -144,8 +200,8 @@ def build(page: str) -> tuple[Node, str]:
             while before != len(stack):  # a cell, then its row, then its section
                 before = len(stack)
                 close(kinds, bounds)
-        node = Node(tag, attributes(m[3]))
-        stack[-1].children.append(node)
+        node = Node(tag, attributes(raw))
+        put(node)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.IGNORECASE).search(page, at)
             stop = len(page) if end is None else end.start()
@@ -154,9 +210,12 @@ def build(page: str) -> tuple[Node, str]:
             node.children.append(html.unescape(page[at:stop]) if tag in ("textarea", "title") else page[at:stop])
             gt = page.find(">", stop)
             at = len(page) if end is None or gt < 0 else gt + 1
-        elif tag not in VOID and len(stack) < MAX_DEPTH:
+        elif tag not in VOID:
             stack.append(node)
-    return root, "\n".join(styles)
+            opened[tag] += 1
+            depth = max(depth, len(stack))
+    put()
+    return root, "\n".join(styles), depth
 
 
 def pixels(value: str) -> float | None:
@@ -367,7 +426,7 @@ class Page:
                 gap = 2 if tag in SPACED else 1
                 self.end_line(gap)
                 held = self.indent
-                if tag in ("dd", "blockquote"):
+                if tag in ("dd", "blockquote") and len(self.indent) < MAX_INDENT:
                     self.indent += "  "
                 if tag == "details" and "open" not in child.attrs:
                     child.children = [c for c in child.children if isinstance(c, Node) and c.tag == "summary"]
@@ -405,7 +464,8 @@ class Page:
             self.end_line(1)
             mark = f"{number}. " if node.tag == "ol" else "- "
             number += 1
-            self.indent, self.marker, self.visible = held + " " * len(mark), mark if visible else "", visible
+            deeper = held + " " * len(mark) if len(held) < MAX_INDENT else held
+            self.indent, self.marker, self.visible = deeper, mark if visible else "", visible
             self.render(child, pre)
             self.end_line(1)
             self.indent, self.marker, self.visible = held, "", outer
@@ -427,11 +487,37 @@ def lines_under(node: Node, styles: Styles, visible: bool = True) -> list[str]:
     return lines
 
 
+def _span(cell: Node, name: str) -> int:
+    """Columns or rows that a cell takes; a rowspan of 0 goes on to the end."""
+    raw = cell.attrs.get(name, "")
+    n = int(raw) if re.fullmatch(r"\d{1,4}", raw) else 1
+    return min(1000, n) if n else 1000 if name == "rowspan" else 1
+
+
 def table_lines(node: Node, styles: Styles, visible: bool) -> list[str]:
     """A table's caption and rows; columns as wide as their widest cell that
-    spans no other, two spaces apart."""
+    spans no other (up to ``MAX_CELL``; longer ones run over), two spaces apart.
+    Cells that span rows keep their columns in the rows below.  A row with a
+    cell of more than ``MAX_CELL_LINES`` lines stands as blocks, cell after cell,
+    and so does a table that would be mostly padding."""
     before: list[str] = []
-    rows: list[list[tuple[list[str], int]]] = []
+    rows: list[list[tuple[list[str], int, int]]] = []  # lines, columns, first column
+    held: list[list[int]] = []  # [first column, the one after the last, rows still taken]
+
+    def place(cells: list[tuple[list[str], int, int]]) -> list[tuple[list[str], int, int]]:
+        taken, free, out, column = sorted(held), 0, [], 0
+        for cell in held:
+            cell[2] -= 1
+        for lines, span, down in cells:
+            while free < len(taken) and taken[free][0] <= column:
+                column = max(column, taken[free][1])
+                free += 1
+            out.append((lines, span, column))
+            if down > 1:
+                held.append([column, column + span, down - 1])
+            column += span
+        held[:] = [cell for cell in held if cell[2] > 0]
+        return out
 
     def visit(part: Node, visible: bool) -> None:
         loose = Node("#loose", {})
@@ -440,20 +526,22 @@ def table_lines(node: Node, styles: Styles, visible: bool) -> list[str]:
             if own is None:
                 continue
             if isinstance(child, Node) and child.tag in ("thead", "tbody", "tfoot"):
+                held.clear()
                 visit(child, own)
+                held.clear()
             elif isinstance(child, Node) and child.tag == "tr":
                 cells, odd = [], Node("#odd", {})
                 for cell in child.children:
                     if isinstance(cell, Node) and cell.tag in ("td", "th"):
                         shown = styles.state(cell, own)
                         if shown is not None:
-                            span = cell.attrs.get("colspan", "")
-                            cells.append((lines_under(cell, styles, shown), max(1, min(1000, int(span))) if re.fullmatch(r"\d{1,4}", span) else 1))
+                            cells.append((lines_under(cell, styles, shown), _span(cell, "colspan"), _span(cell, "rowspan")))
                     else:
                         odd.children.append(cell)
                 before.extend(lines_under(odd, styles, own))
-                if any(lines for lines, _ in cells):
-                    rows.append(cells)
+                placed = place(cells)
+                if any(lines for lines, *_ in placed):
+                    rows.append(placed)
             else:
                 loose.children.append(child)  # captions and misplaced text stand before the table
         before.extend(lines_under(loose, styles, visible))
@@ -461,19 +549,32 @@ def table_lines(node: Node, styles: Styles, visible: bool) -> list[str]:
     visit(node, visible)
     widths: dict[int, int] = {}
     for cells in rows:
-        column = 0
-        for lines, span in cells:
+        for lines, span, column in cells:
             if span == 1:
-                widths[column] = max([widths.get(column, 0), *map(len, lines)])
-            column += span
+                widths[column] = max([widths.get(column, 0), *(len(x) for x in lines if len(x) <= MAX_CELL)])
+    known = sorted(widths)
+    ends = [0]
+    for column in known:
+        ends.append(ends[-1] + widths[column] + 2)
+    start = {c: ends[bisect_left(known, c)] for c in {c for cells in rows for _, _, c in cells}}
+    height = lambda cells: max(len(lines) for lines, *_ in cells)
+    text = sum(len(x) + 1 for cells in rows for lines, *_ in cells for x in lines)
+    padded = sum(height(cells) * start[max(c for lines, _, c in cells if lines)] for cells in rows)
     out = before
     for cells in rows:
-        for i in range(max(len(lines) for lines, _ in cells)):
-            line, column = "", 0
-            for lines, span in cells:
-                width = sum(widths.get(c, 0) for c in range(column, column + span)) + 2 * (span - 1)
-                line += (lines[i] if i < len(lines) else "").ljust(width) + "  "
-                column += span
+        if height(cells) > MAX_CELL_LINES or padded > 8 * text + 4000:
+            if height(cells) == 1:
+                out.append("  ".join(lines[0] for lines, *_ in cells if lines))
+            else:
+                for lines, *_ in cells:
+                    out.extend(lines)
+            continue
+        for i in range(height(cells)):
+            line = ""
+            for lines, _, column in cells:
+                if i < len(lines):
+                    line = line.rstrip() + "  " if len(line.rstrip()) + 2 > start[column] and line.strip() else line
+                    line = line.ljust(start[column]) + lines[i]
             out.append(line.rstrip())
     return out
 
@@ -481,8 +582,13 @@ def table_lines(node: Node, styles: Styles, visible: bool) -> list[str]:
 def render_html(page: str | None) -> str:
     if not page:
         return ""
-    root, styles = build(page)
-    return "\n".join(lines_under(root, Styles(styles)))
+    root, styles, depth = build(page)
+    limit = sys.getrecursionlimit()
+    sys.setrecursionlimit(max(limit, 1000 + 8 * depth))  # nested elements are nested calls
+    try:
+        return "\n".join(lines_under(root, Styles(styles)))
+    finally:
+        sys.setrecursionlimit(limit)
 
 
 def render_pages(pages: DataFrame, markup: str = "html") -> DataFrame:

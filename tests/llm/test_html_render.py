@@ -102,3 +102,41 @@ STYLED = [
 @pytest.mark.parametrize("page,want", STYLED)
 def test_styles(page, want):
     assert render_html(page) == want
+
+
+def seconds(call, *args):
+    import time
+
+    began = time.time()
+    call(*args)
+    return time.time() - began
+
+
+def test_a_megabyte_of_broken_tags_takes_linear_time():
+    for piece in ('<a x="', "<a b ", "<a x='\"", "<", "<a<b", "<p <", "<b>", "</b>", "<td>", "&", "<a b='c' "):
+        assert seconds(render_html, piece * (1_000_000 // len(piece))) < 6, piece
+
+
+def test_hidden_text_stays_hidden_at_any_depth():
+    for depth in (50, 250, 5000):
+        page = "<div>" * depth + "<p style='display:none'>secret<b>too</b></p><p>shown</p>" + "</div>" * depth + "after"
+        assert render_html(page).split() == ["shown", "after"]
+
+
+def test_cells_that_span_rows_keep_their_columns():
+    page = "<table><tr><td rowspan=2>A<td>b1<tr><td>b2<tr><td>c<td>d</table>"
+    assert render_html(page) == "A  b1\n   b2\nc  d"
+    late = "<table><tr><td>x<td rowspan=0>y<td>z<tr><td>u<td>v<tr><td>w</table>"
+    assert render_html(late) == "x  y  z\nu     v\nw"
+
+
+def test_tables_are_not_blown_up():
+    wide = "<table>" + "".join(f"<tr><td>{'x' * 20_000 if i == 0 else 'y'}<td>{i}" for i in range(500)) + "</table>"
+    out = render_html(wide)
+    assert len(out) < 2 * len(wide) and out.split("\n")[1] == "y  1"
+    tall = "<table><tr><td>" + "<br>".join("line" for _ in range(5000)) + "".join("<td>c" for _ in range(500)) + "</table>"
+    assert len(render_html(tall)) < 2 * len(tall) and render_html(tall).split() == ["line"] * 5000 + ["c"] * 500
+    spread = "<table>" + "<tr>" + "<td colspan=1000 rowspan=1000>a" * 300 + "<tr><td>b" * 300 + "</table>"
+    assert len(render_html(spread)) < 20 * len(spread)
+    quotes = "<blockquote>" * 3000 + "<br>".join("q" for _ in range(3000))
+    assert len(render_html(quotes)) < 20 * len(quotes)
