@@ -83,8 +83,13 @@ def _read_commits(spark: SparkSession, path: str, entries: list[dict]) -> DataFr
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
     """The alert table written by ``write_alerts``; no rows before the
-    first write."""
-    return _read_commits(spark, path, commits.live_commits(spark, path))
+    first write.  Date folders of a table from before the log count as they
+    are."""
+    rows = _read_commits(spark, path, commits.live_commits(spark, path))
+    old = [f"{path}/{n}" for n in child_names(spark, path) if n.startswith("alert_date=")]
+    if not old:
+        return rows
+    return rows.unionByName(spark.read.schema(S.ALERT_ROW).option("basePath", path).parquet(*old).select(*rows.columns))
 
 
 def read_alert_documents(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
@@ -114,12 +119,11 @@ def drop_old_alerts(spark: SparkSession, path: str, now: dt.datetime, minutes: i
     now = now if now.tzinfo is not None else now.replace(tzinfo=dt.timezone.utc)
     oldest = (now - dt.timedelta(minutes=int(minutes))).astimezone(dt.timezone.utc).date()
     gone = set()
-    for folder in child_names(spark, path):
-        if not folder.startswith("commit="):
-            continue
-        for name in child_names(spark, f"{path}/{folder}"):
+    folders = [path, *(f"{path}/{n}" for n in child_names(spark, path) if n.startswith("commit="))]
+    for folder in folders:
+        for name in child_names(spark, folder):
             if name.startswith("alert_date=") and name[11:] < oldest.isoformat():
-                delete_path(spark, f"{path}/{folder}/{name}")
+                delete_path(spark, f"{folder}/{name}")
                 gone.add(name[11:])
     return sorted(gone)
 

@@ -340,3 +340,14 @@ def test_few_new_rows_get_as_far_as_the_join(spark):
     share = lambda df, bits: df.select(maybe_known(df, pairs, bits).alias("m")).filter("m").count() / df.count()
     assert share(pairs, 17) == 1.0  # never a false negative
     assert share(new, 17) < 0.01 and share(new, 10) > 0.5
+
+
+def test_a_table_from_before_the_log_goes_on(spark, workdir):
+    import datetime as dt
+
+    _alerts(spark, 1, "session_id < 3").write.partitionBy("alert_date", "writer", "batch_id").parquet(workdir)
+    assert _ids(spark, workdir) == [1, 2]
+    sink.write_alerts(_alerts(spark, 2, "session_id = 6"), workdir)
+    assert _ids(spark, workdir) == [1, 2, 6]
+    assert sink.drop_old_alerts(spark, workdir, dt.datetime(2024, 2, 1)) == ["2024-01-01"]
+    assert _ids(spark, workdir) == []
