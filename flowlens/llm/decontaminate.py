@@ -11,7 +11,7 @@ passage has is what makes it rare: an alignment of score s times the item's
 length L has M matches and at most 2 (M - s L) other columns, so at least
 s L - 1 of its neighbouring matches have at most one column between them, all of
 them within (3 - 2 s) L words of the document.  Only stretches with that many
-pairs of an item are aligned, and of these only those where ``most``, an upper
+pairs of an item (each as often as the item has it) are aligned, and of these only those where ``most``, an upper
 bound by known words, allows the score; so every passage of an item of
 ``SHORT`` words or more that scores ``min_score`` is found, however it is edited.
 Shorter items need all pairs of neighbouring words (one word: that word).
@@ -115,12 +115,12 @@ class Items:
         self.vocab = vocab
         self.table = _Ids(vocab)
         self.length = np.array([len(w) for w in self.words], dtype=np.int64)
-        grams = [np.unique(self.pairs(w)[0]) if len(w) > 1 else w + 1 for w in self.words]
+        grams, times = zip(*[np.unique(self.pairs(w)[0] if len(w) > 1 else w + 1, return_counts=True) for w in self.words]) if self.words else ((), ())
         # one row for each item and seed of it, by seed
         code = np.concatenate([np.zeros(0, dtype=np.int64), *grams])
         owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
         order = np.lexsort((owner, code))
-        self.owner = owner[order]
+        self.owner, self.times = owner[order], np.concatenate([np.zeros(0, dtype=np.int64), *times])[order]
         self.seeds, first = np.unique(code[order], return_index=True)
         self.first = np.append(first, len(code))
 
@@ -161,7 +161,10 @@ class Items:
         parts = -(-int(many.sum()) // _HITS)
         for part in range(parts):
             rows, hit = self._expand(places, seeds, many, part, parts)
-            at = np.unique(self.owner[rows] * wide + places[hit])
+            key = self.owner[rows] * wide + places[hit]
+            order = np.argsort(key, kind="stable")
+            key, rows = key[order], rows[order]
+            at = key[np.flatnonzero(np.diff(key, prepend=-1))]
             k = at // wide
             enough = np.searchsorted(at, at + reach[k], side="right") - np.arange(len(at)) >= need[k]
             at, k = at[enough], k[enough]
@@ -173,7 +176,14 @@ class Items:
             first = np.flatnonzero(begin)
             last = np.append(first[1:], len(at)) - 1
             item = k[first]
-            yield from zip(item.tolist(), np.maximum(p[first] - reach[item], 0).tolist(), (p[last] + reach[item]).tolist())
+            # A pair counts as often as the item has it: words said over and
+            # over are no passage.
+            low, high = np.searchsorted(key, at[first]), np.searchsorted(key, at[last] + reach[item], side="right")
+            start, stop = np.maximum(p[first] - reach[item], 0), p[last] + reach[item]
+            for i, a, b, x, y in zip(item.tolist(), low.tolist(), high.tolist(), start.tolist(), stop.tolist()):
+                own_rows, often = np.unique(rows[a:b], return_counts=True)
+                if np.minimum(often, self.times[own_rows]).sum() >= need[i]:
+                    yield i, x, y
 
     def _expand(self, places, seeds, many, part: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
         """Owner rows and hits of the items of a part."""
