@@ -90,3 +90,19 @@ def test_entropy_over_documents_matches_survey_checksum(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     total = docs.select(F.sum(text_entropy(text_flatten(F.col("text"))))).collect()[0][0]
     assert abs(total - 3987.341732) < 1e-5
+
+
+def test_totals_of_present_bins_are_the_bytes(spark):
+    from flowlens.functions.text import bin_totals, present_bins, present_columns, unigram_vector
+
+    rows = [(i, s, "x") for i, s in enumerate(SAMPLES)] + [(None, "twice", None), (7, "twice", "ÿ")]
+    df = spark.createDataFrame(rows, "id long, a string, b string")
+    narrow = tf.unigram_vectors(df, ["a", "b"]).select("id", "a", "b", present_bins("a_unigram").alias("a_v"), present_bins("b_unigram").alias("b_v"))
+    wide = present_columns(tf.unigram_wide(df, "id", ["a", "b"]), "id", ["a", "b"])
+    cells = lambda r: (r.id is None, r.id, *[tuple(map(tuple, v)) for v in (r.a_v, r.b_v)])
+    assert sorted(map(cells, wide.collect()), key=repr) == sorted(map(cells, narrow.collect()), key=repr)
+    for r in narrow.select("a", "a_v", bin_totals("a_v", F.octet_length("a").cast("bigint")).alias("t")).collect():
+        raw = r.a.encode()
+        assert len(r.a_v.bins) == len(set(raw)) and list(r.a_v.bins) == sorted(set(raw))
+        assert tuple(r.t) == (len(set(raw)), len(raw), sum(raw))
+    assert df.limit(0).select(bin_totals(present_bins(unigram_vector("a")), F.lit(0).cast("bigint"))).count() == 0
