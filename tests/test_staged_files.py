@@ -3,6 +3,7 @@
 import __spark_entry__ as E
 from flowlens.sources.files import child_names
 from flowlens.sources import sessions as src
+from pyspark.sql import functions as F
 
 from .helpers import session_row, sessions_df
 
@@ -33,3 +34,14 @@ def test_one_good_file_has_two_bad_ones(spark, workdir, monkeypatch):
     assert len(_parts(spark, f"{workdir}/chunk=0")) == 1
     assert len(_parts(spark, f"{workdir}/chunk=1")) == 2
     assert spark.read.parquet(f"{workdir}/chunk=1").count() == 40
+
+
+def test_stream_chunks_have_more_files_where_rows_are_more(spark, workdir, monkeypatch):
+    monkeypatch.setattr(E, "CHUNK_FILE_ROWS", 5)
+    rows = _records(spark, 60)
+    folder, files = E._time_chunks(spark, rows, F.col("session.start_time"), workdir, chunks=3)
+    assert files == 4
+    for i in range(3):
+        assert len(_parts(spark, f"{folder}/chunk={i:03d}")) == 4
+    assert spark.read.parquet(folder).count() == 60
+    assert E._time_chunks(spark, rows.limit(6), F.col("session.start_time"), f"{workdir}/few", chunks=3)[1] == 2
