@@ -114,3 +114,20 @@ def test_a_saved_pipeline_assembles_and_scores_the_same(spark, features, workdir
     assert rows(score_sessions(features, loaded)) == want and len(want) > 0
     raw = loaded.transform(features.drop(S.SCORE))
     assert "features" in raw.columns and raw.count() == len(want)
+
+
+def test_training_rows_are_dealt_evenly(features, monkeypatch):
+    from flowlens.operators import scoring
+
+    sizes = []
+
+    def kept(df, name):
+        sizes.extend(n for n in df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect())
+        return staged(df, name)
+
+    staged = scoring.staged
+    monkeypatch.setattr(scoring, "staged", kept)
+    monkeypatch.setattr(scoring, "TASK_ROWS", 20)
+    train_forest(features.coalesce(1), num_trees=2, max_depth=2)
+    assert len(sizes) == -(-sum(sizes) // 20) > 1
+    assert max(sizes) <= 30
