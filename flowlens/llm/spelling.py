@@ -211,6 +211,13 @@ def _pieces(words: list[str], letters: int = 200_000):
         yield a, len(words)
 
 
+def _merged(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """A merge join at every size.  Both sides grow with the vocabulary, and
+    Spark sizes them by compressed files or shuffles (a word's neighbourhood by
+    the word alone), so what it would broadcast can be more than a driver holds."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def near_pairs(vocabulary: DataFrame) -> DataFrame:
     """(word, n, near, near_n), once for every two words of ``vocabulary``
     (word, n; distinct words) that are one edit apart, from either side."""
@@ -245,7 +252,7 @@ def near_pairs(vocabulary: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(keys[new]), pa.array(ids[a:b][at[new]])], ["key", "id"])
 
     asked = rows.select("word", "id").mapInArrow(spread, "key long, id long")
-    met = asked.join(listed, "key").join(rows, "id").select("word", "n", "near", "near_n")
+    met = _merged(_merged(asked, listed, "key"), rows, "id").select("word", "n", "near", "near_n")
 
     def verified(batches):
         for batch in batches:
@@ -267,13 +274,13 @@ def spelling_variants(words: DataFrame, word: str = "word", n: str = "n", ratio:
     near = near.select("word", "n_near", F.col("best.form").alias("form"), (-F.col("best.less")).alias("form_n"))
     large = F.coalesce(F.col("form_n") >= F.lit(int(ratio)) * F.col("n"), F.lit(False))
     rows = staged(
-        vocabulary.join(near, "word", "left").select(
+        _merged(vocabulary, near, "word", "left").select(
             "word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"), F.when(large, F.col("form")).alias("form"), F.when(large, F.col("form_n")).alias("form_n")
         ),
         "forms",
     )
     roots = _roots(rows.filter("form IS NOT NULL").select("word", F.col("form").alias("root")))
-    return rows.join(roots, "word", "left").select("word", "n", "n_near", "form", "form_n", F.coalesce("root", "word").alias("root"))
+    return _merged(rows, roots, "word", "left").select("word", "n", "n_near", "form", "form_n", F.coalesce("root", "word").alias("root"))
 
 
 def _roots(steps: DataFrame) -> DataFrame:
@@ -282,7 +289,7 @@ def _roots(steps: DataFrame) -> DataFrame:
     at, moved = staged_with_count(steps, "roots")
     while moved:
         on = at.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        far = at.join(on, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved"))
+        far = _merged(at, on, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved"))
         at = staged(far, "roots")
         moved = at.filter("moved").limit(1).count()
         at = at.drop("moved")

@@ -97,6 +97,24 @@ def test_very_long_words(spark):
     assert got["x" * 50_000] == (1, 7, "x" * 49_999)
 
 
+def test_nothing_that_grows_with_the_vocabulary_is_broadcast(spark, monkeypatch):
+    """Tables this small fit any threshold: only a hint keeps them apart."""
+    plans, kept = [], {"staged": spelling.staged, "staged_with_count": spelling.staged_with_count}
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    for name, function in kept.items():
+        monkeypatch.setattr(spelling, name, lambda df, to, function=function: function(noted(df), to))
+    counts = {"a" * k: 2**k for k in range(1, 9)}
+    variants = spelling_variants(table_of(spark, counts))
+    assert result(variants) == expected(counts)
+    noted(variants)
+    assert sum(p.count("SortMergeJoin") for p in plans) >= 5
+    assert not any("Broadcast" in p for p in plans)
+
+
 def test_chains_lead_to_their_end(spark):
     counts = {"a" * k: 2**k for k in range(1, 40)}
     got = {r.word: r.root for r in spelling_variants(table_of(spark, counts)).collect()}
